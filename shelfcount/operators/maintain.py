@@ -29,10 +29,13 @@ def replace_range(target: DataFrame, incoming: DataFrame, col: str, lo: object,
 
 
 def replace_in_list(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], col: str, values: Sequence[object]
+    target: DataFrame, source: DataFrame, col: str, values: Sequence[object], **equal: object
 ) -> DataFrame:
-    """Copies the listed groups of ``source`` into ``target``, replacing their key groups there."""
-    return replace_keys(target, source.filter(F.col(col).isin(*values)), keys)
+    """Rows of the listed groups (and of the ``equal`` values) are replaced by the source's."""
+    listed = F.col(col).isin(*values)
+    for name, value in equal.items():
+        listed = listed & (F.col(name) == value)
+    return append(target.filter(~F.coalesce(listed, F.lit(False))), source.filter(listed))
 
 
 def insert_new_or_reload(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import text
+from ..functions import dates, text
 from ..functions.measures import as_double, money
 from ..policy import SohPolicy
 from .gates import exclude_blocked_vendor
@@ -72,12 +72,10 @@ def soh_snapshot(df: DataFrame, policy: SohPolicy, block: DataFrame | None = Non
         rows = exclude_blocked_vendor(rows, block, policy.vendor, policy.sub_dept)
 
     amount = money(policy.value)
-    kind = F.lit(None).cast("string") if policy.kind is None else F.col(policy.kind)
-    if policy.kind is not None and policy.default_kind is not None:
-        if policy.kind in df.columns:
-            kind = F.coalesce(kind, F.lit(policy.default_kind))
-        else:
-            kind = F.lit(policy.default_kind)
+    if policy.kind is None or (policy.kind not in df.columns and policy.kind_if_missing):
+        kind = F.lit(policy.kind_if_missing).cast("string")
+    else:
+        kind = F.col(policy.kind)
 
     def part(code: str | None) -> Column:
         zero = F.lit(0).cast("decimal(28,4)")
@@ -90,6 +88,8 @@ def soh_snapshot(df: DataFrame, policy: SohPolicy, block: DataFrame | None = Non
     credit, consign, perishable = (part(c) for c in policy.codes)
     total = amount if policy.total == "all" else credit + perishable
     date = F.col(policy.date)
+    if policy.checked_date:
+        date = dates.date_key(date, "yyyyMMdd")
     keyed = rows.select(
         text.store_code(F.lit(policy.bu), policy.store).alias("code"),
         F.lit(policy.bu).alias("bu"),

@@ -118,7 +118,7 @@ ARCHIVE_KEYS = {
     "J": ("store", "cntdate", "skutype", "rpname"),
     "U": ("stmerch", "cntdate", "skutype", "rpname"),
     "C": ("stcode", "cntdate", "skutype", "rpname"),
-    "J-var": ("store", "countname", "rpname"),
+    "J-var": ("countname", "store", "skutype", "rpname"),
     "U-var": ("cntnum", "rpname", "prtype"),
     "sale": ("mdstor", "cntdate"),
 }

@@ -10,7 +10,8 @@ class SohPolicy:
     """How one business unit's on-hand file turns into a snapshot.
 
     ``codes`` are the type codes of credit, consign and perishable: ``None`` is always 0,
-    ``"*"`` takes every row. ``total`` is ``"all"`` or ``"credit+perishable"``.
+    ``"*"`` takes every row. ``total`` is ``"all"`` or ``"credit+perishable"``. ``kind_if_missing``
+    stands in for a file without the type column; ``checked_date`` reads impossible dates as null.
     """
 
     bu: str
@@ -23,7 +24,8 @@ class SohPolicy:
     add_century: bool = False
     null_to_zero: bool = False
     positive_only: bool = True
-    default_kind: str | None = None
+    kind_if_missing: str | None = None
+    checked_date: bool = False
     vendor: str = "msvdno"
     sub_dept: str = "mssdpt"
     skip_sub_depts: tuple[str, ...] = ()
@@ -35,7 +37,7 @@ class SohPolicy:
 SOH_POLICIES: dict[str, SohPolicy] = {
     "PWB": SohPolicy("PWB"),
     "CHG": SohPolicy("CHG", null_to_zero=True),
-    "CFW": SohPolicy("CFW", null_to_zero=True, positive_only=False, default_kind="1"),
+    "CFW": SohPolicy("CFW", null_to_zero=True, positive_only=False, kind_if_missing="1", checked_date=True),
     "OFM": SohPolicy(
         "OFM",
         codes=("01", "02", "03"),
