@@ -369,10 +369,10 @@ def split_measures(i: Inputs):
 
 
 @check("""SELECT strftime(day, '%Y-%m-%d') AS day, count(o_orderkey) AS orders FROM
-    (SELECT unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '1998-12-31', INTERVAL 1 DAY)) AS day)
+    (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2002-12-31', INTERVAL 1 DAY)) AS day)
     LEFT JOIN orders ON CAST(o_orderdate AS DATE) = CAST(day AS DATE) GROUP BY 1""")
 def date_spine(i: Inputs):
-    spine = tables.date_spine(i.spark, "1996-01-01", "1998-12-31", "day")
+    spine = tables.date_spine(i.spark, "1995-01-01", "2002-12-31", "day")
     orders = i.table("orders").select(F.col("o_orderdate").cast("date").alias("day"), "o_orderkey")
     out = spine.join(orders, "day", "left").groupBy("day").agg(F.count("o_orderkey").alias("orders"))
     return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
@@ -404,30 +404,26 @@ def bilingual_items(i: Inputs):
     return out.select("Item", "Barcode", F.replace("ItemNameTH", F.lit("ก"), F.lit("")).alias("ItemNameTH"))
 
 
-@check("""SELECT cntnum, rpname, skcode, what FROM (
-    SELECT 'S' || lpad(stcode, 4, '0') || 'F' || '01' || substring(cntdate, 5, 2) || substring(cntdate, 3, 2) || '001' AS cntnum,
-    rpname, sku AS skcode, 'accepted' AS what FROM (SELECT DISTINCT stcode, cntdate, rpname, sku FROM v_stk
-      WHERE cntdate >= '20000101') s WHERE CAST(stcode AS BIGINT) % 4 <> 0 AND EXISTS
-      (SELECT 1 FROM v_planm p WHERE p.stcode = s.stcode AND p.cntdate = s.cntdate))""")
+@check("""SELECT 'S' || lpad(stcode, 4, '0') || 'F' || '01' || substring(cntdate, 5, 2) || substring(cntdate, 3, 2) || '001' AS cntnum,
+    rpname, sku AS skcode FROM (SELECT DISTINCT stcode, cntdate, rpname, sku FROM v_stk) s WHERE CAST(stcode AS BIGINT) % 4 <> 0 AND EXISTS
+      (SELECT 1 FROM v_planm p WHERE p.stcode = s.stcode AND p.cntdate = s.cntdate)""")
 def upload_csv(i: Inputs):
-    def cntnum(df):
-        store = F.concat(F.lit("S"), F.lpad("stcode", 4, "0"))
-        day = F.concat(F.lit("01"), F.substring("cntdate", 5, 2), F.substring("cntdate", 3, 2))
-        return df.withColumn("cntnum", F.concat(store, F.lit("F"), day, F.lit("001")))
-
-    rows = cntnum(i.stk.filter("cntdate >= '20000101'")).select("cntnum", "rpname", F.col("sku").alias("skcode"))
-    plan = i.planm.withColumn("stcode", F.concat(F.lit("S"), F.lpad("stcode", 4, "0")))
-    done = cntnum(loaded(i)).select("cntnum", "rpname")
-    half = F.col("cntdate") < "20001101"
-    out = reports.upload_csv(rows, plan.filter(half), plan.filter(~half), done)
-    return out["accepted"].select("cntnum", "rpname", "skcode").withColumn("what", F.lit("accepted"))
-
-
-@check("""SELECT bu, stcode, running, strftime(day, '%Y%m%d') AS day FROM (SELECT bu, stcode, 1 AS running,
-    min(strptime(cntdate, '%Y%m%d')) AS lo, max(strptime(cntdate, '%Y%m%d')) AS hi FROM v_plan WHERE cntdate >= '20010101' GROUP BY 1, 2),
-    unnest(generate_series(lo, hi, INTERVAL 1 DAY)) t(day)""")
+    # Count numbers carry two-digit years of this century; the plan is dated the same way.
+    store = F.concat(F.lit("S"), F.lpad("stcode", 4, "0"))
+    day = F.concat(F.lit("01"), F.substring("cntdate", 5, 2), F.substring("cntdate", 3, 2))
+    cntnum = F.concat(store, F.lit("F"), day, F.lit("001")).alias("cntnum")
+    rows = i.stk.select(cntnum, "rpname", F.col("sku").alias("skcode"))
+    plan = i.planm.select(store.alias("stcode"), F.concat(F.lit("20"), F.substr("cntdate", F.lit(3))).alias("cntdate"))
+    half = F.col("cntdate") < "20500101"
+    out = reports.upload_csv(rows, plan.filter(half), plan.filter(~half), loaded(i).select(cntnum, "rpname"))
+    return out["accepted"].select("cntnum", "rpname", "skcode")
+
+
+@check("""SELECT bu, strftime(day, '%Y%m') AS month, count(*) AS days FROM (SELECT bu, stcode,
+    min(strptime(cntdate, '%Y%m%d')) AS lo, max(strptime(cntdate, '%Y%m%d')) AS hi FROM v_plan GROUP BY 1, 2),
+    unnest(generate_series(lo, hi, INTERVAL 1 DAY)) t(day) GROUP BY 1, 2""")
 def spine_per_row(i: Inputs):
     day = dates.parse_date("cntdate")
-    spans = i.plan.filter("cntdate >= '20010101'").groupBy("bu", "stcode").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    spans = i.plan.groupBy("bu", "stcode").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
     out = tables.spine_per_row(spans, "lo", "hi", "day")
-    return out.select("bu", "stcode", F.lit(1).alias("running"), dates.date_key("day").alias("day"))
+    return out.groupBy("bu", F.date_format("day", "yyyyMM").alias("month")).agg(F.count(F.lit(1)).alias("days"))

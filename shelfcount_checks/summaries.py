@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcount.functions import text
-from shelfcount.operators import maintain, missrate, overlay, ranking, stock, variance
+from shelfcount.operators import clean, maintain, missrate, overlay, ranking, stock, variance
 from shelfcount.plans import analysis, checklist, masters, soh, uploads
 from shelfcount.policy import SOH_POLICIES, TYPES_NOT_REPORTED
 
@@ -128,7 +128,8 @@ def first_week_seed(i: Inputs):
 
 @check("SELECT scan_id, sku FROM v_scan WHERE scan_id > (SELECT max(id) FROM v_edit WHERE id < 5000)")
 def high_water(i: Inputs):
-    return stock.high_water(i.scan, i.edit.filter("id < 5000"), "scan_id").select("scan_id", "sku")
+    stored = i.edit.filter("id < 5000").withColumnRenamed("id", "scan_id")
+    return stock.high_water(i.scan, stored, "scan_id").select("scan_id", "sku")
 
 
 @check("""SELECT p.prefix, coalesce(lpad(CAST(top + 1 AS VARCHAR), 3, '0'), '001') AS next_run FROM
@@ -274,9 +275,7 @@ def first_final(i: Inputs):
        + FIRST_FINAL.format(keys="stcode, cntdate, batch, sku", a="VAR", rows="v_var WHERE left(batch, 1) = 'A'")
        + ") GROUP BY 1, 2")
 def missrate_simple(i: Inputs):
-    from shelfcount.operators.clean import not_prefixed
-
-    return missrate.missrate_simple(not_prefixed(i.var, "batch", ["D", "R"]), "OFM", "batch")
+    return missrate.missrate_simple(clean.not_prefixed(i.var, "batch", ["D", "R"]), "OFM", "batch")
 
 
 COUNTED = "(SELECT 'BU' AS bu, stcode, cntdate, sku, replace(rpname, 'VAR', 'STK') AS rpname, qty_count FROM v_var)"
