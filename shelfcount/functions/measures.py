@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import _col
 
-MONEY = "decimal(28,4)"
+MONEY = "decimal(18,4)"
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
@@ -29,6 +30,15 @@ def money(c: Column | str) -> Column:
     return _col(c).cast(MONEY)
 
 
+def exact(df: DataFrame, c: Column | str) -> Column:
+    """The value itself when its type adds exactly, else as a decimal.
+
+    Types are left as narrow as they come: up to 18 digits Spark computes on plain longs.
+    """
+    dtype = df.select(_col(c)).schema[0].dataType
+    return _col(c) if isinstance(dtype, (T.DecimalType, T.IntegralType)) else money(c)
+
+
 def as_double(c: Column) -> Column:
     return c.cast("double")
 

@@ -1,7 +1,9 @@
 """Gates: semi and anti joins, and whole-file checks.
 
-No broadcast is forced: a small side is broadcast by Spark from its measured size, a large
-one is shuffled, and AQE splits a skewed left side.
+The checked side is often a row-level table of which only the key groups matter, so its keys
+are made distinct first: every task reduces its part before anything is shuffled. No broadcast
+is forced: Spark broadcasts a side by its measured size, shuffles a large one, and AQE splits a
+skewed left side.
 """
 
 from __future__ import annotations
@@ -12,30 +14,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _semi(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.join(distinct_keys(other, keys), list(keys), "left_semi")
+
+
+def _anti(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.join(distinct_keys(other, keys), list(keys), "left_anti")
+
+
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.select(*keys).distinct()
+
+
 def planned_only(df: DataFrame, plan: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with at least one plan row; duplicate plan rows do not multiply them."""
-    return df.join(plan, list(keys), "left_semi")
+    return _semi(df, plan, keys)
 
 
 def not_loaded(df: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key group is not in the target yet."""
-    return df.join(loaded, list(keys), "left_anti")
+    return _anti(df, loaded, keys)
 
 
 def anti_join(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` without a partner, by any number of key columns."""
-    return df.join(other, list(keys), "left_anti")
+    return _anti(df, other, keys)
 
 
 def unreported(plan: DataFrame, result: DataFrame, keys: Sequence[str] = ("stcode", "cntdate")) -> DataFrame:
     """Planned visits without any result."""
-    return plan.join(result, list(keys), "left_anti")
+    return _anti(plan, result, keys)
 
 
 def exclude_blocked_sku(
     df: DataFrame, block: DataFrame, keys: Sequence[str] = ("bu", "stcode", "cntdate", "sku")
 ) -> DataFrame:
-    return df.join(block, list(keys), "left_anti")
+    return _anti(df, block, keys)
 
 
 def exclude_blocked_vendor(
@@ -60,8 +74,7 @@ def exists_gate(df: DataFrame, plan: DataFrame, loaded: DataFrame, file_keys: Se
 
 
 def _reject(df: DataFrame, file_col: str, bad: Column) -> DataFrame:
-    bad_files = df.filter(F.coalesce(bad, F.lit(True))).select(file_col)
-    return df.join(bad_files, file_col, "left_anti")
+    return _anti(df, df.filter(F.coalesce(bad, F.lit(True))), [file_col])
 
 
 def matches_filename(df: DataFrame, file_col: str, value: Column, expected: Column) -> DataFrame:
@@ -86,18 +99,13 @@ def reject_if_all_unknown(
     df: DataFrame, file_col: str, col: str = "skutype", unknown: str = "Unknown"
 ) -> DataFrame:
     """Reject files in which no row has a known value."""
-    known = df.filter(F.col(col) != unknown).select(file_col)
-    return df.join(known, file_col, "left_semi")
-
-
-def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys).distinct()
+    return _semi(df, df.filter(F.col(col) != unknown), [file_col])
 
 
 def rejects_summary(df: DataFrame, other: DataFrame, keys: Sequence[str], group: Sequence[str], matched: bool) -> DataFrame:
     """Sizes of the groups that have (``matched``) or lack a partner in ``other``."""
-    how = "left_semi" if matched else "left_anti"
-    return df.join(other, list(keys), how).groupBy(*group).agg(F.count(F.lit(1)).alias("counts"))
+    gate = _semi if matched else _anti
+    return gate(df, other, keys).groupBy(*group).agg(F.count(F.lit(1)).alias("counts"))
 
 
 def upload_gate(

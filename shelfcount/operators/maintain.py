@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .gates import anti_join
+
 
 def append(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return target.unionByName(incoming, allowMissingColumns=True)
@@ -19,7 +21,7 @@ def append(target: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def replace_keys(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the incoming keys are replaced."""
-    return append(target.join(incoming, list(keys), "left_anti"), incoming)
+    return append(anti_join(target, incoming, keys), incoming)
 
 
 def replace_range(target: DataFrame, incoming: DataFrame, col: str, lo: object, hi: object) -> DataFrame:
@@ -45,10 +47,9 @@ def insert_new_or_reload(
 
     ``check_keys`` tell seen from unseen, ``delete_keys`` name the rows a reload replaces.
     """
-    unseen = incoming.join(target, list(check_keys), "left_anti")
-    with_new = unseen.select(batch).distinct()
-    reload = incoming.join(with_new, batch, "left_anti")
-    kept = target.join(reload, list(delete_keys), "left_anti")
+    unseen = anti_join(incoming, target, check_keys)
+    reload = anti_join(incoming, unseen, [batch])
+    kept = anti_join(target, reload, delete_keys)
     return kept.unionByName(unseen.drop(batch), allowMissingColumns=True).unionByName(
         reload.drop(batch), allowMissingColumns=True
     )
@@ -56,7 +57,7 @@ def insert_new_or_reload(
 
 def rows_to_archive(source: DataFrame, archive: DataFrame, keys: Sequence[str], col: str, lo: str, hi: str) -> DataFrame:
     """Rows of the range whose key group the archive lacks."""
-    return source.filter(F.col(col).between(lo, hi)).join(archive, list(keys), "left_anti")
+    return anti_join(source.filter(F.col(col).between(lo, hi)), archive, keys)
 
 
 def archive_new(
@@ -98,7 +99,7 @@ def upsert_header(header: DataFrame, row: DataFrame, key: str = "id") -> DataFra
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return append(target, incoming.dropDuplicates(list(keys)).join(target, list(keys), "left_anti"))
+    return append(target, anti_join(incoming.dropDuplicates(list(keys)), target, keys))
 
 
 # Decisions of a stocktake registration.

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import as_double, money
+from ..functions.measures import as_double, exact
 from .gates import exclude_blocked_sku
 
 
@@ -15,7 +15,7 @@ def first_final(
     df: DataFrame, keys: Sequence[str], first: str = "VAR1", final: str = "VAR2", qty: str = "qty_count"
 ) -> DataFrame:
     """Quantities of the first and the final report side by side."""
-    value = money(qty)
+    value = exact(df, qty)
 
     def of(report: str) -> Column:
         return F.sum(F.when(F.col("rpname") == report, value).otherwise(F.lit(0)))
@@ -45,7 +45,7 @@ def missrate_reconciled(stk: DataFrame, block: DataFrame, reconcile: DataFrame,
     """Blocked SKUs left out; where the final count is higher, reconciled quantity counts as found."""
     keys = ["bu", "stcode", "cntdate", "sku"]
     lines = first_final(exclude_blocked_sku(stk, block, keys), keys, "STK1", "STK2", qty)
-    found = reconcile.groupBy(*keys).agg(F.sum(money(qty)).alias("rec"))
+    found = reconcile.groupBy(*keys).agg(F.sum(exact(reconcile, qty)).alias("rec"))
     zero = F.lit(0)
     first, final, rec = (F.coalesce(F.col(c), zero) for c in ("first", "final", "rec"))
     miss = F.when(first < final, F.abs(first + rec - final)).otherwise(F.abs(first - final))

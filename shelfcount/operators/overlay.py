@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import as_double, money
+from ..functions.measures import as_double, exact
 from .joins import barcode_lookup
 from .ranking import latest_per_group
 
@@ -48,17 +48,17 @@ def overlay_edits(
 
 def overlay_totals(lines: DataFrame) -> DataFrame:
     """Quantity and amount per stocktake, store, date and item."""
-    amount = F.col("qnt") * F.col("price")
+    amount = exact(lines, F.col("qnt") * F.col("price"))
     return lines.groupBy("stocktakeid", "stcode", "cntdate", "sku").agg(
-        as_double(F.sum(money("qnt"))).alias("qnt"), as_double(F.sum(amount)).alias("amount")
+        as_double(F.sum(exact(lines, "qnt"))).alias("qnt"), as_double(F.sum(amount)).alias("amount")
     )
 
 
 def overlay_store_totals(lines: DataFrame) -> DataFrame:
     """Items, quantity and amount per store and date, in the shape of the store report."""
-    amount = F.col("qnt") * F.col("price")
+    amount = exact(lines, F.col("qnt") * F.col("price"))
     items = lines.filter(F.col("stcode").isNotNull()).groupBy("stocktakeid", "stcode", "cntdate", "sku").agg(
-        F.sum(money("qnt")).alias("qnt"), F.sum(amount).alias("amount")
+        F.sum(exact(lines, "qnt")).alias("qnt"), F.sum(amount).alias("amount")
     )
     return items.groupBy("stcode", "cntdate").agg(
         F.lit("STK2").alias("rpname"),

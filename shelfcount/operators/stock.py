@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dates, text
-from ..functions.measures import as_double, money
+from ..functions.measures import MONEY, as_double, exact
 from ..policy import SohPolicy
-from .gates import exclude_blocked_vendor
+from .gates import anti_join, distinct_keys, exclude_blocked_vendor, planned_only
 from .ranking import keep_first
 
 
@@ -21,8 +21,7 @@ def sum_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     def total(name: str) -> Column:
         dtype = df.schema[name].dataType
-        value = F.col(name) if isinstance(dtype, (T.IntegralType, T.DecimalType)) else money(name)
-        summed = F.coalesce(F.sum(value), F.lit(0))
+        summed = F.coalesce(F.sum(exact(df, name)), F.lit(0))
         return (summed if isinstance(dtype, T.IntegralType) else as_double(summed)).alias(name)
 
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(*[total(c) for c in numeric])
@@ -44,7 +43,7 @@ def intake_record(
         F.lit(bu).alias("bu"),
         date.alias("as_date"),
         F.col(store).alias("stcode"),
-        money(value).alias("__v"),
+        exact(df, value).alias("__v"),
         F.col(sku).alias("__s"),
     ).dropna(subset=["as_date", "stcode"])
     return keyed.groupBy("bu", "as_date", "stcode").agg(
@@ -71,16 +70,16 @@ def soh_snapshot(df: DataFrame, policy: SohPolicy, block: DataFrame | None = Non
     if policy.blocks_vendors and block is not None:
         rows = exclude_blocked_vendor(rows, block, policy.vendor, policy.sub_dept)
 
-    amount = money(policy.value)
+    amount = exact(rows, policy.value)
     if policy.kind is None or (policy.kind not in df.columns and policy.kind_if_missing):
         kind = F.lit(policy.kind_if_missing).cast("string")
     else:
         kind = F.col(policy.kind)
 
     def part(code: str | None) -> Column:
-        zero = F.lit(0).cast("decimal(28,4)")
+        zero = F.lit(0)
         if code is None:
-            return zero
+            return zero.cast(MONEY)
         if code == "*":
             return amount
         return F.when(kind == code, amount).otherwise(zero)
@@ -109,14 +108,14 @@ def carry_forward(soh: DataFrame, plan: DataFrame, floor: str, day: str) -> Data
     recent = soh.filter(F.col("DATE") >= floor)
     latest = keep_first(recent, keys, [F.col("DATE").desc()])
     planned = plan.filter(F.col("branch").isNotNull())
-    return latest.join(planned, ["bu", "stcode"], "left_semi").select(
+    return planned_only(latest, planned, ["bu", "stcode"]).select(
         *keys, F.lit(day).alias("DATE"), *[c for c in soh.columns if c not in [*keys, "DATE"]]
     )
 
 
 def snapshot_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys present in ``a`` and absent in ``b``."""
-    return a.select(*keys).distinct().join(b, list(keys), "left_anti")
+    return anti_join(distinct_keys(a, keys), b, keys)
 
 
 def high_water(df: DataFrame, target: DataFrame, id_col: str) -> DataFrame:

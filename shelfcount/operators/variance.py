@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import as_double, money, negative_part, positive_part, ratio
+from ..functions.measures import as_double, exact, negative_part, positive_part, ratio
 
 
 def _sum(c: Column, name: str) -> Column:
@@ -16,9 +16,9 @@ def _sum(c: Column, name: str) -> Column:
 
 def variance_kpi(stk: DataFrame, keys: Sequence[str], ext: str = "extcst_var") -> DataFrame:
     """Book value, gain, loss, net, absolute variance and accuracy per key."""
-    value = money(ext)
+    value = exact(stk, ext)
     sums = stk.groupBy(*keys).agg(
-        F.sum(F.col("soh") * F.col("cost")).alias("__soh"),
+        F.sum(exact(stk, F.col("soh") * F.col("cost"))).alias("__soh"),
         F.sum(positive_part(value)).alias("__gain"),
         F.sum(negative_part(value)).alias("__loss"),
         F.sum(value).alias("__net"),
@@ -38,7 +38,7 @@ def variance_kpi(stk: DataFrame, keys: Sequence[str], ext: str = "extcst_var") -
 def sales_by_type(sales: DataFrame) -> DataFrame:
     """Sales per store, date and SKU type: the two amount columns become two rows."""
     sums = sales.groupBy(F.col("mdstor").alias("stcode"), "cntdate").agg(
-        F.sum(money("credit")).alias("Credit"), F.sum(money("consignment")).alias("Consign")
+        F.sum(exact(sales, "credit")).alias("Credit"), F.sum(exact(sales, "consignment")).alias("Consign")
     )
     return sums.unpivot(["stcode", "cntdate"], ["Credit", "Consign"], "skutype", "amount").withColumn(
         "amount", as_double(F.col("amount"))
@@ -89,7 +89,7 @@ def _report_measures() -> list[Column]:
 
 def _exact(stk: DataFrame) -> DataFrame:
     names = ["stock", "qnt", "variance", "qnt_retail", "qnt_cost", "var_retail", "var_cost"]
-    return stk.withColumns({c: money(c) for c in names})
+    return stk.withColumns({c: exact(stk, c) for c in names})
 
 
 def store_report(stk: DataFrame, keys: Sequence[str] = ("stcode", "cntdate", "rpname", "skutype")) -> DataFrame:

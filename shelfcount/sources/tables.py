@@ -17,6 +17,23 @@ def scan_query(
     return spark.sql(query, args=dict(params or {}))
 
 
+FEW_SPLITS = 32
+
+
+def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
+    """Parquet table; a scan of very few splits is spread over the cores by ``spread_by``.
+
+    One file with one row group is one task, however many cores wait. Only scans of fewer
+    splits than cores, and of fewer than ``FEW_SPLITS``, are spread, so a large table is never
+    shuffled for this.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and df.rdd.getNumPartitions() < min(cores, FEW_SPLITS):
+        return df.repartition(cores, spread_by)
+    return df
+
+
 def scan_jdbc(
     spark: SparkSession,
     options: Mapping[str, str],

@@ -7,14 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import money
+from ..functions.measures import exact
 from ..operators.ranking import keep_first
 from .intake import BATCH, _write_batch
 
 
 def scan_totals(scans: DataFrame, keys: Sequence[str] = ("stocktakeid", "location", "sku")) -> DataFrame:
     """Quantity and line count per stocktake, location and item."""
-    return scans.groupBy(*keys).agg(F.sum(money("qty")).alias("qty"), F.count(F.lit(1)).alias("lines"))
+    return scans.groupBy(*keys).agg(F.sum(exact(scans, "qty")).alias("qty"), F.count(F.lit(1)).alias("lines"))
 
 
 def latest_quantity(changes: DataFrame, key: str = "scan_id", order: str = "modified") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -58,7 +59,9 @@ def main(folder: str, names: list[str]) -> int:
     from shelfcount.session import build_session
     from shelfcount_checks.catalog import ORACLES, QUERIES
 
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
+    settings.update(pair.split("=", 1) for pair in os.environ.get("COMPARE_CONF", "").split() if pair)
+    spark = build_session("compare", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     failed = 0
@@ -68,6 +71,8 @@ def main(folder: str, names: list[str]) -> int:
         start = time.time()
         try:
             df = query(spark, folder)
+            if os.environ.get("COMPARE_ROWS"):
+                print(f"{con.execute(f'SELECT count(*) FROM ({ORACLES[name]})').fetchone()[0] if name in ORACLES else '?':>9} rows", end=" ")
             if name in ORACLES:
                 problem = difference(df, con, ORACLES[name])
             else:

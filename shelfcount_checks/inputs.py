@@ -9,12 +9,20 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-QTY = "decimal(18,3)"
-PRICE = "decimal(18,2)"
+from shelfcount.sources.tables import read_table
+
+# Narrow enough for products of both to stay within 18 digits.
+QTY = "decimal(8,3)"
+PRICE = "decimal(9,2)"
+SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 def month(c: str):
-    return F.concat(F.date_format(c, "yyyyMM"), F.lit("01"))
+    return (F.year(c) * 10000 + F.month(c) * 100 + 1).cast("string")
+
+
+def day(c: str):
+    return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("string")
 
 
 def text_of(c: str):
@@ -28,7 +36,7 @@ class Inputs:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return read_table(self.spark, f"{self.folder}/{name}.parquet", SPREAD.get(name))
 
     @cached_property
     def plan(self) -> DataFrame:
@@ -39,7 +47,7 @@ class Inputs:
         return joined.select(
             F.concat(F.lit("BU"), (F.col("c_nationkey") % 3).cast("string")).alias("bu"),
             text_of("o_custkey").alias("stcode"),
-            F.date_format("o_orderdate", "yyyyMMdd").alias("cntdate"),
+            day("o_orderdate").alias("cntdate"),
             atype.otherwise("4V").alias("atype"),
             F.col("o_orderpriority").alias("type1"),
             F.col("c_mktsegment").alias("branch"),
@@ -69,7 +77,7 @@ class Inputs:
     @cached_property
     def valued(self) -> DataFrame:
         """Report lines with the variance valued at cost."""
-        return self.stk.withColumn("extcst_var", (F.col("qty_var") * F.col("cost")).cast("decimal(28,4)"))
+        return self.stk.withColumn("extcst_var", F.col("qty_var") * F.col("cost"))
 
     @cached_property
     def book(self) -> DataFrame:
@@ -176,7 +184,7 @@ class Inputs:
         return self.table("orders").select(
             F.col("o_orderkey").alias("id"),
             text_of("o_custkey").alias("stcode"),
-            F.date_format("o_orderdate", "yyyyMMdd").alias("cntdate"),
+            day("o_orderdate").alias("cntdate"),
             (F.col("o_orderkey") % 6).alias("q01"),
             (F.col("o_custkey") % 6).alias("q02"),
             F.when(F.col("o_orderkey") % 7 != 0, both).alias("q03"),

@@ -114,9 +114,10 @@ def year_start(i: Inputs):
     return soh.year_start(snap(i), i.plan, "19980701", "20020101")
 
 
-@check(f"""SELECT DISTINCT code, stcode FROM {SNAP} a WHERE NOT EXISTS (SELECT 1 FROM v_plan p WHERE p.stcode = a.stcode)""")
+@check("""SELECT DISTINCT stcode, as_date AS cntdate FROM v_soh a WHERE NOT EXISTS (SELECT 1 FROM v_planm p WHERE p.stcode = a.stcode
+    AND p.cntdate = a.as_date)""")
 def snapshot_diff(i: Inputs):
-    return stock.snapshot_diff(snap(i), i.plan, ["stcode"]).join(snap(i).select("stcode", "code").distinct(), "stcode")
+    return stock.snapshot_diff(i.soh.withColumnRenamed("as_date", "cntdate"), i.planm, ["stcode", "cntdate"])
 
 
 @check("""SELECT bu || stcode AS code, bu, substring(bu || stcode, 4) AS stcode, '20260101' AS "DATE", 0 AS food_credit, 0 AS nonfood_consign,
