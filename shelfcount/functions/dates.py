@@ -21,7 +21,7 @@ def date_key(c: Column | str, fmt: str | None = None) -> Column:
 
 def weekday_date(c: Column | str, month_first: Column | bool = False) -> Column:
     """``Monday 01/06/2026``: the weekday name is dropped, the rest read day or month first."""
-    rest = F.regexp_extract(_col(c), r"^\s*[A-Za-z]+\s+(\S+)\s*$", 1)
+    rest = F.regexp_extract(_col(c), r"(?i)^\s*(?:mon|tues|wednes|thurs|fri|satur|sun)day\s+(\S+)\s*$", 1)
     day_first_value = F.try_to_date(rest, "d/M/yyyy")
     month_first_value = F.try_to_date(rest, "M/d/yyyy")
     if isinstance(month_first, bool):

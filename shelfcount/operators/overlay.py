@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import date_key
 from ..functions.measures import as_double, exact
+from .clean import prefixed
 from .joins import barcode_lookup
 from .ranking import latest_per_group
 
 PLACE = ["stocktakeid", "location", "seq"]
 
 
+def scan_lines(raw: DataFrame, prefix: str) -> DataFrame:
+    """Scan lines of the stocktakes with the prefix; the item number sits inside the scanned code."""
+    return prefixed(raw, "stocktakeid", prefix).withColumn("sku", F.substring("sku", 6, 8))
+
+
+def dated_master(master: DataFrame, date: str = "sdate") -> DataFrame:
+    """Package master with its ``dd/mm/yyyy`` date as the count date."""
+    return master.withColumn("cntdate", date_key(date, "dd/MM/yyyy"))
+
+
 def latest_edits(edits: DataFrame, master: DataFrame) -> DataFrame:
     """Newest edit per place, barcode and item; edits of unknown barcodes drop out."""
     found = edits.join(barcode_lookup(master, ["stocktakeid"]), ["stocktakeid", "barcode"], "inner")
@@ -19,17 +33,21 @@ def latest_edits(edits: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def overlay_edits(
-    scans: DataFrame, edits: DataFrame, master: DataFrame, known_only: bool = False
+    scans: DataFrame,
+    edits: DataFrame,
+    master: DataFrame,
+    known_only: bool = False,
+    details: Sequence[str] = (),
 ) -> DataFrame:
     """Scan lines with the edited quantity where there is one, plus edits without a scan.
 
     scans(stocktakeid, location, seq, sku, qnt), edits(id, stocktakeid, location, seq, barcode,
     qnt), master(stocktakeid, sku, barcode, price, stcode, cntdate). ``known_only`` also drops
-    scans whose item has no store in the master.
+    scans whose item has no store in the master; ``details`` are further master columns to show.
     """
     edited = latest_edits(edits, master)
-    items = master.select("stocktakeid", "sku", "price", "stcode", "cntdate")
-    out = [*PLACE, "sku", "qnt", "price", "stcode", "cntdate"]
+    items = master.select("stocktakeid", "sku", "price", "stcode", "cntdate", *details)
+    out = [*PLACE, "sku", "qnt", "price", "stcode", "cntdate", *details]
     lines = (
         scans.join(edited.withColumnRenamed("qnt", "__edit"), [*PLACE, "sku"], "left")
         .join(items, ["stocktakeid", "sku"], "left")
@@ -46,10 +64,10 @@ def overlay_edits(
     return lines.unionByName(added)
 
 
-def overlay_totals(lines: DataFrame) -> DataFrame:
-    """Quantity and amount per stocktake, store, date and item."""
+def overlay_totals(lines: DataFrame, details: Sequence[str] = ()) -> DataFrame:
+    """Quantity and amount per stocktake, store, date and item (and its ``details``)."""
     amount = exact(lines, F.col("qnt") * F.col("price"))
-    return lines.groupBy("stocktakeid", "stcode", "cntdate", "sku").agg(
+    return lines.groupBy("stocktakeid", "stcode", "cntdate", "sku", *details).agg(
         as_double(F.sum(exact(lines, "qnt"))).alias("qnt"), as_double(F.sum(amount)).alias("amount")
     )
 

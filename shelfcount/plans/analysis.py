@@ -40,14 +40,20 @@ def count_reports(stk: DataFrame, overlay_lines: DataFrame, plan: DataFrame) ->
 
 
 def overlay_count(
-    scans: DataFrame, edits: DataFrame, master: DataFrame, plan: DataFrame, loaded: DataFrame
+    scans: DataFrame,
+    edits: DataFrame,
+    master: DataFrame,
+    plan: DataFrame,
+    loaded: DataFrame,
+    details: Sequence[str] = (),
 ) -> DataFrame:
     """Report lines of counts by scan: planned stores, stocktakes not loaded yet."""
-    lines = overlay.overlay_edits(scans, edits, master, known_only=True)
+    lines = overlay.overlay_edits(scans, edits, master, known_only=True, details=details)
     lines = gates.planned_only(lines, plan, ["stcode", "cntdate"])
     lines = gates.not_loaded(lines, loaded, ["stocktakeid"])
-    totals = overlay.overlay_totals(lines).withColumnRenamed("amount", "qnt_retail")
-    return clean.with_constants(totals, skutype="Credit", rpname="STK2", dept="All", sub_dept="All")
+    totals = overlay.overlay_totals(lines, details)
+    named = clean.rename_map(totals, {"amount": "qnt_retail", "description": "product_name"})
+    return clean.with_constants(named, skutype="Credit", rpname="STK2", dept="All", sub_dept="All")
 
 
 def append_unseen_missrate(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -23,6 +23,8 @@ SPREADSHEETS = (".xlsx", ".xls")
 def upload_inbox(forms: DataFrame, report: str, since: Column, order: Sequence[str] = ("id",)) -> DataFrame:
     """Canonical file names of the uploads of one report column since a moment.
 
+    ``unique_filename`` numbers repeats only, ``target`` (folder and name) every file.
+
     ``forms(id, bu, stcode, cntdate, start, <report>)``; the report column holds JSON. Repeated
     names are numbered after the extension filter.
     """
@@ -36,7 +38,13 @@ def upload_inbox(forms: DataFrame, report: str, since: Column, order: Sequence[s
     parts = [F.lit(report.upper()), F.col("bu"), F.col("stcode"), day]
     named = sheets.withColumn("base_filename", text.build_name(parts, None, "file_type"))
     numbered = occurrence(named, ["base_filename"], [*order, "original_filename"])
-    return numbered.withColumn("unique_filename", text.build_name(parts, "dup_count", "file_type"))
+    stored = text.build_name([*parts, F.col("dup_count").cast("string")], None, "file_type")
+    return numbered.withColumns(
+        {
+            "unique_filename": text.build_name(parts, "dup_count", "file_type"),
+            "target": F.concat("bu", F.lit("/"), stored),
+        }
+    )
 
 
 def approved_inbox(approved: DataFrame, prefix: str = "Missrate") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "shelfcount", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with AQE on, UTC, and Java charsets allowed so that Thai code pages can be read."""
+    """A session with adaptive execution and skew handling on, in UTC."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -18,8 +18,6 @@ def build_session(app: str = "shelfcount", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.legacy.javaCharsets": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
     }
     settings.update(conf)

@@ -11,16 +11,17 @@ from collections.abc import Sequence
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcount.operators import clean
-from shelfcount.plans import reports, soh, staffing, uploads
+from shelfcount.plans import masters, reports, soh, staffing, uploads
 from shelfcount.policy import SOH_POLICIES
 from shelfcount.session import scratch_path
 from shelfcount.sources import delimited, sinks, workbook
 
 from .inputs import Inputs, check, text_of
+from .summaries import item_master
 
 LATIN = {"encoding": "ISO-8859-1"}
 
@@ -149,11 +150,13 @@ def books(
     top: Sequence[Sequence] = (),
     order: Sequence[str] = (),
     hidden: Sequence[str] = (),
+    named: str = "{file}_{part}",
 ) -> DataFrame:
     """(file, content): workbooks holding the rows of ``df``, made by tasks and stored as a table.
 
-    A ``file`` with many rows becomes several books of about ``BOOK_LINES`` lines, numbered in
-    their names, so that no book grows with the data. With an ``order`` the file is one book.
+    A ``file`` with many rows becomes several books of about ``BOOK_LINES`` lines, so that no
+    book grows with the data; ``named`` says where the number of the book goes in its name.
+    Rows with an ``order`` are not divided: their ``file`` must bound them already.
     """
     ship(i)
     names = [c for c in df.columns if c != file]
@@ -169,7 +172,7 @@ def books(
         pdf = pdf.sort_values(list(order)) if order else pdf
         cells = pdf[shown].astype(object)
         rows = cells.where(cells.notna(), None).values.tolist()
-        name = f"{key[0]}_{key[1]}.xlsx" if not order else f"{key[0]}.xlsx"
+        name = named.format(file=key[0], part=key[1]) + ".xlsx"
         return pd.DataFrame({"file": [name], "content": [_xlsx({sheet: [*above, list(header), *rows]})]})
 
     path = scratch_path(i.spark, "books")
@@ -258,16 +261,16 @@ COUNTS = f"(SELECT DISTINCT lpad(stcode, 5, '0') AS stcode, cntdate, sku, skutyp
     UNION ALL SELECT *, 'old' FROM {COUNTS} WHERE stcode IN ('00003', '00005') AND prtype = 'Credit') x
     WHERE NOT (version = 'new' AND stcode = '00005' AND prtype = 'Credit') GROUP BY 1, 2, 3""")
 def report_reload(i: Inputs):
-    # District 3 has a foreign row in every book, so its books are rejected; district 5 holds its
-    # Credit rows already, so only Consign is added; the others are new.
+    # District 3 has foreign rows in its books, so they are rejected; district 5 holds its Credit
+    # rows already, so only Consign is added; the others are new.
     store = F.lpad("stcode", 5, "0")
-    wrong = (F.col("stcode") == "3") & (F.col("sku") == F.col("least"))
-    base = booked(i, "VAR1").withColumn("least", F.min("sku").over(Window.partitionBy("file", "skutype")))
+    wrong = (F.col("stcode") == "3") & F.col("sku").endswith("1")
+    base = booked(i, "VAR1")
     cntnum = F.concat(F.when(wrong, "99999").otherwise(store), F.lit("F"))
     lines = base.select(
         F.concat_ws("_", F.lit("VAR1"), F.lit("BU"), store, "cntdate").alias("file"), cntnum.alias("cntnum"), F.col("sku").alias("skcode"), F.col("skutype").alias("prtype")
     ).distinct()
-    files = books(i, lines, "file", ["cntnum", "skcode", "prtype"], order=["skcode", "prtype"])
+    files = books(i, lines, "file", ["cntnum", "skcode", "prtype"])
     raw = workbook.read_workbooks(files, ["cntnum", "skcode", "prtype"], usecols="A:AD")
     held = by_district(i.stk).filter("stcode IN ('3', '5') AND skutype = 'Credit'").select(
         F.lit("BU").alias("bu"), store.alias("stcode"), "cntdate", F.col("sku").alias("skcode"), F.col("skutype").alias("prtype"),
@@ -322,11 +325,10 @@ APPROVED = f"""SELECT DISTINCT stcode, cntdate, sku AS barcode, CAST(soh AS DOUB
     AND NOT EXISTS (SELECT 1 FROM {BOOKED} x WHERE x.stcode = '6' AND x.stcode = s.stcode AND x.cntdate = s.cntdate AND x.sku LIKE '%0')"""
 
 
-@check(APPROVED)
-def approved_rows(i: Inputs):
+def approved_files(i: Inputs) -> DataFrame:
     who = F.when(F.col("skutype") == "Credit", " ajis ").otherwise("Pst")
     cause = F.when(~((F.col("stcode") == "6") & F.col("sku").endswith("0")), "lost")
-    file = F.concat_ws("_", F.lit("Missrate"), F.lit("BU"), "stcode", "cntdate")
+    file = F.concat_ws("_", F.lit("BU"), "stcode", "cntdate")
     empty = F.lit(None).cast("string")
     cells = booked(i).select(
         file.alias("file"), F.lit("G").alias("group"), F.left("sku", F.lit(2)).alias("department"), "sku", F.lit("n").alias("name"),
@@ -335,21 +337,37 @@ def approved_rows(i: Inputs):
     header = ["Group", "Department", "Barcode", "Name", "Count", "Add/Edit", "Scan Error", "PST/Store", "Remark (Root Cause)", "Note"]
     pad = [None] * 11
     top = [["Summary"], [*pad, "PST", "AJIS"], [*pad, 10, 20], [*pad, 11, 21], [*pad, 12, None], []]
-    files = books(i, cells, "file", header, "Summary", top=top, order=["sku", "count", "who"])
-    out = uploads.approved_rows(files, planned(i))
+    return books(i, cells, "file", header, "Summary", top=top, named="Missrate{part}_{file}")
+
+
+@check(APPROVED)
+def approved_rows(i: Inputs):
+    out = uploads.approved_rows(approved_files(i), planned(i))
     return out.select(
         "stcode", "cntdate", "barcode", F.col("count"), F.col("`pst/store`").alias("who"), F.col("`all scan-pst`").alias("scan_own"),
         F.col("`qty weight-outsource`").alias("qty_other"), F.col("`sku weright-outsource`").alias("sku_other"),
     ).distinct()
 
 
+@check(f"""SELECT stcode, cntdate, count(DISTINCT barcode) AS items, 'new' AS version FROM ({APPROVED}) GROUP BY 1, 2 UNION ALL
+    SELECT stcode, cntdate, 1, 'old' FROM (SELECT DISTINCT {DISTRICT} AS stcode, {YEAR} AS cntdate FROM v_planm) o
+    WHERE NOT EXISTS (SELECT 1 FROM ({APPROVED}) a WHERE a.stcode = o.stcode AND a.cntdate = o.cntdate)""")
+def import_approved(i: Inputs):
+    held = by_district(i.planm).distinct().withColumns({"barcode": F.lit("x"), "version": F.lit("old")})
+    out = uploads.import_approved(approved_files(i), planned(i), held)
+    version = F.coalesce("version", F.lit("new")).alias("version")
+    return out.groupBy("stcode", "cntdate", version).agg(F.count_distinct("barcode").alias("items"))
+
+
 @check("""SELECT DISTINCT 'E' || CAST(conv_id AS VARCHAR) AS employee_id, 'Leave' AS time_off_type, strftime(DATE '2024-01-01' + CAST(turn AS INTEGER), '%Y-%m-%d') AS time_off_date
     FROM conversations WHERE conv_id % 4 <> 0""")
 def time_off_books(i: Inputs):
     day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("turn").cast("int"))
-    first = F.col("turn") == 0
+    # Twenty people to a book, a thousand lines of each: no book grows with the data.
+    first = F.col("turn") % 1000 == 0
+    book = F.concat_ws("_", F.floor(F.col("conv_id") / 20).cast("string"), F.floor(F.col("turn") / 1000).cast("string"))
     rows = i.table("conversations").select(
-        F.concat(F.lit("off"), F.floor(F.col("conv_id") / 20).cast("string")).alias("file"),
+        F.concat(F.lit("off"), book).alias("file"),
         F.when(first, "N").alias("n"),
         F.when(first, F.concat(F.lit("E"), text_of("conv_id"))).alias("e"),
         F.lit("Leave ").alias("t"),
@@ -358,7 +376,7 @@ def time_off_books(i: Inputs):
         "turn",
     )
     header = ["Employee Name", "Employee ID", "Time Off Type", "Time Off Date", "Value"]
-    files = books(i, rows, "file", header, top=[*[["x"]] * 6, ["unused", "names"]], order=["conv_id", "turn"], hidden=["conv_id", "turn"])
+    files = books(i, rows, "file", header, top=[*[["x"]] * 6, ["unused", "names"]], order=["conv_id", "turn"], hidden=["conv_id", "turn"], named="{file}")
     raw = workbook.read_workbooks(files, list(staffing.TIME_OFF_NAMES), sheet="Sheet1", usecols="A:AA", skip_rows=6, promote=1)
     stored = i.table("conversations").filter("conv_id % 4 = 0").select(
         F.concat(F.lit("E"), text_of("conv_id")).alias("employee_id"), F.date_format(day, "yyyy-MM-dd").alias("time_off_date")
@@ -410,3 +428,13 @@ def append_log(i: Inputs):
     sinks.append_log(i.spark, path, job="stk", record=i.stk.count())
     sinks.append_log(i.spark, path, job="plan", record=i.planm.count())
     return i.spark.read.schema("job string, record long").json(path)
+
+
+@check("""SELECT "stocktakeId", "productName", count(*) AS items FROM (SELECT des AS "productName", unnest(['T1', 'T2']) AS "stocktakeId" FROM v_master
+    WHERE CAST(sku AS BIGINT) % 4 <> 3) GROUP BY 1, 2""")
+def sink_packages(i: Inputs):
+    path = scratch_path(i.spark, "packages")
+    items = item_master(i)
+    for stocktake in ("T1", "T2", "T1"):  # writing a package again replaces it
+        sinks.replace_partitions(masters.package_items(items, stocktakeId=stocktake), path, ["stocktakeId"])
+    return i.spark.read.parquet(path).groupBy("stocktakeId", "productName").agg(F.count(F.lit(1)).alias("items"))

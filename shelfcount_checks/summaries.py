@@ -360,13 +360,13 @@ def overlay_totals(i: Inputs):
     return overlay.overlay_totals(overlay.overlay_edits(*overlay_inputs(i)))
 
 
-@check(f"""SELECT stocktakeid, stcode, cntdate, sku, CAST(sum(qnt) AS DOUBLE) AS qnt, CAST(sum(qnt * price) AS DOUBLE) AS qnt_retail,
+@check(f"""SELECT stocktakeid, stcode, cntdate, sku, '99' || sku AS barcode, CAST(sum(qnt) AS DOUBLE) AS qnt, CAST(sum(qnt * price) AS DOUBLE) AS qnt_retail,
     'Credit' AS skutype, 'STK2' AS rpname, 'All' AS dept, 'All' AS sub_dept FROM ({LINES}) WHERE stcode IN ('1', '2', '4') AND stocktakeid <> 'ST3'
     GROUP BY 1, 2, 3, 4""")
 def overlay_count(i: Inputs):
     stores = i.package.filter(F.col("stcode").isin("1", "2", "4")).select("stcode", "cntdate")
     done = i.package.filter("stocktakeid = 'ST3'").select("stocktakeid")
-    return analysis.overlay_count(*overlay_inputs(i), stores, done)
+    return analysis.overlay_count(*overlay_inputs(i), stores, done, details=["barcode"])
 
 
 STORE_LINES = f"""SELECT stcode, cntdate, 'STK2' AS rpname, 'Credit' AS skutype, count(*) AS sku_count, CAST(sum(q) AS DOUBLE) AS qnt_physical,
@@ -639,13 +639,13 @@ def checklist_extract(i: Inputs):
     return checklist.extract(scored(i), i.plan, "19980101")["checklist"]
 
 
-@check("""SELECT * EXCLUDE (rn), 'STK1_' || bu || '_' || stcode || '_20240105' || CASE WHEN rn > 0 THEN '_' || CAST(rn AS VARCHAR) ELSE '' END || '.xlsx' AS unique_filename
-    FROM (SELECT id, bu, stcode, 'f' || CAST(id % 20 AS VARCHAR) || '.XLSX' AS original_filename, row_number() OVER (PARTITION BY bu, stcode ORDER BY id) - 1 AS rn
+@check("""SELECT * EXCLUDE (rn), 'STK1_' || bu || '_' || stcode || '_20240105' || CASE WHEN rn > 0 THEN '_' || CAST(rn AS VARCHAR) ELSE '' END || '.xlsx' AS unique_filename,
+    bu || '/STK1_' || bu || '_' || stcode || '_20240105_' || CAST(rn AS VARCHAR) || '.xlsx' AS target FROM (SELECT id, bu, stcode, 'f' || CAST(id % 20 AS VARCHAR) || '.XLSX' AS original_filename, row_number() OVER (PARTITION BY bu, stcode ORDER BY id) - 1 AS rn
     FROM v_inbox WHERE id % 13 <> 0 AND start_ts + INTERVAL 7 HOUR >= TIMESTAMP '2024-01-05')""")
 def upload_inbox(i: Inputs):
     forms = i.inbox.select("id", "bu", "stcode", F.lit("2024-01-05").alias("cntdate"), F.col("start_ts").cast("string").alias("start"), "stk1")
     out = uploads.upload_inbox(forms, "STK1", F.lit("2024-01-05").cast("timestamp"))
-    return out.select("id", "bu", "stcode", "original_filename", "unique_filename")
+    return out.select("id", "bu", "stcode", "original_filename", "unique_filename", "target")
 
 
 APPROVED = """SELECT id, 'Rep ' || CAST(id AS VARCHAR) || '.xlsx' AS file, '.xlsx' AS file_type, 'Missrate_' || bu || '_' || stcode || '_20240105.xlsx' AS target FROM v_inbox"""

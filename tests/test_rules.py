@@ -264,3 +264,18 @@ def test_next_run(spark):
     ids = spark.createDataFrame([("AB001",), ("AB010",), ("CD999",)], "id string")
     wanted = spark.createDataFrame([("AB",), ("XX",)], "prefix string")
     assert values(stock.next_run_for(wanted, ids, "id", 2), "prefix", "next_run") == [("AB", "011"), ("XX", "001")]
+
+
+def test_scan_lines_and_dated_master(spark):
+    from shelfcount.operators import overlay
+
+    raw = spark.createDataFrame([("IU1", "0000012345678"), ("XX1", "0000012345678")], "stocktakeid string, sku string")
+    assert values(overlay.scan_lines(raw, "IU"), "stocktakeid", "sku") == [("IU1", "12345678")]
+    master = spark.createDataFrame([("31/12/2025",), ("2025-12-31",)], "sdate string")
+    assert values(overlay.dated_master(master), "cntdate") == [("20251231",), (None,)]
+
+
+def test_mapping_sheet_names(spark):
+    raw = spark.createDataFrame([("q1", "B", "F", "2", "1", "s", "d", "x")], ["Code", "BU", "Zone", "Weight", "No", "Subject", "Desceiption", "SubDescription"])
+    out = checklist.rename_mapping(raw).first().asDict()
+    assert (out["question_code"], out["section"], out["subject"], out["weight"]) == ("q1", "s", "d", 2.0)
