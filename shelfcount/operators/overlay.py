@@ -45,23 +45,20 @@ def overlay_edits(
     qnt), master(stocktakeid, sku, barcode, price, stcode, cntdate). ``known_only`` also drops
     scans whose item has no store in the master; ``details`` are further master columns to show.
     """
-    edited = latest_edits(edits, master)
+    edited = latest_edits(edits, master).withColumnRenamed("qnt", "__edit")
     items = master.select("stocktakeid", "sku", "price", "stcode", "cntdate", *details)
-    out = [*PLACE, "sku", "qnt", "price", "stcode", "cntdate", *details]
-    lines = (
-        scans.join(edited.withColumnRenamed("qnt", "__edit"), [*PLACE, "sku"], "left")
-        .join(items, ["stocktakeid", "sku"], "left")
-        .withColumn("qnt", F.coalesce("__edit", "qnt"))
-        .select(*out)
-    )
+    # One line of one place is one key, so the full join has no large groups.
+    lines = scans.withColumn("__scanned", F.lit(True)).join(edited, [*PLACE, "sku"], "full")
+    scanned = F.col("__scanned").isNotNull()
+    kept = scanned | F.col("price").isNotNull()
     if known_only:
-        lines = lines.filter(F.col("stcode").isNotNull())
-    added = (
-        edited.join(scans, [*PLACE, "sku"], "left_anti")
-        .join(items.filter(F.col("price").isNotNull()), ["stocktakeid", "sku"], "inner")
-        .select(*out)
+        kept = kept & F.col("stcode").isNotNull()
+    counted = F.when(scanned, F.coalesce("__edit", "qnt")).otherwise(F.col("__edit"))
+    return (
+        lines.join(items, ["stocktakeid", "sku"], "left")
+        .filter(kept)
+        .select(*PLACE, "sku", counted.alias("qnt"), "price", "stcode", "cntdate", *details)
     )
-    return lines.unionByName(added)
 
 
 def overlay_totals(lines: DataFrame, details: Sequence[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +58,10 @@ def export_csv(df: DataFrame, path: str, bom: bool = False) -> None:
 def append_log(spark: SparkSession, path: str, **entry: str | int) -> None:
     """One run or error entry added to a log table."""
     spark.createDataFrame([entry]).write.mode("append").json(path)
+
+
+def append_jdbc(df: DataFrame, options: Mapping[str, str], table: str, batch_size: int = 1000) -> None:
+    """Insert into a database table in batches; connection options come from the caller."""
+    df.write.format("jdbc").options(**options).option("dbtable", table).option(
+        "batchsize", batch_size
+    ).mode("append").save()

@@ -9,6 +9,7 @@ from shelfcount.functions import text
 from shelfcount.operators import clean, maintain, missrate, overlay, ranking, stock, variance
 from shelfcount.plans import analysis, checklist, masters, soh, uploads
 from shelfcount.policy import SOH_POLICIES, TYPES_NOT_REPORTED
+from shelfcount.session import scratch_path
 
 from .inputs import Inputs, check, text_of
 
@@ -329,9 +330,12 @@ LINES = f"""SELECT c.stocktakeid, c.location, c.seq, c.sku, coalesce(e.qnt, c.qn
 
 
 def overlay_inputs(i: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
-    scans = ranking.sequence_in_group(i.scan, ["stocktakeid", "location"], ["ts", "scan_id"]).select(
+    numbered = ranking.sequence_in_group(i.scan, ["stocktakeid", "location"], ["ts", "scan_id"]).select(
         "stocktakeid", "location", "seq", "sku", F.col("qty").alias("qnt"), "scan_id"
     )
+    path = scratch_path(i.spark, "scans")
+    numbered.write.parquet(path)
+    scans = i.spark.read.parquet(path)
 
     def edits(every: int, shift: int, seq: int, code: F, add: int) -> DataFrame:
         return scans.filter(F.col("scan_id") % every == 0).select(
