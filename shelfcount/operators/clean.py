@@ -60,9 +60,11 @@ def to_number(
 
     def convert(name: str) -> Column:
         is_text = isinstance(df.schema[name].dataType, T.StringType)
-        value = measures.number(name, dtype) if is_text else F.col(name).cast(dtype)
+        # Rounded as a double before any decimal type could round it half up.
+        first = dtype if scale is None else "double"
+        value = measures.number(name, first) if is_text else F.col(name).cast(first)
         if scale is not None:
-            value = F.bround(value, scale)
+            value = F.bround(value, scale).cast(dtype)
         return value if fill is None else F.coalesce(value, F.lit(fill).cast(dtype))
 
     return df.withColumns({c: convert(c) for c in cols})

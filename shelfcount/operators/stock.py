@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions import dates, text
 from ..functions.measures import MONEY, as_double, exact
 from ..policy import SohPolicy
-from .gates import anti_join, distinct_keys, exclude_blocked_vendor, planned_only
+from .gates import anti_join, exclude_blocked_vendor, planned_only
 from .ranking import keep_first
 
 
@@ -113,9 +113,12 @@ def carry_forward(soh: DataFrame, plan: DataFrame, floor: str, day: str) -> Data
     )
 
 
-def snapshot_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys present in ``a`` and absent in ``b``."""
-    return anti_join(distinct_keys(a, keys), b, keys)
+def snapshot_diff(
+    a: DataFrame, b: DataFrame, keys: Sequence[str], b_keys: Sequence[str] | None = None, show: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of ``a`` (keys and ``show`` columns) whose keys are absent in ``b``."""
+    other = b.select(*[F.col(r).alias(k) for k, r in zip(keys, b_keys or keys)])
+    return anti_join(a.select(*keys, *show), other, keys)
 
 
 def high_water(df: DataFrame, target: DataFrame, id_col: str) -> DataFrame:

@@ -56,6 +56,21 @@ def overlay_count(
     return clean.with_constants(named, skutype="Credit", rpname="STK2", dept="All", sub_dept="All")
 
 
+def overlay_detail(
+    scans: DataFrame,
+    edits: DataFrame,
+    master: DataFrame,
+    plan: DataFrame,
+    loaded: DataFrame,
+    details: Sequence[str] = (),
+) -> DataFrame:
+    """Single lines of counts by scan in the shape of the final variance detail."""
+    lines = overlay.overlay_edits(scans, edits, master, known_only=True, details=details)
+    lines = gates.planned_only(gates.not_loaded(lines, loaded, ["stocktakeid"]), plan, ["stcode", "cntdate"])
+    named = clean.rename_map(lines, {"description": "product_name", "price": "retail"})
+    return clean.with_constants(named, dept="All", sub_dept="All", rpname="VAR2", skutype="Credit")
+
+
 def append_unseen_missrate(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Miss-rate rows that the target does not hold."""
     return gates.anti_join(new, stored, keys)

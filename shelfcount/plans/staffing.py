@@ -162,6 +162,12 @@ def annual_plan(raw: DataFrame, names: Mapping[str, str], keep: Sequence[str], z
     return clean.require(clean.keep(df, keep, missing="error"), ["bu"])
 
 
+def estimate_rows(raw: DataFrame) -> DataFrame:
+    """Estimated work days: rows with a readable date of a real employee."""
+    df = clean.cast_map(raw, {"date": "timestamp"})
+    return clean.exclude_null_safe(df.filter(F.col("date").isNotNull()), "empcode", [0])
+
+
 # Header names of the time-off export.
 TIME_OFF_NAMES = {
     "employee name": "employee_name",

@@ -20,7 +20,10 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+        path = f"{folder}/{t}.parquet"
+        if os.path.exists(path):
+            files = f"{path}/*.parquet" if os.path.isdir(path) else path
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{files}'")
     return con
 
 

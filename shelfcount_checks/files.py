@@ -202,9 +202,9 @@ def planned(i: Inputs) -> DataFrame:
     return counted.filter("n > 0").select(F.lit("BU").alias("bu"), "stcode", "cntdate")
 
 
-def done(i: Inputs) -> DataFrame:
+def done(i: Inputs, report: str = "STK1") -> DataFrame:
     keys = by_district(i.planm).filter("stcode = '4'").select("stcode", "cntdate").distinct()
-    return keys.select(F.lit("BU").alias("bu"), "*", F.explode(F.array(F.lit("Credit"), F.lit("Consign"))).alias("skutype"), F.lit("STK1").alias("rpname"))
+    return keys.select(F.lit("BU").alias("bu"), "*", F.explode(F.array(F.lit("Credit"), F.lit("Consign"))).alias("skutype"), F.lit(report).alias("rpname"))
 
 
 GATED = f"EXISTS (SELECT 1 FROM {PLANNED} p WHERE p.stcode = s.stcode AND p.cntdate = s.cntdate) AND s.stcode <> '4'"
@@ -218,19 +218,47 @@ def read_workbooks(i: Inputs):
     return df.drop("line").withColumn("file", F.regexp_replace("file", r"_[0-9]+\.xlsx$", ""))
 
 
-@check(f"""SELECT bu, stcode, cntdate, rpname, skutype, sku, CAST(qty_count AS DOUBLE) AS qty_count FROM (SELECT DISTINCT 'BU' AS bu, stcode, cntdate, 'STK1' AS rpname, skutype, sku,
-    soh + qty_var AS qty_count FROM {BOOKED} WHERE sku NOT LIKE '%3') s WHERE {GATED}""")
+@check(f"""SELECT bu, stcode, cntdate, rpname, skutype, sku, CAST(qty_count AS DOUBLE) AS qty_count FROM (SELECT DISTINCT 'BU' AS bu, stcode, cntdate, 'VAR1' AS rpname, skutype,
+    CASE WHEN sku LIKE '%3' THEN '' ELSE sku END AS sku, soh + qty_var AS qty_count FROM {BOOKED} WHERE sku NOT LIKE '%5') s WHERE {GATED}""")
 def report_import(i: Inputs):
     named = F.when(F.col("skutype") == "Credit", "AB1").otherwise("AX1")
-    sku = F.when(F.col("sku").endswith("3"), " ").otherwise(F.col("sku"))
+    sku = F.when(~F.col("sku").endswith("3"), F.col("sku"))
+    store = F.when(F.col("sku").endswith("5"), "other").otherwise(F.col("stcode"))
     counted = (F.col("soh") + F.col("qty_var")).cast("double").alias("qty")
-    lines = booked(i).select("file", "stcode", named.alias("countname"), sku.alias("sku"), counted).distinct()
+    lines = booked(i).select("file", store.alias("store"), named.alias("countname"), sku.alias("sku"), counted).distinct()
     files = books(i, lines, "file", ["STORE", "COUNTNAME", "SKU", "QTY_COUNT"])
     raw = workbook.read_workbooks(files, ["store", "countname", "sku", "qty_count"])
-    out = reports.import_report(raw, reports.STORE_BOOK, planned(i), done(i))
+    out = reports.import_report(raw, reports.STORE_BOOK, planned(i), done(i, "VAR1"), report="VAR1")
     return clean.to_number(out, ["qty_count"]).select("bu", "stcode", "cntdate", "rpname", "skutype", "sku", "qty_count")
 
 
+@check(f"""SELECT DISTINCT stcode, cntdate, sku, CAST(coalesce(round_even(q, 3), 0) AS DOUBLE) AS qty_count, CAST(coalesce(q, 0) * 3 AS DOUBLE) AS phycnt_rtl, 'Credit' AS skutype FROM
+    (SELECT *, CASE WHEN sku NOT LIKE '%9' THEN soh + qty_var END AS q FROM {BOOKED}) s WHERE {GATED}""")
+def report_import_credit(i: Inputs):
+    counted = F.when(~F.col("sku").endswith("9"), (F.col("soh") + F.col("qty_var")).cast("double"))
+    lines = booked(i).select("file", "stcode", "sku", F.lit(3).alias("retail"), F.lit("x").alias("cost"), counted.alias("qty")).distinct()
+    files = books(i, lines, "file", ["STORE", "SKU", "RETAIL", "COST", "QTY_COUNT"], "STK1")
+    raw = workbook.read_workbooks(files, ["store", "sku", "retail", "cost", "qty_count"], sheet="STK1")
+    out = reports.import_report(raw, reports.STORE_BOOK_CREDIT, planned(i), done(i))
+    return out.select("stcode", "cntdate", "sku", *[F.col(c).cast("double").alias(c) for c in ("qty_count", "phycnt_rtl")], "skutype")
+
+
+@check(f"""SELECT DISTINCT lpad(stcode, 5, '0') AS stcode, '20' || substring(cntdate, 3) AS cntdate, sku AS skcode, skutype AS prtype FROM {BOOKED} s WHERE skutype <> 'Credit' OR stcode <> '4'""")
+def report_import_detail(i: Inputs):
+    # The count number names the store and the day (two-digit year of this century).
+    store = F.lpad("stcode", 5, "0")
+    short = F.concat(F.lit("0101"), F.substring("cntdate", 3, 2))
+    cntnum = F.concat(store, F.lit("F"), short, F.lit("001"))
+    day = F.concat(F.lit("20"), F.substr("cntdate", F.lit(3)))
+    base = by_district(i.stk)
+    lines = base.select(F.concat(F.lit("VAR1_BU_"), store, F.lit("_x")).alias("file"), cntnum.alias("cntnum"), F.concat(F.lit(" "), "sku").alias("skcode"), F.col("skutype").alias("prtype")).distinct()
+    files = books(i, lines, "file", ["cntnum", "skcode", "prtype"])
+    raw = workbook.read_workbooks(files, ["cntnum", "skcode", "prtype"])
+    keys = base.select(F.lit("BU").alias("bu"), store.alias("stcode"), day.alias("cntdate"), F.col("skutype").alias("prtype"), F.lit("VAR1").alias("rpname"))
+    out = reports.import_report(raw, reports.COUNT_DETAIL_CLEAN, keys, keys.filter("stcode = '00004' AND prtype = 'Credit'"))
+    return out.select("stcode", "cntdate", "skcode", "prtype").distinct()
+
+
 @check(f"""SELECT DISTINCT stcode, cntdate, sku, CAST(CASE WHEN sku LIKE '%1' THEN 0 ELSE soh END AS DOUBLE) AS qnt FROM {BOOKED} s WHERE {GATED} AND NOT (sku LIKE '%11')""")
 def report_import_sheet_book(i: Inputs):
     blank = F.col("sku").endswith("1")

@@ -115,10 +115,11 @@ def year_start(i: Inputs):
     return soh.year_start(snap(i), i.plan, "19980701", "20020101")
 
 
-@check("""SELECT DISTINCT stcode, as_date AS cntdate FROM v_soh a WHERE NOT EXISTS (SELECT 1 FROM v_planm p WHERE p.stcode = a.stcode
+@check("""SELECT stcode, as_date, CAST(msstoh AS DOUBLE) AS msstoh FROM v_soh a WHERE NOT EXISTS (SELECT 1 FROM v_planm p WHERE p.stcode = a.stcode
     AND p.cntdate = a.as_date)""")
 def snapshot_diff(i: Inputs):
-    return stock.snapshot_diff(i.soh.withColumnRenamed("as_date", "cntdate"), i.planm, ["stcode", "cntdate"])
+    out = stock.snapshot_diff(i.soh, i.planm, ["stcode", "as_date"], ["stcode", "cntdate"], ["msstoh"])
+    return doubles(out, "msstoh")
 
 
 @check("""SELECT bu || stcode AS code, bu, substring(bu || stcode, 4) AS stcode, '20260101' AS "DATE", 0 AS food_credit, 0 AS nonfood_consign,
@@ -373,6 +374,15 @@ def overlay_count(i: Inputs):
     return analysis.overlay_count(*overlay_inputs(i), stores, done, details=["barcode"])
 
 
+@check(f"""SELECT stocktakeid, location, seq, sku, CAST(qnt AS DOUBLE) AS qnt, CAST(price AS DOUBLE) AS retail, stcode, cntdate, '99' || sku AS barcode,
+    'All' AS dept, 'All' AS sub_dept, 'VAR2' AS rpname, 'Credit' AS skutype FROM ({LINES}) WHERE stcode IN ('1', '2', '4') AND stocktakeid <> 'ST3'""")
+def overlay_detail(i: Inputs):
+    stores = i.package.filter(F.col("stcode").isin("1", "2", "4")).select("stcode", "cntdate")
+    done = i.package.filter("stocktakeid = 'ST3'").select("stocktakeid")
+    out = analysis.overlay_detail(*overlay_inputs(i), stores, done, details=["barcode"])
+    return doubles(out, "qnt", "retail")
+
+
 STORE_LINES = f"""SELECT stcode, cntdate, 'STK2' AS rpname, 'Credit' AS skutype, count(*) AS sku_count, CAST(sum(q) AS DOUBLE) AS qnt_physical,
     CAST(sum(a) AS DOUBLE) AS retail_physical FROM (SELECT stcode, cntdate, sum(qnt) AS q, sum(qnt * price) AS a FROM ({LINES})
     WHERE stcode IS NOT NULL GROUP BY stocktakeid, stcode, cntdate, sku) GROUP BY 1, 2"""

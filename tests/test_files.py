@@ -114,7 +114,10 @@ def test_report_families(spark, tmp_path):
     plan = spark.createDataFrame([("B2S", "50001", "20260101"), ("B2S", "50001", "20260101")], "bu string, stcode string, cntdate string")
     loaded = spark.createDataFrame([], "bu string, stcode string, cntdate string, skutype string, rpname string")
     out = reports.import_report(raw, reports.STORE_BOOK, plan, loaded)
-    assert values(out, "stcode", "sku", "skutype", "rpname") == [("50001", "a", "Credit", "STK1"), ("50001", "c", "Consign", "STK1")]
+    kept = [("50001", "", "Credit", "STK1"), ("50001", "a", "Credit", "STK1"), ("50001", "a", "Credit", "STK1"), ("50001", "c", "Consign", "STK1")]
+    assert values(out, "stcode", "sku", "skutype", "rpname") == kept
+    whole = reports.prepare_report(raw, reports.STORE_BOOK_FILE)
+    assert whole.count() == 0
 
 
 def test_count_families(spark, tmp_path):
@@ -130,11 +133,28 @@ def test_count_families(spark, tmp_path):
     assert values(out, "cntnum", "skcode") == [("60001F010126001", "b")]
     var = spark.createDataFrame([("60001F010126001", "Credit")], "cntnum string, prtype string")
     stk = spark.createDataFrame(
-        [("STK1_CFW_60001_20260101_0.xlsx", 2, "60001F010126001", "60001", "a"), ("STK1_CFW_60003_20260101_0.xlsx", 2, "x", "60003", "a")],
-        "file string, line int, cntnum string, stmerch string, sku string",
+        [("STK1_CFW_60001_20260101_0.xlsx", 2, "60001F010126001", "60001", "a", "20260109"), ("STK1_CFW_60003_20260101_0.xlsx", 2, "x", "60003", "a", "20260109")],
+        "file string, line int, cntnum string, stmerch string, sku string, cntdate string",
     )
     typed = reports.prepare_report(stk, reports.COUNT_BOOK, var)
-    assert values(typed, "stcode", "skutype") == [("60001", "Credit")]
+    assert values(typed, "stcode", "skutype", "cntdate") == [("60001", "Credit", "20260109")]
+    detail = reports.prepare_report(raw, reports.COUNT_DETAIL)
+    assert ("60001", "20260101", "VAR1", "b") in values(detail, "stcode", "cntdate", "rpname", "skcode")
+
+
+def test_wholesale_short_names(spark):
+    schema = "file string, line int, sku string, soh string, qty_count string, retail string, cost string"
+    raw = spark.createDataFrame([("CUST123456_2026-01-31_x.xlsx", 7, None, "2", "2.5005", "10", "4"), ("odd.xlsx", 7, "a", "1", "1", "1", "1")], schema)
+    rows = reports.prepare_report(raw, reports.WHOLESALE_SHORT_NAME, report="STK2").filter("stcode is not null")
+    assert values(rows, "stcode", "cntdate", "rpname", "sku", "skutype") == [("W123456", "20260131", "STK2", "", "Credit")]
+    assert [float(v) for v in rows.select("qty_var", "extrtl_var", "extcst_var").first()] == [0.5, 5.0, 2.0]
+
+
+def test_estimate_load(spark):
+    raw = spark.createDataFrame([(1, "2026-01-02"), (0, "2026-01-02"), (2, "x"), (3, None)], "empcode int, date string")
+    from shelfcount.plans import staffing
+
+    assert values(staffing.estimate_rows(raw), "empcode") == [(1,)]
 
 
 def test_csv_export_marks_every_part(spark, tmp_path):
