@@ -47,9 +47,16 @@ def scrub(c: Column | str) -> Column:
     return F.translate(_col(c), "\n\r,", "")
 
 
-def clean_cell(c: Column | str) -> Column:
-    """Drop single quotes, turn line breaks into blanks, trim; empty becomes null."""
-    c = F.translate(_col(c), "\n\r'", "  ")
+def clean_cell(c: Column | str, quotes: str = "all") -> Column:
+    """Turn line breaks into blanks, trim, empty becomes null; drop single quotes.
+
+    ``quotes``: ``"all"`` drops every quote, ``"edges"`` those around the text.
+    """
+    c = _col(c)
+    if quotes == "edges":
+        c = F.translate(F.btrim(c, F.lit("'")), "\n\r", "  ")
+    else:
+        c = F.translate(c, "\n\r'", "  ")
     return F.nullif(F.trim(c), F.lit(""))
 
 

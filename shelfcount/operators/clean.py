@@ -84,9 +84,10 @@ def numbered(prefix: str, first: int, last: int, width: int = 2) -> list[str]:
     return [f"{prefix}{i:0{width}d}" for i in range(first, last + 1)]
 
 
-def clean_cells(df: DataFrame) -> DataFrame:
+def clean_cells(df: DataFrame, quotes: str = "all") -> DataFrame:
+    """``text.clean_cell`` on every text column."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: text.clean_cell(F.col(f"`{c}`")) for c in names})
+    return df.withColumns({c: text.clean_cell(F.col(f"`{c}`"), quotes) for c in names})
 
 
 def fill_defaults(df: DataFrame, cols: Sequence[str], value: int | float | str) -> DataFrame:

@@ -12,27 +12,34 @@ from ..operators import clean, gates
 from ..operators.joins import enrich
 from ..operators.ranking import latest_per_group, visit_rank
 from ..operators.reshape import unpivot_answers
-from ..policy import ZONES
+from ..policy import FORM_NAMES, QUESTIONS, ZONES
 
 FULL_POINT = 5
 
 
-def prepare_answers(raw: DataFrame, questions: Sequence[str]) -> DataFrame:
-    """Typed form entries from an all-text sheet."""
+def questions(form: str) -> list[str]:
+    """Question columns of a form, in upper case as the mapping sheet writes them."""
+    return [c.upper() for prefix, last in QUESTIONS[form] for c in clean.numbered(prefix, 1, last)]
+
+
+def prepare_answers(raw: DataFrame, asked: Sequence[str]) -> DataFrame:
+    """Typed form entries from an all-text sheet, whatever language its headers are in."""
+    named = clean.rename_map(clean.normalise_names(raw), FORM_NAMES)
+    named = clean.rename_map(named, {c.lower(): c for c in asked})
     types = {"id": "bigint", "created": "timestamp", "check_date": "timestamp"}
-    typed = clean.cast_map(raw, {**types, **dict.fromkeys(questions, "bigint")})
+    typed = clean.cast_map(named, {**types, **dict.fromkeys(asked, "bigint")})
     return typed.select(
         "id",
         dates.date_key("created").alias("checkdate"),
         "stcode",
         dates.date_key("check_date").alias("cntdate"),
-        *questions,
+        *asked,
     )
 
 
 def score(
     answers: DataFrame,
-    questions: Sequence[str],
+    asked: Sequence[str],
     mapping: DataFrame,
     plan: DataFrame,
     stored: DataFrame,
@@ -44,7 +51,7 @@ def score(
     question has no unit and falls out at the plan gate.
     """
     newest = latest_per_group(answers, ["stcode", "cntdate"], ["id"]).filter(F.col("cntdate") <= until)
-    rows = unpivot_answers(newest, [c for c in newest.columns if c not in questions], questions)
+    rows = unpivot_answers(newest, [c for c in newest.columns if c not in asked], asked)
     scored = enrich(rows, mapping, ["question_code"]).withColumns(
         {
             "full": F.lit(FULL_POINT) * F.col("weight"),

@@ -73,6 +73,27 @@ OUTSOURCE_ALIASES = {"AJIS": "OUTSOURCE", "INNOVATION": "OUTSOURCE", "SSD": "OUT
 # Checklist zones.
 ZONES = {"B": "Back", "F": "Sale"}
 
+# Header names of the checklist forms, cleaned.
+FORM_NAMES = {
+    "start time": "created",
+    "รหัสสาขา": "stcode",
+    "รหัสสาขา (store code)": "stcode",
+    "วันที่ตรวจนับ": "check_date",
+    "วันที่นับ full stock count": "check_date",
+}
+
+# Question codes of the checklist forms as prefix and highest number.
+QUESTIONS = {
+    "b2s": (("b2sv1f", 43), ("b2sv1b", 8)),
+    "ofm": (("ofmv1a", 35), ("ofmv1b", 17), ("ofmv1f", 9)),
+    "pwb": (("pwbv1f", 39), ("pwbv1b", 14)),
+    "ssp": (("sspv1a", 35),),
+    "chg": (("chgv01a", 41),),
+    "cfr": (("cfrtmrv2b", 37), ("cfrtmrv2f", 31)),
+    "cfr_cmk": (("cmk", 35),),
+    "cfr_tca": (("cfrtca", 30),),
+}
+
 # Store types left out of the completeness check, by report family.
 TYPES_NOT_REPORTED = {
     "J": ("Warehouse", "Online"),

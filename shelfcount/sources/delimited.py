@@ -79,10 +79,11 @@ def scan_headered(
     encoding: str = "UTF-8",
     errors: str = "replace",
     glob: str | None = None,
+    quotes: str = "edges",
 ) -> DataFrame:
     """File with a header; names lower-cased, quote marks stripped from names and cells."""
     raw = _reader(spark, sep, encoding, glob).csv(path, header=True)
-    return clean_cells(normalise_names(decode_text(raw, encoding, errors)))
+    return clean_cells(normalise_names(decode_text(raw, encoding, errors)), quotes)
 
 
 def scan_pipe(

@@ -279,3 +279,15 @@ def test_mapping_sheet_names(spark):
     raw = spark.createDataFrame([("q1", "B", "F", "2", "1", "s", "d", "x")], ["Code", "BU", "Zone", "Weight", "No", "Subject", "Desceiption", "SubDescription"])
     out = checklist.rename_mapping(raw).first().asDict()
     assert (out["question_code"], out["section"], out["subject"], out["weight"]) == ("q1", "s", "d", 2.0)
+
+
+def test_form_headers(spark):
+    raw = spark.createDataFrame([("4", "2026-01-02 08:00:00", "s", "2026-01-01", "3")], ["Id", "Start time", "รหัสสาขา (Store Code)", "วันที่นับ\xa0Full stock count", "CMK01"])
+    assert values(checklist.prepare_answers(raw, ["CMK01"]), "*") == [(4, "20260102", "s", "20260101", 3)]
+    assert checklist.questions("cfr_cmk")[-1] == "CMK35"
+
+
+def test_quote_modes(spark):
+    assert one(spark, text.clean_cell(F.lit("'O'Neil\n'"), "edges")) == "O'Neil"
+    assert one(spark, text.clean_cell(F.lit("'O'Neil\n'"))) == "ONeil"
+    assert one(spark, text.clean_cell(F.lit("' '"))) is None
