@@ -40,16 +40,16 @@ def intake_record(
     """Audit row per store and day: sum of the value and number of items read."""
     date = F.col(date) if isinstance(date, str) else date
     keyed = df.select(
-        F.lit(bu).alias("bu"),
         date.alias("as_date"),
         F.col(store).alias("stcode"),
         exact(df, value).alias("__v"),
         F.col(sku).alias("__s"),
     ).dropna(subset=["as_date", "stcode"])
-    return keyed.groupBy("bu", "as_date", "stcode").agg(
+    counted = keyed.groupBy("as_date", "stcode").agg(
         as_double(F.coalesce(F.sum("__v"), F.lit(0))).alias("soh"),
         F.count("__s").alias("record"),
     )
+    return counted.select(F.lit(bu).alias("bu"), "*")
 
 
 def soh_snapshot(df: DataFrame, policy: SohPolicy, block: DataFrame | None = None) -> DataFrame:
@@ -90,8 +90,6 @@ def soh_snapshot(df: DataFrame, policy: SohPolicy, block: DataFrame | None = Non
     if policy.checked_date:
         date = dates.date_key(date, "yyyyMMdd")
     keyed = rows.select(
-        text.store_code(F.lit(policy.bu), policy.store).alias("code"),
-        F.lit(policy.bu).alias("bu"),
         F.col(policy.store).alias("stcode"),
         (text.century(date) if policy.add_century else date).alias("DATE"),
         credit.alias("food_credit"),
@@ -99,7 +97,17 @@ def soh_snapshot(df: DataFrame, policy: SohPolicy, block: DataFrame | None = Non
         perishable.alias("perishable_nonmer"),
         total.alias("totalsoh"),
     )
-    return sum_by(keyed, ["code", "bu", "stcode", "DATE"])
+    # The unit is constant and the code follows from the store, so neither is a grouping key.
+    return sum_by(keyed, ["stcode", "DATE"]).select(
+        text.store_code(F.lit(policy.bu), "stcode").alias("code"),
+        F.lit(policy.bu).alias("bu"),
+        "stcode",
+        "DATE",
+        "food_credit",
+        "nonfood_consign",
+        "perishable_nonmer",
+        "totalsoh",
+    )
 
 
 def carry_forward(soh: DataFrame, plan: DataFrame, floor: str, day: str) -> DataFrame:

@@ -7,6 +7,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def build_session(app: str = "shelfcount", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,15 +48,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from the written copy."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return os.path.join(shared_folder(spark), "scratch", uuid.uuid4().hex, name)
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from the written copy.
+
+    The copy survives lost executors, ends the lineage, and later reads touch only the columns
+    they need. Columns of no type become text.
+    """
+    spark = df.sparkSession
+    void = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)]
+    stored = df.withColumns({c: F.col(f"`{c}`").cast("string") for c in void}) if void else df
+    path = scratch_path(spark, "table")
+    stored.write.parquet(path)
+    return spark.read.schema(stored.schema).parquet(path)
