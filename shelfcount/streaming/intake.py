@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.gates import not_loaded, planned_only
+from ..operators.gates import distinct_keys, not_loaded, planned_only
 from ..operators.stock import high_water
 
 BATCH = "batch_id"
@@ -52,17 +52,14 @@ def run_available(
     query.awaitTermination()
 
 
-def prepare_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Create an empty table partitioned by batch, so that the first batch can read it."""
-    spark.createDataFrame([], schema).withColumn(BATCH, F.lit(0).cast("long")).write.mode(
-        "append"
-    ).partitionBy(BATCH).parquet(path)
+def _with_batch(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
 
 
-def _before(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """Table as it was before this batch: a retried batch does not see its first attempt."""
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(full).parquet(path).filter(F.col(BATCH) < batch_id)
+def prepare_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Create an empty table partitioned by batch, so that the first batch can read it."""
+    empty = spark.createDataFrame([], _with_batch(schema))
+    empty.write.mode("append").partitionBy(BATCH).parquet(path)
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -72,6 +69,34 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     ).partitionBy(BATCH).parquet(path)
 
 
+class BatchTable:
+    """A table written batch by batch, with a small table of notes about each batch beside it.
+
+    Later batches read the notes (key groups, highest id) instead of the rows. A batch looks
+    only at notes of earlier batches, so a retried one does not see its first attempt.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, notes: T.StructType):
+        self.spark, self.path, self.schema, self.note_schema = spark, path, schema, notes
+        self.note_path = f"{path.rstrip('/')}_notes"
+        prepare_table(spark, self.path, schema)
+        prepare_table(spark, self.note_path, notes)
+
+    def notes_before(self, batch_id: int) -> DataFrame:
+        notes = self.spark.read.schema(_with_batch(self.note_schema)).parquet(self.note_path)
+        return notes.filter(F.col(BATCH) < batch_id).drop(BATCH)
+
+    def write(self, df: DataFrame, batch_id: int, note: Callable[[DataFrame], DataFrame]) -> None:
+        """Write the rows, then the notes taken from the written rows."""
+        _write_batch(df.select(*self.schema.names), self.path, batch_id)
+        written = self.spark.read.schema(_with_batch(self.schema)).parquet(self.path)
+        _write_batch(note(written.filter(F.col(BATCH) == batch_id)), self.note_path, batch_id)
+
+    def add_notes(self, notes: DataFrame) -> None:
+        """Notes about rows that were stored before the first batch."""
+        _write_batch(notes.select(*self.note_schema.names), self.note_path, -1)
+
+
 def intake(path: str) -> Callable[[DataFrame, int], None]:
     """Batch function that appends every row once."""
 
@@ -82,23 +107,40 @@ def intake(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def gate_append(
-    path: str, schema: T.StructType, plan: DataFrame, plan_keys: Sequence[str], loaded_keys: Sequence[str]
+    path: str,
+    schema: T.StructType,
+    plan: DataFrame,
+    plan_keys: Sequence[str],
+    loaded_keys: Sequence[str],
+    loaded: DataFrame | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Batch function: planned rows whose key group no earlier batch has loaded."""
+    """Batch function: planned rows whose key group neither ``loaded`` nor an earlier batch has."""
+    keys = T.StructType([schema[k] for k in loaded_keys])
+    table = BatchTable(plan.sparkSession, path, schema, keys)
+    if loaded is not None:
+        table.add_notes(distinct_keys(loaded, loaded_keys))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        earlier = _before(batch.sparkSession, path, schema, batch_id)
-        fresh = not_loaded(planned_only(batch, plan, plan_keys), earlier, loaded_keys)
-        _write_batch(fresh.select(*schema.names), path, batch_id)
+        planned = planned_only(batch, plan, plan_keys)
+        fresh = not_loaded(planned, table.notes_before(batch_id), loaded_keys)
+        table.write(fresh, batch_id, lambda rows: distinct_keys(rows, loaded_keys))
 
     return each
 
 
-def append_above_high_water(path: str, schema: T.StructType, id_col: str) -> Callable[[DataFrame, int], None]:
-    """Batch function: rows whose id is above the highest one stored by earlier batches."""
+def append_above_high_water(
+    spark: SparkSession, path: str, schema: T.StructType, id_col: str, stored: DataFrame | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Batch function: rows whose id is above the highest one in ``stored`` and earlier batches."""
+    table = BatchTable(spark, path, schema, T.StructType([schema[id_col]]))
+
+    def top(rows: DataFrame) -> DataFrame:
+        return rows.agg(F.max(id_col).alias(id_col))
+
+    if stored is not None:
+        table.add_notes(top(stored))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        earlier = _before(batch.sparkSession, path, schema, batch_id)
-        _write_batch(high_water(batch.select(*schema.names), earlier, id_col), path, batch_id)
+        table.write(high_water(batch, table.notes_before(batch_id), id_col), batch_id, top)
 
     return each

@@ -34,7 +34,6 @@ def test_gate_survives_a_repeated_batch(spark, tmp_path):
     table = str(tmp_path / "table")
     rows = spark.createDataFrame([("1", "d", 5), ("1", "d", 6), ("9", "d", 7)], SCHEMA)
     plan = spark.createDataFrame([("1", "d"), ("1", "d")], "stcode string, cntdate string")
-    intake.prepare_table(spark, table, rows.schema)
     each = intake.gate_append(table, rows.schema, plan, ["stcode", "cntdate"], ["stcode", "cntdate"])
     each(rows, 0)
     each(rows, 0)  # the same batch again after a failure
@@ -64,9 +63,20 @@ def test_edit_replaces_quantity(spark):
 def test_ids_above_high_water(spark, tmp_path):
     table = str(tmp_path / "table")
     rows = spark.range(10).select("id", F.lit("x").alias("v"))
-    intake.prepare_table(spark, table, rows.schema)
-    each = intake.append_above_high_water(table, rows.schema, "id")
+    each = intake.append_above_high_water(spark, table, rows.schema, "id")
     each(rows.filter("id < 6"), 0)
     each(rows, 1)
     each(rows, 1)
+    each(rows, 2)  # nothing new
     assert values(spark.read.parquet(table), "id") == [(k,) for k in range(10)]
+
+
+def test_rows_stored_before_the_stream_count(spark, tmp_path):
+    rows = spark.range(10).select("id", F.lit("x").alias("v"))
+    each = intake.append_above_high_water(spark, str(tmp_path / "a"), rows.schema, "id", rows.filter("id < 4"))
+    each(rows, 0)
+    assert values(spark.read.parquet(str(tmp_path / "a")), "id") == [(k,) for k in range(4, 10)]
+    more = spark.createDataFrame([("1", "d", 5), ("2", "d", 6)], SCHEMA)
+    gate = intake.gate_append(str(tmp_path / "b"), more.schema, more, ["stcode"], ["stcode"], more.filter("stcode = '1'"))
+    gate(more, 0)
+    assert values(spark.read.parquet(str(tmp_path / "b")), "stcode") == [("2",)]
