@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import io
-import os
-import shutil
-import tempfile
 import zipfile
 from collections.abc import Sequence
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import shelfcount
+import shelfcount_checks
 from shelfcount.operators import clean
 from shelfcount.plans import masters, reports, soh, staffing, uploads
 from shelfcount.policy import SOH_POLICIES
@@ -25,6 +25,10 @@ from .summaries import item_master
 
 LATIN = {"encoding": "ISO-8859-1"}
 
+# Python workers get the functions themselves, wherever the session was started from.
+for package in (shelfcount, shelfcount_checks):
+    cloudpickle.register_pickle_by_value(package)
+
 
 def written(i: Inputs, df: DataFrame, **options) -> str:
     path = scratch_path(i.spark, "files")
@@ -70,7 +74,7 @@ def scan_skip_one(i: Inputs):
 def scan_skip_many(i: Inputs):
     title = "report,of\nthe day\nsku,des,sbc1"
     line = F.concat("sku", F.lit(',"'), "des", F.lit(',x",'), F.coalesce("sbc1", F.lit("")))
-    top = i.master.repartition(3).select(line.alias(title))
+    top = i.master.repartition("dept").select(line.alias(title))
     path = scratch_path(i.spark, "lines")
     top.write.options(header=True, quote="\u0001", sep="\u0002", escape="\u0003").csv(path)
     return delimited.scan_skip(i.spark, path, ["sku", "des", "sbc1"], skip=3, key="sbc1")
@@ -125,19 +129,6 @@ def _xlsx(sheets: dict[str, list[list]]) -> bytes:
     return out.getvalue()
 
 
-def ship(i: Inputs) -> None:
-    """Let Python workers import these packages wherever the session was started from."""
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    context = i.spark.sparkContext
-    if getattr(context, "_shelfcount_shipped", False):
-        return
-    staging = tempfile.mkdtemp(prefix="run-")
-    for package in ("shelfcount", "shelfcount_checks"):
-        shutil.copytree(os.path.join(root, package), os.path.join(staging, package), ignore=shutil.ignore_patterns("__pycache__"))
-    context.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="run-"), "shelfcount_code"), "zip", staging))
-    context._shelfcount_shipped = True
-
-
 BOOK_LINES = 5000
 
 
@@ -158,7 +149,6 @@ def books(
     book grows with the data; ``named`` says where the number of the book goes in its name.
     Rows with an ``order`` are not divided: their ``file`` must bound them already.
     """
-    ship(i)
     names = [c for c in df.columns if c != file]
     shown = [c for c in names if c not in hidden]
     above = [list(r) for r in top]

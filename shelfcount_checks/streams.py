@@ -10,19 +10,24 @@ from shelfcount.streaming import intake, scans
 from .inputs import QTY, Inputs, check
 
 
-def dropped(i: Inputs, df, parts: int = 4) -> str:
-    """The rows as files of a drop folder."""
+def dropped(i: Inputs, df) -> str:
+    """The rows as files of a drop folder, one per partition they are in."""
     path = scratch_path(i.spark, "drop")
-    df.repartition(parts).write.parquet(path)
+    df.write.parquet(path)
     return path
 
 
+def some_files(i: Inputs) -> int:
+    """Files per micro-batch: a few batches however many cores write the files."""
+    return max(1, i.spark.sparkContext.defaultParallelism // 3)
+
+
 @check("SELECT stcode, cntdate, sku, count(*) AS n FROM v_stk GROUP BY 1, 2, 3")
 def stream_intake(i: Inputs):
     rows = i.stk.select("stcode", "cntdate", "sku")
     folder, table, state = dropped(i, rows), scratch_path(i.spark, "table"), scratch_path(i.spark, "state")
     for _ in range(2):  # the second run finds nothing new
-        stream = intake.stream_files(i.spark, folder, rows.schema, "parquet", files_per_trigger=2)
+        stream = intake.stream_files(i.spark, folder, rows.schema, "parquet", some_files(i))
         intake.run_available(stream, intake.intake(table), state)
     return i.spark.read.parquet(table).groupBy("stcode", "cntdate", "sku").agg(F.count(F.lit(1)).alias("n"))
 
@@ -30,14 +35,14 @@ def stream_intake(i: Inputs):
 @check("""SELECT stcode, cntdate, sku FROM v_stk s WHERE CAST(stcode AS BIGINT) % 4 <> 0 AND EXISTS (SELECT 1 FROM v_planm p WHERE p.stcode = s.stcode AND p.cntdate = s.cntdate)""")
 def stream_gate_append(i: Inputs):
     rows = i.stk.select("stcode", "cntdate", "sku")
-    folder, table, state = dropped(i, rows, 1), scratch_path(i.spark, "table"), scratch_path(i.spark, "state")
+    folder, table, state = dropped(i, rows), scratch_path(i.spark, "table"), scratch_path(i.spark, "state")
     keys = ["stcode", "cntdate"]
     loaded = rows.filter(F.col("stcode").cast("bigint") % 4 == 0)
     each = intake.gate_append(table, rows.schema, i.planm, keys, keys, loaded)
-    for _ in range(2):  # the same rows dropped again belong to loaded groups
-        stream = intake.stream_files(i.spark, folder, rows.schema, "parquet", files_per_trigger=1)
+    for _ in range(2):  # a drop is one batch; the same rows dropped again belong to loaded groups
+        stream = intake.stream_files(i.spark, folder, rows.schema, "parquet")
         intake.run_available(stream, each, state)
-        rows.coalesce(1).write.mode("append").parquet(folder)
+        rows.write.mode("append").parquet(folder)
     return i.spark.read.parquet(table).select("stcode", "cntdate", "sku")
 
 
@@ -46,7 +51,7 @@ def scan_totals(i: Inputs):
     rows = i.scan.select("stocktakeid", "location", "sku", "qty")
     folder, table, state = dropped(i, rows), scratch_path(i.spark, "table"), scratch_path(i.spark, "state")
     keys = ["stocktakeid", "location", "sku"]
-    stream = scans.scan_totals(intake.stream_files(i.spark, folder, rows.schema, "parquet", 2), keys)
+    stream = scans.scan_totals(intake.stream_files(i.spark, folder, rows.schema, "parquet", some_files(i)), keys)
     intake.run_available(stream, scans.changed_rows(table), state, "update")
     out = scans.current_rows(i.spark.read.parquet(table), keys)
     return out.withColumn("qty", F.col("qty").cast("double"))
@@ -57,7 +62,7 @@ def latest_quantity(i: Inputs):
     edits = i.edit.select(F.col("id").alias("scan_id"), F.lit(1).alias("modified"), F.col("qty").cast(QTY).alias("qty"))
     rows = i.scan.select("scan_id", F.lit(0).alias("modified"), "qty").unionByName(edits)
     folder, table, state = dropped(i, rows), scratch_path(i.spark, "table"), scratch_path(i.spark, "state")
-    stream = scans.latest_quantity(intake.stream_files(i.spark, folder, rows.schema, "parquet", 2))
+    stream = scans.latest_quantity(intake.stream_files(i.spark, folder, rows.schema, "parquet", some_files(i)))
     intake.run_available(stream, scans.changed_rows(table), state, "update")
     out = scans.current_rows(i.spark.read.parquet(table), ["scan_id"])
     return out.withColumn("qty", F.col("qty").cast("double"))
@@ -70,7 +75,7 @@ def incremental_by_id(i: Inputs):
     each = intake.append_above_high_water(i.spark, table, rows.schema, "scan_id")
     top = rows.agg(F.floor(F.max("scan_id") / 2)).scalar()
     for part in (rows.filter(F.col("scan_id") <= top), rows):  # the second export repeats the first
-        part.coalesce(1).write.mode("append").parquet(folder)
-        stream = intake.stream_files(i.spark, folder, rows.schema, "parquet", files_per_trigger=1)
+        part.write.mode("append").parquet(folder)
+        stream = intake.stream_files(i.spark, folder, rows.schema, "parquet")
         intake.run_available(stream, each, state)
     return i.spark.read.parquet(table).select("scan_id", "sku")
