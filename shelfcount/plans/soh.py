@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures, text
+from ..layouts import WHOLESALE_STOCK
 from ..operators import clean, stock
 from ..operators.joins import enrich
 from ..operators.maintain import replace_range
@@ -32,7 +33,7 @@ def snapshot_job(
 
 def customer_snapshot(raw: DataFrame, customers: DataFrame, policy: SohPolicy) -> DataFrame:
     """On-hand of wholesale customers: the store comes from a customer map, unmapped ones drop out."""
-    df = clean.to_number(raw, [policy.value], dtype=measures.MONEY)
+    df = clean.to_number(clean.rename_map(raw, WHOLESALE_STOCK), [policy.value], dtype=measures.MONEY)
     return stock.soh_snapshot(enrich(df, customers, ["cuscode"]), policy)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import policy
+from .. import layouts, policy
 from ..functions import dates, measures
 from ..operators import clean, gates
 from ..operators.joins import cross_dims, natural_left
@@ -156,7 +156,12 @@ def day_rates(provinces: DataFrame, units: Sequence[str]) -> DataFrame:
     return priced.select("province", "vendorname", "seasonindex", "bu", "mindex", "mname", "darea", "price")
 
 
-def annual_plan(raw: DataFrame, names: Mapping[str, str], keep: Sequence[str], zero: Sequence[str]) -> DataFrame:
+def annual_plan(
+    raw: DataFrame,
+    names: Mapping[str, str] = layouts.YEARLY_PLAN,
+    keep: Sequence[str] = layouts.YEARLY_PLAN_COLUMNS,
+    zero: Sequence[str] = layouts.YEARLY_PLAN_ZERO,
+) -> DataFrame:
     """Yearly plan sheet: renamed, empty numbers 0, chosen columns, rows with a unit."""
     df = clean.fill_defaults(clean.rename_map(raw, names), zero, 0)
     return clean.require(clean.keep(df, keep, missing="error"), ["bu"])

@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from shelfcount import layouts
 from shelfcount.operators import clean
 from shelfcount.plans import reports, soh, uploads
 from shelfcount.policy import SOH_POLICIES
@@ -43,6 +44,16 @@ def test_headered_with_quotes(spark, tmp_path):
     assert values(out["snapshot"], "code", "food_credit", "totalsoh") == [("PWB001", 5.0, 5.0)]
 
 
+def test_stock_file_layout(spark, tmp_path):
+    cells = dict.fromkeys(layouts.STOCK_FILE, "")
+    cells.update(msstor="50001", mstype="01", msasdt="260101", msstoh="7", mssku="s", mssdpt="100", msvdno="v")
+    put(tmp_path, "a.csv", (",".join(cells.values()) + "\n").encode())
+    raw = delimited.scan_positional(spark, str(tmp_path), layouts.STOCK_FILE, encoding="cp874")
+    out = soh.snapshot_job(raw, SOH_POLICIES["OFM"])
+    assert values(out["snapshot"], "code", "DATE", "totalsoh") == [("OFM50001", "20260101", 7.0)]
+    assert (len(layouts.STOCK_FILE), len(layouts.ITEM_MASTER)) == (67, 186)
+
+
 def test_pipe_master(spark, tmp_path):
     put(tmp_path, "m.txt", "9|7|0012345678905|น้ำ|5\n".encode("cp874"))
     df = delimited.scan_pipe(spark, str(tmp_path), ["cyclecount", "stcode", "barcode", "description", "soh"], stocktakeid="T")
