@@ -13,13 +13,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .keys import key_set
+
 
 def _semi(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(distinct_keys(other, keys), list(keys), "left_semi")
+    return df.join(key_set(other, keys), list(keys), "left_semi")
 
 
 def _anti(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(distinct_keys(other, keys), list(keys), "left_anti")
+    return df.join(key_set(other, keys), list(keys), "left_anti")
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -68,9 +70,12 @@ def exclude_blocked_vendor(
     )
 
 
-def exists_gate(df: DataFrame, plan: DataFrame, loaded: DataFrame, file_keys: Sequence[str]) -> DataFrame:
-    """Whole files pass only when planned and not loaded before."""
-    return not_loaded(planned_only(df, plan, file_keys), loaded, file_keys)
+def exists_gate(df: DataFrame, plan: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Key groups (whole files) pass only when planned and not loaded before.
+
+    The two key sets are subtracted first, so the rows are joined once.
+    """
+    return _semi(df, _anti(key_set(plan, keys), loaded, keys), keys)
 
 
 def _reject(df: DataFrame, file_col: str, bad: Column) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .ranking import distinct_on, keep_first
+from .keys import first_of_key, key_set, per_key
+from .ranking import keep_first
 
 
 def enrich(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,16 +75,9 @@ def lookup_two_step(scans: DataFrame, master: DataFrame, keys: Sequence[str] = (
     """
     attributes = [c for c in master.columns if c not in keys and c != barcode]
     found = master.withColumnRenamed(barcode, "master_barcode")
-    exact = distinct_on(
-        found.withColumn("__b", F.col("master_barcode")),
-        [*keys, "__b"],
-        ["master_barcode", *attributes],
-    )
-    loose = distinct_on(
-        found.withColumn("__b", text.strip_zeros("master_barcode")),
-        [*keys, "__b"],
-        ["master_barcode", *attributes],
-    )
+    order = [F.col(c).asc_nulls_last() for c in ["master_barcode", *attributes]]
+    exact = first_of_key(found.withColumn("__b", F.col("master_barcode")), [*keys, "__b"], order)
+    loose = first_of_key(found.withColumn("__b", text.strip_zeros("master_barcode")), [*keys, "__b"], order)
     payload = ["master_barcode", *attributes]
     hit = F.col("__hit").isNotNull()
     first = scans.withColumn("__b", F.col(barcode)).join(
@@ -101,11 +95,8 @@ def lookup_two_step(scans: DataFrame, master: DataFrame, keys: Sequence[str] = (
 def year_round_match(counts: DataFrame, visits: DataFrame) -> DataFrame:
     """Start of posting time: earliest visit of the same store, year and round, else the count date."""
     keys = ["bu", "stcode", "year", "round"]
-    earliest = (
-        visits.withColumn("year", F.left(F.col("cntdate"), F.lit(4)))
-        .groupBy(*keys)
-        .agg(F.min("cntdate").alias("__visit"))
-    )
+    dated = visits.withColumn("year", F.left(F.col("cntdate"), F.lit(4)))
+    earliest = per_key(dated, keys, F.min("cntdate").alias("__visit"))
     return (
         counts.withColumn("year", F.left(F.col("cntdate"), F.lit(4)))
         .join(earliest, keys, "left")
@@ -116,7 +107,7 @@ def year_round_match(counts: DataFrame, visits: DataFrame) -> DataFrame:
 
 def infer_skutype(stk: DataFrame, var: DataFrame, key: str = "cntnum", kind: str = "prtype") -> DataFrame:
     """Type of a count from its variance detail, 'Unknown' without one."""
-    types = var.select(F.col(key), F.col(kind).alias("skutype")).distinct()
+    types = key_set(var.select(F.col(key), F.col(kind).alias("skutype")), [key, "skutype"])
     return (
         stk.drop("skutype")
         .join(types, key, "left")

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
+from .keys import per_key
 
 SLICE = "__slice"
 
@@ -89,7 +90,7 @@ def sequence_in_group(
     numbered = rank_rows(scans, keys, order, name)
     if existing is None:
         return numbered
-    top = existing.groupBy(*keys).agg(F.max(name).alias("__top"))
+    top = per_key(existing, keys, F.max(name).alias("__top"))
     return (
         numbered.join(top, list(keys), "left")
         .withColumn(name, F.col(name) + F.coalesce(F.col("__top"), F.lit(0)))

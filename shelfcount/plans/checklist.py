@@ -60,7 +60,7 @@ def score(
         }
     )
     keys = ["bu", "stcode", "cntdate"]
-    return gates.not_loaded(gates.planned_only(scored.drop("id"), plan, keys), stored, keys)
+    return gates.exists_gate(scored.drop("id"), plan, stored, keys)
 
 
 def rename_mapping(mapping: DataFrame) -> DataFrame:

@@ -246,4 +246,4 @@ def sales_sheet(raw: DataFrame, plan: DataFrame, loaded: DataFrame, store: str =
     rows = clean.rename_map(rows, {store: "mdstor"})
     planned = plan.select(F.col("stcode").alias("mdstor"), "cntdate")
     keys = ["mdstor", "cntdate"]
-    return drop_dupes(gates.not_loaded(gates.planned_only(rows, planned, keys), loaded, keys).drop("file"))
+    return drop_dupes(gates.exists_gate(rows, planned, loaded, keys).drop("file"))

@@ -19,6 +19,7 @@ def build_session(app: str = "shelfcount", master: str | None = None, **conf: st
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
     }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.gates import distinct_keys, not_loaded, planned_only
+from ..operators.gates import distinct_keys, exists_gate, not_loaded, planned_only
 from ..operators.stock import high_water
 
 BATCH = "batch_id"
@@ -121,8 +121,11 @@ def gate_append(
         table.add_notes(distinct_keys(loaded, loaded_keys))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        planned = planned_only(batch, plan, plan_keys)
-        fresh = not_loaded(planned, table.notes_before(batch_id), loaded_keys)
+        earlier = table.notes_before(batch_id)
+        if list(plan_keys) == list(loaded_keys):
+            fresh = exists_gate(batch, plan, earlier, plan_keys)
+        else:
+            fresh = not_loaded(planned_only(batch, plan, plan_keys), earlier, loaded_keys)
         table.write(fresh, batch_id, lambda rows: distinct_keys(rows, loaded_keys))
 
     return each

@@ -1,8 +1,10 @@
 """One group holding most rows must be split over tasks and still be numbered right."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from shelfcount.operators import ranking
+from shelfcount.operators import gates, joins, ranking
+from shelfcount.operators.keys import first_of_key
 
 
 def hot(spark, n=20000):
@@ -53,3 +55,52 @@ def test_forward_fill_across_slices(spark):
 def test_picking_is_cut_before_the_shuffle(spark):
     plan = ranking.latest_per_group(hot(spark), ["k"], ["o"])._jdf.queryExecution().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    execution = df._jdf.queryExecution()
+    rows = execution.toRdd().count()
+    return rows, execution.executedPlan().toString().split("Initial Plan")[0]
+
+
+def split(df):
+    return "SortMergeJoin(skew=true)" in final_plan(df)[1]
+
+
+def test_gates_split_a_hot_key(spark, no_broadcast):
+    rows = hot(spark, 200000).withColumn("v", F.sha2(F.col("o").cast("string"), 256))
+    other = rows.select("k").filter("k <> 'k5'")
+    assert split(gates.planned_only(rows, other, ["k"]))
+    assert split(gates.not_loaded(rows, other.filter("k <> 'hot'"), ["k"]))
+    assert split(gates.exists_gate(rows, other, other.filter("k = 'k7'"), ["k"]))
+    assert split(gates.reject_if_all_unknown(rows.withColumn("skutype", F.lit("Credit")), "k"))
+
+
+def test_lookups_split_a_hot_key(spark, no_broadcast):
+    rows = hot(spark, 200000).withColumn("v", F.sha2(F.col("o").cast("string"), 256))
+    stored = rows.filter("o < 1000").withColumn("seq", F.col("o"))
+    assert split(ranking.sequence_in_group(rows, ["k"], ["o"], stored))
+    master = rows.select(F.col("k").alias("barcode"), F.col("k").alias("sku"))
+    assert split(joins.lookup_two_step(rows.withColumnRenamed("k", "barcode"), master))
+
+
+def test_picked_rows_stay_cut_before_the_shuffle(spark):
+    plan = first_of_key(hot(spark), ["k"], [F.col("o").asc()])._jdf.queryExecution().toString()
+    assert plan.count("WindowGroupLimit") >= 2
