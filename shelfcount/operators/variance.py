@@ -35,19 +35,20 @@ def variance_kpi(stk: DataFrame, keys: Sequence[str], ext: str = "extcst_var") -
     )
 
 
-def sales_by_type(sales: DataFrame) -> DataFrame:
+def sales_by_type(sales: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Sales per store, date and SKU type: the two amount columns become two rows."""
-    sums = sales.groupBy(F.col("mdstor").alias("stcode"), "cntdate").agg(
+    keys = ["stcode", "cntdate", *also]
+    sums = sales.withColumnRenamed("mdstor", "stcode").groupBy(*keys).agg(
         F.sum(exact(sales, "credit")).alias("Credit"), F.sum(exact(sales, "consignment")).alias("Consign")
     )
-    return sums.unpivot(["stcode", "cntdate"], ["Credit", "Consign"], "skutype", "amount").withColumn(
+    return sums.unpivot(keys, ["Credit", "Consign"], "skutype", "amount").withColumn(
         "amount", as_double(F.col("amount"))
     )
 
 
-def variance_to_sales(kpi: DataFrame, sales: DataFrame) -> DataFrame:
-    """KPI rows with their sales amount and net variance per sales."""
-    joined = kpi.join(sales_by_type(sales), ["stcode", "cntdate", "skutype"], "left")
+def variance_to_sales(kpi: DataFrame, sales: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """KPI rows with their sales amount and net variance per sales (``also``: further join keys)."""
+    joined = kpi.join(sales_by_type(sales, also), ["stcode", "cntdate", "skutype", *also], "left")
     return joined.select(
         *kpi.columns, ratio(F.col("vnet"), F.col("amount")).alias("vnet_to_sale"), "amount"
     )

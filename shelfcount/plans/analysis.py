@@ -18,14 +18,18 @@ from ..sources.tables import date_spine
 def variance_analysis(
     periods: Sequence[tuple[DataFrame, DataFrame]], plan: DataFrame, bu: str, final: str = "STK2"
 ) -> DataFrame:
-    """Variance KPIs of all periods (report rows, sales rows) with the store's visit number."""
-    keys = ["stcode", "cntdate", "skutype"]
-    parts = []
-    for stk, sales in periods:
-        kpi = variance.variance_kpi(stk.filter(F.col("rpname") == final), keys)
-        parts.append(variance.variance_to_sales(kpi, sales))
+    """Variance KPIs of all periods (report rows, sales rows) with the store's visit number.
+
+    The periods are stored apart but computed together: one aggregate and one join for all.
+    """
+    period = "__period"
+    stk = union_all(*[rows.withColumn(period, F.lit(n)) for n, (rows, _) in enumerate(periods)])
+    sales = union_all(*[rows.withColumn(period, F.lit(n)) for n, (_, rows) in enumerate(periods)])
+    final_rows = stk.filter(F.col("rpname") == final)
+    kpi = variance.variance_kpi(final_rows, ["stcode", "cntdate", "skutype", period])
+    rated = variance.variance_to_sales(kpi, sales, [period]).drop(period)
     visits = visit_rank(plan.filter((F.col("atype") == "3F") & (F.col("bu") == bu)))
-    return enrich(union_all(*parts).withColumn("bu", F.lit(bu)), visits, ["bu", "stcode", "cntdate"])
+    return enrich(rated.withColumn("bu", F.lit(bu)), visits, ["bu", "stcode", "cntdate"])
 
 
 def count_reports(stk: DataFrame, overlay_lines: DataFrame, plan: DataFrame) -> dict[str, DataFrame]:

@@ -34,9 +34,13 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet", SPREAD.get(name))
+        if name not in self._tables:
+            path = f"{self.folder}/{name}.parquet"
+            self._tables[name] = read_table(self.spark, path, SPREAD.get(name))
+        return self._tables[name]
 
     @cached_property
     def plan(self) -> DataFrame:
