@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..operators import maintain
+from ..operators.keys import key_set
+from ..session import durable, scratch_path
 
 BOM = "\ufeff"
 
@@ -39,6 +41,39 @@ def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
+MOST_PARTITIONS = 1000
+
+
+def touched_partitions(target: DataFrame, df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of the target in the partitions that ``df`` has rows for.
+
+    Up to ``MOST_PARTITIONS`` of them are named in the filter, so that the scan skips the others;
+    beyond that the join alone picks the rows.
+    """
+    values = key_set(df, partition_by)
+    named = values.limit(MOST_PARTITIONS + 1).collect()
+    picked = target
+    if len(named) <= MOST_PARTITIONS:
+        for c in partition_by:
+            found = {r[c] for r in named}
+            test = F.col(c).isin(*[v for v in found if v is not None])
+            picked = picked.filter(test | F.col(c).isNull() if None in found else test)
+    renamed = values.withColumnsRenamed({c: f"__p_{c}" for c in partition_by})
+    same = [picked[c].eqNullSafe(renamed[f"__p_{c}"]) for c in partition_by]
+    return picked.join(renamed, same, "left_semi")
+
+
+def replace_keys(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
+    """Key replacement inside a partitioned table: only the touched partitions are read and written.
+
+    A key must not move between partitions. The new partitions are staged before any is replaced.
+    """
+    spark = df.sparkSession
+    target = spark.read.parquet(path)
+    fresh = maintain.replace_keys(touched_partitions(target, df, partition_by), df, keys)
+    replace_partitions(durable(fresh), path, partition_by)
+
+
 def copy_table(spark: SparkSession, source: str, target: str, lo_hi: tuple[str, str, str] | None = None) -> None:
     """Copy a table, or the rows of an inclusive range ``(column, lo, hi)``."""
     df = spark.read.parquet(source)

@@ -423,6 +423,19 @@ def sink_replace_partitions(i: Inputs):
     return i.spark.read.schema(stored).parquet(path).select("stcode", "cntdate", "sku", "version")
 
 
+@check("""SELECT month, stcode, sku, version FROM (SELECT left(cntdate, 6) AS month, stcode, sku, rpname, 'old' AS version FROM v_stk) o
+    WHERE NOT EXISTS (SELECT 1 FROM v_stk n WHERE n.skutype = 'Credit' AND n.cntdate >= '20000101' AND left(n.cntdate, 6) = o.month AND n.stcode = o.stcode)
+    UNION ALL SELECT left(cntdate, 6), stcode, sku, 'new' FROM v_stk WHERE skutype = 'Credit' AND cntdate >= '20000101'""")
+def sink_replace_keys(i: Inputs):
+    path = scratch_path(i.spark, "table")
+    rows = i.stk.select("stcode", "sku", "skutype", F.concat(F.lit("m"), F.left("cntdate", F.lit(6))).alias("month"))
+    stored = rows.drop("skutype").withColumn("version", F.lit("old"))
+    sinks.append(stored, path, ["month"])
+    fresh = rows.filter("skutype = 'Credit' AND month >= 'm200001'").drop("skutype").withColumn("version", F.lit("new"))
+    sinks.replace_keys(fresh, path, ["month", "stcode"], ["month"])
+    return i.spark.read.parquet(path).withColumn("month", F.substr("month", F.lit(2)))
+
+
 @check("SELECT stcode, cntdate, sku FROM v_stk WHERE cntdate BETWEEN '19970101' AND '19971231' AND stcode < '5'")
 def sink_rewrite_and_copy(i: Inputs):
     source, target = scratch_path(i.spark, "source"), scratch_path(i.spark, "target")

@@ -182,6 +182,21 @@ def test_rewrite_reads_its_own_table(spark, tmp_path):
     assert values(spark.read.parquet(path), "id") == [(7,), (8,), (9,)]
 
 
+def test_replace_keys_touches_few_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "day string, k int, v string"
+    sinks.append(spark.createDataFrame([("a", 1, "o"), ("a", 2, "o"), ("b", 1, "o"), (None, 1, "o"), (None, 3, "o")], schema), path, ["day"])
+    untouched = sorted(os.listdir(os.path.join(path, "day=b")))
+    fresh = spark.createDataFrame([("a", 1, "n"), (None, 1, "n"), ("c", 1, "n")], schema)
+    sinks.replace_keys(fresh.filter("day is not null"), path, ["day", "k"], ["day"])
+    want = [("a", 1, "n"), ("a", 2, "o"), ("b", 1, "o"), ("c", 1, "n"), (None, 1, "o"), (None, 3, "o")]
+    assert values(spark.read.parquet(path), "day", "k", "v") == sorted(want, key=str)
+    assert sorted(os.listdir(os.path.join(path, "day=b"))) == untouched
+    picked = sinks.touched_partitions(spark.read.parquet(path), fresh, ["day"])
+    assert values(picked, "day", "k") == sorted([("a", 1), ("a", 2), ("c", 1), (None, 1), (None, 3)], key=str)
+    assert "isnull(day" in picked._jdf.queryExecution().toString()
+
+
 def test_query_parameters_are_bound(spark):
     rows = tables.literal_relation(spark, [("a'b", 1), ("c", 2)], ["k", "v"])
     out = tables.scan_query(spark, "SELECT v FROM bound_rows WHERE k = :k", {"k": "a'b"}, bound_rows=rows)
