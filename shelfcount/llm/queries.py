@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, interleave, langid, poisson_mix, simhash
+from . import decontam, interleave, langid, poisson_mix, postings, ppm, simhash, skipchain, viterbi
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,10 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.leak_digest(decontam.find_leaks(docs, table(spark, folder, "benchmark")))
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.scored(table(spark, folder, "documents"))
+
+
 #: A-Z to a-z and nothing else.
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -57,10 +61,22 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.language_digest(table(spark, folder, "documents"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return postings.neighbours(table(spark, folder, "embeddings"))
+
+
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return skipchain.personal_digest(table(spark, folder, "documents"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return poisson_mix.mix_digest(table(spark, folder, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return viterbi.token_digest(table(spark, folder, "documents"))
+
+
 ORACLES["op8_mixing"] = f"""
 WITH sizes AS (
   SELECT source, sum(coalesce(strlen(text), 0) + 1)::BIGINT AS size, sqrt(sum(coalesce(strlen(text), 0) + 1)::DOUBLE) AS weight
@@ -82,5 +98,15 @@ SELECT *, ('0x' || substr(md5(concat_ws('|', '{poisson_mix.SEED}:place', doc_id:
 FROM copies
 """
 
-for _query in (op1_decontamination, op3_simhash, op4_sharding, op5_language_id, op8_mixing):
+for _query in (
+    op1_decontamination,
+    op2_lm_scoring,
+    op3_simhash,
+    op4_sharding,
+    op5_language_id,
+    op6_nearest_neighbours,
+    op7_personal_data,
+    op8_mixing,
+    op10_token_counts,
+):
     QUERIES[_query.__name__] = _query
