@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,7 +64,7 @@ def by_shard(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iter
     for rows in batches:
         if not rows.num_rows:
             continue
-        lengths = pa.compute.fill_null(pa.compute.binary_length(rows.column(column)), 0)
+        lengths = pc.fill_null(pc.binary_length(rows.column(column)), 0)
         ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64) + 1)
         start, done = 0, 0
         while start < rows.num_rows:

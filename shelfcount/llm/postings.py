@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -241,7 +242,7 @@ def _nearest_of(id_type: T.DataType, nearest: int):
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         query_ids, ids, scores = [], [], []
         if left.num_rows and right.num_rows:
-            order = pa.compute.sort_indices(left, sort_keys=[("id", "ascending")])
+            order = pc.sort_indices(left, sort_keys=[("id", "ascending")])
             left = left.take(order)
             own, base = left.column("id").to_numpy(), _vectors(left.column("v"))
             asked, wanted = right.column("id").to_numpy(), _vectors(right.column("v"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, interleave, langid, poisson_mix, postings, ppm, simhash, skipchain, viterbi
+from . import decontam, interleave, langid, page_diff, poisson_mix, postings, ppm, simhash, skipchain, viterbi
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,10 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return poisson_mix.mix_digest(table(spark, folder, "documents"))
 
 
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return page_diff.text_digest(table(spark, folder, "pages"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return viterbi.token_digest(table(spark, folder, "documents"))
 
@@ -107,6 +111,7 @@ for _query in (
     op6_nearest_neighbours,
     op7_personal_data,
     op8_mixing,
+    op9_main_text,
     op10_token_counts,
 ):
     QUERIES[_query.__name__] = _query
