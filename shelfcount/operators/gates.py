@@ -28,6 +28,12 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
+def open_plan(plan: DataFrame, atypes: Sequence[str] = ()) -> DataFrame:
+    """Plan rows that an import may rely on: with a branch, and of the given visit types if any are named."""
+    rows = plan.filter(F.col("branch").isNotNull())
+    return rows.filter(F.col("atype").isin(*atypes)) if atypes else rows
+
+
 def planned_only(df: DataFrame, plan: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with at least one plan row; duplicate plan rows do not multiply them."""
     return _semi(df, plan, keys)

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .gates import anti_join
+from .keys import key_set, per_key
 
 
 def append(target: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -30,14 +31,35 @@ def replace_range(target: DataFrame, incoming: DataFrame, col: str, lo: object,
     return append(target.filter(outside), incoming)
 
 
+def listed(col: str, values: Sequence[object], **equal: object) -> Column:
+    """Rows of the listed groups and of the ``equal`` values."""
+    test = F.col(col).isin(*values)
+    for name, value in equal.items():
+        test = test & (F.col(name) == value)
+    return test
+
+
 def replace_in_list(
     target: DataFrame, source: DataFrame, col: str, values: Sequence[object], **equal: object
 ) -> DataFrame:
     """Rows of the listed groups (and of the ``equal`` values) are replaced by the source's."""
-    listed = F.col(col).isin(*values)
-    for name, value in equal.items():
-        listed = listed & (F.col(name) == value)
-    return append(target.filter(~F.coalesce(listed, F.lit(False))), source.filter(listed))
+    rows = listed(col, values, **equal)
+    return append(target.filter(~F.coalesce(rows, F.lit(False))), source.filter(rows))
+
+
+def unseen_and_reload(
+    target: DataFrame, incoming: DataFrame, batch: str, check_keys: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that the target lacks, and all rows of the batches that have none of those.
+
+    The target is looked at once, by its keys; whether a row is unseen and whether its batch has
+    such a row are then flags on the incoming rows.
+    """
+    seen = key_set(target, check_keys).withColumn("__seen", F.lit(True))
+    flagged = incoming.join(seen, list(check_keys), "left").withColumn("__new", F.col("__seen").isNull()).drop("__seen")
+    fresh = per_key(flagged, [batch], F.max("__new").alias("__any"))
+    both = flagged.join(fresh, batch, "left").select(*incoming.columns, "__new", F.coalesce("__any", "__new").alias("__any"))
+    return both.filter("__new").drop("__new", "__any"), both.filter("NOT __any").drop("__new", "__any")
 
 
 def insert_new_or_reload(
@@ -47,8 +69,7 @@ def insert_new_or_reload(
 
     ``check_keys`` tell seen from unseen, ``delete_keys`` name the rows a reload replaces.
     """
-    unseen = anti_join(incoming, target, check_keys)
-    reload = anti_join(incoming, unseen, [batch])
+    unseen, reload = unseen_and_reload(target, incoming, batch, check_keys)
     kept = anti_join(target, reload, delete_keys)
     return kept.unionByName(unseen.drop(batch), allowMissingColumns=True).unionByName(
         reload.drop(batch), allowMissingColumns=True

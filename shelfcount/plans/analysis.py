@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
@@ -12,7 +12,6 @@ from ..operators import clean, gates, missrate, overlay, variance
 from ..operators.joins import enrich, year_round_match
 from ..operators.ranking import distinct_on, ranked_output, report_order, visit_rank
 from ..operators.sets import union_all
-from ..sources.tables import date_spine
 
 
 def variance_analysis(
@@ -103,58 +102,35 @@ def completeness(plan: DataFrame, result: DataFrame, bu: str, skip_types: Sequen
     return gates.unreported(due, result.filter(F.col("rpname") == "STK2"))
 
 
-def business_calendar(
-    spark: SparkSession, start: str, end: str, holidays: DataFrame, holiday: str = "date"
+def business_days(
+    df: DataFrame, start: str, end: str, holidays: DataFrame, holiday: str = "date", name: str = "age"
 ) -> DataFrame:
-    """Per day: business days before it and up to it, from the start of the calendar.
-
-    One row per day of the stated range, which bounds its size.
-    """
-    free = holidays.select(F.col(holiday).cast("date").alias("day")).distinct().withColumn("__h", F.lit(1))
-    days = date_spine(spark, start, end, "day").join(free, "day", "left")
-    off = F.when(F.col("__h").isNotNull() & (F.weekday("day") < 5), 1).otherwise(0)
-    until = F.sum(off).over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0))
-    numbered = days.withColumn("__off", off).withColumn("__until", until)
-    next_day = F.date_add("day", 1)
-    return numbered.select(
-        "day",
-        (dates.weekday_number(F.col("day")) - (F.col("__until") - F.col("__off"))).alias("before"),
-        (dates.weekday_number(next_day) - F.col("__until")).alias("through"),
-    )
-
-
-def business_days(df: DataFrame, start: str, end: str, calendar: DataFrame, name: str = "age") -> DataFrame:
     """Business days in [start, end); reversed dates count (end, start] as negative.
 
-    A date the calendar does not cover is an error, not a null.
+    Weekdays are counted by arithmetic, for any date; the weekday holidays, a sorted list of a few
+    days a year, are counted off per row.
     """
+    day = F.col(holiday).cast("date")
+    free = holidays.select(day.alias("day")).filter(F.weekday("day") < 5)
+    listed = free.agg(F.sort_array(F.collect_set("day")).alias("days")).scalar()
 
-    def side(prefix: str) -> DataFrame:
-        return F.broadcast(calendar.withColumnsRenamed({c: f"__{prefix}_{c}" for c in calendar.columns}))
+    def between(low: Column, high: Column) -> Column:
+        """Business days in [low, high)."""
+        off = F.size(F.filter("__free", lambda d: (d >= low) & (d < high)))
+        return dates.weekday_number(high) - dates.weekday_number(low) - off
 
-    joined = df.join(side("a"), F.col(start) == F.col("__a_day"), "left").join(
-        side("b"), F.col(end) == F.col("__b_day"), "left"
-    )
-    outside = (F.col(start).isNotNull() & F.col("__a_day").isNull()) | (
-        F.col(end).isNotNull() & F.col("__b_day").isNull()
-    )
-    forward = F.col("__b_before") - F.col("__a_before")
-    backward = F.col("__b_through") - F.col("__a_through")
-    age = (
-        F.when(outside, F.raise_error(F.lit("date outside the business calendar")).cast("long"))
-        .when(F.col(start) <= F.col(end), forward)
-        .otherwise(backward)
-    )
-    return joined.withColumn(name, age).select(*df.columns, name)
+    a, b = F.col(start), F.col(end)
+    age = F.when(a <= b, between(a, b)).when(a > b, -between(F.date_add(b, 1), F.date_add(a, 1)))
+    return df.withColumn("__free", listed).withColumn(name, age).select(*df.columns, name)
 
 
-def posting_age(plan: DataFrame, calendar: DataFrame, today: Column) -> DataFrame:
+def posting_age(plan: DataFrame, holidays: DataFrame, today: Column) -> DataFrame:
     """Business days from the visit (or count) to posting, with the report's groups."""
     counts = plan.filter(F.col("atype").isin("3F", "3Q"))
     started = year_round_match(counts, plan.filter(F.col("atype") == "4V")).withColumns(
         {"__start": dates.parse_date("start_date"), "__post": dates.parse_date("post_date")}
     )
-    aged = business_days(started, "__start", "__post", calendar)
+    aged = business_days(started, "__start", "__post", holidays)
     open_group = F.when(F.col("__start") <= today, "Pending").when(F.col("__start") > today, "Not Yet")
     return aged.withColumns(
         {

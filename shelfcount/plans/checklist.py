@@ -60,7 +60,7 @@ def score(
         }
     )
     keys = ["bu", "stcode", "cntdate"]
-    return gates.exists_gate(scored.drop("id"), plan, stored, keys)
+    return gates.exists_gate(scored.drop("id"), gates.open_plan(plan), stored, keys)
 
 
 def rename_mapping(mapping: DataFrame) -> DataFrame:

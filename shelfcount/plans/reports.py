@@ -26,6 +26,7 @@ class ReportPolicy:
     * ``skutype``: ``"countname"`` (second character), ``"var"`` (from variance detail), a fixed
       text, or ``None`` for files that carry their own type.
     * ``date``: count date from the file ``"name"``, the ``"cntnum"`` or a ``"column"``.
+    * ``plan_types``: visit types of the plan rows that count; a plan row needs a branch in any case.
     * ``name``: parts of the file name; ``exact_name`` rejects names with another number of them.
     """
 
@@ -47,6 +48,7 @@ class ReportPolicy:
     physical: bool = False
     variance: bool = False
     plan_keys: tuple[str, ...] = ("bu", "stcode", "cntdate")
+    plan_types: tuple[str, ...] = ("3F",)
     loaded_keys: tuple[str, ...] = ("stcode", "cntdate", "skutype", "rpname")
 
 
@@ -194,7 +196,8 @@ def import_report(
     report: str | None = None,
 ) -> DataFrame:
     """Rows to append: planned and not loaded before."""
-    rows = gates.planned_only(prepare_report(raw, policy, var, report), plan, policy.plan_keys)
+    planned = gates.open_plan(plan, policy.plan_types)
+    rows = gates.planned_only(prepare_report(raw, policy, var, report), planned, policy.plan_keys)
     return gates.not_loaded(rows, loaded, policy.loaded_keys)
 
 
@@ -207,19 +210,28 @@ def reload_report(
     var: DataFrame | None = None,
 ) -> DataFrame:
     """New table: per file, unseen rows are added alone; a file without any replaces its count."""
-    rows = gates.planned_only(prepare_report(raw, policy, var), plan, policy.plan_keys)
+    planned = gates.open_plan(plan, policy.plan_types)
+    rows = gates.planned_only(prepare_report(raw, policy, var), planned, policy.plan_keys)
     return insert_new_or_reload(target, rows, "file", ["bu", *policy.loaded_keys], delete_keys)
 
 
 def upload_csv(
-    raw: DataFrame, plan: DataFrame, plan_add: DataFrame, loaded: DataFrame, sku: str = "skcode"
+    raw: DataFrame,
+    plan: DataFrame,
+    plan_add: DataFrame,
+    loaded: DataFrame,
+    sku: str = "skcode",
+    plan_types: Sequence[str] = ("3F", "3Q"),
 ) -> dict[str, DataFrame]:
-    """Combined CSV of several counts: accepted rows and both reject reports."""
+    """Combined CSV of several counts: accepted rows and both reject reports.
+
+    Additional plan rows count whatever their type.
+    """
     rows = drop_dupes(clean.require(raw, [sku])).withColumns(
         {"stcode": text.cntnum_store("cntnum"), "cntdate": text.cntnum_date("cntnum")}
     )
     keys = ["stcode", "cntdate"]
-    planned = plan.select(*keys).unionByName(plan_add.select(*keys))
+    planned = gates.open_plan(plan, plan_types).select(*keys).unionByName(gates.open_plan(plan_add).select(*keys))
     return dict(gates.upload_gate(rows, planned, loaded, keys, ["cntnum", "rpname"]))
 
 
@@ -234,16 +246,18 @@ def reconcile_sheet(raw: DataFrame, sheet: str, plan: DataFrame, loaded: DataFra
         {"skutype": text.skutype_of("countname"), "rpname": F.lit(sheet)}
     )
     file_keys = ["bu", "stcode", "cntdate"]
-    planned = plan.filter(F.col("atype") == "3F")
+    planned = gates.open_plan(plan, ["3F"])
     return gates.exists_gate(clean.require(rows, ["sku"]), planned, loaded, file_keys)
 
 
-def sales_sheet(raw: DataFrame, plan: DataFrame, loaded: DataFrame, store: str = "mdstor2") -> DataFrame:
+def sales_sheet(
+    raw: DataFrame, plan: DataFrame, loaded: DataFrame, store: str = "mdstor2", plan_types: Sequence[str] = ("3F",)
+) -> DataFrame:
     """Sales rows of the file's own store, planned, not loaded, without duplicates."""
     found = text.parse_filename("file", ["a", "b", "stcode", "cntdate", "e"], exact=True)
     rows = raw.drop("line").withColumns({"__store": found["stcode"], "cntdate": found["cntdate"]})
     rows = rows.filter(F.col(store) == F.col("__store")).drop("__store")
     rows = clean.rename_map(rows, {store: "mdstor"})
-    planned = plan.select(F.col("stcode").alias("mdstor"), "cntdate")
+    planned = gates.open_plan(plan, plan_types).select(F.col("stcode").alias("mdstor"), "cntdate")
     keys = ["mdstor", "cntdate"]
     return drop_dupes(gates.exists_gate(rows, planned, loaded, keys).drop("file"))

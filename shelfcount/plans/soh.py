@@ -48,9 +48,12 @@ STORE_SHEET_POSITIONS = {
 
 
 def store_summary(files: DataFrame, sheets: Sequence[str], bu: str, skip_rows: int = 3) -> DataFrame:
-    """Store totals given by a workbook, dated by the title of its first sheet."""
+    """Store totals given by a workbook, dated by the title of its first sheet.
+
+    A file without a date in its title gives no rows.
+    """
     rows = read_sheets_union(files, sheets, STORE_SHEET_POSITIONS, "A:O", skip_rows)
-    dated = enrich(rows, title_date(files, sheets[0]), ["file"])
+    dated = rows.join(title_date(files, sheets[0]), "file")
     return dated.select(
         text.store_code(F.lit(bu), "stcode").alias("code"),
         F.lit(bu).alias("bu"),

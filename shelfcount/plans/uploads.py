@@ -100,7 +100,7 @@ def approved_rows(files: DataFrame, plan: DataFrame, sheet: str = "Summary") ->
         .withColumnRenamed("remark (root cause)", "remark root cause")
     )
     rows = clean.cast_map(rows, dict.fromkeys(["count", "add/edit", "scan error"], "double"))
-    planned = gates.planned_only(rows, plan, ["stcode", "cntdate"])
+    planned = gates.planned_only(rows, gates.open_plan(plan), ["stcode", "cntdate"])
     block = side_block(files, sheet, "L:M", 2, SIDE_NAMES)
     block = clean.cast_map(block, {c: "double" for row in SIDE_NAMES for c in row})
     blocked = planned.join(block, "file", "inner")

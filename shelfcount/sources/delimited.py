@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import _col, zfill
-from ..operators.clean import clean_cells, normalise_names, require, with_constants
+from ..operators.clean import clean_cells, clean_name, normalise_names, require, with_constants
+from ..operators.sets import union_all
 
 LATIN_1 = "ISO-8859-1"
 THAI_CODE_PAGES = {"cp874", "windows-874", "tis-620", "tis620"}
@@ -50,13 +51,30 @@ def decode_text(df: DataFrame, charset: str, errors: str = "replace") -> DataFra
     return out
 
 
-def _reader(spark: SparkSession, sep: str, encoding: str, glob: str | None):
+def _options(sep: str) -> dict[str, str]:
+    return {"sep": sep, "quote": '"', "escape": '"'}
+
+
+def _reader(spark: SparkSession, sep: str, encoding: str, glob: str | None, multiline: bool = False):
     thai = encoding.lower() in THAI_CODE_PAGES
-    reader = spark.read.option("sep", sep).option("encoding", LATIN_1 if thai else encoding)
-    reader = reader.option("quote", '"').option("escape", '"')
+    reader = spark.read.options(**_options(sep)).option("encoding", LATIN_1 if thai else encoding)
+    reader = reader.option("multiLine", multiline)
     return reader.option("pathGlobFilter", glob) if glob else reader
 
 
+def _lines(spark: SparkSession, path: str | list[str], encoding: str, glob: str | None = None) -> DataFrame:
+    """Physical lines, blank ones too: value, file, start of the split, and a number that rises along a split."""
+    thai = encoding.lower() in THAI_CODE_PAGES
+    reader = spark.read.option("encoding", LATIN_1 if thai else encoding)
+    reader = reader.option("pathGlobFilter", glob) if glob else reader
+    return reader.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__id"),
+    )
+
+
 def scan_positional(
     spark: SparkSession,
     path: str | list[str],
@@ -68,10 +86,64 @@ def scan_positional(
     multiline: bool = False,
 ) -> DataFrame:
     """Headerless file with given names; missing trailing cells are null."""
-    reader = _reader(spark, sep, encoding, glob).schema(all_strings(names)).option("multiLine", multiline)
+    reader = _reader(spark, sep, encoding, glob, multiline).schema(all_strings(names))
     return decode_text(reader.csv(path, header=False), encoding, errors)
 
 
+def _by_header(
+    spark: SparkSession,
+    path: str | list[str],
+    sep: str,
+    encoding: str,
+    glob: str | None,
+    multiline: bool,
+    names: Sequence[str] | None,
+) -> DataFrame:
+    """Rows of files that each have a header of their own; columns by cleaned name, with the file's path.
+
+    A file's header is the first non-blank line of its first split. Files are read once for each
+    distinct header; columns that a file lacks are null. Without ``names`` the columns are all that
+    occur, in the order of the headers as text.
+    """
+    first = F.min_by("value", "__id").alias("header")
+    lines = _lines(spark, path, encoding, glob).filter((F.col("__start") == 0) & (F.trim("value") != ""))
+    headers = lines.groupBy("__file").agg(first)
+    # One entry for each layout, not for each file.
+    layouts = [r.header for r in headers.select("header").distinct().orderBy("header").collect()]
+    parsed = {h: _cells(spark, h, sep, encoding) for h in layouts}
+    every = list(names) if names is not None else list(dict.fromkeys(c for h in layouts for c in parsed[h]))
+    wanted = {clean_name(n): n for n in every}
+    if not layouts:
+        empty = T.StructType([*all_strings(every).fields, T.StructField("__path", T.StringType())])
+        return spark.createDataFrame([], empty)
+    frames = []
+    for header in layouts:
+        places = {c: k for k, c in reversed(list(enumerate(parsed[header])))}
+        schema = all_strings([f"_{k}" for k in range(len(parsed[header]))])
+        reader = _reader(spark, sep, encoding, glob, multiline).schema(schema)
+        rows = reader.csv(path, header=True).select("*", F.col("_metadata.file_path").alias("__path"))
+        if len(layouts) > 1:
+            own = headers.filter(F.col("header") == header).select(F.col("__file").alias("__path"))
+            rows = rows.join(own, "__path", "left_semi")
+        cells = [
+            (F.col(f"_{places[c]}") if c in places else F.lit(None).cast("string")).alias(n) for c, n in wanted.items()
+        ]
+        frames.append(rows.select(*cells, "__path"))
+    return union_all(*frames)
+
+
+def _cells(spark: SparkSession, header: str, sep: str, encoding: str) -> list[str]:
+    """Cleaned names of a header line, as the reader would cut it; later repeats get no column."""
+    line = spark.createDataFrame([(header,)], "value string")
+    width = header.count(sep) + 1
+    cells = F.from_csv("value", ",".join(f"_{k} string" for k in range(width)), _options(sep))
+    decoded = decode_text(line.select(cells.alias("r")).select("r.*"), encoding)
+    found = [clean_name(c) if c is not None else "" for c in decoded.first()]
+    while found and not found[-1]:
+        found.pop()
+    return found
+
+
 def scan_headered(
     spark: SparkSession,
     path: str | list[str],
@@ -80,9 +152,13 @@ def scan_headered(
     errors: str = "replace",
     glob: str | None = None,
     quotes: str = "edges",
+    multiline: bool = False,
 ) -> DataFrame:
-    """File with a header; names lower-cased, quote marks stripped from names and cells."""
-    raw = _reader(spark, sep, encoding, glob).csv(path, header=True)
+    """Files with headers; names lower-cased, quote marks stripped from names and cells.
+
+    Every file is read by its own header, whatever its order.
+    """
+    raw = _by_header(spark, path, sep, encoding, glob, multiline, None).drop("__path")
     return clean_cells(normalise_names(decode_text(raw, encoding, errors)), quotes)
 
 
@@ -93,15 +169,33 @@ def scan_pipe(
     encoding: str = "cp874",
     store: str | None = "stcode",
     store_width: int = 3,
+    multiline: bool = False,
     **constants: object,
 ) -> DataFrame:
     """Pipe-separated master file with padded store code and constant columns."""
-    df = scan_positional(spark, path, names, sep="|", encoding=encoding)
+    df = scan_positional(spark, path, names, sep="|", encoding=encoding, multiline=multiline)
     if store:
         df = df.withColumn(store, zfill(store, store_width))
     return with_constants(df, **constants)
 
 
+#: Stand for line ends inside quoted cells while records are cut; private-use characters.
+BREAKS = "\uf8fe\uf8ff"
+
+
+def _records(spark: SparkSession, path: str | list[str], skip: int, encoding: str) -> DataFrame:
+    """Records of files without their first lines; a record may span lines inside quotes.
+
+    A file is one task, as for any reader of such records.
+    """
+    thai = encoding.lower() in THAI_CODE_PAGES
+    whole = spark.read.option("encoding", LATIN_1 if thai else encoding).text(path, wholetext=True)
+    body = F.regexp_replace("value", rf"^(?:[^\r\n]*(?:\r\n|\r|\n)){{0,{skip}}}", "") if skip else F.col("value")
+    # Every second part between quote marks is inside a cell.
+    parts = F.transform(F.split(body, '"'), lambda x, k: F.when(k % 2 == 1, F.translate(x, "\r\n", BREAKS)).otherwise(x))
+    return whole.select(F.explode(F.split(F.array_join(parts, '"'), r"\r\n|\r|\n")).alias("value"))
+
+
 def scan_skip(
     spark: SparkSession,
     path: str | list[str],
@@ -110,28 +204,31 @@ def scan_skip(
     key: str | None = None,
     sep: str = ",",
     encoding: str = "UTF-8",
+    multiline: bool = False,
 ) -> DataFrame:
-    """Drop the first ``skip`` physical lines of every file, then rows lacking ``key``."""
-    thai = encoding.lower() in THAI_CODE_PAGES
-    if skip <= 1:
-        reader = _reader(spark, sep, encoding, None).schema(all_strings(names))
-        df = reader.csv(path, header=bool(skip))
+    """Drop the first ``skip`` physical lines of every file, then rows lacking ``key``.
+
+    Blank lines count as lines; blank lines after them are no rows. With ``multiline`` quoted cells
+    may hold line ends. The lines to drop are found in first splits only, at most ``skip`` for each
+    file; later splits are not looked at.
+    """
+    if multiline:
+        body = _records(spark, path, skip, encoding)
     else:
-        # A split is read in order by one task, so ids of a file's first split count up by one.
-        lines = spark.read.option("encoding", LATIN_1 if thai else encoding).csv(
-            path, schema="value string", sep="\x01", quote="", ignoreLeadingWhiteSpace=False
-        ).select(
-            "value",
-            F.col("_metadata.file_path").alias("__file"),
-            F.col("_metadata.file_block_start").alias("__start"),
-        ).withColumn("__id", F.monotonically_increasing_id())
-        firsts = lines.filter("__start = 0").groupBy("__file").agg(F.min("__id").alias("__first"))
-        body = lines.join(firsts, "__file").filter(
-            (F.col("__start") > 0) | (F.col("__id") >= F.col("__first") + skip)
-        )
-        options = {"sep": sep, "quote": '"', "escape": '"'}
-        parsed = F.from_csv("value", ",".join(f"`{n}` string" for n in names), options)
-        df = body.select(parsed.alias("r")).select("r.*")
+        body = _lines(spark, path, encoding)
+        if skip:
+            # A split is read in order by one task, so numbers of a file's first split rise with its lines.
+            first = body.filter("__start = 0")
+            order = Window.partitionBy("__file").orderBy("__id")
+            top = first.select("__file", "__id").withColumn("__line", F.row_number().over(order))
+            dropped = top.filter(F.col("__line") <= skip).select(F.col("__id").alias("__top"))
+            kept = first.join(dropped, F.col("__id") == F.col("__top"), "left_anti")
+            body = kept.unionByName(body.filter("__start > 0"))
+        body = body.select("value")
+    parsed = F.from_csv("value", ",".join(f"`{n}` string" for n in names), _options(sep))
+    df = body.filter(F.trim("value") != "").select(parsed.alias("r")).select("r.*")
+    if multiline:
+        df = df.withColumns({n: F.translate(F.col(f"`{n}`"), BREAKS, "\r\n") for n in names})
     df = decode_text(df, encoding)
     return require(df, [key]) if key else df
 
@@ -144,13 +241,19 @@ def scan_folder(
     sep: str = ",",
     encoding: str = "UTF-8",
     header: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """All files of a folder with the given endings, plus the file each row came from.
 
+    With a header, ``names`` are found in every file's own header; a file that lacks one has nulls.
     Empty files hold no rows and drop out by themselves.
     """
     endings = ",".join(s.lstrip(".") for s in suffixes)
     glob = f"*.{{{endings}}}" if len(suffixes) > 1 else f"*.{endings}"
-    reader = _reader(spark, sep, encoding, glob).schema(all_strings(names))
-    df = reader.csv(folder, header=header).select("*", F.col("_metadata.file_name").alias("file"))
+    if header:
+        df = _by_header(spark, folder, sep, encoding, glob, multiline, names)
+        df = df.withColumn("file", F.element_at(F.split(F.url_decode("__path"), "/"), -1)).drop("__path")
+    else:
+        reader = _reader(spark, sep, encoding, glob, multiline).schema(all_strings(names))
+        df = reader.csv(folder, header=False).select("*", F.col("_metadata.file_name").alias("file"))
     return decode_text(df, encoding)

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def scan_query(
@@ -17,21 +18,19 @@ def scan_query(
     return spark.sql(query, args=dict(params or {}))
 
 
-FEW_SPLITS = 32
+def table_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of a stored table whose partition columns are text, as their folder names are.
 
+    Reading a table without a schema would turn a partition value such as ``00123`` into 123.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return own.read.parquet(path).schema
 
-def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """Parquet table; a scan of very few splits is spread over the cores by ``spread_by``.
 
-    One file with one row group is one task, however many cores wait. Only scans of fewer
-    splits than cores, and of fewer than ``FEW_SPLITS``, are spread, so a large table is never
-    shuffled for this.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and df.rdd.getNumPartitions() < min(cores, FEW_SPLITS):
-        return df.repartition(cores, spread_by)
-    return df
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Stored table with the given schema, or its own one with text partition columns."""
+    return spark.read.schema(schema or table_schema(spark, path)).parquet(path)
 
 
 def scan_jdbc(

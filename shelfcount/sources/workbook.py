@@ -207,10 +207,10 @@ def read_sheets_union(
 
 
 def title_date(files: DataFrame, sheet: str | None = None) -> DataFrame:
-    """(file, DATE): last word of the first cell, written ``dd-Mon-yyyy``."""
+    """(file, DATE): last word of the first cell, written ``d-Mon-yyyy``; files without such a date are absent."""
     title = read_workbooks(files, ["title"], sheet, "A:A", 0, 1, header=False)
     word = F.element_at(F.split(F.trim("title"), r"\s+"), -1)
-    return title.select("file", dates.date_key(word, "dd-MMM-yyyy").alias("DATE"))
+    return title.select("file", dates.date_key(word, "d-MMM-yyyy").alias("DATE")).filter(F.col("DATE").isNotNull())
 
 
 def side_block(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import exact
 from ..operators.ranking import keep_first
-from .intake import BATCH, _write_batch
+from .intake import BATCH, QUERY, _write_batch, query_of
+
+#: When a batch was written; a stream that starts anew writes its versions later than the one before.
+WRITTEN = "written_at"
 
 
 def scan_totals(scans: DataFrame, keys: Sequence[str] = ("stocktakeid", "location", "sku")) -> DataFrame:
@@ -30,11 +34,13 @@ def changed_rows(path: str) -> Callable[[DataFrame, int], None]:
     """Batch function for update mode: the changed groups of a batch go into its partition."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch, path, batch_id)
+        stamped = batch.withColumn(WRITTEN, F.lit(time.time_ns()))
+        _write_batch(stamped, path, query_of(batch), batch_id)
 
     return each
 
 
 def current_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Newest version of every group written by ``changed_rows``."""
-    return keep_first(changes, keys, [F.col(BATCH).desc()]).drop(BATCH)
+    newest = [F.col(WRITTEN).desc(), F.col(BATCH).desc()]
+    return keep_first(changes, keys, newest).drop(QUERY, BATCH, WRITTEN)

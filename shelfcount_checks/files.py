@@ -18,7 +18,7 @@ from shelfcount.operators import clean
 from shelfcount.plans import masters, reports, soh, staffing, uploads
 from shelfcount.policy import SOH_POLICIES
 from shelfcount.session import scratch_path
-from shelfcount.sources import delimited, sinks, workbook
+from shelfcount.sources import delimited, sinks, tables, workbook
 
 from .inputs import Inputs, check, text_of
 from .summaries import item_master
@@ -80,6 +80,45 @@ def scan_skip_many(i: Inputs):
     return delimited.scan_skip(i.spark, path, ["sku", "des", "sbc1"], skip=3, key="sbc1")
 
 
+REORDERED = "SELECT sku, des, CASE WHEN sku LIKE '%1' THEN NULL ELSE dept END AS dept FROM v_master"
+
+
+def reordered(i: Inputs) -> str:
+    """Files of three layouts in one folder: columns in another order, a missing and a surplus one."""
+    path = scratch_path(i.spark, "files")
+    last = F.right("sku", F.lit(1))
+    rows = i.master.select("sku", "des", "dept", last.alias("last"))
+    layouts = (("last < '1'", ["sku", "des", "dept"]), ("last = '1'", ["des", "sku"]), ("last > '1'", ["dept", "last", "SKU", " Des"]))
+    for condition, names in layouts:
+        part = rows.filter(condition).select(*[F.col(n.strip().lower()).alias(n) for n in names])
+        part.write.mode("append").options(header=True, escape='"').csv(path)
+    return path
+
+
+@check(REORDERED)
+def scan_headered_reordered(i: Inputs):
+    return delimited.scan_headered(i.spark, reordered(i)).select("sku", "des", "dept")
+
+
+@check(REORDERED)
+def scan_folder_reordered(i: Inputs):
+    return delimited.scan_folder(i.spark, reordered(i), ["sku", "des", "dept"]).drop("file")
+
+
+@check("""SELECT sku, des || chr(1) || 'y' AS des, dept FROM v_master UNION ALL SELECT sku, des || chr(10) || '"y', dept FROM v_master""")
+def scan_skip_blank_lines(i: Inputs):
+    # A title, a blank line and the header are three lines. Five hundred items to a file.
+    rows = i.master.select("sku", "des", "dept", F.floor(F.col("sku").cast("bigint") / 500).alias("part"))
+    out = []
+    for cell, multiline in ((F.concat("des", F.lit("\x01y")), False), (F.concat("des", F.lit('\n""y')), True)):
+        line = F.concat("sku", F.lit(',"'), cell, F.lit('",'), "dept")
+        files = rows.groupBy("part").agg(F.concat_ws("\n", F.lit("title\n\nsku,des,dept"), F.collect_list(line)).alias("value"))
+        path = scratch_path(i.spark, "lines")
+        files.write.partitionBy("part").text(path)
+        out.append(delimited.scan_skip(i.spark, path, ["sku", "des", "dept"], skip=3, multiline=multiline))
+    return out[0].unionByName(out[1])
+
+
 @check("SELECT stcode, cntdate, sku, 1 AS files FROM v_stk")
 def scan_folder(i: Inputs):
     path = written(i, i.stk.select("stcode", "cntdate", "sku"), header=True)
@@ -175,6 +214,8 @@ YEAR = "left(cntdate, 4) || '0101'"
 # Report lines by district and year: a store of the book is the last digit of the stand-in store.
 BOOKED = f"(SELECT {DISTRICT} AS stcode, {YEAR} AS cntdate, skutype, rpname, sku, soh, qty_var FROM v_stk)"
 PLANNED = f"(SELECT {DISTRICT} AS stcode, {YEAR} AS cntdate FROM v_planm GROUP BY 1, 2 HAVING count(*) % 3 > 0)"
+# Planned with a branch, whatever the visit.
+VISITED = f"(SELECT {DISTRICT} AS stcode, {YEAR} AS cntdate FROM v_planm GROUP BY 1, 2 HAVING count(*) % 3 > 0 OR {DISTRICT} NOT IN ('0', '2', '6', '8'))"
 
 
 def by_district(df: DataFrame) -> DataFrame:
@@ -188,8 +229,15 @@ def booked(i: Inputs, report: str = "STK1") -> DataFrame:
 
 
 def planned(i: Inputs) -> DataFrame:
+    """Plan of the books: some visits are planned three times, some lack a branch, some are 4V only."""
     counted = by_district(i.planm).groupBy("stcode", "cntdate").agg((F.count(F.lit(1)) % 3).alias("n"))
-    return counted.filter("n > 0").select(F.lit("BU").alias("bu"), "stcode", "cntdate")
+    full, bare, other = ("3F", "b"), ("3F", None), ("4V", "b")
+
+    def rows(*pairs: tuple[str, str | None]):
+        return F.array(*[F.struct(F.lit(a).alias("atype"), F.lit(b).cast("string").alias("branch")) for a, b in pairs])
+
+    visits = F.when(F.col("n") > 0, rows(full, bare, other)).when(F.col("stcode").isin("0", "2", "6", "8"), rows(bare)).otherwise(rows(other))
+    return counted.select(F.lit("BU").alias("bu"), "stcode", "cntdate", F.explode(visits).alias("v")).select("bu", "stcode", "cntdate", "v.*")
 
 
 def done(i: Inputs, report: str = "STK1") -> DataFrame:
@@ -245,7 +293,8 @@ def report_import_detail(i: Inputs):
     files = books(i, lines, "file", ["cntnum", "skcode", "prtype"])
     raw = workbook.read_workbooks(files, ["cntnum", "skcode", "prtype"])
     keys = base.select(F.lit("BU").alias("bu"), store.alias("stcode"), day.alias("cntdate"), F.col("skutype").alias("prtype"), F.lit("VAR1").alias("rpname"))
-    out = reports.import_report(raw, reports.COUNT_DETAIL_CLEAN, keys, keys.filter("stcode = '00004' AND prtype = 'Credit'"))
+    plan = keys.withColumns({"atype": F.lit("3F"), "branch": F.lit("b")})
+    out = reports.import_report(raw, reports.COUNT_DETAIL_CLEAN, plan, keys.filter("stcode = '00004' AND prtype = 'Credit'"))
     return out.select("stcode", "cntdate", "skcode", "prtype").distinct()
 
 
@@ -294,7 +343,10 @@ def report_reload(i: Inputs):
         F.lit("BU").alias("bu"), store.alias("stcode"), "cntdate", F.col("sku").alias("skcode"), F.col("skutype").alias("prtype"),
         F.lit("VAR1").alias("rpname"), F.concat(store, F.lit("F")).alias("cntnum"),
     ).distinct().withColumn("version", F.lit("old"))
-    plan = lines.select(F.lit("BU").alias("bu"), F.split_part("file", F.lit("_"), F.lit(3)).alias("stcode"), F.split_part("file", F.lit("_"), F.lit(4)).alias("cntdate"))
+    plan = lines.select(
+        F.lit("BU").alias("bu"), F.split_part("file", F.lit("_"), F.lit(3)).alias("stcode"), F.split_part("file", F.lit("_"), F.lit(4)).alias("cntdate"),
+        F.lit("3F").alias("atype"), F.lit("b").alias("branch"),
+    )
     out = reports.reload_report(raw, reports.STORE_COUNT, plan, held, ["rpname", "cntnum", "prtype"])
     version = F.coalesce("version", F.lit("new"))
     return out.groupBy("stcode", "cntdate", "prtype").agg(F.count(F.lit(1)).alias("rows"), F.max(version).alias("version"))
@@ -305,7 +357,7 @@ def reconcile_sheet(i: Inputs):
     lines = booked(i).select("file", "sku", F.lit("XB").alias("countname"), "rpname").distinct()
     files = books(i, lines, "file", ["SKU", "CountName", "Reason"], "Block")
     raw = workbook.read_workbooks(files, ["sku", "countname", "reason"], sheet="Block")
-    out = reports.reconcile_sheet(raw, "Block", planned(i).withColumn("atype", F.lit("3F")), done(i), "reason")
+    out = reports.reconcile_sheet(raw, "Block", planned(i), done(i), "reason")
     return out.select("stcode", "cntdate", "remark", "sku", "skutype")
 
 
@@ -339,7 +391,7 @@ def store_summary(i: Inputs):
 
 APPROVED = f"""SELECT DISTINCT stcode, cntdate, sku AS barcode, CAST(soh AS DOUBLE) AS count, CASE skutype WHEN 'Credit' THEN 'OUTSOURCE' ELSE 'PST' END AS who,
     10.0::DOUBLE AS scan_own, 21.0::DOUBLE AS qty_other, 0.0::DOUBLE AS sku_other FROM {BOOKED} s
-    WHERE EXISTS (SELECT 1 FROM {PLANNED} p WHERE p.stcode = s.stcode AND p.cntdate = s.cntdate)
+    WHERE EXISTS (SELECT 1 FROM {VISITED} p WHERE p.stcode = s.stcode AND p.cntdate = s.cntdate)
     AND NOT EXISTS (SELECT 1 FROM {BOOKED} x WHERE x.stcode = '6' AND x.stcode = s.stcode AND x.cntdate = s.cntdate AND x.sku LIKE '%0')"""
 
 
@@ -423,26 +475,97 @@ def sink_replace_partitions(i: Inputs):
     return i.spark.read.schema(stored).parquet(path).select("stcode", "cntdate", "sku", "version")
 
 
-@check("""SELECT month, stcode, sku, version FROM (SELECT left(cntdate, 6) AS month, stcode, sku, rpname, 'old' AS version FROM v_stk) o
-    WHERE NOT EXISTS (SELECT 1 FROM v_stk n WHERE n.skutype = 'Credit' AND n.cntdate >= '20000101' AND left(n.cntdate, 6) = o.month AND n.stcode = o.stcode)
-    UNION ALL SELECT left(cntdate, 6), stcode, sku, 'new' FROM v_stk WHERE skutype = 'Credit' AND cntdate >= '20000101'""")
+PADDED = "(SELECT cntdate, lpad(stcode, 5, '0') AS stcode, sku, skutype FROM v_stk)"
+
+
+def padded(i: Inputs) -> DataFrame:
+    """Report lines with store codes as they are stored: text with leading zeros."""
+    return i.stk.select("cntdate", F.lpad("stcode", 5, "0").alias("stcode"), "sku", "skutype")
+
+
+@check(f"""SELECT cntdate, stcode, sku, 'old' AS version FROM {PADDED} o
+    WHERE NOT EXISTS (SELECT 1 FROM {PADDED} n WHERE n.skutype = 'Credit' AND n.stcode < '00003' AND n.cntdate = o.cntdate AND n.stcode = o.stcode)
+    UNION ALL SELECT cntdate, stcode, sku, 'new' FROM {PADDED} WHERE skutype = 'Credit' AND stcode < '00003'""")
 def sink_replace_keys(i: Inputs):
     path = scratch_path(i.spark, "table")
-    rows = i.stk.select("stcode", "sku", "skutype", F.concat(F.lit("m"), F.left("cntdate", F.lit(6))).alias("month"))
-    stored = rows.drop("skutype").withColumn("version", F.lit("old"))
-    sinks.append(stored, path, ["month"])
-    fresh = rows.filter("skutype = 'Credit' AND month >= 'm200001'").drop("skutype").withColumn("version", F.lit("new"))
-    sinks.replace_keys(fresh, path, ["month", "stcode"], ["month"])
-    return i.spark.read.parquet(path).withColumn("month", F.substr("month", F.lit(2)))
+    rows = padded(i)
+    sinks.append(sinks.clustered(rows.drop("skutype").withColumn("version", F.lit("old")), ["stcode"]), path, ["stcode"])
+    fresh = rows.filter("skutype = 'Credit' AND stcode < '00003'").drop("skutype").withColumn("version", F.lit("new"))
+    sinks.replace_keys(fresh, path, ["cntdate", "stcode"], ["stcode"])
+    return tables.read_table(i.spark, path).select("cntdate", "stcode", "sku", "version")
 
 
-@check("SELECT stcode, cntdate, sku FROM v_stk WHERE cntdate BETWEEN '19970101' AND '19971231' AND stcode < '5'")
+@check(f"SELECT cntdate, stcode, sku, 'copy' AS version FROM {PADDED} WHERE cntdate BETWEEN '19970101' AND '19971231'")
+def sink_copy_partitioned(i: Inputs):
+    source, target = scratch_path(i.spark, "source"), scratch_path(i.spark, "target")
+    rows = padded(i).drop("skutype").withColumn("version", F.lit("copy"))
+    sinks.append(sinks.clustered(rows, ["stcode"]), source, ["stcode"])
+    sinks.copy_table(i.spark, source, target, ("cntdate", "19970101", "19971231"), ["stcode"])
+    return tables.read_table(i.spark, target).select("cntdate", "stcode", "sku", "version")
+
+
+@check("""SELECT stcode, cntdate, sku, 'old' AS version FROM v_stk WHERE NOT cntdate BETWEEN '19970101' AND '19970601'
+    UNION ALL SELECT stcode, cntdate, sku, 'new' FROM v_stk WHERE cntdate BETWEEN '19970101' AND '19970601' AND rpname = 'STK2'""")
+def sink_replace_range(i: Inputs):
+    path, rows = stored_by_month(i)
+    fresh = rows.filter("cntdate BETWEEN '19970101' AND '19970601' AND rpname = 'STK2'").drop("rpname")
+    sinks.replace_range(path, fresh.withColumn("version", F.lit("new")), "cntdate", "19970101", "19970601", ["cntdate"])
+    return tables.read_table(i.spark, path).select("stcode", "cntdate", "sku", "version")
+
+
+def stored_by_month(i: Inputs, condition: str = "true") -> tuple[str, DataFrame]:
+    """A table of report lines partitioned by count date, and the lines themselves."""
+    path = scratch_path(i.spark, "table")
+    rows = i.stk.select("stcode", "sku", "cntdate", "rpname", "skutype")
+    old = rows.filter(condition).drop("rpname", "skutype").withColumn("version", F.lit("old"))
+    sinks.append(sinks.clustered(old, ["cntdate"]), path, ["cntdate"])
+    return path, rows.drop("skutype") if condition == "true" else rows
+
+
+@check("""SELECT stcode, cntdate, sku, 'old' AS version FROM v_stk WHERE NOT (cntdate IN ('19970101', '19980301') AND stcode = '1')
+    UNION ALL SELECT stcode, cntdate, sku, 'new' FROM v_stk WHERE cntdate IN ('19970101', '19980301') AND stcode = '1' AND rpname = 'STK1'""")
+def sink_replace_in_list(i: Inputs):
+    path, rows = stored_by_month(i)
+    source = rows.filter("rpname = 'STK1'").drop("rpname").withColumn("version", F.lit("new"))
+    sinks.replace_in_list(path, source, "cntdate", ["19970101", "19980301"], ["cntdate"], stcode="1")
+    return tables.read_table(i.spark, path).select("stcode", "cntdate", "sku", "version")
+
+
+# Months from 1997 on are stored for even ones only; Credit lines of two years come in, by month.
+RELOADED = "substring(cntdate, 5, 2) IN ('02', '04', '06', '08', '10', '12')"
+
+
+@check(f"""SELECT stcode, cntdate, sku, 'old' AS version FROM v_stk o WHERE {RELOADED} AND NOT (cntdate BETWEEN '19970101' AND '19981231' AND
+    EXISTS (SELECT 1 FROM v_stk n WHERE n.skutype = 'Credit' AND n.cntdate = o.cntdate AND n.stcode = o.stcode))
+    UNION ALL SELECT stcode, cntdate, sku, 'new' FROM v_stk WHERE skutype = 'Credit' AND cntdate BETWEEN '19970101' AND '19981231'""")
+def sink_insert_or_reload(i: Inputs):
+    path, rows = stored_by_month(i, RELOADED)
+    incoming = rows.filter("skutype = 'Credit' AND cntdate BETWEEN '19970101' AND '19981231'").select("stcode", "sku", "cntdate", F.lit("new").alias("version"), F.col("cntdate").alias("file"))
+    sinks.insert_new_or_reload(path, incoming, "file", ["cntdate", "stcode", "sku"], ["cntdate", "stcode"], ["cntdate"])
+    return tables.read_table(i.spark, path).select("stcode", "cntdate", "sku", "version")
+
+
+@check("""SELECT stcode, cntdate, sku, 'source' AS place FROM v_stk WHERE NOT cntdate BETWEEN '19970101' AND '19971231'
+    UNION ALL SELECT stcode, cntdate, sku, 'archive' FROM v_stk WHERE stcode = '1' AND cntdate = '19970201'
+    UNION ALL SELECT stcode, cntdate, sku, 'archive' FROM v_stk WHERE cntdate BETWEEN '19970101' AND '19971231' AND NOT (stcode = '1' AND cntdate = '19970201')""")
+def sink_archive_move(i: Inputs):
+    source, rows = stored_by_month(i)
+    archive = scratch_path(i.spark, "archive")
+    held = rows.filter("stcode = '1' AND cntdate = '19970201'").drop("rpname").withColumn("version", F.lit("held"))
+    sinks.append(held, archive, ["cntdate"])
+    for _ in range(2):  # a repeated run adds nothing
+        sinks.archive_move(i.spark, source, archive, ["stcode", "cntdate"], "cntdate", "19970101", "19971231", ["cntdate"])
+    left, moved = (tables.read_table(i.spark, p).select("stcode", "cntdate", "sku", F.lit(n).alias("place")) for p, n in ((source, "source"), (archive, "archive")))
+    return left.unionByName(moved)
+
+
+@check("SELECT stcode, cntdate, sku FROM v_stk WHERE cntdate BETWEEN '19970101' AND '19971231'")
 def sink_rewrite_and_copy(i: Inputs):
     source, target = scratch_path(i.spark, "source"), scratch_path(i.spark, "target")
-    sinks.full_refresh(i.stk.select("stcode", "cntdate", "sku"), source)
-    sinks.rewrite(i.spark.read.parquet(source).filter("stcode < '5'"), source)
+    sinks.full_refresh(i.stk.select("stcode", "cntdate", "sku", "rpname"), source)
+    sinks.rewrite(tables.read_table(i.spark, source).drop("rpname"), source)
     sinks.copy_table(i.spark, source, target, ("cntdate", "19970101", "19971231"))
-    return i.spark.read.parquet(target)
+    return tables.read_table(i.spark, target)
 
 
 @check("SELECT sku, des, dept FROM v_master")

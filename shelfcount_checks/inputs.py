@@ -9,12 +9,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcount.sources.tables import read_table
-
 # Narrow enough for products of both to stay within 18 digits.
 QTY = "decimal(8,3)"
 PRICE = "decimal(9,2)"
-SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 def month(c: str):
@@ -38,8 +35,7 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            path = f"{self.folder}/{name}.parquet"
-            self._tables[name] = read_table(self.spark, path, SPREAD.get(name))
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
     @cached_property
@@ -54,7 +50,7 @@ class Inputs:
             day("o_orderdate").alias("cntdate"),
             atype.otherwise("4V").alias("atype"),
             F.col("o_orderpriority").alias("type1"),
-            F.col("c_mktsegment").alias("branch"),
+            F.when(F.col("o_custkey") % 11 != 0, F.col("c_mktsegment")).alias("branch"),
             F.col("o_orderkey").alias("plan_id"),
         )
 
@@ -248,7 +244,7 @@ VIEWS = {
     "v_plan": """SELECT 'BU' || CAST(c.c_nationkey % 3 AS VARCHAR) AS bu, CAST(o.o_custkey AS VARCHAR) AS stcode,
         strftime(o.o_orderdate, '%Y%m%d') AS cntdate,
         CASE o.o_orderstatus WHEN 'F' THEN '3F' WHEN 'O' THEN '3Q' ELSE '4V' END AS atype,
-        o.o_orderpriority AS type1, c.c_mktsegment AS branch, o.o_orderkey AS plan_id
+        o.o_orderpriority AS type1, CASE WHEN o.o_custkey % 11 <> 0 THEN c.c_mktsegment END AS branch, o.o_orderkey AS plan_id
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
     "v_planm": "SELECT DISTINCT stcode, left(cntdate, 6) || '01' AS cntdate FROM v_plan WHERE atype <> '4V'",
     "v_stk": """SELECT CAST(l_suppkey AS VARCHAR) AS stcode, strftime(l_shipdate, '%Y%m') || '01' AS cntdate,

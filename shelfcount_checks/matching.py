@@ -406,15 +406,23 @@ def bilingual_items(i: Inputs):
 
 @check("""SELECT 'S' || lpad(stcode, 4, '0') || 'F' || '01' || substring(cntdate, 5, 2) || substring(cntdate, 3, 2) || '001' AS cntnum,
     rpname, sku AS skcode FROM (SELECT DISTINCT stcode, cntdate, rpname, sku FROM v_stk) s WHERE CAST(stcode AS BIGINT) % 4 <> 0 AND EXISTS
-      (SELECT 1 FROM v_planm p WHERE p.stcode = s.stcode AND p.cntdate = s.cntdate)""")
+      (SELECT 1 FROM v_planm p WHERE p.stcode = s.stcode AND p.cntdate = s.cntdate AND CAST(p.stcode AS BIGINT) % 5 <> 0
+       AND (CAST(p.stcode AS BIGINT) % 2 = 1 OR CAST(p.stcode AS BIGINT) % 7 <> 0))""")
 def upload_csv(i: Inputs):
     # Count numbers carry two-digit years of this century; the plan is dated the same way.
     store = F.concat(F.lit("S"), F.lpad("stcode", 4, "0"))
     day = F.concat(F.lit("01"), F.substring("cntdate", 5, 2), F.substring("cntdate", 3, 2))
     cntnum = F.concat(store, F.lit("F"), day, F.lit("001")).alias("cntnum")
     rows = i.stk.select(cntnum, "rpname", F.col("sku").alias("skcode"))
-    plan = i.planm.select(store.alias("stcode"), F.concat(F.lit("20"), F.substr("cntdate", F.lit(3))).alias("cntdate"))
-    half = F.col("cntdate") < "20500101"
+    number = F.col("stcode").cast("bigint")
+    atype = F.when(number % 7 == 0, "4V").when(number % 7 == 1, "3Q").otherwise("3F")
+    plan = i.planm.select(
+        store.alias("stcode"),
+        F.concat(F.lit("20"), F.substr("cntdate", F.lit(3))).alias("cntdate"),
+        atype.alias("atype"),
+        F.when(number % 5 != 0, "b").alias("branch"),
+    )
+    half = F.right("stcode", F.lit(1)).isin("0", "2", "4", "6", "8")
     out = reports.upload_csv(rows, plan.filter(half), plan.filter(~half), loaded(i).select(cntnum, "rpname"))
     return out["accepted"].select("cntnum", "rpname", "skcode")
 

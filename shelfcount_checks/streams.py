@@ -32,6 +32,16 @@ def stream_intake(i: Inputs):
     return i.spark.read.parquet(table).groupBy("stcode", "cntdate", "sku").agg(F.count(F.lit(1)).alias("n"))
 
 
+@check("SELECT stcode, cntdate, sku, 2 * count(*) AS n FROM v_stk GROUP BY 1, 2, 3")
+def stream_intake_two_checkpoints(i: Inputs):
+    rows = i.stk.select("stcode", "cntdate", "sku")
+    folder, table = dropped(i, rows), scratch_path(i.spark, "table")
+    for _ in range(2):  # a new checkpoint loads every file again, beside what the first one loaded
+        stream = intake.stream_files(i.spark, folder, rows.schema, "parquet", some_files(i))
+        intake.run_available(stream, intake.intake(table), scratch_path(i.spark, "state"))
+    return i.spark.read.parquet(table).groupBy("stcode", "cntdate", "sku").agg(F.count(F.lit(1)).alias("n"))
+
+
 @check("""SELECT stcode, cntdate, sku FROM v_stk s WHERE CAST(stcode AS BIGINT) % 4 <> 0 AND EXISTS (SELECT 1 FROM v_planm p WHERE p.stcode = s.stcode AND p.cntdate = s.cntdate)""")
 def stream_gate_append(i: Inputs):
     rows = i.stk.select("stcode", "cntdate", "sku")

@@ -417,29 +417,29 @@ AGE = """SELECT plan_id, bu, stcode, cntdate, start_date, post_date, CASE WHEN n
     WHEN n BETWEEN 6 AND 7 THEN 'G 6-7' WHEN n BETWEEN 8 AND 9 THEN 'G 8-9' WHEN n BETWEEN 10 AND 15 THEN 'G 10-15'
     WHEN n BETWEEN 16 AND 30 THEN 'G 16-30' WHEN n > 30 THEN 'G >30' WHEN start_date <= '20000101' THEN 'Pending' ELSE 'Not Yet' END AS "group" """
 DAYS = """days AS (SELECT day, strftime(day, '%Y%m%d') AS k, CASE WHEN isodow(day) < 6 AND strftime(day, '%m%d') NOT IN ('0101', '0501', '1225') THEN 1 ELSE 0 END AS w
-    FROM (SELECT unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '2003-12-31', INTERVAL 1 DAY)) AS day)),
+    FROM (SELECT unnest(generate_series(TIMESTAMP '1890-01-01', TIMESTAMP '2210-12-31', INTERVAL 1 DAY)) AS day)),
     cal AS (SELECT k, sum(w) OVER (ORDER BY day) - w AS bef, sum(w) OVER (ORDER BY day) AS thr FROM days)"""
 
 
 @check(f"""WITH {DAYS}, started AS (SELECT c.plan_id, c.bu, c.stcode, c.cntdate, coalesce(v.first, c.cntdate) AS start_date, c.post_date FROM
-    (SELECT *, (CAST(substring(cntdate, 5, 2) AS INTEGER) + 2) // 3 AS round, CASE WHEN plan_id % 5 > 0 THEN
+    (SELECT *, (CAST(substring(cntdate, 5, 2) AS INTEGER) + 2) // 3 AS round, CASE WHEN plan_id % 37 = 0 THEN '22060105' WHEN plan_id % 37 = 1 THEN '19000103' WHEN plan_id % 5 > 0 THEN
      strftime(strptime(cntdate, '%Y%m%d') + to_days(CAST(plan_id % 37 - 4 AS INTEGER)), '%Y%m%d') END AS post_date FROM v_plan WHERE atype <> '4V') c LEFT JOIN
     (SELECT bu, stcode, left(cntdate, 4) AS year, (CAST(substring(cntdate, 5, 2) AS INTEGER) + 2) // 3 AS round, min(cntdate) AS first
      FROM v_plan WHERE atype = '4V' GROUP BY 1, 2, 3, 4) v ON c.bu = v.bu AND c.stcode = v.stcode AND left(c.cntdate, 4) = v.year AND c.round = v.round),
     aged AS (SELECT s.*, CAST(CASE WHEN start_date <= post_date THEN b.bef - a.bef ELSE b.thr - a.thr END AS BIGINT) AS n FROM started s
     LEFT JOIN cal a ON a.k = s.start_date LEFT JOIN cal b ON b.k = s.post_date) {AGE} FROM aged""")
 def posting_age(i: Inputs):
-    days = i.spark.range(1994, 2004).select(F.col("id").cast("string").alias("y"))
+    days = i.spark.range(1890, 2211).select(F.col("id").cast("string").alias("y"))
     holidays = days.select(F.explode(F.array(*[F.concat("y", F.lit(d)) for d in ("-01-01", "-05-01", "-12-25")])).alias("date"))
-    calendar = analysis.business_calendar(i.spark, "1994-01-01", "2003-12-31", holidays)
     posted = F.date_add(F.to_date("cntdate", "yyyyMMdd"), (F.col("plan_id") % 37 - 4).cast("int"))
     plan = i.plan.withColumns(
         {
             "round": F.floor((F.substring("cntdate", 5, 2).cast("int") + 2) / 3),
-            "post_date": F.when(F.col("plan_id") % 5 > 0, F.date_format(posted, "yyyyMMdd")),
+            "post_date": F.when(F.col("plan_id") % 37 == 0, "22060105").when(F.col("plan_id") % 37 == 1, "19000103")
+            .when(F.col("plan_id") % 5 > 0, F.date_format(posted, "yyyyMMdd")),
         }
     )
-    out = analysis.posting_age(plan, calendar, F.lit("2000-01-01").cast("date"))
+    out = analysis.posting_age(plan, holidays, F.lit("2000-01-01").cast("date"))
     return out.select("plan_id", "bu", "stcode", "cntdate", "start_date", "post_date", F.col("age").cast("bigint").alias("age"), "group")
 
 
@@ -631,7 +631,7 @@ SCORED = """SELECT checkdate, stcode, cntdate, question_code, point, bu, zone, w
     (SELECT a.checkdate, a.stcode, a.cntdate, u.q AS question_code, CASE u.q WHEN 'q01' THEN q01 WHEN 'q02' THEN q02 ELSE q03 END AS point,
     m.bu, m.zone, m.weight FROM (SELECT *, cntdate AS checkdate FROM v_answers QUALIFY row_number() OVER (PARTITION BY stcode, cntdate ORDER BY id DESC) = 1) a,
     (VALUES ('q01'), ('q02'), ('q03')) u(q) LEFT JOIN (VALUES ('q01', 'BU0', 'Back', 1), ('q02', 'BU0', 'Sale', 2), ('q02', 'BU1', 'Sale', 3)) m(q, bu, zone, weight) ON m.q = u.q
-    WHERE a.cntdate <= '20000630') s WHERE EXISTS (SELECT 1 FROM v_plan p WHERE p.bu = s.bu AND p.stcode = s.stcode AND p.cntdate = s.cntdate)
+    WHERE a.cntdate <= '20000630') s WHERE EXISTS (SELECT 1 FROM v_plan p WHERE p.branch IS NOT NULL AND p.bu = s.bu AND p.stcode = s.stcode AND p.cntdate = s.cntdate)
     AND NOT EXISTS (SELECT 1 FROM v_plan p WHERE p.atype = '4V' AND p.bu = s.bu AND p.stcode = s.stcode AND p.cntdate = s.cntdate)"""
 
 

@@ -69,6 +69,56 @@ def test_skip_lines_of_every_file(spark, tmp_path):
     assert ("more", None) in values(one, "*") and ("title", None) not in values(one, "*")
 
 
+def test_every_file_has_its_own_header(spark, tmp_path):
+    put(tmp_path, "a.csv", b"sku,stoh\n1,10\n")
+    put(tmp_path, "b.csv", b"'STOH' ,sku,more\n2,20,x\n")
+    put(tmp_path, "c.csv", b"\nsku\n30\n")
+    df = delimited.scan_headered(spark, str(tmp_path))
+    assert values(df, "sku", "stoh") == sorted([("1", "10"), ("20", "2"), ("30", None)], key=str)
+    named = delimited.scan_folder(spark, str(tmp_path), ["stoh", "SKU", "other"])
+    assert named.columns == ["stoh", "SKU", "other", "file"]
+    assert values(named, "*") == sorted([("10", "1", None, "a.csv"), ("2", "20", None, "b.csv"), (None, "30", None, "c.csv")], key=str)
+
+
+def test_skip_counts_physical_lines(spark, tmp_path):
+    put(tmp_path, "a.csv", b"title\n\nsku,des\n1,x\x01y\n\n2,b\n")
+    for skip, want in ((3, [("1", "x\x01y"), ("2", "b")]), (1, [("1", "x\x01y"), ("2", "b"), ("sku", "des")])):
+        for multiline in (False, True):
+            df = delimited.scan_skip(spark, str(tmp_path), ["sku", "des"], skip=skip, multiline=multiline)
+            assert values(df, "*") == want
+
+
+def test_line_ends_in_quoted_cells(spark, tmp_path):
+    put(tmp_path, "a.csv", b't\nsku,des\r\n1,"a ""q""\r\nb"\r\n2,c\n')
+    df = delimited.scan_skip(spark, str(tmp_path), ["sku", "des"], skip=2, multiline=True)
+    assert values(df, "*") == [("1", 'a "q"\r\nb'), ("2", "c")]
+    put(tmp_path, "a.csv", b'sku,des\n1,"a\nb"\n')
+    assert values(delimited.scan_headered(spark, str(tmp_path), multiline=True), "*") == [("1", "a b")]  # cells are cleaned
+
+
+def test_skipping_does_not_shuffle_later_splits(spark, tmp_path):
+    put(tmp_path, "a.csv", b"t\n" + b"".join(b"%d,x\n" % k for k in range(20000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = delimited.scan_skip(spark, str(tmp_path), ["k", "v"], skip=1)
+        assert df.count() == 20000
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # Only the numbers of the dropped lines, and first splits where they are not broadcast, are moved.
+    assert "Union" in plan
+    later = plan[plan.index("Union"):].split("file_block_start")[-1]
+    assert "Exchange" not in later
+
+
+def test_title_with_a_one_digit_day(spark, tmp_path):
+    put(tmp_path, "a.xlsx", _xlsx({"S": [["Stock on 9-Mar-2026"]]}))
+    put(tmp_path, "b.xlsx", _xlsx({"S": [["Stock on 19-Mar-2026"]]}))
+    put(tmp_path, "c.xlsx", _xlsx({"S": [["Stock of some day"]]}))
+    dates = workbook.title_date(workbook.workbooks(spark, str(tmp_path)), "S")
+    assert values(dates, "file", "DATE") == [("a.xlsx", "20260309"), ("b.xlsx", "20260319")]
+
+
 def test_folder_skips_empty_and_other_files(spark, tmp_path):
     put(tmp_path, "a.csv", b"k\n1\n")
     put(tmp_path, "b.txt", b"k\n2\n")
@@ -108,7 +158,9 @@ def test_approved_workbooks(spark, tmp_path):
     put(tmp_path, "Missrate_B2S_50003_20260101.xlsx", _xlsx({"Summary": [*whole, null]}))
     put(tmp_path, "Missrate_B2S_50009_20260101.xlsx", _xlsx({"Summary": whole}))
     put(tmp_path, "odd_name.xlsx", _xlsx({"Summary": whole}))
-    plan = spark.createDataFrame([(s, "20260101") for s in ("50001", "50002", "50003")], "stcode string, cntdate string")
+    put(tmp_path, "Missrate_B2S_50004_20260101.xlsx", _xlsx({"Summary": whole}))
+    visits = [(s, "20260101", "b") for s in ("50001", "50002", "50003")] + [("50004", "20260101", None)]
+    plan = spark.createDataFrame(visits, "stcode string, cntdate string, branch string")
     files = workbook.workbooks(spark, str(tmp_path))
     rows = uploads.approved_rows(files, plan)
     assert values(rows, "stcode", "`pst/store`", "count", "`all scan-pst`", "`sku weright-outsource`") == [("50001", "OUTSOURCE", 4.0, 1.0, 6.0)]
@@ -122,7 +174,10 @@ def test_report_families(spark, tmp_path):
     put(tmp_path, "STK1_B2S_50001_20260101_0.xlsx", _xlsx({"s": book}))
     put(tmp_path, "STK1_B2S_50007_20260101_0.xlsx", _xlsx({"s": book}))
     raw = workbook.scan_workbook(spark, str(tmp_path), ["store", "countname", "sku"])
-    plan = spark.createDataFrame([("B2S", "50001", "20260101"), ("B2S", "50001", "20260101")], "bu string, stcode string, cntdate string")
+    for store in ("50003", "50004"):
+        put(tmp_path, f"STK1_B2S_{store}_20260101_0.xlsx", _xlsx({"s": [book[0], [store, "XB1", "a"]]}))
+    visits = [("50001", "3F", "b"), ("50001", "3F", "b"), ("50001", "4V", None), ("50003", "4V", "b"), ("50004", "3F", None)]
+    plan = spark.createDataFrame([("B2S", s, "20260101", a, b) for s, a, b in visits], "bu string, stcode string, cntdate string, atype string, branch string")
     loaded = spark.createDataFrame([], "bu string, stcode string, cntdate string, skutype string, rpname string")
     out = reports.import_report(raw, reports.STORE_BOOK, plan, loaded)
     kept = [("50001", "", "Credit", "STK1"), ("50001", "a", "Credit", "STK1"), ("50001", "a", "Credit", "STK1"), ("50001", "c", "Consign", "STK1")]
@@ -138,7 +193,8 @@ def test_count_families(spark, tmp_path):
     put(tmp_path, "VAR1_CFW_60001_20260101_0.xlsx", _xlsx({"Sheet1": good}))
     put(tmp_path, "VAR1_CFW_60002_20260101_0.xlsx", _xlsx({"Sheet1": bad}))
     raw = workbook.scan_workbook(spark, str(tmp_path), head)
-    plan = spark.createDataFrame([("CFW", "60001", "20260101"), ("CFW", "60002", "20260101")], "bu string, stcode string, cntdate string")
+    visits = [("CFW", s, "20260101", "3F", "b") for s in ("60001", "60002")]
+    plan = spark.createDataFrame(visits, "bu string, stcode string, cntdate string, atype string, branch string")
     loaded = spark.createDataFrame([("CFW", "60001", "20260101", "VAR1", "Credit")], "bu string, stcode string, cntdate string, rpname string, prtype string")
     out = reports.import_report(raw, reports.STORE_COUNT, plan, loaded)
     assert values(out, "cntnum", "skcode") == [("60001F010126001", "b")]
@@ -197,6 +253,56 @@ def test_replace_keys_touches_few_partitions(spark, tmp_path):
     assert "isnull(day" in picked._jdf.queryExecution().toString()
 
 
+def files_of(path, part):
+    return sorted(f for f in os.listdir(os.path.join(path, part)) if f.endswith(".parquet"))
+
+
+def test_partition_keys_stay_text(spark, tmp_path):
+    path, copy = str(tmp_path / "t"), str(tmp_path / "c")
+    schema = "stcode string, k string, v string"
+    sinks.append(spark.createDataFrame([("00123", "a", "o"), ("00123", "z", "o"), ("00124", "a", "o")], schema), path, ["stcode"])
+    sinks.replace_keys(spark.createDataFrame([("00123", "a", "n")], schema), path, ["stcode", "k"], ["stcode"])
+    want = [("00123", "a", "n"), ("00123", "z", "o"), ("00124", "a", "o")]
+    assert values(tables.read_table(spark, path), "stcode", "k", "v") == want
+    assert {p for p in os.listdir(path) if "=" in p} == {"stcode=00123", "stcode=00124"}
+    sinks.copy_table(spark, path, copy, partition_by=["stcode"])
+    assert values(tables.read_table(spark, copy), "stcode", "k", "v") == want
+    assert {p for p in os.listdir(copy) if "=" in p} == {"stcode=00123", "stcode=00124"}
+
+
+def test_scan_is_bounded_however_many_partitions_are_touched(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(2200).selectExpr("lpad(cast(id as string), 5, '0') AS day", "id AS k")
+    sinks.append(rows.coalesce(1), path, ["day"])
+    for low, high in ((100, 105), (100, 2100)):
+        fresh = rows.filter(F.col("k").between(low, high - 1))
+        picked = sinks.touched_partitions(tables.read_table(spark, path), fresh, ["day"])
+        assert picked.count() == high - low
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+        assert "(day" in plan and f">= {low:05d}" in plan and f"<= {high - 1:05d}" in plan
+
+
+def test_delta_writers_leave_other_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "day string, k int"
+    rows = spark.createDataFrame([(f"d{d}", k) for d in range(6) for k in range(5)], schema)
+    sinks.append(sinks.clustered(rows, ["day"]), path, ["day"])
+    kept = {p: files_of(path, p) for p in ("day=d0", "day=d5")}
+    assert all(len(f) == 1 for f in kept.values())
+    sinks.replace_range(path, spark.createDataFrame([("d2", 9)], schema), "day", "d2", "d3", ["day"])
+    assert values(tables.read_table(spark, path), "day", "k") == sorted([(f"d{d}", k) for d in (0, 1, 4, 5) for k in range(5)] + [("d2", 9)], key=str)
+    sinks.replace_in_list(path, spark.createDataFrame([("d1", 8), ("d4", 8), ("d0", 8)], schema), "day", ["d1", "d4"], ["day"])
+    assert values(tables.read_table(spark, path), "day", "k") == sorted([(f"d{d}", k) for d in (0, 5) for k in range(5)] + [("d1", 8), ("d2", 9), ("d4", 8)], key=str)
+    archive = str(tmp_path / "a")
+    sinks.append(spark.createDataFrame([("d9", 1)], schema), archive, ["day"])
+    before = files_of(archive, "day=d9")
+    sinks.archive_move(spark, path, archive, ["day", "k"], "day", "d1", "d4", ["day"])
+    assert values(tables.read_table(spark, path), "day", "k") == sorted([(f"d{d}", k) for d in (0, 5) for k in range(5)], key=str)
+    assert values(tables.read_table(spark, archive), "day", "k") == [("d1", 8), ("d2", 9), ("d4", 8), ("d9", 1)]
+    assert files_of(archive, "day=d9") == before
+    assert {p: files_of(path, p) for p in kept} == kept
+
+
 def test_query_parameters_are_bound(spark):
     rows = tables.literal_relation(spark, [("a'b", 1), ("c", 2)], ["k", "v"])
     out = tables.scan_query(spark, "SELECT v FROM bound_rows WHERE k = :k", {"k": "a'b"}, bound_rows=rows)

@@ -160,20 +160,21 @@ def test_two_step_lookup_prefers_exact(spark):
 
 def test_business_days_match_numpy(spark):
     holidays = ["2026-01-01", "2026-01-03", "2026-04-06", "2026-05-01"]
-    calendar = analysis.business_calendar(spark, "2025-12-01", "2026-06-30", spark.createDataFrame([(h,) for h in holidays], "date string"))
+    free = spark.createDataFrame([(h,) for h in holidays], "date string")
     days = [dt.date(2025, 12, 20) + dt.timedelta(days=7 * k % 190) for k in range(60)]
     pairs = [(a, b) for a in days[:12] for b in days]
-    df = analysis.business_days(spark.createDataFrame(pairs, "a date, b date"), "a", "b", calendar)
+    df = analysis.business_days(spark.createDataFrame(pairs, "a date, b date"), "a", "b", free)
     for a, b, n in df.collect():
         assert n == int(np.busday_count(a, b, holidays=holidays)), (a, b)
 
 
-def test_business_days_outside_calendar_fail(spark):
-    none = spark.createDataFrame([], "date string")
-    calendar = analysis.business_calendar(spark, "2026-01-01", "2026-01-31", none)
-    df = spark.createDataFrame([(dt.date(2026, 1, 5), dt.date(2026, 3, 5))], "a date, b date")
-    with pytest.raises(Exception, match="outside the business calendar"):
-        analysis.business_days(df, "a", "b", calendar).collect()
+def test_business_days_of_any_date(spark):
+    free = spark.createDataFrame([("2026-01-01",), ("2206-01-01",)], "date string")
+    days = [dt.date(1900, 1, 3), dt.date(2026, 1, 5), dt.date(2206, 1, 6), dt.date(9999, 12, 30), dt.date(1, 1, 1)]
+    pairs = [(a, b) for a in days for b in days] + [(None, days[0]), (days[0], None)]
+    for a, b, n in analysis.business_days(spark.createDataFrame(pairs, "a date, b date"), "a", "b", free).collect():
+        want = None if a is None or b is None else int(np.busday_count(a, b, holidays=["2026-01-01", "2206-01-01"]))
+        assert n == want, (a, b)
 
 
 def test_posting_age_without_post_date(spark):
@@ -187,8 +188,7 @@ def test_posting_age_without_post_date(spark):
         ],
         "bu string, stcode string, cntdate string, atype string, round int, post_date string",
     )
-    calendar = analysis.business_calendar(spark, "2025-01-01", "2026-12-31", spark.createDataFrame([("2026-01-02",)], "date string"))
-    out = analysis.posting_age(plan, calendar, F.lit("2026-02-01").cast("date"))
+    out = analysis.posting_age(plan, spark.createDataFrame([("2026-01-02",)], "date string"), F.lit("2026-02-01").cast("date"))
     assert values(out, "stcode", "start_date", "age", "group") == [
         ("1", "20260105", None, "Pending"),
         ("2", "20260601", None, "Not Yet"),
@@ -215,9 +215,11 @@ def test_checklist_newest_entry_and_unmapped_question(spark):
         "id int, checkdate string, stcode string, cntdate string, q1 int, q9 int",
     )
     mapping = spark.createDataFrame([("q1", "B", "F", 2)], "question_code string, bu string, zone string, weight int")
-    plan = spark.createDataFrame([("B", "s", "20260101"), ("B", "s", "20260901")], "bu string, stcode string, cntdate string")
+    plan = spark.createDataFrame([("B", "s", "20260101", "b"), ("B", "s", "20260901", "b")], "bu string, stcode string, cntdate string, branch string")
     out = checklist.score(answers, ["q1", "q9"], mapping, plan, plan.filter("false"), "20260801")
     assert values(out, "question_code", "point", "full", "act", "zone") == [("q1", 3, 10, 6, "Sale")]
+    bare = plan.withColumn("branch", F.lit(None).cast("string"))
+    assert checklist.score(answers, ["q1", "q9"], mapping, bare, plan.filter("false"), "20260801").count() == 0
 
 
 def test_prepare_answers(spark):

@@ -80,3 +80,46 @@ def test_rows_stored_before_the_stream_count(spark, tmp_path):
     gate = intake.gate_append(str(tmp_path / "b"), more.schema, more, ["stcode"], ["stcode"], more.filter("stcode = '1'"))
     gate(more, 0)
     assert values(spark.read.parquet(str(tmp_path / "b")), "stcode") == [("2",)]
+
+
+def test_a_new_checkpoint_keeps_loaded_rows(spark, tmp_path):
+    inbox, table = str(tmp_path / "in"), str(tmp_path / "table")
+    os.makedirs(inbox)
+    for step in range(2):
+        drop(inbox, f"{step}.csv", f"{step},d,5\n")
+        stream = intake.stream_files(spark, inbox, SCHEMA, "csv")
+        intake.run_available(stream, intake.intake(table), str(tmp_path / f"state{step}"))
+    assert values(spark.read.parquet(table), "stcode") == [("0",), ("0",), ("1",)]
+
+
+def test_a_repeated_batch_may_become_empty(spark, tmp_path):
+    table = str(tmp_path / "table")
+    rows = spark.createDataFrame([("1", "d", 5)], SCHEMA)
+    each = intake.intake(table)
+    each(rows, 0)
+    each(rows, 1)
+    each(rows.limit(0), 1)
+    assert values(spark.read.parquet(table), "stcode") == [("1",)]
+
+
+def test_many_batches_read_few_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(intake, "SUMMED", 8)
+    path = str(tmp_path / "table")
+    schema = spark.createDataFrame([], "id long").schema
+    table = intake.BatchTable(spark, path, schema, schema, lambda rows: rows.select("id").distinct())
+    for k in range(50):
+        earlier = table.notes_before("q", k)
+        folders = {os.path.dirname(f) for f in earlier.inputFiles()}
+        assert len(folders) <= 8
+        assert values(earlier, "id") == sorted([(n,) for n in range(k)])
+        table.write(spark.range(k, k + 1).coalesce(1), "q", k)
+    again = table.notes_before("other", 0)
+    assert values(again, "id") == [(n,) for n in range(50)]
+
+
+def test_newest_version_across_checkpoints(spark, tmp_path):
+    table = str(tmp_path / "table")
+    each = scans.changed_rows(table)
+    each(spark.createDataFrame([("a", 1)], "k string, qty int"), 7)
+    each(spark.createDataFrame([("a", 2)], "k string, qty int"), 0)
+    assert values(scans.current_rows(spark.read.parquet(table), ["k"]), "k", "qty") == [("a", 2)]
