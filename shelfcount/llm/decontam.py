@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,7 +30,7 @@ from .common import batch, by_shard, letter_words, utf8
 #: Words in a window.
 WINDOW = 10
 #: Bytes of text in a shard; each shard has its own index.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Phrases that are sent to the tasks at once.
 BLOCK_PHRASES = 200_000
 #: Every so many positions of a shard keep their place in the suffix array.
@@ -262,9 +262,14 @@ def _merge(spans: list) -> list:
     return merged
 
 
-def find_leaks(
+Finish = Callable[[pa.RecordBatch, list[dict]], pa.RecordBatch]
+
+
+def _searched(
     docs: DataFrame,
     benchmark: DataFrame,
+    schema: T.StructType,
+    finish: Finish,
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
@@ -272,24 +277,17 @@ def find_leaks(
     shard_bytes: int = SHARD_BYTES,
     block_phrases: int = BLOCK_PHRASES,
 ) -> DataFrame:
-    """All rows and columns of ``docs`` plus the struct ``__leaks``: n_words, spans, items.
-
-    ``spans`` are merged [first word, after last word) ranges covered by benchmark windows and
-    ``items`` the sorted ids of the items with a window in the text. Null and empty texts have no
-    words and no spans. Repeated rows are searched one by one. An item with a null id still marks
-    words but is not listed; one with null or wordless text has no window; items that share an id
-    are one item. An empty benchmark leaves every text clean.
-    """
+    """One pass over the rows for every block of phrases; the last one turns rows and leaks into ``schema``."""
     spark = docs.sparkSession
-    schema = T.StructType([f for f in docs.schema.fields if f.name != LEAKS] + [T.StructField(LEAKS, FOUND)])
-    kind = schema[LEAKS].dataType
+    marked = T.StructType([f for f in docs.schema.fields if f.name != LEAKS] + [T.StructField(LEAKS, FOUND)])
     out = docs
     blocks = phrase_blocks(benchmark, item_col, item_text_col, window, block_phrases)
-    block = next(blocks, [])
+    block, after = next(blocks, []), next(blocks, None)
     while True:
         sent = spark.sparkContext.broadcast(block)
+        last = after is None
 
-        def work(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def work(batches: Iterator[pa.RecordBatch], sent=sent, last=last) -> Iterator[pa.RecordBatch]:
             for rows in by_shard(batches, text_col, shard_bytes):
                 found = _search_shard(utf8(rows.column(text_col)), sent.value)
                 if LEAKS in rows.schema.names:
@@ -298,22 +296,39 @@ def find_leaks(
                         (n, _merge(old["spans"] + s), sorted({*old["items"], *i}))
                         for old, (n, s, i) in zip(before, found)
                     ]
-                columns = {f.name: rows.column(f.name) for f in schema.fields if f.name != LEAKS}
-                columns[LEAKS] = [dict(zip(kind.names, row)) for row in found]
-                yield batch(columns, schema)
+                leaks = [dict(zip(FOUND.names, row)) for row in found]
+                yield finish(rows, leaks) if last else _with_leaks(rows, leaks, marked)
 
-        out = out.mapInArrow(work, schema)
-        block = next(blocks, None)
-        if block is None:
+        out = out.mapInArrow(work, schema if last else marked)
+        if last:
             return out
         out = durable(out)
+        block, after = after, next(blocks, None)
 
 
-def leak_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Per row: n_words, n_hit, n_items, items_sha256, contaminated."""
-    schema = T.StructType(
+def _with_leaks(rows: pa.RecordBatch, leaks: list[dict], schema: T.StructType) -> pa.RecordBatch:
+    columns = {name: rows.column(name) for name in schema.names if name != LEAKS}
+    return batch(columns | {LEAKS: leaks}, schema)
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """All rows and columns of ``docs`` plus the struct ``__leaks``: n_words, spans, items.
+
+    ``spans`` are merged [first word, after last word) ranges covered by benchmark windows and
+    ``items`` the sorted ids of the items with a window in the text. Null and empty texts have no
+    words and no spans. Repeated rows are searched one by one. An item with a null id still marks
+    words but is not listed; one with null or wordless text has no window; items that share an id
+    are one item. An empty benchmark leaves every text clean. Options are those of ``_searched``:
+    column names, window, sizes of shards and blocks.
+    """
+    schema = T.StructType([f for f in docs.schema.fields if f.name != LEAKS] + [T.StructField(LEAKS, FOUND)])
+    return _searched(docs, benchmark, schema, lambda rows, leaks: _with_leaks(rows, leaks, schema), text_col, **options)
+
+
+def _digest_schema(id_type: T.DataType) -> T.StructType:
+    return T.StructType(
         [
-            T.StructField("doc_id", found.schema[id_col].dataType),
+            T.StructField("doc_id", id_type),
             T.StructField("n_words", T.LongType()),
             T.StructField("n_hit", T.LongType()),
             T.StructField("n_items", T.LongType()),
@@ -322,22 +337,34 @@ def leak_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
         ]
     )
 
+
+def _digest(ids: pa.Array, leaks: list[dict], schema: T.StructType) -> pa.RecordBatch:
+    hits = [sum(b - a for a, b in x["spans"]) for x in leaks]
+    listed = [",".join(sorted(map(str, x["items"]))) for x in leaks]
+    columns = {
+        "doc_id": ids,
+        "n_words": [x["n_words"] for x in leaks],
+        "n_hit": hits,
+        "n_items": [len(x["items"]) for x in leaks],
+        "items_sha256": [hashlib.sha256(s.encode()).hexdigest() for s in listed],
+        "contaminated": [h > 0 for h in hits],
+    }
+    return batch(columns, schema)
+
+
+def leak_report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """Per row of ``docs``: n_words, n_hit, n_items, items_sha256, contaminated, in one pass."""
+    schema = _digest_schema(docs.schema[id_col].dataType)
+    return _searched(docs, benchmark, schema, lambda rows, leaks: _digest(rows.column(id_col), leaks, schema), **options)
+
+
+def leak_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The columns of ``leak_report`` from rows that were searched already."""
+    schema = _digest_schema(found.schema[id_col].dataType)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            leaks = rows.column(LEAKS).to_pylist()
-            hits = [sum(b - a for a, b in x["spans"]) for x in leaks]
-            listed = [",".join(sorted(map(str, x["items"]))) for x in leaks]
-            yield batch(
-                {
-                    "doc_id": rows.column(0),
-                    "n_words": [x["n_words"] for x in leaks],
-                    "n_hit": hits,
-                    "n_items": [len(x["items"]) for x in leaks],
-                    "items_sha256": [hashlib.sha256(s.encode()).hexdigest() for s in listed],
-                    "contaminated": [h > 0 for h in hits],
-                },
-                schema,
-            )
+            yield _digest(rows.column(0), rows.column(LEAKS).to_pylist(), schema)
 
     return found.select(id_col, LEAKS).mapInArrow(work, schema)
 
@@ -361,23 +388,20 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """
     schema = docs.schema
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            leaks = rows.column(LEAKS).to_pylist()
-            columns = {name: rows.column(name) for name in schema.names}
-            if any(x["spans"] for x in leaks):
-                texts, keep = rows.column(text_col).to_pylist(), []
-                lengths = columns[chars_col].to_pylist() if chars_col in schema.names else [None] * len(texts)
-                for k, x in enumerate(leaks):
-                    if x["spans"]:
-                        texts[k] = cut_spans(texts[k].encode(), x["spans"])
-                        lengths[k] = len(texts[k])
-                    keep.append(not x["spans"] or sum(b - a for a, b in x["spans"]) < x["n_words"])
-                columns[text_col] = texts
-                if chars_col in schema.names:
-                    columns[chars_col] = lengths
-                yield batch(columns, schema).filter(pa.array(keep))
-            else:
-                yield batch(columns, schema)
-
-    return find_leaks(docs, benchmark, text_col, **options).mapInArrow(work, schema)
+    def finish(rows: pa.RecordBatch, leaks: list[dict]) -> pa.RecordBatch:
+        columns = {name: rows.column(name) for name in schema.names}
+        if not any(x["spans"] for x in leaks):
+            return batch(columns, schema)
+        texts, keep = rows.column(text_col).to_pylist(), []
+        lengths = columns[chars_col].to_pylist() if chars_col in schema.names else [None] * len(texts)
+        for k, x in enumerate(leaks):
+            if x["spans"]:
+                texts[k] = cut_spans(texts[k].encode(), x["spans"])
+                lengths[k] = len(texts[k])
+            keep.append(not x["spans"] or sum(b - a for a, b in x["spans"]) < x["n_words"])
+        columns[text_col] = texts
+        if chars_col in schema.names:
+            columns[chars_col] = lengths
+        return batch(columns, schema).filter(pa.array(keep))
+
+    return _searched(docs, benchmark, schema, finish, text_col, **options)

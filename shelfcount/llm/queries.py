@@ -15,7 +15,7 @@ ORACLES: dict[str, str] = {}
 
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return decontam.leak_digest(decontam.find_leaks(docs, table(spark, folder, "benchmark")))
+    return decontam.leak_report(docs, table(spark, folder, "benchmark"))
 
 
 def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
