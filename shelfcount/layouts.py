@@ -5,19 +5,15 @@ Fixed values: names and their order are the formats of the files.
 
 from __future__ import annotations
 
-
-def _triples(first: int, last: int, joint: str, desc: str) -> tuple[str, ...]:
-    """att_nam, att_val and att_desc columns of a range of attributes."""
-    return tuple(f"att_{part}{joint}{i}" for i in range(first, last + 1) for part in ("nam", "val", desc))
-
-
 # On-hand file of two units, 67 columns.
 STOCK_FILE = (
     "msstor", "msstrn", "mstrnc", "mstrnd", "mstype", "msvdno", "msvdnm", "msdept", "msdptn", "mssdpt",
     "mssdpn", "msbrnd", "msclas", "msclsn", "msscls", "msscln", "mssku", "mssdes", "msibc", "mssbc",
     "mspopg", "mscatl", "msskus", "msstkr", "msstkc", "msstoh", "msregp", "msorgp", "msancp", "msascn",
     "msasdt", "mspoor", "mstoor", "msrtvv", "msrtvi", "msdist", "msobsf", "msmqty", "msage", "msaget",
-    *_triples(1, 7, "_", "desc"),
+    "att_nam_1", "att_val_1", "att_desc_1", "att_nam_2", "att_val_2", "att_desc_2", "att_nam_3",
+    "att_val_3", "att_desc_3", "att_nam_4", "att_val_4", "att_desc_4", "att_nam_5", "att_val_5",
+    "att_desc_5", "att_nam_6", "att_val_6", "att_desc_6", "att_nam_7", "att_val_7", "att_desc_7",
     "preord", "mbyum", "mslum", "mstdpk", "rpl_code", "special_attribute",
 )
 
@@ -28,7 +24,9 @@ STORE_STOCK_FILE = (
     "sub_class_name", "sku", "sku_description", "ibc", "sbc", "popg", "catalogue", "sts",
     "stock_retail", "stock_cost", "soh", "reg_ret", "ori_ret", "ancp", "c", "as_of_date", "po_on_ord",
     "to_on_ord", "rtv_vnd", "rtv_item", "dis_typ", "color_desc", "size_desc",
-    *_triples(1, 7, "_", "desc"),
+    "att_nam_1", "att_val_1", "att_desc_1", "att_nam_2", "att_val_2", "att_desc_2", "att_nam_3",
+    "att_val_3", "att_desc_3", "att_nam_4", "att_val_4", "att_desc_4", "att_nam_5", "att_val_5",
+    "att_desc_5", "att_nam_6", "att_val_6", "att_desc_6", "att_nam_7", "att_val_7", "att_desc_7",
     "preord", "mbyum", "mslum", "mstdpk", "unavail_qty", "avail_qty",
 )
 
@@ -46,12 +44,20 @@ ITEM_MASTER = (
     "length", "width", "height", "planogram", "cluster", "rtv_by_itm", "rtv_vendor", "special",
     "expi_date", "ibc", "sbc#1", "sbc#2", "sbc#3", "sbc#4", "sbc#5", "creat_date", "create_by",
     "last_maintain_date", "sku_lead_time", "top_sale_company",
-    *_triples(1, 15, "", "dsc"),
+    "att_nam1", "att_val1", "att_dsc1", "att_nam2", "att_val2", "att_dsc2", "att_nam3", "att_val3",
+    "att_dsc3", "att_nam4", "att_val4", "att_dsc4", "att_nam5", "att_val5", "att_dsc5", "att_nam6",
+    "att_val6", "att_dsc6", "att_nam7", "att_val7", "att_dsc7", "att_nam8", "att_val8", "att_dsc8",
+    "att_nam9", "att_val9", "att_dsc9", "att_nam10", "att_val10", "att_dsc10", "att_nam11", "att_val11",
+    "att_dsc11", "att_nam12", "att_val12", "att_dsc12", "att_nam13", "att_val13", "att_dsc13",
+    "att_nam14", "att_val14", "att_dsc14", "att_nam15", "att_val15", "att_dsc15",
     "soh_chain", "trf_on_order", "po_on_order", "avg_8wk_sale", "cur_w_sale",
-    *(f"wks_sale_{i:02d}" for i in range(1, 9)),
+    "wks_sale_01", "wks_sale_02", "wks_sale_03", "wks_sale_04", "wks_sale_05", "wks_sale_06",
+    "wks_sale_07", "wks_sale_08",
     "po_comment_1", "po_comment_2", "po_comment_3",
-    *(f"thai_spec_{i:02d}" for i in range(1, 13)),
-    *(f"eng_spec_{i:02d}" for i in range(1, 13)),
+    "thai_spec_01", "thai_spec_02", "thai_spec_03", "thai_spec_04", "thai_spec_05", "thai_spec_06",
+    "thai_spec_07", "thai_spec_08", "thai_spec_09", "thai_spec_10", "thai_spec_11", "thai_spec_12",
+    "eng_spec_01", "eng_spec_02", "eng_spec_03", "eng_spec_04", "eng_spec_05", "eng_spec_06",
+    "eng_spec_07", "eng_spec_08", "eng_spec_09", "eng_spec_10", "eng_spec_11", "eng_spec_12",
     "size_range", "size_range_name", "option_code", "option_name", "style_cg", "season_start",
     "brand_group", "brand_group_name", "lifecycle_code", "lifecycle_name",
     "mupc#1", "mupc#2", "mupc#3", "mupc#4", "mupc#5",

@@ -42,9 +42,12 @@ def missrate_simple(df: DataFrame, bu: str, group: str, qty: str = "qty_count")
 
 
 def missrate_reconciled(stk: DataFrame, block: DataFrame, reconcile: DataFrame, bu: str, qty: str = "qty_count") -> DataFrame:
-    """Blocked SKUs left out; where the final count is higher, reconciled quantity counts as found."""
+    """Blocked SKUs left out; where the final count is higher, reconciled quantity counts as found.
+
+    The block is keyed as the sums are, so the lines are summed before they meet it.
+    """
     keys = ["bu", "stcode", "cntdate", "sku"]
-    lines = first_final(exclude_blocked_sku(stk, block, keys), keys, "STK1", "STK2", qty)
+    lines = exclude_blocked_sku(first_final(stk, keys, "STK1", "STK2", qty), block, keys)
     found = reconcile.groupBy(*keys).agg(F.sum(exact(reconcile, qty)).alias("rec"))
     zero = F.lit(0)
     first, final, rec = (F.coalesce(F.col(c), zero) for c in ("first", "final", "rec"))

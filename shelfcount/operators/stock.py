@@ -67,9 +67,7 @@ def soh_snapshot(df: DataFrame, policy: SohPolicy, block: DataFrame | None = Non
     if policy.skip_sub_depts:
         sub = F.col(policy.sub_dept)
         rows = rows.filter(sub.isNull() | ~sub.isin(*policy.skip_sub_depts))
-    if policy.blocks_vendors and block is not None:
-        rows = exclude_blocked_vendor(rows, block, policy.vendor, policy.sub_dept)
-
+    gated = policy.blocks_vendors and block is not None
     amount = exact(rows, policy.value)
     if policy.kind is None or (policy.kind not in df.columns and policy.kind_if_missing):
         kind = F.lit(policy.kind_if_missing).cast("string")
@@ -96,7 +94,13 @@ def soh_snapshot(df: DataFrame, policy: SohPolicy, block: DataFrame | None = Non
         consign.alias("nonfood_consign"),
         perishable.alias("perishable_nonmer"),
         total.alias("totalsoh"),
+        *([F.col(policy.vendor).alias("__vendor"), F.col(policy.sub_dept).alias("__sub")] if gated else []),
     )
+    if gated:
+        # A block concerns a vendor and sub-department, so their sums meet it, not the rows.
+        keys = ["stcode", "DATE", "__vendor", "__sub"]
+        sums = keyed.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in keyed.columns if c not in keys])
+        keyed = exclude_blocked_vendor(sums, block, "__vendor", "__sub").drop("__vendor", "__sub")
     # The unit is constant and the code follows from the store, so neither is a grouping key.
     return sum_by(keyed, ["stcode", "DATE"]).select(
         text.store_code(F.lit(policy.bu), "stcode").alias("code"),

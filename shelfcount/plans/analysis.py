@@ -92,7 +92,10 @@ def sku_ranking(stk: DataFrame, lo: str, hi: str, stores: Sequence[str] | None =
 
 
 def completeness(plan: DataFrame, result: DataFrame, bu: str, skip_types: Sequence[str], lo: str, hi: str) -> DataFrame:
-    """Planned full counts in a period without a final report."""
+    """Planned full counts in a period without a final report.
+
+    ``skip_types`` are the store types that do not report, ``policy.TYPES_NOT_REPORTED`` of a unit.
+    """
     due = clean.between_dates(
         plan.filter((F.col("bu") == bu) & (F.col("atype") == "3F") & ~F.col("type1").isin(*skip_types)),
         "cntdate",

@@ -14,6 +14,7 @@ from ..operators.joins import infer_skutype
 from ..operators.maintain import insert_new_or_reload
 from ..operators.sets import drop_dupes
 from ..operators.variance import line_variance
+from ..session import durable
 
 
 @dataclass(frozen=True)
@@ -158,6 +159,8 @@ def _checked(rows: DataFrame, policy: ReportPolicy) -> DataFrame:
         return rows
     value = text.cntnum_store(policy.store) if policy.store_from_cntnum else F.col(policy.store)
     if policy.store_check == "file":
+        # Looked at twice, and read from workbooks: stored once.
+        rows = durable(rows)
         return gates.matches_filename(rows, "file", value, F.col("stcode"))
     return gates.rows_matching_filename(rows, value, F.col("stcode"))
 

@@ -13,7 +13,7 @@ from ..operators import clean, stock
 from ..operators.joins import enrich
 from ..operators.maintain import replace_range
 from ..policy import SohPolicy
-from ..sources.workbook import read_sheets_union, title_date
+from ..sources.workbook import dated_titles, read_many, sheets_union, sheets_wanted, title_wanted
 
 
 def snapshot_job(
@@ -52,8 +52,9 @@ def store_summary(files: DataFrame, sheets: Sequence[str], bu: str, skip_rows: i
 
     A file without a date in its title gives no rows.
     """
-    rows = read_sheets_union(files, sheets, STORE_SHEET_POSITIONS, "A:O", skip_rows)
-    dated = rows.join(title_date(files, sheets[0]), "file")
+    wanted = sheets_wanted(sheets, STORE_SHEET_POSITIONS, "A:O", skip_rows)
+    *tables, titles = read_many(files, [*wanted, title_wanted(sheets[0])])
+    dated = sheets_union(tables, sheets, STORE_SHEET_POSITIONS).join(dated_titles(titles), "file")
     return dated.select(
         text.store_code(F.lit(bu), "stcode").alias("code"),
         F.lit(bu).alias("bu"),

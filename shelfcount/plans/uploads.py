@@ -15,7 +15,7 @@ from ..operators.ranking import occurrence
 from ..operators.reshape import explode_files
 from ..operators.sets import drop_dupes
 from ..policy import OUTSOURCE_ALIASES
-from ..sources.workbook import read_workbooks, side_block
+from ..sources.workbook import Wanted, block_rows, block_wanted, read_many
 
 SPREADSHEETS = (".xlsx", ".xls")
 
@@ -90,7 +90,8 @@ SIDE_NAMES = (
 
 def approved_rows(files: DataFrame, plan: DataFrame, sheet: str = "Summary") -> DataFrame:
     """Checked rows of approved workbooks: planned, with a whole side block and no empty causes."""
-    raw = read_workbooks(files, APPROVED_COLUMNS, sheet, "A:J", skip_rows=6)
+    wanted = [Wanted(APPROVED_COLUMNS, sheet, "A:J", 6), block_wanted(sheet, "L:M", 2, SIDE_NAMES)]
+    raw, side = read_many(files, wanted)
     found = text.parse_filename("file", ["kind", "bu", "stcode", "cntdate"], exact=True)
     who = text.replace_values(F.upper(F.trim(F.col("`pst/store`"))), OUTSOURCE_ALIASES)
     rows = (
@@ -101,7 +102,7 @@ def approved_rows(files: DataFrame, plan: DataFrame, sheet: str = "Summary") ->
     )
     rows = clean.cast_map(rows, dict.fromkeys(["count", "add/edit", "scan error"], "double"))
     planned = gates.planned_only(rows, gates.open_plan(plan), ["stcode", "cntdate"])
-    block = side_block(files, sheet, "L:M", 2, SIDE_NAMES)
+    block = block_rows(side, 2, SIDE_NAMES)
     block = clean.cast_map(block, {c: "double" for row in SIDE_NAMES for c in row})
     blocked = planned.join(block, "file", "inner")
     return drop_dupes(gates.reject_file_if_null(blocked, "file", ["`pst/store`", "`remark root cause`"]))

@@ -11,6 +11,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..operators.clean import clean_name
 from ..operators.sets import union_all
+from ..session import durable
 
 BATCH = 10_000
 # Built-in date and time number formats of the file format.
@@ -100,9 +102,8 @@ def _cell(cell: ElementTree.Element, shared: Sequence[str], date_styles: set[int
     return raw
 
 
-def sheet_rows(content: bytes, sheet: str | None, usecols: str) -> Iterator[tuple[int, list[str | None]]]:
-    """(line number, cells as text) of the non-empty rows of one sheet."""
-    wanted = column_range(usecols)
+def sheet_rows(content: bytes, sheet: str | None, wanted: range) -> Iterator[tuple[int, list[str | None]]]:
+    """(line number, cells of the wanted columns as text) of the non-empty rows of one sheet."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         target = _sheet_file(book, sheet)
         if target is None:
@@ -130,6 +131,84 @@ def workbooks(spark: SparkSession, path: str | list[str], glob: str = "*.xlsx")
     return files.filter(F.col("length") > 0).select(name.alias("file"), "content")
 
 
+@dataclass(frozen=True)
+class Wanted:
+    """What is read from one sheet: a table, a block or a title.
+
+    With a header the columns are found by cleaned name, whatever their order, and names a file
+    lacks are null; without one they are named by position. ``promote`` moves the header down by
+    that many rows, ``max_rows`` bounds the lines after it.
+    """
+
+    columns: Sequence[str]
+    sheet: str | None = None
+    usecols: str = "A:ZZ"
+    skip_rows: int = 0
+    max_rows: int | None = None
+    header: bool = True
+    promote: int = 0
+
+    @property
+    def top(self) -> int:
+        return self.skip_rows + self.promote + (1 if self.header else 0)
+
+
+def _wanted_rows(content: bytes, wanted: Sequence[Wanted]) -> Iterator[tuple[int, int, list[str | None]]]:
+    """(number of the request, line, cells) of a workbook; a sheet that several want is walked once."""
+    sheets: dict[str | None, list[int]] = {}
+    for k, w in enumerate(wanted):
+        sheets.setdefault(w.sheet, []).append(k)
+    for sheet, requests in sheets.items():
+        ranges = {k: column_range(wanted[k].usecols) for k in requests}
+        first, last = min(r.start for r in ranges.values()), max(r.stop for r in ranges.values())
+        places = {k: [] if wanted[k].header else list(range(len(wanted[k].columns))) for k in requests}
+        for line, all_cells in sheet_rows(content, sheet, range(first, last)):
+            for k in requests:
+                w, cells = wanted[k], all_cells[ranges[k].start - first : ranges[k].stop - first]
+                if all(v is None for v in cells):
+                    continue
+                if w.header and line == w.top:
+                    found = {clean_name(v): i for i, v in reversed(list(enumerate(cells))) if v is not None}
+                    places[k] = [found.get(clean_name(c)) for c in w.columns]
+                elif line > w.top and (w.max_rows is None or line <= w.top + w.max_rows):
+                    at = places[k] or [None] * len(w.columns)
+                    yield k, line, [cells[i] if i is not None and i < len(cells) else None for i in at]
+
+
+def _read(files: DataFrame, wanted: Sequence[Wanted]) -> DataFrame:
+    """(request, file, line, cells) in one pass over ``files(file, content)``."""
+    wanted = [replace(w, columns=tuple(w.columns)) for w in wanted]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file, content in zip(batch["file"], batch["content"]):
+                rows: list[tuple] = []
+                for k, line, cells in _wanted_rows(content, wanted):
+                    rows.append((k, file, line, cells))
+                    if len(rows) == BATCH:
+                        yield pd.DataFrame(rows, columns=["request", "file", "line", "cells"])
+                        rows = []
+                if rows:
+                    yield pd.DataFrame(rows, columns=["request", "file", "line", "cells"])
+
+    return files.mapInPandas(read, "request int, file string, line long, cells array<string>")
+
+
+def _named(rows: DataFrame, wanted: Wanted) -> DataFrame:
+    cells = [F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(wanted.columns)]
+    return rows.select("file", "line", *cells)
+
+
+def read_many(files: DataFrame, wanted: Sequence[Wanted]) -> list[DataFrame]:
+    """Several tables, blocks or titles of the same workbooks, each as ``read_workbooks`` gives it.
+
+    The workbooks are parsed once and the wanted cells stored, so whatever is derived from them,
+    how often soever, does not parse them again.
+    """
+    stored = durable(_read(files, wanted))
+    return [_named(stored.filter(F.col("request") == k), w) for k, w in enumerate(wanted)]
+
+
 def read_workbooks(
     files: DataFrame,
     columns: Sequence[str],
@@ -142,87 +221,65 @@ def read_workbooks(
 ) -> DataFrame:
     """Rows of one sheet of every workbook in ``files(file, content)``.
 
-    Result: ``file``, ``line`` (physical row number) and ``columns``, all text. With a header
-    the columns are found by cleaned name, whatever their order, and names a file lacks are
-    null; without one they are named by position. ``promote`` moves the header down by that
-    many rows. Files without the sheet give no rows.
+    Result: ``file``, ``line`` (physical row number) and ``columns``, all text; see ``Wanted``.
+    Files without the sheet give no rows.
     """
-    columns = list(columns)
-    schema = "file string, line long, " + ", ".join(f"`{c}` string" for c in columns)
-    keys = [clean_name(c) for c in columns]
-    top = skip_rows + promote + (1 if header else 0)
-
-    def rows_of(content: bytes) -> Iterator[tuple]:
-        places: list[int | None] = list(range(len(columns)))
-        if header:
-            places = [None] * len(columns)
-        for line, cells in sheet_rows(content, sheet, usecols):
-            if header and line == top:
-                found = {clean_name(v): i for i, v in reversed(list(enumerate(cells))) if v is not None}
-                places = [found.get(k) for k in keys]
-            elif line > top and (max_rows is None or line <= top + max_rows):
-                yield (line, *[cells[i] if i is not None and i < len(cells) else None for i in places])
+    wanted = Wanted(columns, sheet, usecols, skip_rows, max_rows, header, promote)
+    return _named(_read(files, [wanted]), wanted)
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["line", *columns]
-        for batch in batches:
-            for file, content in zip(batch["file"], batch["content"]):
-                rows: list[tuple] = []
-                for row in rows_of(content):
-                    rows.append(row)
-                    if len(rows) == BATCH:
-                        yield _frame(file, rows, names)
-                        rows = []
-                if rows:
-                    yield _frame(file, rows, names)
 
-    return files.mapInPandas(read, schema)
+def scan_workbook(spark: SparkSession, path: str | list[str], columns: Sequence[str], **options) -> DataFrame:
+    """``read_workbooks`` over a folder; see there for the options."""
+    return read_workbooks(workbooks(spark, path), columns, **options)
 
 
-def _frame(file: str, rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=names, dtype=object)
-    out.insert(0, "file", file)
-    return out.astype({"line": "int64"})
+def sheets_wanted(sheets: Sequence[str], positions: dict[int, str], usecols: str = "A:O", skip_rows: int = 0) -> list[Wanted]:
+    """Requests for several sheets whose columns are named by 0-based position."""
+    names = [positions.get(i, f"_{i}") for i in range(len(column_range(usecols)))]
+    return [Wanted(names, s, usecols, skip_rows, header=False) for s in sheets]
 
 
-def scan_workbook(spark: SparkSession, path: str | list[str], columns: Sequence[str], **options) -> DataFrame:
-    """``read_workbooks`` over a folder; see there for the options."""
-    return read_workbooks(workbooks(spark, path), columns, **options)
+def sheets_union(frames: Sequence[DataFrame], sheets: Sequence[str], positions: dict[int, str]) -> DataFrame:
+    """Rows of the sheets of ``sheets_wanted``, tagged with the sheet and united."""
+    keep = ["file", "line", *[positions[i] for i in sorted(positions)]]
+    return union_all(*[f.select(*keep).withColumn("sheet", F.lit(s)) for f, s in zip(frames, sheets)])
 
 
 def read_sheets_union(
     files: DataFrame, sheets: Sequence[str], positions: dict[int, str], usecols: str = "A:O", skip_rows: int = 0
 ) -> DataFrame:
     """Several sheets, columns named by 0-based position, tagged with the sheet and united."""
-    width = len(column_range(usecols))
-    names = [positions.get(i, f"_{i}") for i in range(width)]
-    keep = ["file", "line", *[positions[i] for i in sorted(positions)]]
-    frames = [
-        read_workbooks(files, names, s, usecols, skip_rows, header=False)
-        .select(*keep)
-        .withColumn("sheet", F.lit(s))
-        for s in sheets
-    ]
-    return union_all(*frames)
+    return sheets_union(read_many(files, sheets_wanted(sheets, positions, usecols, skip_rows)), sheets, positions)
 
 
-def title_date(files: DataFrame, sheet: str | None = None) -> DataFrame:
+def title_wanted(sheet: str | None = None) -> Wanted:
+    return Wanted(["title"], sheet, "A:A", 0, 1, header=False)
+
+
+def dated_titles(titles: DataFrame) -> DataFrame:
     """(file, DATE): last word of the first cell, written ``d-Mon-yyyy``; files without such a date are absent."""
-    title = read_workbooks(files, ["title"], sheet, "A:A", 0, 1, header=False)
     word = F.element_at(F.split(F.trim("title"), r"\s+"), -1)
-    return title.select("file", dates.date_key(word, "d-MMM-yyyy").alias("DATE")).filter(F.col("DATE").isNotNull())
+    return titles.select("file", dates.date_key(word, "d-MMM-yyyy").alias("DATE")).filter(F.col("DATE").isNotNull())
 
 
-def side_block(
-    files: DataFrame, sheet: str, usecols: str, skip_rows: int, names: Sequence[Sequence[str]]
-) -> DataFrame:
-    """A block beside the table as one row per file; files with an incomplete block are absent.
+def title_date(files: DataFrame, sheet: str | None = None) -> DataFrame:
+    """Dates of the titles of one sheet, see ``dated_titles``."""
+    wanted = title_wanted(sheet)
+    return dated_titles(_named(_read(files, [wanted]), wanted))
+
+
+def block_wanted(sheet: str, usecols: str, skip_rows: int, names: Sequence[Sequence[str]]) -> Wanted:
+    """Request for a block beside the table: one line for each entry of ``names``."""
+    return Wanted([f"c{i}" for i in range(len(names[0]))], sheet, usecols, skip_rows, len(names), header=False)
+
+
+def block_rows(block: DataFrame, skip_rows: int, names: Sequence[Sequence[str]]) -> DataFrame:
+    """A block as one row per file; files with an incomplete block are absent.
 
     ``names[row][column]`` are the output columns; an empty cell of a complete block reads 0.
     """
     width = len(names[0])
     cells = [f"c{i}" for i in range(width)]
-    block = read_workbooks(files, cells, sheet, usecols, skip_rows, len(names), header=False)
 
     def pick(row: int, col: int) -> Column:
         value = F.max(F.when(F.col("line") == skip_rows + 1 + row, F.col(cells[col])))
@@ -234,3 +291,11 @@ def side_block(
         complete = complete & (F.count(c) > 0)
     out = block.groupBy("file").agg(complete.alias("__ok"), *picked)
     return out.filter("__ok").drop("__ok")
+
+
+def side_block(
+    files: DataFrame, sheet: str, usecols: str, skip_rows: int, names: Sequence[Sequence[str]]
+) -> DataFrame:
+    """A block beside the table of every workbook, see ``block_rows``."""
+    wanted = block_wanted(sheet, usecols, skip_rows, names)
+    return block_rows(_named(_read(files, [wanted]), wanted), skip_rows, names)

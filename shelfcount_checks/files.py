@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import shelfcount
 import shelfcount_checks
+from shelfcount import layouts
 from shelfcount.operators import clean
 from shelfcount.plans import masters, reports, soh, staffing, uploads
 from shelfcount.policy import SOH_POLICIES
@@ -119,6 +120,32 @@ def scan_skip_blank_lines(i: Inputs):
     return out[0].unionByName(out[1])
 
 
+def laid_out(i: Inputs, layout: Sequence[str], **cells) -> DataFrame:
+    """Item rows in the columns of a file format; the others are empty."""
+    return i.master.select(*[cells.get(c, F.lit("-")).alias(c) for c in layout])
+
+
+@check("""SELECT sku, dept, CAST(price AS DOUBLE) AS soh FROM v_master""")
+def scan_store_stock(i: Inputs):
+    rows = laid_out(i, layouts.STORE_STOCK_FILE, sku=F.col("sku"), dept=F.col("dept"), soh=F.col("price").cast("string"))
+    df = delimited.scan_positional(i.spark, written(i, rows, **LATIN), layouts.STORE_STOCK_FILE, encoding="cp874")
+    return df.select("sku", "dept", F.col("soh").cast("double").alias("soh"))
+
+
+@check("""SELECT lpad(right(sku, 2), 3, '0') AS stcode, sku AS barcode, des AS description, 'T1' AS stocktakeid FROM v_master""")
+def scan_stocktake_master(i: Inputs):
+    rows = laid_out(i, layouts.STOCKTAKE_MASTER, stcode=F.right("sku", F.lit(2)), barcode=F.col("sku"), description=F.col("des"))
+    df = delimited.scan_pipe(i.spark, written(i, rows, sep="|", **LATIN), layouts.STOCKTAKE_MASTER, stocktakeid="T1")
+    return df.select("stcode", "barcode", "description", "stocktakeid")
+
+
+@check("""SELECT sku, des AS description, CAST(price AS DOUBLE) AS price FROM v_master""")
+def scan_count_master(i: Inputs):
+    rows = laid_out(i, layouts.SCAN_MASTER, sku=F.col("sku"), description=F.col("des"), price=F.col("price").cast("string"))
+    df = delimited.scan_skip(i.spark, written(i, rows, header=True), layouts.SCAN_MASTER, skip=1, key="sku")
+    return df.select("sku", "description", F.col("price").cast("double").alias("price"))
+
+
 @check("SELECT stcode, cntdate, sku, 1 AS files FROM v_stk")
 def scan_folder(i: Inputs):
     path = written(i, i.stk.select("stcode", "cntdate", "sku"), header=True)
@@ -295,7 +322,7 @@ def report_import_detail(i: Inputs):
     keys = base.select(F.lit("BU").alias("bu"), store.alias("stcode"), day.alias("cntdate"), F.col("skutype").alias("prtype"), F.lit("VAR1").alias("rpname"))
     plan = keys.withColumns({"atype": F.lit("3F"), "branch": F.lit("b")})
     out = reports.import_report(raw, reports.COUNT_DETAIL_CLEAN, plan, keys.filter("stcode = '00004' AND prtype = 'Credit'"))
-    return out.select("stcode", "cntdate", "skcode", "prtype").distinct()
+    return out.select("stcode", "cntdate", "skcode", "prtype")
 
 
 @check(f"""SELECT DISTINCT stcode, cntdate, sku, CAST(CASE WHEN sku LIKE '%1' THEN 0 ELSE soh END AS DOUBLE) AS qnt FROM {BOOKED} s WHERE {GATED} AND NOT (sku LIKE '%11')""")
@@ -416,7 +443,7 @@ def approved_rows(i: Inputs):
     return out.select(
         "stcode", "cntdate", "barcode", F.col("count"), F.col("`pst/store`").alias("who"), F.col("`all scan-pst`").alias("scan_own"),
         F.col("`qty weight-outsource`").alias("qty_other"), F.col("`sku weright-outsource`").alias("sku_other"),
-    ).distinct()
+    )
 
 
 @check(f"""SELECT stcode, cntdate, count(DISTINCT barcode) AS items, 'new' AS version FROM ({APPROVED}) GROUP BY 1, 2 UNION ALL
@@ -451,7 +478,7 @@ def time_off_books(i: Inputs):
     stored = i.table("conversations").filter("conv_id % 4 = 0").select(
         F.concat(F.lit("E"), text_of("conv_id")).alias("employee_id"), F.date_format(day, "yyyy-MM-dd").alias("time_off_date")
     )
-    return staffing.time_off(raw, stored).select("employee_id", "time_off_type", "time_off_date").distinct()
+    return staffing.time_off(raw, stored).select("employee_id", "time_off_type", "time_off_date")
 
 
 @check("SELECT stcode, cntdate, sku, count(*) AS n FROM (SELECT * FROM v_stk UNION ALL SELECT * FROM v_stk WHERE rpname = 'STK2') GROUP BY 1, 2, 3")

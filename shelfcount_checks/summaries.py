@@ -408,8 +408,11 @@ def count_report_by_dept(i: Inputs):
     AND cntdate BETWEEN '19960101' AND '19991231' AND NOT EXISTS (SELECT 1 FROM v_answers a WHERE a.q01 < 3 AND a.stcode = p.stcode AND a.cntdate = p.cntdate)""")
 def completeness(i: Inputs):
     result = i.answers.select("stcode", "cntdate", F.when(F.col("q01") < 3, "STK2").otherwise("STK1").alias("rpname"))
-    assert "Online" in TYPES_NOT_REPORTED["J"]
-    return analysis.completeness(i.plan, result, "BU2", ["5-LOW", "3-MEDIUM"], "19960101", "19991231")
+    # Two priorities stand for the store types of the policy.
+    named = dict(zip(("5-LOW", "3-MEDIUM"), TYPES_NOT_REPORTED["J"]))
+    plan = i.plan.withColumn("type1", text.replace_values("type1", named))
+    out = analysis.completeness(plan, result, "BU2", TYPES_NOT_REPORTED["J"], "19960101", "19991231")
+    return out.withColumn("type1", text.replace_values("type1", {v: k for k, v in named.items()}))
 
 
 AGE = """SELECT plan_id, bu, stcode, cntdate, start_date, post_date, CASE WHEN n >= 0 THEN n END AS age,

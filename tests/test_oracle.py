@@ -32,3 +32,23 @@ def test_flagship(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert {"stcode", "cntdate", "skutype", "acc", "vnet_to_sale", "running"} <= set(df.columns)
+
+
+# What each ordered query is ordered by: column and whether it descends.
+ORDERED = {
+    "ranked_output": [("overall", True), ("sku", False)],
+    "sku_ranking": [("overall", True), ("sku", False)],
+    "report_order": [("dept", False), ("sku", False), ("sdept", False)],
+    "variance_listing": [("dept", False), ("sku", False), ("location", False)],
+    "location_history": [("seq", True)],
+    "preview": [("cntdate", True), ("plan_id", True)],
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_rows_come_in_order(spark, name):
+    rows = [r.asDict() for r in QUERIES[name](spark, SMALL).collect()]
+    want = rows
+    for column, down in reversed(ORDERED[name]):
+        want = sorted(want, key=lambda r: r[column], reverse=down)
+    assert rows and rows == want
