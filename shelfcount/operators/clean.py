@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import measures, text
-from .ranking import rank_rows
+from .ranking import Down, rank_rows
 
 
 def rename_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -155,6 +155,6 @@ def active_as_of(df: DataFrame, end: str, today: Column | str) -> DataFrame:
     return df.filter(F.col(end).isNull() | (F.col(end) > today))
 
 
-def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "index") -> DataFrame:
+def row_index(df: DataFrame, order: Sequence[str | Down], name: str = "index") -> DataFrame:
     """0-based position in the given total order."""
     return rank_rows(df, [], order, name).withColumn(name, F.col(name) - 1)

@@ -5,75 +5,133 @@ hands a whole group to one task:
 
 * picking one row per group is ``row_number() = 1``, which Spark cuts to one row per group
   and map task before it shuffles;
-* numbering and filling range-partition by (keys, order), so that a large group spans many
-  slices, work inside each slice, and add what earlier slices of the same group contribute.
-  A slice can continue at most one group, so the table of contributions has at most one row
-  per slice and is safe to broadcast.
+* numbering and filling cut groups that hold more than a slice's share of the rows, at positions
+  taken from a bounded sample of keys and order. Any positions give the right result, as slices
+  rise with the order; every row finds its slice by comparing with its group's cuts. Slices are
+  worked on apart and get what earlier slices of the same group contribute. There are at most as
+  many cuts as slices, so cuts and contributions are safe to broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import durable
 from .keys import per_key
 
 SLICE = "__slice"
+CUTS = "__cuts"
+#: Sampled rows per slice.
+SAMPLED = 50
 
 
-def _cols(items: Sequence[Column | str]) -> list[Column]:
-    return [F.col(f"`{c}`") if isinstance(c, str) else c for c in items]
+@dataclass(frozen=True)
+class Down:
+    """A column that is ordered from its highest value down, nulls last."""
 
+    name: str
 
-def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Rows range-partitioned by (keys, order) with their slice number.
 
-    The slice bounds come from sampling, and the result is read twice, so it is written out
-    once instead of being computed again with possibly different bounds.
-    """
-    ranged = df.repartitionByRange(*_cols(keys), *_cols(order))
-    return durable(ranged.withColumn(SLICE, F.spark_partition_id()))
+def _cols(order: Sequence[str | Down]) -> list[Column]:
+    return [F.col(f"`{c.name}`").desc() if isinstance(c, Down) else F.col(f"`{c}`").asc() for c in order]
 
 
-def _earlier(per_slice: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
-    """Per (slice, keys): aggregate of ``value`` over the earlier slices of the same group."""
-    frame = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return per_slice.select(SLICE, *keys, value.over(frame).alias(name)).filter(F.col(name).isNotNull())
+def _names(order: Sequence[str | Down]) -> list[str]:
+    return [c.name if isinstance(c, Down) else c for c in order]
+
+
+def _all(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, tests)
+
+
+def _before(cut: Column, order: Sequence[str | Down]) -> Column:
+    """Whether the position ``cut`` comes before the row, in the order of Spark's own sort."""
+    test = F.lit(False)
+    for k, c in reversed(list(enumerate(order))):
+        there, here = cut[f"p{k}"], F.col(f"`{_names([c])[0]}`")
+        if isinstance(c, Down):
+            first = (there > here) | (there.isNotNull() & here.isNull())
+        else:
+            first = (there < here) | (there.isNull() & here.isNotNull())
+        test = F.coalesce(first, F.lit(False)) | (there.eqNullSafe(here) & test)
+    return test
+
+
+def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str | Down]) -> DataFrame:
+    """(keys, positions) of the groups that hold more than one slice's share of a sample."""
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = _names(order)
+    at = F.struct(*[F.col(f"`{c}`").alias(f"p{k}") for k, c in enumerate(names)]).alias("at")
+    slim = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, *names])])
+    sample = slim.withColumn("__r", F.rand(0)).orderBy("__r").limit(SAMPLED * slices)
+    in_order = sample.orderBy(*_cols([*keys, *order])).select(*[F.col(f"`{c}`") for c in keys], at)
+    rows = in_order.collect()
+    found = []
+    for key, group in groupby(rows, key=lambda r: tuple(r)[: len(keys)]):
+        own = [r["at"] for r in group]
+        parts = len(own) * slices // max(1, len(rows))
+        if parts > 1:
+            found.append((*key, [own[len(own) * k // parts] for k in range(1, parts)]))
+    fields = [T.StructField(c, df.schema[c].dataType) for c in keys]
+    schema = T.StructType([*fields, T.StructField(CUTS, T.ArrayType(in_order.schema["at"].dataType))])
+    return df.sparkSession.createDataFrame(found, schema)
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str | Down]) -> DataFrame:
+    """Rows with the number of their slice within the group; 0 throughout where a group is not cut."""
+    cuts = _cuts(df, keys, order)
+    if keys:
+        renamed = cuts.withColumnsRenamed({c: f"__r_{c}" for c in keys})
+        same = _all([df[f"`{c}`"].eqNullSafe(renamed[f"`__r_{c}`"]) for c in keys])
+        joined = df.join(F.broadcast(renamed), same, "left").drop(*[f"__r_{c}" for c in keys])
+    else:
+        joined = df.withColumn(CUTS, cuts.scalar())
+    passed = F.size(F.filter(CUTS, lambda c: _before(c, order)))
+    return joined.withColumn(SLICE, F.when(F.col(CUTS).isNull(), 0).otherwise(passed))
+
+
+def _slices_before(keys: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _sizes_before(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(slice, keys, __before) of the cut groups: rows in earlier slices of the group."""
+    sizes = sliced.filter(F.col(CUTS).isNotNull()).groupBy(SLICE, *keys).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(_slices_before(keys)).alias("__before")
+    return sizes.select(SLICE, *keys, before).filter(F.col("__before").isNotNull())
 
 
 def _attach(sliced: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = small.withColumnsRenamed({c: f"__r_{c}" for c in [SLICE, *keys]})
-    same = reduce(
-        lambda a, b: a & b,
-        [sliced[f"`{c}`"].eqNullSafe(renamed[f"`__r_{c}`"]) for c in [SLICE, *keys]],
-    )
+    same = _all([sliced[f"`{c}`"].eqNullSafe(renamed[f"`__r_{c}`"]) for c in [SLICE, *keys]])
     return sliced.join(F.broadcast(renamed), same, "left").drop(*[f"__r_{c}" for c in [SLICE, *keys]])
 
 
 def rank_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "running"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Down], name: str = "running"
 ) -> DataFrame:
     """1-based ``row_number`` per group; ``order`` must be a total order inside the group."""
     sliced = _sliced(df, keys, order)
-    local = F.row_number().over(Window.partitionBy(SLICE, *keys).orderBy(*_cols(order)))
-    sizes = sliced.groupBy(SLICE, *keys).agg(F.count(F.lit(1)).alias("__n"))
-    before = _earlier(sizes, keys, F.sum("__n"), "__before")
+    before = _sizes_before(sliced, keys)
+    local = F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*_cols(order)))
     numbered = _attach(sliced.withColumn(name, local), before, keys)
     total = F.col(name) + F.coalesce(F.col("__before"), F.lit(0))
-    return numbered.withColumn(name, total.cast("long")).drop(SLICE, "__before")
+    return numbered.withColumn(name, total.cast("long")).drop(SLICE, CUTS, "__before")
 
 
-def visit_rank(plan: DataFrame, tie: Sequence[Column | str] = ()) -> DataFrame:
+def visit_rank(plan: DataFrame, tie: Sequence[str | Down] = ()) -> DataFrame:
     """Visits of a store numbered from the latest count date backwards."""
-    return rank_rows(plan, ["bu", "stcode"], [F.col("cntdate").desc(), *tie], "running")
+    return rank_rows(plan, ["bu", "stcode"], [Down("cntdate"), *tie], "running")
 
 
 def occurrence(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "dup_count"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Down], name: str = "dup_count"
 ) -> DataFrame:
     """0-based repeat number of a key."""
     return rank_rows(df, keys, order, name).withColumn(name, F.col(name) - 1)
@@ -82,7 +140,7 @@ def occurrence(
 def sequence_in_group(
     scans: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column | str],
+    order: Sequence[str | Down],
     existing: DataFrame | None = None,
     name: str = "seq",
 ) -> DataFrame:
@@ -119,19 +177,17 @@ def forward_fill(
     """Last non-null value downwards inside each group; ``order`` ascends and is total."""
     sliced = _sliced(df, keys, order)
     running = (
-        Window.partitionBy(SLICE, *keys)
+        Window.partitionBy(*keys, SLICE)
         .orderBy(*_cols(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    position = F.struct(*_cols(order))
-    ends = sliced.groupBy(SLICE, *keys).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in cols]
-    )
-    out = sliced.withColumns({c: F.last(c, ignorenulls=True).over(running) for c in cols})
-    for c in cols:
-        carried = _earlier(ends, keys, F.last(c, ignorenulls=True), "__carried")
-        out = _attach(out, carried, keys).withColumn(c, F.coalesce(c, "__carried")).drop("__carried")
-    return out.drop(SLICE).select(*df.columns)
+    position = F.struct(*[F.col(f"`{c}`") for c in order])
+    last = F.struct(*[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in cols])
+    carried = F.struct(*[F.last(F.col(f"__own.{c}"), ignorenulls=True).over(_slices_before(keys)).alias(c) for c in cols])
+    ends = sliced.filter(F.col(CUTS).isNotNull()).groupBy(SLICE, *keys).agg(last.alias("__own"))
+    small = ends.select(SLICE, *keys, carried.alias("__carried"))
+    out = _attach(sliced.withColumns({c: F.last(c, ignorenulls=True).over(running) for c in cols}), small, keys)
+    return out.withColumns({c: F.coalesce(c, f"__carried.{c}") for c in cols}).select(*df.columns)
 
 
 def ranked_output(df: DataFrame, by: str, tie: Sequence[str]) -> DataFrame:

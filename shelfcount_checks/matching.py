@@ -228,7 +228,7 @@ def explode_barcode_lookup(i: Inputs):
     plan_id DESC) AS running FROM v_plan WHERE atype = '3F'""")
 def visit_rank(i: Inputs):
     visits = i.plan.filter("atype = '3F'").select("bu", "stcode", "cntdate", "plan_id")
-    return ranking.visit_rank(visits, [F.col("plan_id").desc()])
+    return ranking.visit_rank(visits, [ranking.Down("plan_id")])
 
 
 @check("SELECT id, bu, stcode, row_number() OVER (PARTITION BY bu, stcode ORDER BY id) - 1 AS dup_count FROM v_inbox")

@@ -21,8 +21,9 @@ def test_hot_group_spans_slices(spark):
 
 def test_contributions_are_bounded_by_slices(spark):
     sliced = ranking._sliced(hot(spark), ["k"], ["o"])
-    per = sliced.groupBy(ranking.SLICE, "k").agg(F.count(F.lit(1)).alias("__n"))
-    assert ranking._earlier(per, ["k"], F.sum("__n"), "b").count() <= sliced.select(ranking.SLICE).distinct().count()
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 0 < ranking._sizes_before(sliced, ["k"]).count() <= slices
+    assert ranking._cuts(hot(spark), ["k"], ["o"]).select(F.sum(F.size(ranking.CUTS))).first()[0] <= slices
 
 
 def test_rank_of_hot_group(spark):
@@ -37,7 +38,7 @@ def test_rank_of_hot_group(spark):
 
 def test_rank_descending_with_null_keys(spark):
     df = hot(spark, 3000).withColumn("k", F.when(F.col("k") != "hot", F.col("k")))
-    out = ranking.rank_rows(df, ["k"], [F.col("o").desc()], "rn").filter("k IS NULL").orderBy("rn").collect()
+    out = ranking.rank_rows(df, ["k"], [ranking.Down("o")], "rn").filter("k IS NULL").orderBy("rn").collect()
     assert [r["rn"] for r in out] == list(range(1, len(out) + 1))
     assert [r["o"] for r in out] == sorted((r["o"] for r in out), reverse=True)
 
@@ -104,3 +105,21 @@ def test_lookups_split_a_hot_key(spark, no_broadcast):
 def test_picked_rows_stay_cut_before_the_shuffle(spark):
     plan = first_of_key(hot(spark), ["k"], [F.col("o").asc()])._jdf.queryExecution().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_cuts_follow_the_order_of_a_sort(spark):
+    values = [None, -5, 0, 3, 3, 9]
+    rows = [(a, b, c) for a in values for b in (None, "x", "y") for c in range(40)]
+    df = spark.createDataFrame(rows, "a int, b string, c int")
+    for order in (["a", "b", "c"], [ranking.Down("a"), "b", ranking.Down("c")], [ranking.Down("b"), ranking.Down("a"), "c"]):
+        df3 = df.dropDuplicates(["a", "b", "c"])
+        out = [r["rn"] for r in ranking.rank_rows(df3, [], order, "rn").orderBy(*ranking._cols(order)).collect()]
+        assert out == list(range(1, df3.count() + 1))
+
+
+def test_numbering_writes_nothing(spark, tmp_path, monkeypatch):
+    from shelfcount import session
+
+    monkeypatch.setattr(session, "durable", lambda df: pytest.fail("a table was written"))
+    assert ranking.rank_rows(hot(spark), ["k"], ["o"], "rn").count() == 20000
+    assert not hasattr(ranking, "durable")
