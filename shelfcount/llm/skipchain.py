@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -290,45 +290,51 @@ def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in spans)
 
 
+Finish = Callable[[pa.RecordBatch, list[tuple[list, list]]], pa.RecordBatch]
+
+
+def _searched(docs: DataFrame, field: Field, schema: T.StructType, finish: Finish, text_col: str) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(field)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_shard(batches, text_col, SHARD_BYTES):
+            yield finish(rows, sent.value.spans(rows.column(text_col).to_pylist()))
+
+    return docs.mapInArrow(work, schema)
+
+
 def find_personal_data(docs: DataFrame, field: Field, text_col: str = "text", name: str = "personal") -> DataFrame:
     """All rows and columns of ``docs`` plus the struct ``name``: base and spans, each (start, end, kind).
 
     Positions are code points, end exclusive. Null and empty texts have no span. Repeated rows are
     worked on one by one. A column of that name is replaced.
     """
+    keys = ("start", "end", "kind")
     one = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("kind", T.IntegerType())]))
     kind = T.StructType([T.StructField("base", one), T.StructField("spans", one)])
     schema = T.StructType([f for f in docs.schema.fields if f.name != name] + [T.StructField(name, kind)])
-    sent = docs.sparkSession.sparkContext.broadcast(field)
-    keys = ("start", "end", "kind")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in by_shard(batches, text_col, SHARD_BYTES):
-            found = [
-                {"base": [dict(zip(keys, s)) for s in base], "spans": [dict(zip(keys, s)) for s in spans]}
-                for base, spans in sent.value.spans(rows.column(text_col).to_pylist())
-            ]
-            columns = {f.name: rows.column(f.name) for f in schema.fields if f.name != name}
-            yield batch(columns | {name: found}, schema)
+    def finish(rows: pa.RecordBatch, found: list[tuple[list, list]]) -> pa.RecordBatch:
+        both = [{"base": [dict(zip(keys, s)) for s in b], "spans": [dict(zip(keys, s)) for s in m]} for b, m in found]
+        columns = {f.name: rows.column(f.name) for f in schema.fields if f.name != name}
+        return batch(columns | {name: both}, schema)
 
-    return docs.mapInArrow(work, schema)
+    return _searched(docs, field, schema, finish, text_col)
 
 
 def personal_digest(docs: DataFrame) -> DataFrame:
     """Per row of documents: counts of base spans by kind, their digest, and all spans."""
-    found = find_personal_data(docs.select("doc_id", "text"), Field(counted(docs.select("text"))))
     schema = T.StructType(
         [docs.schema["doc_id"], *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS], T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())]
     )
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            both = [([tuple(s.values()) for s in p["base"]], [tuple(s.values()) for s in p["spans"]]) for p in rows.column("personal").to_pylist()]
-            columns: dict = {"doc_id": rows.column("doc_id")}
-            for k, kind in enumerate(KINDS):
-                columns[f"n_{kind}"] = [sum(s[2] == k for s in base) for base, _ in both]
-            columns["base_sha256"] = [hashlib.sha256(written(base).encode()).hexdigest() for base, _ in both]
-            columns["spans"] = [written(spans) for _, spans in both]
-            yield batch(columns, schema)
-
-    return found.select("doc_id", "personal").mapInArrow(work, schema)
+    def finish(rows: pa.RecordBatch, found: list[tuple[list, list]]) -> pa.RecordBatch:
+        columns: dict = {"doc_id": rows.column("doc_id")}
+        for k, kind in enumerate(KINDS):
+            columns[f"n_{kind}"] = [sum(s[2] == k for s in base) for base, _ in found]
+        columns["base_sha256"] = [hashlib.sha256(written(base).encode()).hexdigest() for base, _ in found]
+        columns["spans"] = [written(spans) for _, spans in found]
+        return batch(columns, schema)
+
+    field = Field(counted(docs.select("text")))
+    return _searched(docs.select("doc_id", "text"), field, schema, finish, "text")
