@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,9 +52,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_owned: ContextVar[str | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[str]:
+    """Durable intermediates written inside the block are deleted at its end.
+
+    Results that read them must have been written or collected by then.
+    """
+    folder = os.path.join(shared_folder(spark), "scratch", uuid.uuid4().hex)
+    token = _owned.set(folder)
+    try:
+        yield folder
+    finally:
+        _owned.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return os.path.join(shared_folder(spark), "scratch", uuid.uuid4().hex, name)
+    """A new, unused path below the shared folder, or below that of ``owned_scratch``."""
+    base = _owned.get() or os.path.join(shared_folder(spark), "scratch")
+    return os.path.join(base, uuid.uuid4().hex, name)
 
 
 def durable(df: DataFrame) -> DataFrame:

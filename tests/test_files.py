@@ -253,6 +253,16 @@ def test_replace_keys_touches_few_partitions(spark, tmp_path):
     assert "isnull(day" in picked._jdf.queryExecution().toString()
 
 
+def test_owned_scratch_is_deleted(spark):
+    from shelfcount.session import durable, owned_scratch
+
+    with owned_scratch(spark) as folder:
+        kept = durable(spark.range(5))
+        assert kept.count() == 5 and os.listdir(folder.removeprefix("file:").replace("//", "/"))
+    assert not os.path.exists(folder.removeprefix("file:").replace("//", "/"))
+    assert durable(spark.range(3)).count() == 3
+
+
 def files_of(path, part):
     return sorted(f for f in os.listdir(os.path.join(path, part)) if f.endswith(".parquet"))
 
