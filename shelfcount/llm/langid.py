@@ -24,10 +24,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcount.session import durable
+
 from .common import batch, by_shard, crc_share
 
 #: Labelled rows per language that the model is fitted on.
 SAMPLE_ROWS = 1000
+#: Shares in which the sample of a language is chosen first.
+SHARES = 8
+#: Chosen rows whose ids are sent to the tasks; more are joined.
+SENT_ROWS = 100_000
 #: Words, and n-grams of each length, kept per language.
 KEPT = 20_000
 LONGEST = 5
@@ -176,16 +182,24 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
         F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
     )
     rows = labelled.withColumn("h1", F.xxhash64("id")).withColumn("h2", F.xxhash64("text"))
-    first = Window.partitionBy("lang").orderBy("h1", "id", "h2")
+    order = ("h1", "id", "h2")
+    # First among a share of the rows, so that a language's last choice is among a bounded number.
+    shares = Window.partitionBy("lang", "share").orderBy(*order)
+    first = Window.partitionBy("lang").orderBy(*order)
     chosen = (
-        rows.select("lang", "id", "h1", "h2")
+        rows.select("lang", *order, F.pmod("h1", F.lit(SHARES)).alias("share"))
+        .withColumn("r", F.row_number().over(shares))
+        .where(F.col("r") <= sample_rows)
         .withColumn("r", F.row_number().over(first))
         .where(F.col("r") <= sample_rows)
         .select("lang", "id", "h2")
         .distinct()
     )
+    chosen = durable(chosen.select(F.col("lang").alias("l"), F.col("id").alias("i"), F.col("h2").alias("h")))
+    # Rows per language are bounded, languages are not.
+    few = chosen.count() <= SENT_ROWS
     keyed = rows.join(
-        chosen.select(F.col("lang").alias("l"), F.col("id").alias("i"), F.col("h2").alias("h")),
+        F.broadcast(chosen) if few else chosen,
         (F.col("lang") == F.col("l")) & F.col("id").eqNullSafe(F.col("i")) & (F.col("h2") == F.col("h")),
         "left_semi",
     )
