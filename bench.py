@@ -44,6 +44,11 @@ HEADLINE = [
     "posting_age",
     "upload_inbox",
     "snapshot_from_file",
+    "store_summary",
+    "approved_rows",
+    "import_approved",
+    "report_reload",
+    "load_master",
 ]
 
 
