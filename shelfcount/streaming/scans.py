@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.measures import exact
 from ..operators.ranking import keep_first
+from ..session import durable
+from ..sources.sinks import remove_partition
 from .intake import BATCH, QUERY, _write_batch, query_of
 
 #: When a batch was written; a stream that starts anew writes its versions later than the one before.
@@ -44,3 +47,18 @@ def current_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Newest version of every group written by ``changed_rows``."""
     newest = [F.col(WRITTEN).desc(), F.col(BATCH).desc()]
     return keep_first(changes, keys, newest).drop(QUERY, BATCH, WRITTEN)
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Keep only the newest version of every group; run between two runs of the stream.
+
+    The newest versions are written with their time into a folder of their own before the folders
+    they came from go, so a run that ends in between leaves versions of equal time, of which
+    ``current_rows`` takes one.
+    """
+    stored = spark.read.parquet(path)
+    newest = keep_first(stored, keys, [F.col(WRITTEN).desc(), F.col(BATCH).desc()]).drop(QUERY, BATCH)
+    before = stored.select(F.col(QUERY).cast("string"), F.col(BATCH).cast("string")).distinct().collect()
+    _write_batch(durable(newest), path, f"compacted-{uuid.uuid4().hex}", 0)
+    for folder in before:
+        remove_partition(spark, path, folder.asDict())

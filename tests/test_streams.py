@@ -123,3 +123,17 @@ def test_newest_version_across_checkpoints(spark, tmp_path):
     each(spark.createDataFrame([("a", 1)], "k string, qty int"), 7)
     each(spark.createDataFrame([("a", 2)], "k string, qty int"), 0)
     assert values(scans.current_rows(spark.read.parquet(table), ["k"]), "k", "qty") == [("a", 2)]
+
+
+def test_compaction_keeps_the_newest_versions(spark, tmp_path):
+    table = str(tmp_path / "table")
+    each = scans.changed_rows(table)
+    for n in range(4):
+        each(spark.createDataFrame([("a", n), (f"k{n}", 0)], "k string, qty int"), n)
+    for _ in range(2):
+        scans.compact(spark, table, ["k"])
+        assert sum("batch_id=" in folder for folder, _, _ in os.walk(table)) == 1
+        live = scans.current_rows(spark.read.parquet(table), ["k"])
+        assert values(live, "k", "qty") == [("a", 3), ("k0", 0), ("k1", 0), ("k2", 0), ("k3", 0)]
+    each(spark.createDataFrame([("a", 9)], "k string, qty int"), 4)
+    assert ("a", 9) in values(scans.current_rows(spark.read.parquet(table), ["k"]), "k", "qty")
