@@ -2,15 +2,14 @@
 
 The model is pretrained. Every training text, reduced to its lower-cased tokens with one space
 between them and an end symbol, is counted into contexts of up to ORDER bytes. A symbol is coded in
-the longest known context; if that has not seen it, an escape (as many chances as the context has
-distinct symbols) leads to the next shorter context, in which symbols of the longer one are
-excluded, down to an even share of what is left. The log-probability of a text is the sum over its
-symbols.
+the longest known context; if that has not seen it, an escape (half a count of every distinct symbol
+of the context) leads to the next shorter context, in which symbols of the longer one are excluded,
+down to an even share of what is left. The log-probability of a text is the sum over its symbols.
 
 All contexts are counted; the trie keeps the most frequent ones, at most CONTEXTS however large the
-corpus is, and is compiled into one row per context: probability of, and next context after, each
-symbol. A context depends on the last ORDER bytes only, so a shard of texts is scored in many lanes
-at once.
+corpus is, so it can go to the tasks. A worker compiles it into one row per context: probability of,
+and next context after, each symbol. A context depends on the last ORDER bytes only, so a shard of
+texts is scored in many lanes at once.
 
 The baseline needs the count of every token. Frequent tokens (at least one part in FREQUENT of the
 training tokens, so at most FREQUENT of them) go to the tasks; the others are joined.
@@ -136,9 +135,14 @@ def trie(counts: DataFrame, order: int = ORDER, contexts: int = CONTEXTS) -> pd.
 
 @dataclass
 class Machine:
-    """Per context: log10 probability of each symbol, and the context after it."""
+    """Per context: log10 probability of each symbol, and the context after it.
+
+    Tables have a column for each symbol that was ever seen and a first one for all others, which
+    share the rest evenly and lead to the empty context.
+    """
 
     order: int
+    column: np.ndarray
     log: np.ndarray
     after: np.ndarray
 
@@ -151,16 +155,16 @@ class Machine:
         steps = -(-len(symbols) // lanes)
         grid = np.full(lanes * steps, END, np.uint8)
         grid[: len(symbols)] = symbols
-        grid = grid.reshape(lanes, steps)
-        log, after = self.log.ravel(), self.after.ravel()
+        grid = self.column[grid].reshape(lanes, steps)
+        log, after, width = self.log.ravel(), self.after.ravel(), self.log.shape[1]
         state = np.zeros(lanes, np.int64)
         # A lane starts in the context of the bytes before it, at the end of the lane before.
         for back in range(min(self.order, steps), 0, -1):
-            state[1:] = after[state[1:] * 256 + grid[:-1, steps - back]]
-        by_step = np.ascontiguousarray(grid.T).astype(np.int64)
+            state[1:] = after[state[1:] * width + grid[:-1, steps - back]]
+        by_step = np.ascontiguousarray(grid.T)
         value = np.empty((steps, lanes), np.float32)
         for k in range(steps):
-            at = state * 256 + by_step[k]
+            at = state * width + by_step[k]
             value[k] = log[at]
             state = after[at].astype(np.int64)
         flat = np.ascontiguousarray(value.T).ravel().astype(np.float64)
@@ -170,29 +174,45 @@ class Machine:
 
 def compiled(rows: pd.DataFrame, order: int = ORDER) -> Machine:
     """The machine of a trie. Without training symbols every symbol has an even share."""
-    contexts = {(0, 0): 0}
+    lengths, context = np.zeros(1, np.int64), np.zeros(1, np.int64)
+    packed, offset = [np.zeros(1, np.int64)], [0]
     for length in range(1, order + 1):
-        for c in sorted(rows.loc[rows["length"] == length, "context"].unique().tolist()):
-            contexts[length, c] = len(contexts)
-    size = len(contexts)
-    counts = np.zeros((size, 256), np.float32)
-    place = [contexts[k] for k in zip(rows["length"].tolist(), rows["context"].tolist())]
-    counts[place, rows["symbol"].to_numpy(int)] = rows["n"]
+        own = np.unique(rows.loc[rows["length"] == length, "context"].to_numpy(np.int64))
+        offset.append(len(context))
+        packed.append(own)
+        lengths = np.concatenate((lengths, np.full(len(own), length)))
+        context = np.concatenate((context, own))
+
+    def place(length: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(known, number) of contexts of one length."""
+        if not len(packed[length]):
+            return np.zeros(wanted.shape, bool), np.zeros(wanted.shape, np.int64)
+        slot = np.minimum(np.searchsorted(packed[length], wanted), len(packed[length]) - 1)
+        return packed[length][slot] == wanted, offset[length] + slot
+
+    symbol = np.unique(rows["symbol"].to_numpy(np.int64))
+    column = np.zeros(256, np.int64)
+    column[symbol] = np.arange(1, len(symbol) + 1)
+    size, width = len(context), len(symbol) + 1
+    counts = np.zeros((size, width), np.float32)
     shorter = np.zeros(size, np.int64)
-    names = list(contexts)
-    for number, (length, c) in enumerate(names):
+    for length in range(order + 1):
+        own = rows[rows["length"] == length]
+        at = place(length, own["context"].to_numpy(np.int64))[1]
+        counts[at, column[own["symbol"].to_numpy(int)]] = own["n"]
         if length:
-            shorter[number] = contexts[length - 1, c & ((1 << 8 * (length - 1)) - 1)]
-    log, after = np.empty((size, 256), np.float32), np.zeros((size, 256), np.int32)
+            here = lengths == length
+            shorter[here] = place(length - 1, context[here] & ((1 << 8 * (length - 1)) - 1))[1]
+    log, after = np.empty((size, width), np.float32), np.zeros((size, width), np.int32)
+    others = 256 - len(symbol)
     for first in range(0, size, 2048):
         block = np.arange(first, min(first + 2048, size))
-        length = np.array([names[k][0] for k in block])
-        chance = np.zeros((len(block), 256))
+        chance = np.zeros((len(block), width))
         left = np.ones(len(block))
-        open_symbols = np.ones((len(block), 256), bool)
+        open_symbols = np.ones((len(block), width), bool)
         at = block.copy()
         for step in range(order, -1, -1):
-            use = length >= step
+            use = lengths[block] >= step
             own = np.where(open_symbols & use[:, None], counts[at].astype(np.float64), 0.0)
             seen = own > 0
             kinds, held = seen.sum(axis=1), own.sum(axis=1)
@@ -201,28 +221,33 @@ def compiled(rows: pd.DataFrame, order: int = ORDER) -> Machine:
             left = np.where(kinds > 0, share * kinds * ESCAPE, left)
             open_symbols &= ~seen
             at = np.where(use, shorter[at], at)
-        rest = open_symbols.sum(axis=1)
+        rest = open_symbols[:, 1:].sum(axis=1) + others
         chance += np.where(open_symbols, (left / np.maximum(rest, 1))[:, None], 0.0)
-        log[block] = np.log10(chance / chance.sum(axis=1, keepdims=True))
-    # Shorter contexts after (context, symbol) are set first, so the longest known one stays.
-    packed = [np.array(sorted(c for k, c in names if k == n), np.int64) for n in range(order + 1)]
-    offset = np.cumsum([0, *[len(p) for p in packed]])
-    symbol = np.arange(256, dtype=np.int64)
-    context = np.array([c for _, c in names], np.int64)
-    lengths = np.array([k for k, _ in names])
-    for target in range(1, order + 1):
-        if not len(packed[target]):
-            continue
-        for first in range(0, size, 2048):
-            block = np.arange(first, min(first + 2048, size))
-            block = block[lengths[block] >= target - 1]
+        whole = chance[:, 1:].sum(axis=1) + chance[:, 0] * others
+        log[block] = np.log10(chance / whole[:, None])
+        # Shorter contexts after (context, symbol) are set first, so the longest known one stays.
+        for target in range(1, order + 1):
             wanted = (context[block][:, None] << 8 | symbol) & ((1 << 8 * target) - 1)
-            slot = np.minimum(np.searchsorted(packed[target], wanted), len(packed[target]) - 1)
-            hit = packed[target][slot] == wanted
-            part = after[block]
-            part[hit] = offset[target] + slot[hit]
-            after[block] = part
-    return Machine(order, log, after)
+            known, number = place(target, wanted)
+            known &= (lengths[block] >= target - 1)[:, None]
+            after[block, 1:] = np.where(known, number, after[block, 1:])
+    return Machine(order, column, log, after)
+
+
+def _narrow(rows: pd.DataFrame) -> pd.DataFrame:
+    """The trie as it is sent: bytes where bytes do."""
+    return rows.astype({"length": "uint8", "context": "int64", "symbol": "uint8", "n": "int64"})
+
+
+#: The trie that this worker compiled last, and its machine.
+_compiled: list = []
+
+
+def _machine(rows: pd.DataFrame, order: int) -> Machine:
+    """The machine of a sent trie, compiled once in a worker."""
+    if not _compiled or _compiled[0] is not rows:
+        _compiled[:] = [rows, compiled(rows, order)]
+    return _compiled[1]
 
 
 def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, contexts: int = CONTEXTS, frequent: int = FREQUENT) -> DataFrame:
@@ -246,7 +271,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     common = (F.col("n") * frequent) >= n
     known = counts.where(is_token & F.col("word").isNotNull() & common).select("word", "n").toPandas()
     words = {bytes(w): float(np.log10(c + ADDED)) for w, c in zip(known["word"], known["n"])}
-    sent = docs.sparkSession.sparkContext.broadcast((words, compiled(trie(counts, order, contexts), order)))
+    sent = docs.sparkSession.sparkContext.broadcast((words, _narrow(trie(counts, order, contexts))))
     end_log = float(np.log10(ends + ADDED))
     rare_type = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]))
     schema = T.StructType(
@@ -262,7 +287,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, machine = sent.value
+        logs, machine = sent.value[0], _machine(sent.value[1], order)
         for part in by_shard(batches, "text", SHARD_BYTES):
             texts = [tokens(t) for t in utf8(part.column("text"))]
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
