@@ -336,13 +336,25 @@ def report_import_sheet_book(i: Inputs):
     return out.select("stcode", "cntdate", "sku", F.col("qnt").cast("double").alias("qnt"))
 
 
+@check(f"""SELECT DISTINCT stcode, cntdate, sku, 'Consign' AS skutype, 'd' AS dpt FROM {BOOKED} s WHERE {GATED} AND skutype = 'Consign' AND sku NOT LIKE '%5'""")
+def report_import_count_book(i: Inputs):
+    store = F.when(F.col("sku").endswith("5"), "other").otherwise(F.col("stcode"))
+    sku = F.concat(F.lit(" '"), "sku", F.lit("' "))
+    lines = booked(i).filter("skutype = 'Consign'").select("file", store.alias("store"), sku.alias("sku"), F.lit("d").alias("dept")).distinct()
+    files = books(i, lines, "file", ["STMERCH", "SKU", "DEPT"], "STK")
+    raw = workbook.read_workbooks(files, ["stmerch", "sku", "dept"], sheet="STK")
+    raw = clean.rename_map(raw, reports.STORE_BOOK_CREDIT_NAMES)
+    out = reports.import_report(raw, reports.COUNT_BOOK_CONSIGN, planned(i), done(i))
+    return out.select("stcode", "cntdate", "sku", "skutype", "dpt")
+
+
 @check(f"""SELECT DISTINCT stcode, cntdate, sku, CAST(soh AS DOUBLE) AS soh, CAST(qty_var AS DOUBLE) AS qty_var, CAST(qty_var * 2 AS DOUBLE) AS extrtl_var, 'Credit' AS skutype
     FROM {BOOKED} s WHERE {GATED}""")
 def report_import_wholesale(i: Inputs):
     counted = (F.col("soh") + F.col("qty_var")).cast("double")
     lines = booked(i).select("file", "sku", F.col("soh").cast("double").alias("soh"), counted.alias("qty"), F.lit(2).alias("retail"), F.lit(1).alias("cost")).distinct()
-    files = books(i, lines, "file", ["sku", "soh", "qty_count", "retail", "cost"], "STK")
-    raw = workbook.read_workbooks(files, ["sku", "soh", "qty_count", "retail", "cost"], sheet="STK")
+    files = books(i, lines, "file", ["PR_CODE", "Quantity", "Physical  Count", "Unit Retail", "Unit Cost"], "STK")
+    raw = clean.rename_map(workbook.read_workbooks(files, list(reports.WHOLESALE_NAMES), sheet="STK"), reports.WHOLESALE_NAMES)
     out = reports.import_report(raw, reports.WHOLESALE_BOOK, planned(i), done(i))
     numbers = [F.col(c).cast("double").alias(c) for c in ("soh", "qty_var", "extrtl_var")]
     return out.select("stcode", "cntdate", "sku", *numbers, "skutype")

@@ -651,6 +651,36 @@ def checklist_score(i: Inputs):
     return scored(i)
 
 
+FORM = "b2s"
+CODES = checklist.questions(FORM)
+FORM_POINTS = ", ".join(f"('{c}', {k})" for k, c in enumerate(CODES))
+
+
+def form_sheet(i: Inputs) -> DataFrame:
+    """Entries of a checklist form as its sheet writes them: all text, headers in their own language."""
+    points = [((F.col("o_orderkey") + k) % 6).cast("string").alias(c.lower()) for k, c in enumerate(CODES)]
+    moment = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    return i.table("orders").select(
+        F.col("o_orderkey").cast("string").alias("ID"), moment.alias("Start time"), F.col("o_custkey").cast("string").alias("รหัสสาขา"),
+        moment.alias("วันที่ตรวจนับ"), *points,
+    )
+
+
+@check(f"""WITH newest AS (SELECT * FROM v_answers QUALIFY row_number() OVER (PARTITION BY stcode, cntdate ORDER BY id DESC) = 1)
+    SELECT a.stcode, a.cntdate, c.code AS question_code, (a.id + c.k) % 6 AS point, 'Sale' AS zone, CAST(10 AS DOUBLE) AS "full", CAST((a.id + c.k) % 6 * 2 AS DOUBLE) AS act
+    FROM newest a, (VALUES {FORM_POINTS}) c(code, k) WHERE c.k % 2 = 0 AND a.cntdate <= '19960630' AND EXISTS (SELECT 1 FROM v_plan p
+    WHERE p.bu = 'BU1' AND p.branch IS NOT NULL AND p.stcode = a.stcode AND p.cntdate = a.cntdate)""")
+def checklist_form(i: Inputs):
+    # Every second question of the form is mapped; the others have no unit and fall out.
+    rows = [(c.lower(), "BU1", "F", "2", "x", "section", "subject", "more") for c in CODES[::2]]
+    names = ["Code", "BU", "Zone", "Weight", "No", "Subject", "Desceiption", "SubDescription"]
+    mapping = checklist.rename_mapping(i.spark.createDataFrame(rows, names)).withColumn("question_code", F.upper("question_code"))
+    answers = checklist.prepare_answers(form_sheet(i), CODES)
+    stored = i.plan.filter("false")
+    out = checklist.score(answers, CODES, mapping, i.plan, stored, "19960630")
+    return out.select("stcode", "cntdate", "question_code", "point", "zone", "full", "act")
+
+
 @check(f"""SELECT s.*, p.type1 FROM ({SCORED}) s JOIN v_plan p USING (bu, stcode, cntdate) WHERE p.atype IN ('3F', '3Q') AND checkdate >= '19980101'""")
 def checklist_extract(i: Inputs):
     return checklist.extract(scored(i), i.plan, "19980101")["checklist"]
