@@ -35,43 +35,42 @@ SEED = 42
 #: Members of a key that are compared as they are; larger keys are refined.
 KEY_MEMBERS = 20_000
 SHARD_BYTES = 4 << 20
+#: Shingles of a text that are hashed at once.
+PART = 1 << 14
 
 
-def shingle_hashes(text: bytes | None, size: int = SHINGLE) -> list[int]:
-    """XXH64 of every shingle of a UTF-8 text, repeats included."""
+def shingles(text: bytes | None, size: int = SHINGLE) -> tuple[bytes, list[int], list[int]]:
+    """Words of a UTF-8 text joined by single spaces, and where its shingles start and end in that."""
     words = space_words(text or b"")
     if not words:
-        return []
+        return b"", [], []
     line = b" ".join(words)
+    if len(words) <= size:
+        return line, [0], [len(line)]
     ends, at = [], -1
     for w in words:
         at += len(w) + 1
         ends.append(at)
-    n = len(words)
-    if n <= size:
-        return [xxhash.xxh64_intdigest(line, SEED)]
-    starts = [0, *(e + 1 for e in ends[: n - size])]
+    return line, [0, *(e + 1 for e in ends[: len(words) - size])], ends[size - 1 :]
+
+
+def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
+    """Unsigned 64-bit fingerprint: bits set in over half of the shingles' hashes, repeats included."""
+    line, starts, ends = shingles(text, size)
+    if not starts:
+        return 0
     digest = xxhash.xxh64_intdigest
-    return [digest(line[a:b], SEED) for a, b in zip(starts, ends[size - 1 :])]
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(starts), PART):
+        part = [digest(line[a:b], SEED) for a, b in zip(starts[k : k + PART], ends[k : k + PART])]
+        bits = np.unpackbits(np.array(part, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int32)
+    return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(texts: list[bytes | None], size: int = SHINGLE) -> np.ndarray:
-    """Signed 64-bit fingerprint of every text: bits set in over half of its shingle hashes."""
-    hashes: list[int] = []
-    counts = np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
-        own = shingle_hashes(text, size)
-        counts[k] = len(own)
-        hashes += own
-    out = np.zeros(len(texts), np.uint64)
-    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    at = 0
-    for k, n in enumerate(counts.tolist()):
-        if n:
-            ones = bits[at : at + n].sum(axis=0, dtype=np.int32)
-            out[k] = np.packbits(2 * ones > n, bitorder="little").view("<u8")[0]
-            at += n
-    return out.view(np.int64)
+    """Signed 64-bit fingerprint of every text."""
+    return np.array([fingerprint(t, size) for t in texts], np.uint64).view(np.int64)
 
 
 def with_fingerprint(docs: DataFrame, text_col: str = "text", name: str = "fingerprint", size: int = SHINGLE) -> DataFrame:
