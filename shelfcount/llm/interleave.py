@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 SHARDS = 16
 SEED = 42
 #: Mean number of rows that are numbered together.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 
 
 def _number(df: DataFrame, group: str | None, slot: Column, order: list[Column], name: str) -> DataFrame:
