@@ -11,7 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcount.session import durable
+
 SEED = 42
+#: Sources whose rates are sent to the tasks.
+SENT_SOURCES = 10_000
 #: Exponent on a source's size where no target weights are given: 1 keeps the mixture, 0 levels it.
 TEMPERATURE = 0.5
 
@@ -60,6 +64,7 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, source_col:
         weighed = sizes.join(given, sizes["source"].eqNullSafe(given["__of"]), "left").select(
             "source", "size", F.coalesce("weight", F.lit(0.0)).alias("weight")
         )
+    weighed = durable(weighed)  # one row per source, looked at three times
     # A rounded sum, as the order of addition must not decide a rate.
     weight_sum, size_sum = weighed.agg(
         F.sum(F.col("weight").cast("decimal(38,10)")).cast("double"), F.sum("size").cast("double")
@@ -76,7 +81,9 @@ def replicated(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", source
     [0, 1) of a copy in the shuffled table.
     """
     steps = rates.select(F.col("source").alias("__of"), poisson_steps(F.col("rate")).alias("__steps"), F.col("rate").alias("__rate"))
-    dealt = docs.join(steps, docs[source_col].eqNullSafe(steps["__of"]))
+    # Few sources are sent to the tasks, so no row moves for its rate; many are joined.
+    few = rates.count() <= SENT_SOURCES
+    dealt = docs.join(F.broadcast(steps) if few else steps, docs[source_col].eqNullSafe(steps["__of"]))
     count = F.when(F.col("__rate") > 0, F.size(F.filter("__steps", lambda s: s <= F.col("__u")))).otherwise(0)
     return (
         dealt.withColumn("__u", uniform(seed, "count", F.col(id_col), F.col(source_col)))
