@@ -171,7 +171,9 @@ def links_within(prints: DataFrame, most: int = MAX_BITS, key_members: int = KEY
     """
     if most > 3:
         raise ValueError("two halves cover up to three differing bits")
-    keyed = prints.select("f", F.explode(F.concat(_keys(_half(False), 32, 0), _keys(_half(True), 32, 33))).alias("k"))
+    # Every fingerprint becomes 66 rows, so few files must not mean few tasks.
+    spread = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "f")
+    keyed = spread.select("f", F.explode(F.concat(_keys(_half(False), 32, 0), _keys(_half(True), 32, 33))).alias("k"))
     keyed = keyed.select("f", "k.kind", "k.value")
     half = F.when(F.col("kind") < 33, _half(False)).otherwise(_half(True))
     # Members that agree in the left-out bit too are together under the whole half already.
