@@ -208,7 +208,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     most = Window.partitionBy("lang", "kind").orderBy(F.col("n").desc(), "entry")
     total = F.sum("n").over(Window.partitionBy("lang", "kind"))
     top = sums.withColumn("total", total).withColumn("r", F.row_number().over(most)).where(F.col("r") <= kept)
-    found = top.select("lang", "kind", "entry", "n", "total").toPandas()
+    found = top.select("lang", "kind", "entry", "n", "total").toArrow().to_pandas()
     return build(found)
 
 

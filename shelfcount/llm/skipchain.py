@@ -196,7 +196,7 @@ def counted(docs: DataFrame, text_col: str = "text", kept: int = KEPT) -> pd.Dat
     whole = sums.groupBy("sort", "key").agg(F.sum("n").alias("n"), F.collect_list(F.struct("label", "n")).alias("by"))
     order = Window.partitionBy("sort").orderBy(F.desc("n"), "key")
     top = whole.withColumn("r", F.row_number().over(order)).where(F.col("r") <= kept)
-    return top.select("sort", "key", F.explode("by").alias("y")).select("sort", "key", "y.label", "y.n").toPandas()
+    return top.select("sort", "key", F.explode("by").alias("y")).select("sort", "key", "y.label", "y.n").toArrow().to_pandas()
 
 
 class Field:
