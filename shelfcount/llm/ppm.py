@@ -40,22 +40,41 @@ FREQUENT = 1 << 18
 ADDED = 0.1
 #: Follows every text; no byte of UTF-8.
 END = 0xFF
-SHARD_BYTES = 4 << 20
-LANES = 4096
+SHARD_BYTES = 2 << 20
+LANES = 8192
+#: Distinct tokens that a task holds before it gives them out (grams: four times as many), and rows of a batch.
+HELD = 300_000
+CHUNK = 100_000
 
 
 def tokens(text: bytes | None) -> list[bytes]:
     return space_words(text or b"")
 
 
-def tape(texts: list[list[bytes]], order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All texts in a row, each followed by ``order`` ends; starts; numbers of coded symbols.
+def lines_of(texts: list[bytes | None]) -> list[bytes]:
+    """Every text's tokens with one space between them."""
+    return [b" ".join(tokens(t)) for t in texts]
 
-    The coded symbols of a text are its bytes and the first end after them. ``order`` ends stand
-    before the first text too, so every text begins in the same context.
+
+def words_of(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Tokens per line, the number of every token in order, and the distinct tokens."""
+    sizes = np.fromiter((x.count(b" ") + 1 if x else 0 for x in lines), np.int64, len(lines))
+    # Every token is followed by one space, so the joined lines are an array of tokens with a space each.
+    data = b"".join([x + b" " for x in lines if x])
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 0x20) + 1
+    offsets = np.concatenate(([0], ends)).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    coded = words.dictionary_encode()
+    return sizes, coded.indices.to_numpy(), [w[:-1] for w in coded.dictionary.to_pylist()]
+
+
+def tape(lines: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All lines in a row, each followed by ``order`` ends; starts; numbers of coded symbols.
+
+    The coded symbols of a line are its bytes and the first end after them. ``order`` ends stand
+    before the first line too, so every line begins in the same context.
     """
     pad = bytes([END]) * order
-    lines = [b" ".join(t) for t in texts]
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     starts = order + np.cumsum(sizes + order) - sizes - order
     return np.frombuffer(pad + pad.join(lines) + pad, np.uint8), starts, sizes + 1
@@ -63,11 +82,63 @@ def tape(texts: list[list[bytes]], order: int = ORDER) -> tuple[np.ndarray, np.n
 
 def grams(symbols: np.ndarray, starts: np.ndarray, coded: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (context of ``order`` bytes, symbol), packed with the symbol lowest, and their counts."""
-    at = np.repeat(starts - np.cumsum(coded) + coded, coded) + np.arange(coded.sum())
-    key = np.zeros(len(at), np.int64)
+    n = len(symbols)
+    key = np.zeros(max(0, n - order), np.int64)
     for back in range(order, -1, -1):
-        key = key << 8 | symbols[at - back]
-    return np.unique(key, return_counts=True)
+        key <<= 8
+        key |= symbols[order - back : n - back]
+    change = np.zeros(n + 1, np.int8)
+    change[starts] = 1
+    change[starts + coded] = -1
+    key = key[np.cumsum(change[:-1], dtype=np.int8)[order:] > 0]
+    return totals(key, np.ones(len(key), np.int64))
+
+
+def totals(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their counts."""
+    if not len(keys):
+        return keys, counts
+    if (counts == 1).all():
+        keys = np.sort(keys)
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        return keys[first], np.diff(np.append(first, len(keys)))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(counts[order], first)
+
+
+class _Tally:
+    """Counts of a task's texts, given out when they grow beyond what a task may hold."""
+
+    def __init__(self) -> None:
+        self.words: dict[bytes, int] = {}
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = self.ends = 0
+
+    def add(self, lines: list[bytes], order: int) -> None:
+        _, codes, known = words_of(lines)
+        held = self.words
+        for w, n in zip(known, np.bincount(codes, minlength=len(known)).tolist()):
+            held[w] = held.get(w, 0) + n
+        self.ends += len(lines)
+        self.parts.append(grams(*tape(lines, order), order))
+        self.size += len(self.parts[-1][0])
+
+    def full(self) -> bool:
+        return len(self.words) > HELD or self.size > 4 * HELD
+
+    def given(self, schema: T.StructType) -> Iterator[pa.RecordBatch]:
+        if self.ends:
+            words, counts = list(self.words), list(self.words.values())
+            for k in range(0, len(words), CHUNK):
+                part = words[k : k + CHUNK]
+                yield batch({"word": part, "gram": [None] * len(part), "n": counts[k : k + CHUNK]}, schema)
+            keys, sums = totals(*(np.concatenate(x) for x in zip(*self.parts)))
+            for k in range(0, len(keys), CHUNK):
+                part = keys[k : k + CHUNK]
+                yield batch({"word": [None] * len(part), "gram": part, "n": sums[k : k + CHUNK]}, schema)
+            yield batch({"word": [None], "gram": [None], "n": [self.ends]}, schema)
 
 
 def training_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
@@ -77,31 +148,17 @@ def training_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = _Tally()
         for rows in by_shard(batches, "text", SHARD_BYTES):
-            texts = [tokens(t) for t in utf8(rows.column("text"))]
-            words = [w for t in texts for w in t]
-            codes, known = pd.factorize(np.fromiter(words, object, len(words)))
-            found, n = grams(*tape(texts, order), order)
-            yield batch(
-                {
-                    "word": [*known, *[None] * (len(found) + 1)],
-                    "gram": pa.array(np.concatenate((np.zeros(len(known), np.int64), found, [0])), mask=_mask(len(known), len(found))),
-                    "n": np.concatenate((np.bincount(codes, minlength=len(known)), n, [len(texts)])),
-                },
-                schema,
-            )
+            tally.add(lines_of(utf8(rows.column("text"))), order)
+            if tally.full():
+                yield from tally.given(schema)
+                tally = _Tally()
+        yield from tally.given(schema)
 
     return docs.select("text").mapInArrow(work, schema).groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 
-def _mask(words: int, found: int) -> np.ndarray:
-    """True where a row of counts has no gram: words and the closing end token."""
-    mask = np.zeros(words + found + 1, bool)
-    mask[:words] = True
-    mask[-1] = True
-    return mask
-
-
 def trie(counts: DataFrame, order: int = ORDER, contexts: int = CONTEXTS) -> pd.DataFrame:
     """Rows (length, context, symbol, n) of the most frequent contexts, at most ``contexts`` of them.
 
@@ -130,7 +187,7 @@ def trie(counts: DataFrame, order: int = ORDER, contexts: int = CONTEXTS) -> pd.
         cutoff, room = name, room - size
     held = F.sum("n").over(Window.partitionBy("length", "context"))
     kept = sums.withColumn("held", held).where((rank >= cutoff) | (F.col("length") == 0))
-    return kept.select("length", "context", "symbol", "n").toPandas()
+    return kept.select("length", "context", "symbol", "n").toArrow().to_pandas()
 
 
 @dataclass
@@ -144,32 +201,36 @@ class Machine:
     order: int
     column: np.ndarray
     log: np.ndarray
+    #: Where the row of the next context starts in the table read as one line.
     after: np.ndarray
 
     def score(self, texts: list[list[bytes]]) -> np.ndarray:
         """log10 probability of each tokenised text with its end."""
-        if not texts:
+        return self.score_lines([b" ".join(t) for t in texts])
+
+    def score_lines(self, lines: list[bytes]) -> np.ndarray:
+        """log10 probability of each line with its end."""
+        if not lines:
             return np.zeros(0)
-        symbols, starts, coded = tape(texts, self.order)
+        symbols, starts, coded = tape(lines, self.order)
         lanes = max(1, min(LANES, len(symbols) // (8 * self.order + 1)))
         steps = -(-len(symbols) // lanes)
         grid = np.full(lanes * steps, END, np.uint8)
         grid[: len(symbols)] = symbols
-        grid = self.column[grid].reshape(lanes, steps)
-        log, after, width = self.log.ravel(), self.after.ravel(), self.log.shape[1]
-        state = np.zeros(lanes, np.int64)
+        by_step = np.ascontiguousarray(self.column[grid].reshape(lanes, steps).T)
+        log, after = self.log.ravel(), self.after.ravel()
+        state, at = np.zeros(lanes, np.int32), np.empty(lanes, np.int32)
         # A lane starts in the context of the bytes before it, at the end of the lane before.
         for back in range(min(self.order, steps), 0, -1):
-            state[1:] = after[state[1:] * width + grid[:-1, steps - back]]
-        by_step = np.ascontiguousarray(grid.T)
+            state[1:] = after[state[1:] + by_step[steps - back, :-1]]
         value = np.empty((steps, lanes), np.float32)
         for k in range(steps):
-            at = state * width + by_step[k]
-            value[k] = log[at]
-            state = after[at].astype(np.int64)
-        flat = np.ascontiguousarray(value.T).ravel().astype(np.float64)
+            np.add(state, by_step[k], out=at)
+            np.take(log, at, out=value[k], mode="clip")
+            np.take(after, at, out=state, mode="clip")
+        flat = np.ascontiguousarray(value.T).ravel()
         edges = np.column_stack((starts, starts + coded)).ravel()
-        return np.add.reduceat(flat, edges)[::2]
+        return np.add.reduceat(flat, edges, dtype=np.float64)[::2]
 
 
 def compiled(rows: pd.DataFrame, order: int = ORDER) -> Machine:
@@ -191,7 +252,7 @@ def compiled(rows: pd.DataFrame, order: int = ORDER) -> Machine:
         return packed[length][slot] == wanted, offset[length] + slot
 
     symbol = np.unique(rows["symbol"].to_numpy(np.int64))
-    column = np.zeros(256, np.int64)
+    column = np.zeros(256, np.int32)
     column[symbol] = np.arange(1, len(symbol) + 1)
     size, width = len(context), len(symbol) + 1
     counts = np.zeros((size, width), np.float32)
@@ -231,7 +292,7 @@ def compiled(rows: pd.DataFrame, order: int = ORDER) -> Machine:
             known, number = place(target, wanted)
             known &= (lengths[block] >= target - 1)[:, None]
             after[block, 1:] = np.where(known, number, after[block, 1:])
-    return Machine(order, column, log, after)
+    return Machine(order, column, log, after * np.int32(width))
 
 
 def _narrow(rows: pd.DataFrame) -> pd.DataFrame:
@@ -239,15 +300,18 @@ def _narrow(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.astype({"length": "uint8", "context": "int64", "symbol": "uint8", "n": "int64"})
 
 
-#: The trie that this worker compiled last, and its machine.
-_compiled: list = []
+#: What this worker was sent last, and what it made of it.
+_opened: list = []
 
 
-def _machine(rows: pd.DataFrame, order: int) -> Machine:
-    """The machine of a sent trie, compiled once in a worker."""
-    if not _compiled or _compiled[0] is not rows:
-        _compiled[:] = [rows, compiled(rows, order)]
-    return _compiled[1]
+def _open(sent: tuple, order: int) -> tuple[dict[bytes, float], Machine]:
+    """Logarithms of the frequent tokens and the machine of a sent trie, made once in a worker."""
+    if not _opened or _opened[0] is not sent:
+        _opened.clear()
+        words, counts, rows = sent
+        logs = dict(zip(words.to_pylist(), np.log10(counts + ADDED).tolist()))
+        _opened[:] = [sent, logs, compiled(rows, order)]
+    return _opened[1], _opened[2]
 
 
 def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, contexts: int = CONTEXTS, frequent: int = FREQUENT) -> DataFrame:
@@ -269,9 +333,11 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     )
     n, kinds, ends = n or 0, kinds or 0, ends or 0
     common = (F.col("n") * frequent) >= n
-    known = counts.where(is_token & F.col("word").isNotNull() & common).select("word", "n").toPandas()
-    words = {bytes(w): float(np.log10(c + ADDED)) for w, c in zip(known["word"], known["n"])}
-    sent = docs.sparkSession.sparkContext.broadcast((words, _narrow(trie(counts, order, contexts))))
+    known = counts.where(is_token & F.col("word").isNotNull() & common).select("word", "n").toArrow().combine_chunks()
+    words = known.column("word").combine_chunks()
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (words, known.column("n").to_numpy(), _narrow(trie(counts, order, contexts)))
+    )
     end_log = float(np.log10(ends + ADDED))
     rare_type = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]))
     schema = T.StructType(
@@ -287,37 +353,36 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, machine = sent.value[0], _machine(sent.value[1], order)
+        logs, machine = _open(sent.value, order)
         for part in by_shard(batches, "text", SHARD_BYTES):
-            texts = [tokens(t) for t in utf8(part.column("text"))]
-            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            flat = [w for t in texts for w in t]
-            codes, distinct = pd.factorize(np.fromiter(flat, object, len(flat)))
+            lines = lines_of(utf8(part.column("text")))
+            sizes, codes, distinct = words_of(lines)
             value = np.fromiter((logs.get(w, np.nan) for w in distinct), np.float64, len(distinct))
-            owner = np.repeat(np.arange(len(texts)), sizes)
+            owner = np.repeat(np.arange(len(lines)), sizes)
             log = value[codes]
             is_rare = np.isnan(log)
-            base = np.bincount(owner[~is_rare], log[~is_rare], len(texts)) + end_log
+            base = np.bincount(owner[~is_rare], log[~is_rare], len(lines)) + end_log
             pair, times = np.unique(owner[is_rare] * max(1, len(distinct)) + codes[is_rare], return_counts=True)
             of, which = pair // max(1, len(distinct)), pair % max(1, len(distinct))
             inner = pa.StructArray.from_arrays(
-                [pa.array(list(distinct), pa.binary()).take(pa.array(which)), pa.array(times.astype(np.int64))], ["word", "n"]
+                [pa.array(distinct, pa.binary()).take(pa.array(which)), pa.array(times.astype(np.int64))], ["word", "n"]
             )
-            offsets = np.searchsorted(of, np.arange(len(texts) + 1)).astype(np.int32)
+            offsets = np.searchsorted(of, np.arange(len(lines) + 1)).astype(np.int32)
             yield batch(
                 {
                     "doc_id": part.column("doc_id"),
                     "held_out": part.column("held_out"),
                     "n_tokens": sizes + 1,
-                    "n_known": sizes - np.bincount(owner[is_rare], minlength=len(texts)) + int(ends > 0),
+                    "n_known": sizes - np.bincount(owner[is_rare], minlength=len(lines)) + int(ends > 0),
                     "base": base,
-                    "score": machine.score(texts),
+                    "score": machine.score_lines(lines),
                     "rare": pa.ListArray.from_arrays(pa.array(offsets), inner),
                 },
                 schema,
             )
 
     found = durable(rows.mapInArrow(work, schema).withColumn("row", F.monotonically_increasing_id()))
+    sent.destroy()  # nothing reads it again: the scores are written
     rare = found.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
     seen = counts.where(is_token & F.col("word").isNotNull() & ~common).select("word", F.col("n").alias("c"))
     log = F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADDED))
