@@ -6,10 +6,12 @@ the longest known context; if that has not seen it, an escape (half a count of e
 of the context) leads to the next shorter context, in which symbols of the longer one are excluded,
 down to an even share of what is left. The log-probability of a text is the sum over its symbols.
 
-All contexts are counted; the trie keeps the most frequent ones, at most CONTEXTS however large the
-corpus is, so it can go to the tasks. A worker compiles it into one row per context: probability of,
-and next context after, each symbol. A context depends on the last ORDER bytes only, so a shard of
-texts is scored in many lanes at once.
+All contexts are counted and all are used. The most frequent ones, at most CONTEXTS, go to the tasks
+as a cache. A worker compiles them into one row per context: probability of, and next context after,
+each symbol. A context depends on the last ORDER bytes only, so a shard of texts is scored in many
+lanes at once. Where the cache does not know all ORDER bytes before a symbol, the context and symbol
+are given out and joined to the table of all others. Those never seen in training (in held-out texts
+only) are worked out from the table of all contexts, dealt by their last SHARED bytes.
 
 The baseline needs the count of every token. Frequent tokens (at least one part in FREQUENT of the
 training tokens, so at most FREQUENT of them) go to the tasks; the others are joined.
@@ -18,21 +20,24 @@ training tokens, so at most FREQUENT of them) go to the tasks; the others are jo
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcount.session import durable
 
-from .common import batch, by_shard, crc_share, space_words, utf8
+from .common import batch, by_shard, crc_share, joined, space_words, utf8
 
 ORDER = 5
+#: Contexts in the cache of a task; the others are joined.
 CONTEXTS = 1 << 16
+#: Shorter contexts than this, at most 256 to its power, go to the tasks that work out unseen symbols.
+SHARED = 3
 #: Part of a count that every distinct symbol of a context gives to the escape.
 ESCAPE = 0.5
 FREQUENT = 1 << 18
@@ -159,35 +164,44 @@ def training_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return docs.select("text").mapInArrow(work, schema).groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 
-def trie(counts: DataFrame, order: int = ORDER, contexts: int = CONTEXTS) -> pd.DataFrame:
-    """Rows (length, context, symbol, n) of the most frequent contexts, at most ``contexts`` of them.
-
-    Contexts are kept by classes of frequency, all of a class or none. The part of a context and
-    the start of a context are as frequent as itself, so they are kept with it.
-    """
+def levels(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(length, context, symbol, n, held) of every context; ``held`` is the count of the whole context."""
     own = counts.where("gram IS NOT NULL")
-    levels = F.array(
+    every = F.array(
         *[F.struct(F.lit(k).alias("length"), F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram")) for k in range(order + 1)]
     )
-    sums = durable(
-        own.select(F.explode(levels).alias("g"), "n")
+    sums = (
+        own.select(F.explode(every).alias("g"), "n")
         .groupBy("g.length", "g.gram")
         .agg(F.sum("n").alias("n"))
         .select("length", F.shiftright("gram", 8).alias("context"), F.col("gram").bitwiseAND(255).alias("symbol"), "n")
     )
-    # A context has at most 256 symbols, and there are few classes of frequency.
+    # A context has at most 256 symbols.
+    return durable(sums.withColumn("held", F.sum("n").over(Window.partitionBy("length", "context"))))
+
+
+def cached(sums: DataFrame, contexts: int = CONTEXTS) -> tuple[Column, bool]:
+    """Which rows of ``levels`` belong to the most frequent contexts, and whether any row does not.
+
+    Contexts are taken by classes of frequency, all of a class or none. The part of a context and
+    the start of a context are as frequent as itself, so they are taken with it.
+    """
+    # There are few classes of frequency.
     rank = F.floor(F.log2("held") * 64)
-    classes = (
-        sums.groupBy("length", "context").agg(F.sum("n").alias("held")).groupBy(rank.alias("class")).count().collect()
-    )
-    cutoff, room = 1 << 30, contexts
+    classes = sums.groupBy("length", "context").agg(F.max("held").alias("held")).groupBy(rank.alias("class")).count().collect()
+    cutoff, room, whole = 1 << 30, contexts, True
     for name, size in sorted(((r[0], r[1]) for r in classes), reverse=True):
         if size > room:
+            whole = False
             break
         cutoff, room = name, room - size
-    held = F.sum("n").over(Window.partitionBy("length", "context"))
-    kept = sums.withColumn("held", held).where((rank >= cutoff) | (F.col("length") == 0))
-    return kept.select("length", "context", "symbol", "n").toArrow().to_pandas()
+    return (rank >= cutoff) | (F.col("length") == 0), not whole
+
+
+def trie(counts: DataFrame, order: int = ORDER, contexts: int = CONTEXTS) -> pd.DataFrame:
+    """Rows (length, context, symbol, n) of the most frequent contexts, at most ``contexts`` of them."""
+    sums = levels(counts, order)
+    return sums.where(cached(sums, contexts)[0]).select("length", "context", "symbol", "n").toArrow().to_pandas()
 
 
 @dataclass
@@ -203,6 +217,14 @@ class Machine:
     log: np.ndarray
     #: Where the row of the next context starts in the table read as one line.
     after: np.ndarray
+    #: Rows of contexts of less than ``order`` bytes, which come first.
+    short: int
+
+    def without_short(self) -> Machine:
+        """Symbols after short contexts have a logarithm of one, which no probability has."""
+        log = self.log.copy()
+        log[: self.short] = 1
+        return replace(self, log=log)
 
     def score(self, texts: list[list[bytes]]) -> np.ndarray:
         """log10 probability of each tokenised text with its end."""
@@ -210,8 +232,13 @@ class Machine:
 
     def score_lines(self, lines: list[bytes]) -> np.ndarray:
         """log10 probability of each line with its end."""
+        return self.score_known(lines)[0]
+
+    def score_known(self, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores of the lines; line and packed (context, symbol) of every place not in them (``without_short``)."""
+        none = np.zeros(0, np.int64)
         if not lines:
-            return np.zeros(0)
+            return np.zeros(0), none, none
         symbols, starts, coded = tape(lines, self.order)
         lanes = max(1, min(LANES, len(symbols) // (8 * self.order + 1)))
         steps = -(-len(symbols) // lanes)
@@ -229,8 +256,17 @@ class Machine:
             np.take(log, at, out=value[k], mode="clip")
             np.take(after, at, out=state, mode="clip")
         flat = np.ascontiguousarray(value.T).ravel()
+        at = np.flatnonzero(flat[: len(symbols)] > 0)
+        flat[at] = 0
+        line = np.searchsorted(starts, at, "right") - 1
+        own = (line >= 0) & (at < (starts + coded)[line])
+        at, line = at[own], line[own]
+        gram = np.zeros(len(at), np.int64)
+        for back in range(self.order, -1, -1):
+            gram <<= 8
+            gram |= symbols[at - back]
         edges = np.column_stack((starts, starts + coded)).ravel()
-        return np.add.reduceat(flat, edges, dtype=np.float64)[::2]
+        return np.add.reduceat(flat, edges, dtype=np.float64)[::2], line, gram
 
 
 def compiled(rows: pd.DataFrame, order: int = ORDER) -> Machine:
@@ -292,7 +328,88 @@ def compiled(rows: pd.DataFrame, order: int = ORDER) -> Machine:
             known, number = place(target, wanted)
             known &= (lengths[block] >= target - 1)[:, None]
             after[block, 1:] = np.where(known, number, after[block, 1:])
-    return Machine(order, column, log, after * np.int32(width))
+    return Machine(order, column, log, after * np.int32(width), int((lengths < order).sum()))
+
+
+def unseen_logs(wanted: np.ndarray, known: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """log10 probability of packed (context, symbol), from sorted grams and counts of every context length."""
+    out = np.zeros(len(wanted))
+    contexts, which = np.unique(wanted >> 8, return_inverse=True)
+    by_context = np.argsort(which, kind="stable")
+    ends = np.searchsorted(which[by_context], np.arange(0, len(contexts) + 2048, 2048))
+    for k, first in enumerate(range(0, len(contexts), 2048)):
+        block = contexts[first : first + 2048]
+        chance, left = np.zeros((len(block), 256)), np.ones(len(block))
+        open_symbols = np.ones((len(block), 256), bool)
+        for length in range(len(known) - 1, -1, -1):
+            grams_of, counts = known[length]
+            start = (block & ((1 << 8 * length) - 1)) << 8
+            low, high = np.searchsorted(grams_of, start), np.searchsorted(grams_of, start + 256)
+            row = np.repeat(np.arange(len(block)), high - low)
+            place = np.arange(len(row)) + np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low)
+            own = np.zeros((len(block), 256))
+            own[row, grams_of[place] & 255] = counts[place]
+            own[~open_symbols] = 0
+            seen = own > 0
+            kinds, held = seen.sum(axis=1), own.sum(axis=1)
+            share = np.where(kinds > 0, left / np.maximum(held, 1), 0.0)
+            chance += np.where(seen, own - ESCAPE, 0.0) * share[:, None]
+            left = np.where(kinds > 0, share * kinds * ESCAPE, left)
+            open_symbols &= ~seen
+        chance += np.where(open_symbols, (left / np.maximum(open_symbols.sum(axis=1), 1))[:, None], 0.0)
+        mine = by_context[ends[k] : ends[k + 1]]
+        row, symbol = which[mine] - first, wanted[mine] & 255
+        out[mine] = np.log10(chance[row, symbol] / chance.sum(axis=1)[row])
+    return out
+
+
+def unseen(wanted: DataFrame, sums: DataFrame, order: int) -> DataFrame:
+    """(gram, log) of distinct packed (context, symbol) in ``wanted`` (gram), from all contexts."""
+    shared = min(order, SHARED)
+    top = F.col("length") < shared
+    rows = sums.where(top).select("length", "context", "symbol", "n").toArrow()
+    length, context, symbol, n = (rows.column(c).to_numpy() for c in ("length", "context", "symbol", "n"))
+    short = []
+    for k in range(shared):
+        here = length == k
+        keys = context[here] << 8 | symbol[here]
+        at = np.argsort(keys)
+        short.append((keys[at], n[here][at]))
+    sent = sums.sparkSession.sparkContext.broadcast(short)
+    packed = F.shiftleft("context", 8).bitwiseOR(F.col("symbol")).alias("gram")
+    asked = F.lit(-1).alias("length")
+    both = sums.where(~top).select("length", packed, "n").unionByName(wanted.select(asked, "gram", F.lit(0).cast("long").alias("n")))
+    # All parts of a context that are not sent have its last bytes.
+    key = F.shiftright("gram", 8).bitwiseAND((1 << 8 * shared) - 1)
+    dealt = both.withColumn("key", key).repartition("key").sortWithinPartitions("key", "length", "gram")
+    schema = T.StructType([T.StructField("gram", T.LongType()), T.StructField("log", T.DoubleType())])
+
+    def solved(part: pa.RecordBatch) -> pa.RecordBatch:
+        kind, gram, n = (part.column(c).to_numpy() for c in ("length", "gram", "n"))
+        known = list(sent.value)
+        for k in range(shared, order + 1):
+            keys, counts = gram[kind == k], n[kind == k]
+            at = np.argsort(keys)
+            known.append((keys[at], counts[at]))
+        asks = gram[kind < 0]
+        return batch({"gram": asks, "log": unseen_logs(asks, known)}, schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for rows in batches:
+            held.append(rows)
+            size += rows.num_rows
+            if size >= CHUNK:
+                part = joined(held)
+                keys = part.column("key").to_numpy()
+                cut = int(np.searchsorted(keys, keys[-1]))
+                if cut:
+                    yield solved(part.slice(0, cut))
+                held, size = [part.slice(cut)], len(keys) - cut
+        if size:
+            yield solved(joined(held))
+
+    return dealt.mapInArrow(work, schema)
 
 
 def _narrow(rows: pd.DataFrame) -> pd.DataFrame:
@@ -305,12 +422,16 @@ _opened: list = []
 
 
 def _open(sent: tuple, order: int) -> tuple[dict[bytes, float], Machine]:
-    """Logarithms of the frequent tokens and the machine of a sent trie, made once in a worker."""
+    """Logarithms of the frequent tokens and the machine of a sent trie, made once in a worker.
+
+    Where the trie is not whole, the machine leaves out what it does not know to the full order.
+    """
     if not _opened or _opened[0] is not sent:
         _opened.clear()
-        words, counts, rows = sent
+        words, counts, rows, partial = sent
         logs = dict(zip(words.to_pylist(), np.log10(counts + ADDED).tolist()))
-        _opened[:] = [sent, logs, compiled(rows, order)]
+        machine = compiled(rows, order)
+        _opened[:] = [sent, logs, machine.without_short() if partial else machine]
     return _opened[1], _opened[2]
 
 
@@ -335,9 +456,10 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     common = (F.col("n") * frequent) >= n
     known = counts.where(is_token & F.col("word").isNotNull() & common).select("word", "n").toArrow().combine_chunks()
     words = known.column("word").combine_chunks()
-    sent = docs.sparkSession.sparkContext.broadcast(
-        (words, known.column("n").to_numpy(), _narrow(trie(counts, order, contexts)))
-    )
+    sums = levels(counts, order)
+    hot, partial = cached(sums, contexts)
+    cache = sums.where(hot).select("length", "context", "symbol", "n").toArrow().to_pandas()
+    sent = docs.sparkSession.sparkContext.broadcast((words, known.column("n").to_numpy(), _narrow(cache), partial))
     end_log = float(np.log10(ends + ADDED))
     rare_type = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]))
     schema = T.StructType(
@@ -349,6 +471,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
             T.StructField("base", T.DoubleType()),
             T.StructField("score", T.DoubleType()),
             T.StructField("rare", rare_type),
+            T.StructField("cold", T.ArrayType(T.LongType())),
         ]
     )
 
@@ -368,6 +491,8 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
                 [pa.array(distinct, pa.binary()).take(pa.array(which)), pa.array(times.astype(np.int64))], ["word", "n"]
             )
             offsets = np.searchsorted(of, np.arange(len(lines) + 1)).astype(np.int32)
+            score, line, gram = machine.score_known(lines)
+            cold = np.searchsorted(line, np.arange(len(lines) + 1)).astype(np.int32)
             yield batch(
                 {
                     "doc_id": part.column("doc_id"),
@@ -375,8 +500,9 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
                     "n_tokens": sizes + 1,
                     "n_known": sizes - np.bincount(owner[is_rare], minlength=len(lines)) + int(ends > 0),
                     "base": base,
-                    "score": machine.score_lines(lines),
+                    "score": score,
                     "rare": pa.ListArray.from_arrays(pa.array(offsets), inner),
+                    "cold": pa.ListArray.from_arrays(pa.array(cold), pa.array(gram)),
                 },
                 schema,
             )
@@ -386,19 +512,37 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     rare = found.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
     seen = counts.where(is_token & F.col("word").isNotNull() & ~common).select("word", F.col("n").alias("c"))
     log = F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADDED))
-    sums = (
+    base = (
         rare.join(seen, "word", "left")
         .groupBy("row")
         .agg(F.sum(F.col("times") * log).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("times"))).alias("known"))
     )
     whole = float(np.log10(n + ADDED * (kinds + 1)))
     zero = F.lit(0)
-    return found.drop("rare").join(sums, "row", "left").select(
+    every = found.drop("rare", "cold").join(base, "row", "left")
+    score = F.col("score")
+    if partial:
+        every = every.join(_cold_scores(found, sums, hot, order), "row", "left")
+        score = score + F.coalesce("rest", F.lit(0.0))
+    return every.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("known", zero)).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(whole)).alias("base_score"),
-        "score",
+        score.alias("score"),
     )
+
+
+def _cold_scores(found: DataFrame, sums: DataFrame, hot: Column, order: int) -> DataFrame:
+    """(row, rest): log10 probability of what the cache left out of each row."""
+    gram = F.shiftleft("context", 8).bitwiseOR(F.col("symbol")).alias("gram")
+    # A symbol that its longest context has seen needs no escape.
+    log = F.log10((F.col("n") - F.lit(ESCAPE)) / F.col("held")).alias("log")
+    seen = sums.where((F.col("length") == order) & ~hot).select(gram, log)
+    # Training texts hold nothing unseen.
+    asked = found.where("held_out").select(F.explode("cold").alias("gram")).distinct().join(seen, "gram", "left_anti")
+    logs = seen.unionByName(durable(unseen(asked, sums, order)))
+    cold = found.select("row", F.explode("cold").alias("gram"))
+    return cold.join(logs, "gram").groupBy("row").agg(F.sum("log").alias("rest"))

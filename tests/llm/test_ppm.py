@@ -118,3 +118,19 @@ def test_held_out_texts_are_predicted_better_than_by_tokens(spark):
     folder = SMALL.replace("0.001", "0.1")
     rows = [r for r in ppm.scored(spark.read.parquet(f"{folder}/documents.parquet")).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_contexts_beyond_the_cache_count(spark):
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abcd e"), 40)) for _ in range(300)] + TEXTS
+    rows = list(enumerate(texts)) + [(3, "again é"), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = [ppm.tokens((t or "").encode()) for _, t in rows]
+    train = [w for (i, _), w in zip(rows, lines) if i is None or zlib.crc32(str(i).encode()) % 10]
+    for order in (2, 5):
+        counts = contexts_of(train, order)
+        want = sorted((-1 if i is None else i, brute(counts, w, order)) for (i, _), w in zip(rows, lines))
+        for contexts in (0, 12, 300, 10**6):
+            got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in ppm.scored(docs, order=order, contexts=contexts).collect())
+            assert [i for i, _ in got] == [i for i, _ in want]
+            assert np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-4, atol=1e-3)
