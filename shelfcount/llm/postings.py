@@ -245,15 +245,18 @@ def _nearest_of(id_type: T.DataType, nearest: int):
             order = pc.sort_indices(left, sort_keys=[("id", "ascending")])
             left = left.take(order)
             own, base = left.column("id").to_numpy(), _vectors(left.column("v"))
+            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
             asked, wanted = right.column("id").to_numpy(), _vectors(right.column("v"))
             for start in range(0, len(asked), 64):
                 gaps = squared(wanted[start : start + 64], base)
                 gaps[asked[start : start + 64, None] == own[None]] = np.inf
+                # Each id counts once, with its smallest gap.
+                least = np.minimum.reduceat(gaps, first, axis=1) if len(first) < len(own) else gaps
                 for k, row in enumerate(gaps):
-                    count = min(nearest, int(np.isfinite(row).sum()))
+                    count = min(nearest, int(np.isfinite(least[k]).sum()))
                     if not count:
                         continue
-                    edge = np.partition(row, count - 1)[count - 1]
+                    edge = np.partition(least[k], count - 1)[count - 1]
                     near = np.flatnonzero(row <= edge + 1e-9 * (1 + edge))
                     exact = np.sqrt(((base[near] - wanted[start + k]) ** 2).sum(axis=1))
                     best = _first_of_each(own[near], exact)[:nearest]

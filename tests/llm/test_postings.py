@@ -100,3 +100,27 @@ def test_recall(spark):
         gap[ids == q] = np.inf
         hits += len(set(ids[np.lexsort((ids, gap))[:10]].tolist()) & {i for _, i in got[q]})
     assert hits >= 0.9 * 10 * len(asked)
+
+
+def test_repeated_ids_do_not_push_others_out(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, v) for k, v in enumerate(rng.normal(size=(120, 4)).astype(np.float32).tolist())]
+    near = np.array(rows[0][1])
+    rows += [(500, (near + 1e-3 * k).tolist()) for k in range(1, 25)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    # Whole lists are one block here, so a wider search mends nothing.
+    for table, own in ((df, rows), (df.union(df), rows * 2)):
+        got, want = collected(p.neighbours(table)), brute(own)
+        assert set(got) == set(want)
+        assert all(len(v) == 10 for v in got.values())
+    work, _ = p._nearest_of(df.schema["vec_id"].dataType, 10)
+    import pyarrow as pa
+
+    def arrow(some):
+        return pa.table({"id": pa.array([i for i, _ in some], pa.int64()), "v": pa.array([v for _, v in some], pa.list_(pa.float32()))})
+
+    for own in (rows, rows * 2, rows * 12):
+        out = work(arrow(own), arrow([rows[0], rows[100]])).to_pylist()
+        want = brute(rows)
+        for q in (0, 100):
+            assert [(r["vec_id"]) for r in out if r["query_id"] == q] == [i for _, i in want[q]]
