@@ -8,7 +8,8 @@ potential. Loopy message passing over all of them gives every node its label, an
 labelled with enough certainty become further spans. Base spans stay, as nodes of known label.
 
 Potentials are trained piecewise: counts of labels by shape, along chains and along skip links, with
-the base spans of all documents as labels, kept for the most frequent shapes.
+the base spans of all documents as labels. Those of the most frequent shapes go to the tasks, the others
+are joined to the documents that need them.
 """
 
 from __future__ import annotations
@@ -17,19 +18,23 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from copy import copy
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcount.session import durable
+
 from .common import batch, by_shard
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
-#: Keys of each sort of count that the model keeps.
+#: Keys of each sort of count that go to the tasks; the others are joined.
 KEPT = 50_000
 #: Weight of the plainer distribution in a smoothed one.
 SMOOTH = 5.0
@@ -174,8 +179,17 @@ COUNTS = T.StructType(
 )
 
 
-def counted(docs: DataFrame, text_col: str = "text", kept: int = KEPT) -> pd.DataFrame:
-    """(sort, key, label, n): labels by shape, by shape and neighbour, and along links; the most frequent keys."""
+@dataclass
+class Counts:
+    """(sort, key, label, n) of the most frequent keys; (sort, key, by) of all others, if any, and all shapes' label shares."""
+
+    top: pd.DataFrame
+    rest: DataFrame | None = None
+    total: np.ndarray | None = None
+
+
+def counted(docs: DataFrame, text_col: str = "text", kept: int = KEPT) -> Counts:
+    """Labels by shape, by shape and neighbour, and along links."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_shard(batches, text_col, SHARD_BYTES):
@@ -194,23 +208,58 @@ def counted(docs: DataFrame, text_col: str = "text", kept: int = KEPT) -> pd.Dat
 
     sums = docs.select(text_col).mapInArrow(work, COUNTS).groupBy("sort", "key", "label").agg(F.sum("n").alias("n"))
     whole = sums.groupBy("sort", "key").agg(F.sum("n").alias("n"), F.collect_list(F.struct("label", "n")).alias("by"))
-    order = Window.partitionBy("sort").orderBy(F.desc("n"), "key")
-    top = whole.withColumn("r", F.row_number().over(order)).where(F.col("r") <= kept)
-    return top.select("sort", "key", F.explode("by").alias("y")).select("sort", "key", "y.label", "y.n").toArrow().to_pandas()
+    whole = durable(whole)
+
+    def local(top: DataFrame) -> pd.DataFrame:
+        return top.select("sort", "key", F.explode("by").alias("y")).select("sort", "key", "y.label", "y.n").toArrow().to_pandas()
+
+    sizes = {r["sort"]: r["count"] for r in whole.groupBy("sort").count().collect()}
+    large = [sort for sort in "sba" if sizes.get(sort, 0) > kept]
+    if not large:
+        return Counts(local(whole))
+    top = whole.where(~F.col("sort").isin(large))
+    for sort in large:
+        top = top.unionByName(whole.where(F.col("sort") == sort).orderBy(F.desc("n"), "key").limit(kept))
+    top = durable(top)
+    rest = durable(whole.where(F.col("sort").isin(large)).join(top.select("sort", "key"), ["sort", "key"], "left_anti").select("sort", "key", "by"))
+    shares = whole.where("sort = 's'").select("n", F.explode("by").alias("y")).groupBy("y.label").agg(F.sum(F.col("y.n") / F.col("n")).alias("share"))
+    total = np.zeros(len(LABELS))
+    for r in shares.collect():  # one row per label
+        total[r["label"]] = r["share"]
+    return Counts(local(top), rest, total)
 
 
 class Field:
     """Trained potentials and inference."""
 
-    def __init__(self, counts: pd.DataFrame):
+    def __init__(self, counts: Counts | pd.DataFrame):
+        if isinstance(counts, pd.DataFrame):
+            counts = Counts(counts)
+        #: Counts that stay in Spark, and those of them that the texts at hand need.
+        self.rest = counts.rest
+        self.more: dict[tuple[str, str], np.ndarray] = {}
         self.tables: dict[str, dict[str, np.ndarray]] = {k: {} for k in "sback"}
-        for r in counts.itertuples(index=False):
+        for r in counts.top.itertuples(index=False):
             self.tables[r.sort].setdefault(r.key, np.zeros(len(LABELS)))[r.label] += r.n
         # What a shape never seen may be: every shape counts once, however frequent it is.
-        total = sum((n / n.sum() for n in self.tables["s"].values()), np.zeros(len(LABELS)))
+        total = counts.total
+        if total is None:
+            total = sum((n / n.sum() for n in self.tables["s"].values()), np.zeros(len(LABELS)))
         self.prior = (total + SMOOTH * np.array([0.96, *[0.01] * len(KINDS)])) / (total.sum() + SMOOTH)
         self.link = {sort: self._link(sort) for sort in "ck"}
 
+    def sent(self) -> Field:
+        """What goes to the tasks."""
+        out = copy(self)
+        out.rest = None
+        return out
+
+    def lacking(self, text: str | None) -> list[tuple[str, str]]:
+        """(sort, key) that a text needs and the tables do not have."""
+        g = Graph([text])
+        keys = {x for s, b, a in zip(g.shape, *g.neighbours()) for x in (("s", s), ("b", b + " " + s), ("a", s + " " + a))}
+        return sorted(x for x in keys if x[1] not in self.tables[x[0]])
+
     def _link(self, sort: str) -> np.ndarray:
         """Logarithm of how much more often two labels meet than by chance."""
         n = np.zeros((len(LABELS), len(LABELS)))
@@ -225,6 +274,8 @@ class Field:
 
     def _chances(self, sort: str, key: str, plain: np.ndarray) -> np.ndarray:
         n = self.tables[sort].get(key)
+        if n is None:
+            n = self.more.get((sort, key))
         return plain if n is None else (n + SMOOTH * plain) / (n.sum() + SMOOTH)
 
     def potentials(self, g: Graph) -> np.ndarray:
@@ -294,13 +345,37 @@ Finish = Callable[[pa.RecordBatch, list[tuple[list, list]]], pa.RecordBatch]
 
 
 def _searched(docs: DataFrame, field: Field, schema: T.StructType, finish: Finish, text_col: str) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(field)
+    sent = docs.sparkSession.sparkContext.broadcast(field.sent())
+    joined = field.rest is not None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
         for rows in by_shard(batches, text_col, SHARD_BYTES):
-            yield finish(rows, sent.value.spans(rows.column(text_col).to_pylist()))
+            own.more = {}
+            for found in rows.column("__more").to_pylist() if joined else ():
+                for r in found or ():
+                    n = own.more[r["sort"], r["key"]] = np.zeros(len(LABELS))
+                    for y in r["by"]:
+                        n[y["label"]] += y["n"]
+            yield finish(rows, own.spans(rows.column(text_col).to_pylist()))
+
+    return (_with_rest(docs, field.rest, sent, text_col) if joined else docs).mapInArrow(work, schema)
+
 
-    return docs.mapInArrow(work, schema)
+def _with_rest(docs: DataFrame, rest: DataFrame, sent, text_col: str) -> DataFrame:
+    """The rows plus the counts that each needs beyond those sent."""
+    rows = durable(docs.withColumn("__row", F.monotonically_increasing_id()))
+    wanted = T.StructType([T.StructField("__row", T.LongType()), T.StructField("sort", T.StringType()), T.StructField("key", T.StringType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in by_shard(batches, text_col, SHARD_BYTES):
+            out = [(row, *x) for row, text in zip(part.column("__row").to_pylist(), part.column(text_col).to_pylist()) for x in sent.value.lacking(text)]
+            if out:
+                yield batch(dict(zip(wanted.names, zip(*out))), wanted)
+
+    more = F.collect_list(F.struct("sort", "key", "by")).alias("__more")
+    found = rows.select("__row", text_col).mapInArrow(work, wanted).join(rest, ["sort", "key"]).groupBy("__row").agg(more)
+    return rows.join(found, "__row", "left").drop("__row")
 
 
 def find_personal_data(docs: DataFrame, field: Field, text_col: str = "text", name: str = "personal") -> DataFrame:

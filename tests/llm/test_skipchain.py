@@ -90,3 +90,17 @@ def test_digest(spark):
         assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
         assert set(line.split(",")) - {""} <= set(r.spans.split(","))
     assert k.personal_digest(docs.limit(0)).count() == 0
+
+
+def test_keys_beyond_those_sent_count(spark):
+    rows = [(n, f"word number{n} token{n * 7919 % 1000}x and more ab{n}") for n in range(200)]
+    rows += [(1000 + n, f"call +1 (3{n:02d}) 555-51{n:02d} or mail me{n}@host.org today") for n in range(40)]
+    far = "call +1 (319) 555-5132 now. " + "some words here " * 50 + "again 319-555-5132 later"
+    docs = spark.createDataFrame([*rows, (None, None), (500, ""), (5000, far), (5001, "only 319-555-5132 here")], "doc_id long, text string")
+    whole = k.Field(k.counted(docs))
+    few = k.Field(k.counted(docs, kept=3))
+    assert max(len(few.tables[s]) for s in "sba") == 3 < min(len(whole.tables[s]) for s in "sba")
+    assert np.allclose(few.prior, whole.prior) and whole.rest is None
+    key = lambda r: (r.doc_id is None, r.doc_id or 0)
+    want, got = (sorted(k.find_personal_data(docs, f).collect(), key=key) for f in (whole, few))
+    assert got == want and any(len(r.personal.spans) > len(r.personal.base) for r in want)
