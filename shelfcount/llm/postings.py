@@ -198,15 +198,15 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v) of the rows that take part: an id, and a non-zero, finite vector of the usual width.
+def usable(vectors: DataFrame, id_col: str, vector_col: str, *more: str) -> DataFrame:
+    """(id, v, and more) of the rows that take part: an id, and a non-zero, finite vector of the usual width.
 
     The usual width is that of most such rows, the smaller one of two as frequent.
     """
     v = F.col(vector_col)
     wide = F.transform(v, lambda x: x.cast("double"))
     whole = F.forall(wide, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = vectors.select(F.col(id_col).alias("id"), v.alias("v")).where(
+    rows = vectors.select(F.col(id_col).alias("id"), v.alias("v"), *more).where(
         F.col("id").isNotNull() & v.isNotNull() & whole.alias("w") & F.exists(wide, lambda x: x != 0)
     )
     width = rows.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").first()
@@ -312,7 +312,8 @@ def neighbours(
     """
     spark = vectors.sparkSession
     asked = (F.col(id_col) % EVERY == 0) if queries is None else queries
-    rows = usable(vectors.withColumn("__asked", asked), id_col, vector_col)
+    checked = usable(vectors.withColumn("__asked", asked), id_col, vector_col, "__asked")
+    rows = checked.select("id", "v")
     id_type = rows.schema["id"].dataType
     out = T.StructType(
         [
@@ -330,7 +331,7 @@ def neighbours(
     listed = T.StructType([T.StructField("list", T.IntegerType()), rows.schema["id"], rows.schema["v"]])
     pos = F.monotonically_increasing_id().alias("pos")
     posts = durable(_assigned(rows, graph, listed, False, False).select("*", pos))
-    wanted = usable(vectors.where(asked), id_col, vector_col).where(F.size("v") == graph.centroids.shape[1])
+    wanted = checked.where("__asked").select("id", "v")
     probes = durable(_assigned(wanted, graph, listed, False, True).select("*", pos))
     found = durable(_ranked(_search(posts, probes, nearest), nearest))
     full = found.groupBy(F.col("query_id").alias("id")).count().where(F.col("count") >= nearest)

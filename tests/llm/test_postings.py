@@ -124,3 +124,11 @@ def test_repeated_ids_do_not_push_others_out(spark):
         want = brute(rows)
         for q in (0, 100):
             assert [(r["vec_id"]) for r in out if r["query_id"] == q] == [i for _, i in want[q]]
+
+
+def test_queries_of_the_tables_width_when_most_are_not(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, rng.normal(size=4).astype(np.float32).tolist()) for k in range(101)]
+    rows += [(100 * k, [1.0, 2.0, 3.0]) for k in range(2, 8)]
+    got, want = collected(p.neighbours(spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA))), brute(rows)
+    assert set(got) == set(want) == {0, 100} and all(len(v) == 10 for v in got.values())
