@@ -12,19 +12,22 @@ from pyspark.sql import functions as F
 from shelfcount.llm import decontam, interleave, langid, poisson_mix, simhash
 from shelfcount.session import durable
 
-#: Least share of the score that the predicted language must have; an even share among four would be 0.25.
+#: Least share of the score that the predicted language must have among four languages or fewer. Among more it
+#: is this multiple of an even share, which is the same among four.
 MIN_SCORE = 0.4
+EVEN_SHARES = 1.6
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a recognised language: not ``und`` and at least MIN_SCORE.
+    """Keeps documents with a recognised language: not ``und`` and at least MIN_SCORE (less among many languages).
 
     Null and empty texts and texts without letters go; all else about nulls, ties and repeated
     rows is as in ``langid.identify``. An empty table stays empty.
     """
     model = langid.fit(langid.training_rows(docs))
     scored = langid.identify(docs, model, pred="__lang", score="__score")
-    accepted = (F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= MIN_SCORE)
+    least = min(MIN_SCORE, EVEN_SHARES / max(1, len(model.languages)))
+    accepted = (F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= least)
     return scored.where(accepted).drop("__lang", "__score")
 
 

@@ -91,3 +91,14 @@ def test_odd_rows_and_empty_tables(spark, name, stage):
     assert out.count() >= 1
     empty = stage(spark, spark.createDataFrame([], schema), SMALL)
     assert empty.count() == 0
+
+
+def test_clean_documents_of_ten_languages_stay(spark):
+    import random
+
+    rng = random.Random(6)
+    # Three groups of three languages that are alike, and one by itself.
+    words = [["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(60)] for _ in range(4)]
+    rows = [(k, " ".join(rng.choices(words[k % 10 // 3], k=30)), f"l{k % 10}") for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert corpus_pipeline.language_id(spark, docs, "").count() > 0.95 * len(rows)
