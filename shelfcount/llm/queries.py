@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, interleave, langid, page_diff, poisson_mix, postings, ppm, simhash, skipchain, viterbi
+from . import decontam, interleave, langid, page_diff, pair_bitmaps, poisson_mix, postings, ppm, simhash, skipchain, viterbi
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return viterbi.token_digest(table(spark, folder, "documents"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return pair_bitmaps.alignment_digest(table(spark, folder, "documents"))
+
+
 ORACLES["op8_mixing"] = f"""
 WITH sizes AS (
   SELECT source, sum(coalesce(strlen(text), 0) + 1)::BIGINT AS size, sqrt(sum(coalesce(strlen(text), 0) + 1)::DOUBLE) AS weight
@@ -113,5 +117,6 @@ for _query in (
     op8_mixing,
     op9_main_text,
     op10_token_counts,
+    op13_tokenizer_alignment,
 ):
     QUERIES[_query.__name__] = _query
