@@ -23,7 +23,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -158,55 +158,72 @@ class Pair:
         return a, self.b.encode([t[1:] for t in texts], num_threads=1)
 
 
-@dataclass
 class Known:
     """What a worker remembers of segments, one entry each."""
 
-    pair: Pair
-    number: dict[bytes, int] = field(default_factory=dict)
-    n_a: list[int] = field(default_factory=list)
-    n_b: list[int] = field(default_factory=list)
-    #: The groups as text, or None if a tokenizer does not give back the segment's bytes.
-    groups: list[str | None] = field(default_factory=list)
-    links: list[np.ndarray] = field(default_factory=list)
+    def __init__(self, pair: Pair):
+        self.pair = pair
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        #: The groups as text, or None if a tokenizer does not give back the segment's bytes.
+        self.groups: list[str | None] = []
+        self.n_a, self.n_b, self.n_links, self.links = (np.zeros(0, np.int64) for _ in range(4))
+        self.first = np.zeros(0, np.int64)
 
     def numbers(self, segments: list[bytes]) -> np.ndarray:
         """The entry of each of some distinct segments."""
         if len(self.number) > REMEMBERED:
-            for kept in (self.number, self.n_a, self.n_b, self.groups, self.links):
-                kept.clear()
+            self.forget()
         new = [s for s in segments if s not in self.number]
-        for k in range(0, len(new), 20_000):
-            self._add(new[k : k + 20_000])
-        return np.fromiter((self.number[s] for s in segments), np.int64, len(segments))
+        for k in range(0, len(new), 50_000):
+            self._add(new[k : k + 50_000])
+        return np.fromiter(map(self.number.__getitem__, segments), np.int64, len(segments))
 
     def _add(self, segments: list[bytes]) -> None:
         pair = self.pair
-        for segment, a, b in zip(segments, *pair.encode(segments)):
-            self.number[segment] = len(self.number)
-            whole = b"".join([pair.a_bytes[k] for k in a]) == segment == b"".join([pair.b_bytes[k] for k in b])
-            self.n_a.append(len(a))
-            self.n_b.append(len(b))
-            if not whole:
-                self.groups.append(None)
-                self.links.append(np.zeros(0, np.int64))
-                continue
-            text, links = self._aligned(a, b)
-            self.groups.append(text)
-            self.links.append(np.array(links, np.int64))
-
-    def _aligned(self, a: list[int], b: list[int]) -> tuple[str, list[int]]:
-        """The groups as text and each group's link, packed: tokens that end together are the last two of a group."""
-        if len(a) == 1 or len(b) == 1:
-            return f"{','.join(map(str, a))}|{','.join(map(str, b))}", [a[-1] * ID_LIMIT + b[-1]]
-        ends_a, ends_b = np.cumsum(self.pair.a_sizes[a]), np.cumsum(self.pair.b_sizes[b])
-        _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        parts, links, i, j = [], [], 0, 0
+        self.number.update(zip(segments, range(len(self.number), len(self.number) + len(segments))))
+        a, b = pair.encode(segments)
+        bad = np.zeros(len(segments), bool)
+        if not self._given_back(segments, a, b):
+            bad = np.array([not self._given_back([s], [x], [y]) for s, x, y in zip(segments, a, b)])
+            a, b = ([[] if no else x for no, x in zip(bad.tolist(), each)] for each in (a, b))
+        n_a, n_b = np.fromiter(map(len, a), np.int64, len(a)), np.fromiter(map(len, b), np.int64, len(b))
+        flat_a = np.fromiter((k for x in a for k in x), np.int64, n_a.sum())
+        flat_b = np.fromiter((k for x in b for k in x), np.int64, n_b.sum())
+        # Laid end to end, both tokenizers end at every segment's end.
+        _, at_a, at_b = np.intersect1d(
+            np.cumsum(pair.a_sizes[flat_a]), np.cumsum(pair.b_sizes[flat_b]), assume_unique=True, return_indices=True
+        )
+        upto = np.searchsorted(at_a, np.cumsum(n_a))  # groups before the end of each segment
+        text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
+        groups, i, j = [], 0, 0
         for p, q in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
-            parts.append(f"{','.join(map(str, a[i:p]))}|{','.join(map(str, b[j:q]))}")
-            links.append(a[p - 1] * ID_LIMIT + b[q - 1])
+            left = text_a[i] if p == i + 1 else ",".join(text_a[i:p])
+            groups.append(f"{left}|{text_b[j]}" if q == j + 1 else f"{left}|{','.join(text_b[j:q])}")
             i, j = p, q
-        return ";".join(parts), links
+        edges = [0, *upto.tolist()]
+        self.groups += [None if no else ";".join(groups[x:y]) for x, y, no in zip(edges, edges[1:], bad.tolist())]
+        n_links = np.diff(edges)
+        self.first = np.append(self.first, len(self.links) + np.cumsum(n_links) - n_links)
+        self.links = np.append(self.links, flat_a[at_a] * ID_LIMIT + flat_b[at_b])
+        self.n_links = np.append(self.n_links, n_links)
+        self.n_a, self.n_b = np.append(self.n_a, n_a), np.append(self.n_b, n_b)
+
+    def _given_back(self, segments: list[bytes], a: list[list[int]], b: list[list[int]]) -> bool:
+        """Whether both tokenizers give back every segment (their bytes laid end to end are the same)."""
+        of_a, of_b = self.pair.a_bytes, self.pair.b_bytes
+        sizes = np.cumsum([len(s) for s in segments])
+        whole = b"".join(segments)
+        for ids, each, lengths in ((a, of_a, self.pair.a_sizes), (b, of_b, self.pair.b_sizes)):
+            flat = [k for x in ids for k in x]
+            if b"".join([each[k] for k in flat]) != whole:
+                return False
+            ends = np.append(0, np.cumsum(lengths[flat]))[np.cumsum([len(x) for x in ids])]
+            if (ends != sizes).any():
+                return False
+        return True
 
 
 def segments_of(texts: list[bytes], cuts: bool = True) -> tuple[np.ndarray, pa.LargeBinaryArray]:
@@ -246,10 +263,7 @@ def _shard(texts: list[bytes | None], known: Known) -> tuple[dict[str, list], np
     codes = coded.indices.to_numpy()
     owner = np.repeat(np.arange(len(filled)), per_text)
     groups = [known.groups[k] for k in distinct.tolist()]
-    n_a = np.array([known.n_a[k] for k in distinct.tolist()], np.int64)
-    n_b = np.array([known.n_b[k] for k in distinct.tolist()], np.int64)
-    links = [known.links[k] for k in distinct.tolist()]
-    n_links = np.fromiter(map(len, links), np.int64, len(links))
+    n_links = known.n_links[distinct]
     bad = np.array([g is None for g in groups], bool)
     good = np.ones(len(filled), bool)
     good[owner[bad[codes]]] = False
@@ -265,12 +279,10 @@ def _shard(texts: list[bytes | None], known: Known) -> tuple[dict[str, list], np
     kept = good[owner]
     codes, owner = codes[kept], owner[kept]
     sizes = n_links[codes]
-    flat = np.concatenate(links) if links else np.zeros(0, np.int64)
-    first = np.cumsum(n_links) - n_links
     inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    pairs = flat[np.repeat(first[codes], sizes) + inner]
+    pairs = known.links[np.repeat(known.first[distinct][codes], sizes) + inner]
     total = summed(n_links)
-    columns = {"n_a": summed(n_a), "n_b": summed(n_b), "n_groups": total, "n_links": total, "groups": rendered}
+    columns = {"n_a": summed(known.n_a[distinct]), "n_b": summed(known.n_b[distinct]), "n_groups": total, "n_links": total, "groups": rendered}
     return columns, np.repeat(owner, sizes), pairs
 
 
