@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, interleave, langid, page_diff, pair_bitmaps, poisson_mix, postings, ppm, simhash, skipchain, viterbi
+from . import decontam, interleave, langid, page_diff, pair_bitmaps, poisson_mix, postings, ppm, simhash, skipchain, term_search, viterbi
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,29 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return viterbi.token_digest(table(spark, folder, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return term_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLES["op12_lexical_search"] = f"""
+WITH word AS (
+  SELECT row, doc_id, unnest({_WORDS}) AS term FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)),
+tf AS (SELECT row, doc_id, term, count(*)::BIGINT AS tf FROM word GROUP BY ALL),
+len AS (SELECT row, sum(tf)::BIGINT AS n FROM tf GROUP BY row),
+total AS (SELECT count(*)::BIGINT AS n_texts, sum(n)::BIGINT AS n_terms FROM len),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * max(n_texts) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term),
+asked AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, row, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_texts) // n_terms))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN len USING (row), total GROUP BY item_id, row, doc_id)
+SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)
+QUALIFY rank <= 10
+"""
+
+
 def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return pair_bitmaps.alignment_digest(table(spark, folder, "documents"))
 
@@ -117,6 +140,7 @@ for _query in (
     op8_mixing,
     op9_main_text,
     op10_token_counts,
+    op12_lexical_search,
     op13_tokenizer_alignment,
 ):
     QUERIES[_query.__name__] = _query
