@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, interleave, langid, page_diff, pair_bitmaps, poisson_mix, postings, ppm, simhash, skipchain, term_search, viterbi
+from . import decontam, interleave, langid, licenses, page_diff, pair_bitmaps, poisson_mix, postings, ppm, simhash, skipchain, term_search, viterbi
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return viterbi.token_digest(table(spark, folder, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_digest(table(spark, folder, "documents"))
+
+
 def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return term_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -140,6 +144,7 @@ for _query in (
     op8_mixing,
     op9_main_text,
     op10_token_counts,
+    op11_license_scan,
     op12_lexical_search,
     op13_tokenizer_alignment,
 ):
