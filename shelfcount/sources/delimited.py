@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import _col, zfill
 from ..operators.clean import clean_cells, clean_name, normalise_names, require, with_constants
-from ..operators.sets import union_all
+from . import lines
 
 LATIN_1 = "ISO-8859-1"
 THAI_CODE_PAGES = {"cp874", "windows-874", "tis-620", "tis620"}
@@ -55,24 +57,16 @@ def _options(sep: str) -> dict[str, str]:
     return {"sep": sep, "quote": '"', "escape": '"'}
 
 
-def _reader(spark: SparkSession, sep: str, encoding: str, glob: str | None, multiline: bool = False):
+def _reader(spark: SparkSession, sep: str, encoding: str, glob: str | None):
     thai = encoding.lower() in THAI_CODE_PAGES
     reader = spark.read.options(**_options(sep)).option("encoding", LATIN_1 if thai else encoding)
-    reader = reader.option("multiLine", multiline)
     return reader.option("pathGlobFilter", glob) if glob else reader
 
 
-def _lines(spark: SparkSession, path: str | list[str], encoding: str, glob: str | None = None) -> DataFrame:
-    """Physical lines, blank ones too: value, file, start of the split, and a number that rises along a split."""
+def _text_reader(spark: SparkSession, encoding: str, glob: str | None = None):
     thai = encoding.lower() in THAI_CODE_PAGES
     reader = spark.read.option("encoding", LATIN_1 if thai else encoding)
-    reader = reader.option("pathGlobFilter", glob) if glob else reader
-    return reader.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__start"),
-        F.monotonically_increasing_id().alias("__id"),
-    )
+    return reader.option("pathGlobFilter", glob) if glob else reader
 
 
 def scan_positional(
@@ -85,9 +79,15 @@ def scan_positional(
     glob: str | None = None,
     multiline: bool = False,
 ) -> DataFrame:
-    """Headerless file with given names; missing trailing cells are null."""
-    reader = _reader(spark, sep, encoding, glob, multiline).schema(all_strings(names))
-    return decode_text(reader.csv(path, header=False), encoding, errors)
+    """Headerless file with given names; missing trailing cells are null.
+
+    With ``multiline`` quoted cells may hold line ends; a large file is still read by many tasks.
+    """
+    if multiline:
+        rows = _recorded(spark, path, names, sep, encoding, glob, 0).drop("path")
+    else:
+        rows = _reader(spark, sep, encoding, glob).schema(all_strings(names)).csv(path, header=False)
+    return decode_text(rows, encoding, errors)
 
 
 def _by_header(
@@ -101,47 +101,80 @@ def _by_header(
 ) -> DataFrame:
     """Rows of files that each have a header of their own; columns by cleaned name, with the file's path.
 
-    A file's header is the first non-blank line of its first split. Files are read once for each
-    distinct header; columns that a file lacks are null. Without ``names`` the columns are all that
-    occur, in the order of the headers as text.
+    A file's header is its first non-blank line, read from its first bytes. All files are read by one scan, whose
+    cells are picked by the number of the file's header; columns that a file lacks are null. Without
+    ``names`` the columns are all that occur, in the order of the headers as text.
     """
-    first = F.min_by("value", "__id").alias("header")
-    lines = _lines(spark, path, encoding, glob).filter((F.col("__start") == 0) & (F.trim("value") != ""))
-    headers = lines.groupBy("__file").agg(first)
+    files = _text_reader(spark, encoding, glob).text(path).inputFiles()
+    found = dict(zip(files, lines.heads(spark, files, LATIN_1 if encoding.lower() in THAI_CODE_PAGES else encoding)))
     # One entry for each layout, not for each file.
-    layouts = [r.header for r in headers.select("header").distinct().orderBy("header").collect()]
-    parsed = {h: _cells(spark, h, sep, encoding) for h in layouts}
-    every = list(names) if names is not None else list(dict.fromkeys(c for h in layouts for c in parsed[h]))
+    layouts = sorted({h for h in found.values() if h is not None})
+    parsed = _cells(spark, layouts, sep, encoding)
+    every = list(names) if names is not None else list(dict.fromkeys(c for cells in parsed for c in cells))
     wanted = {clean_name(n): n for n in every}
     if not layouts:
         empty = T.StructType([*all_strings(every).fields, T.StructField("__path", T.StringType())])
         return spark.createDataFrame([], empty)
-    frames = []
-    for header in layouts:
-        places = {c: k for k, c in reversed(list(enumerate(parsed[header])))}
-        schema = all_strings([f"_{k}" for k in range(len(parsed[header]))])
-        reader = _reader(spark, sep, encoding, glob, multiline).schema(schema)
+    cells = [f"_{k}" for k in range(max([1, *map(len, parsed)]))]
+    if multiline:
+        rows = _recorded(spark, path, cells, sep, encoding, glob, lines.HEADER).withColumnRenamed("path", "__path")
+    else:
+        reader = _reader(spark, sep, encoding, glob).schema(all_strings(cells))
         rows = reader.csv(path, header=True).select("*", F.col("_metadata.file_path").alias("__path"))
-        if len(layouts) > 1:
-            own = headers.filter(F.col("header") == header).select(F.col("__file").alias("__path"))
-            rows = rows.join(own, "__path", "left_semi")
-        cells = [
-            (F.col(f"_{places[c]}") if c in places else F.lit(None).cast("string")).alias(n) for c, n in wanted.items()
-        ]
-        frames.append(rows.select(*cells, "__path"))
-    return union_all(*frames)
-
-
-def _cells(spark: SparkSession, header: str, sep: str, encoding: str) -> list[str]:
-    """Cleaned names of a header line, as the reader would cut it; later repeats get no column."""
-    line = spark.createDataFrame([(header,)], "value string")
-    width = header.count(sep) + 1
-    cells = F.from_csv("value", ",".join(f"_{k} string" for k in range(width)), _options(sep))
-    decoded = decode_text(line.select(cells.alias("r")).select("r.*"), encoding)
-    found = [clean_name(c) if c is not None else "" for c in decoded.first()]
-    while found and not found[-1]:
-        found.pop()
-    return found
+    if len(layouts) > 1:
+        number = {h: k for k, h in enumerate(layouts)}
+        # The scan names files of a system without a host with fewer slashes than the list of files does.
+        pairs = [(re.sub("^([^:/]+):///", r"\1:/", f), number[h]) for f, h in found.items() if h is not None]
+        table = pa.table([pa.array([p[0] for p in pairs]), pa.array([p[1] for p in pairs], pa.int32())], ["__path", "__layout"])
+        # One row for each file; Spark knows its size and sends it to the tasks if it is small.
+        rows = rows.join(spark.createDataFrame(table), "__path", "left")
+        late = F.raise_error(F.concat(F.lit("a file came after the headers were read: "), "__path")).cast("int")
+        rows = rows.withColumn("__layout", F.coalesce("__layout", late))
+    places: dict[str, dict[int, list[int]]] = {}
+    for layout, cells in enumerate(parsed):
+        for cell in dict.fromkeys(cells):
+            places.setdefault(cell, {}).setdefault(cells.index(cell), []).append(layout)
+
+    def picked(name: str) -> Column:
+        """The cell of that name by the file's layout."""
+        cell = F.lit(None).cast("string")
+        for place, of in places.get(name, {}).items():
+            here = F.col(f"_{place}")
+            cell = here if len(layouts) == 1 else F.when(F.col("__layout").isin(of), here).otherwise(cell)
+        return cell
+
+    return rows.select(*[picked(c).alias(n) for c, n in wanted.items()], "__path")
+
+
+def _cells(spark: SparkSession, headers: Sequence[str], sep: str, encoding: str) -> list[list[str]]:
+    """Cleaned names of header lines, as the reader would cut them; later repeats get no column."""
+    if not headers:
+        return []
+    width = max(h.count(sep) + 1 for h in headers)
+    table = spark.createDataFrame(list(enumerate(headers)), "number int, value string")
+    decoded = decode_text(_parsed(table, [f"_{k}" for k in range(width)], sep, "number"), encoding)
+    out = []
+    for row in decoded.orderBy("number").drop("number").collect():
+        found = [clean_name(c) if c is not None else "" for c in row]
+        while found and not found[-1]:
+            found.pop()
+        out.append(found)
+    return out
+
+
+def _parsed(rows: DataFrame, names: Sequence[str], sep: str, *kept: str) -> DataFrame:
+    """Cells of the lines in ``value``, beside the columns that are kept; blank lines are no rows."""
+    cells = F.from_csv("value", ",".join(f"`{n}` string" for n in names), _options(sep))
+    filled = rows.filter(F.col("value").rlike(r"[^\x00-\x20]"))
+    return filled.select(*kept, cells.alias("__cells")).select(*kept, "__cells.*")
+
+
+def _recorded(
+    spark: SparkSession, path: str | list[str], names: Sequence[str], sep: str, encoding: str, glob: str | None, skip: int
+) -> DataFrame:
+    """Cells of records whose quoted cells may hold line ends, and ``path``, the file they are from."""
+    rows = _unbroken(lines.records(_text_reader(spark, encoding, glob), path, skip))
+    return _with_breaks(_parsed(rows, names, sep, "path"), names)
 
 
 def scan_headered(
@@ -183,17 +216,16 @@ def scan_pipe(
 BREAKS = "\uf8fe\uf8ff"
 
 
-def _records(spark: SparkSession, path: str | list[str], skip: int, encoding: str) -> DataFrame:
-    """Records of files without their first lines; a record may span lines inside quotes.
-
-    A file is one task, as for any reader of such records.
-    """
-    thai = encoding.lower() in THAI_CODE_PAGES
-    whole = spark.read.option("encoding", LATIN_1 if thai else encoding).text(path, wholetext=True)
-    body = F.regexp_replace("value", rf"^(?:[^\r\n]*(?:\r\n|\r|\n)){{0,{skip}}}", "") if skip else F.col("value")
+def _unbroken(rows: DataFrame) -> DataFrame:
+    """Records of one line each: line ends inside quotes are written as ``BREAKS``, others end the record."""
     # Every second part between quote marks is inside a cell.
-    parts = F.transform(F.split(body, '"'), lambda x, k: F.when(k % 2 == 1, F.translate(x, "\r\n", BREAKS)).otherwise(x))
-    return whole.select(F.explode(F.split(F.array_join(parts, '"'), r"\r\n|\r|\n")).alias("value"))
+    parts = F.transform(F.split("value", '"'), lambda x, k: F.when(k % 2 == 1, F.translate(x, "\r\n", BREAKS)).otherwise(x))
+    lines = F.explode(F.split(F.array_join(parts, '"'), r"\r\n|\r|\n"))
+    return rows.select(*[c for c in rows.columns if c != "value"], lines.alias("value"))
+
+
+def _with_breaks(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    return rows.withColumns({n: F.translate(F.col(f"`{n}`"), BREAKS, "\r\n") for n in names})
 
 
 def scan_skip(
@@ -209,27 +241,13 @@ def scan_skip(
     """Drop the first ``skip`` physical lines of every file, then rows lacking ``key``.
 
     Blank lines count as lines; blank lines after them are no rows. With ``multiline`` quoted cells
-    may hold line ends. The lines to drop are found in first splits only, at most ``skip`` for each
-    file; later splits are not looked at.
+    may hold line ends. Lines are dropped in the scan that reads them; they must lie in a file's first split.
     """
-    if multiline:
-        body = _records(spark, path, skip, encoding)
-    else:
-        body = _lines(spark, path, encoding)
-        if skip:
-            # A split is read in order by one task, so numbers of a file's first split rise with its lines.
-            first = body.filter("__start = 0")
-            order = Window.partitionBy("__file").orderBy("__id")
-            top = first.select("__file", "__id").withColumn("__line", F.row_number().over(order))
-            dropped = top.filter(F.col("__line") <= skip).select(F.col("__id").alias("__top"))
-            kept = first.join(dropped, F.col("__id") == F.col("__top"), "left_anti")
-            body = kept.unionByName(body.filter("__start > 0"))
-        body = body.select("value")
+    reader = _text_reader(spark, encoding)
+    body = _unbroken(lines.records(reader, path, skip)) if multiline else lines.body(reader, path, skip)
     parsed = F.from_csv("value", ",".join(f"`{n}` string" for n in names), _options(sep))
     df = body.filter(F.trim("value") != "").select(parsed.alias("r")).select("r.*")
-    if multiline:
-        df = df.withColumns({n: F.translate(F.col(f"`{n}`"), BREAKS, "\r\n") for n in names})
-    df = decode_text(df, encoding)
+    df = decode_text(_with_breaks(df, names) if multiline else df, encoding)
     return require(df, [key]) if key else df
 
 
@@ -251,9 +269,12 @@ def scan_folder(
     endings = ",".join(s.lstrip(".") for s in suffixes)
     glob = f"*.{{{endings}}}" if len(suffixes) > 1 else f"*.{endings}"
     if header:
-        df = _by_header(spark, folder, sep, encoding, glob, multiline, names)
-        df = df.withColumn("file", F.element_at(F.split(F.url_decode("__path"), "/"), -1)).drop("__path")
+        df = _by_header(spark, folder, sep, encoding, glob, multiline, names).withColumnRenamed("__path", "path")
+    elif multiline:
+        df = _recorded(spark, folder, names, sep, encoding, glob, 0)
     else:
-        reader = _reader(spark, sep, encoding, glob, multiline).schema(all_strings(names))
-        df = reader.csv(folder, header=False).select("*", F.col("_metadata.file_name").alias("file"))
-    return decode_text(df, encoding)
+        reader = _reader(spark, sep, encoding, glob).schema(all_strings(names))
+        df = reader.csv(folder, header=False).select("*", F.col("_metadata.file_path").alias("path"))
+    # Paths are written as in a link, where a plus sign is no space.
+    decoded = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    return decode_text(df.withColumn("file", F.element_at(F.split(decoded, "/"), -1)).drop("path"), encoding)

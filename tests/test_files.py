@@ -1,14 +1,20 @@
 """Small hand-written files through sources and jobs."""
 
+import csv
+import gzip
+import io
 import os
+import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfcount import layouts
 from shelfcount.operators import clean
 from shelfcount.plans import reports, soh, uploads
 from shelfcount.policy import SOH_POLICIES
-from shelfcount.sources import delimited, sinks, tables, workbook
+from shelfcount.sources import delimited, lines, sinks, tables, workbook
 from shelfcount_checks.files import _xlsx
 
 
@@ -96,19 +102,101 @@ def test_line_ends_in_quoted_cells(spark, tmp_path):
     assert values(delimited.scan_headered(spark, str(tmp_path), multiline=True), "*") == [("1", "a b")]  # cells are cleaned
 
 
-def test_skipping_does_not_shuffle_later_splits(spark, tmp_path):
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_skipping_is_one_scan(spark, tmp_path, small_splits):
     put(tmp_path, "a.csv", b"t\n" + b"".join(b"%d,x\n" % k for k in range(20000)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    try:
-        df = delimited.scan_skip(spark, str(tmp_path), ["k", "v"], skip=1)
-        assert df.count() == 20000
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    # Only the numbers of the dropped lines, and first splits where they are not broadcast, are moved.
-    assert "Union" in plan
-    later = plan[plan.index("Union"):].split("file_block_start")[-1]
-    assert "Exchange" not in later
+    put(tmp_path, "b.csv", b"t\n20000,x\n")
+    put(tmp_path, "c.csv", b"t")
+    df = delimited.scan_skip(spark, str(tmp_path), ["k", "v"], skip=1)
+    assert df.rdd.getNumPartitions() > 20
+    assert sorted(int(r.k) for r in df.collect()) == list(range(20001))
+    plan = executed(df)
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan
+
+
+def test_skipped_lines_beyond_the_first_split_are_an_error(spark, tmp_path, small_splits):
+    put(tmp_path, "a.csv", b"title\n" * 2000 + b"1,x\n")
+    with pytest.raises(Exception, match="first split"):
+        delimited.scan_skip(spark, str(tmp_path), ["k", "v"], skip=1999).collect()
+
+
+def test_layouts_are_read_by_one_scan(spark, tmp_path):
+    for n in range(9):
+        head = [b"sku,stoh", b"STOH ,more,sku", b"x,'sku',y,stoh"][n % 3]
+        row = [b"%d,7", b"7,m,%d", b"x,%d,y,7"][n % 3]
+        put(tmp_path, f"f {n}+é%.csv", b"\xef\xbb\xbf"[: 3 * (n % 2)] + head + b"\n" + b"\n".join(row % k for k in range(50)) + b"\n")
+    df = delimited.scan_headered(spark, str(tmp_path)).select("sku", "stoh")
+    assert values(df, "*") == sorted([(str(k), "7") for k in range(50)] * 9, key=str)
+    assert executed(df).count("FileScan") == 1
+    folder = delimited.scan_folder(spark, str(tmp_path), ["sku"])
+    assert {r.file for r in folder.select("file").distinct().collect()} == {f"f {n}+é%.csv" for n in range(9)}
+    one = delimited.scan_headered(spark, f"{tmp_path}/f 0*.csv")
+    assert "Join" not in executed(one) and one.count() == 50
+
+
+def test_headers_are_read_from_the_first_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lines, "HEAD_BYTES", 3)
+    put(tmp_path, "a.csv", b"\n \r\nlong name,b\r\n1,2\r\n")
+    put(tmp_path, "b.csv", b"long name,b")
+    put(tmp_path, "c.csv", b"\n\n")
+    put(tmp_path, "d.csv.gz", gzip.compress(b"b,long name\n3,4\n"))
+    found = dict(zip("abcd", lines.heads(spark, sorted(spark.read.text(str(tmp_path)).inputFiles()), "UTF-8")))
+    assert found == {"a": "long name,b", "b": "long name,b", "c": None, "d": "b,long name"}
+    assert values(delimited.scan_headered(spark, str(tmp_path)), "long name", "b") == [("1", "2"), ("4", "3")]
+
+
+def cells_of(text, skip, width):
+    """Records of a text read as a whole, by the csv module."""
+    for _ in range(skip):
+        text = re.sub(r"^[^\r\n]*(\r\n|\r|\n|$)", "", text)
+    rows = csv.reader(io.StringIO(text, newline=""), strict=False)
+    return sorted([tuple((c or None) for c in (r + [None] * width)[:width]) for r in rows if any(c.strip() for c in r)], key=str)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_quotes_that_span_splits(spark, tmp_path, small_splits, seed):
+    rng = random.Random(seed)
+    want = []
+    for n in range(4):
+        rows = ['odd " title', "", "k,v,w"]
+        for k in range(rng.randrange(1, 150)):
+            long = "\n".join("x" * rng.randrange(0, 90) for _ in range(rng.choice([1, 1, 1, 2, 9, 80])))
+            cell = long.replace("x\n", rng.choice(["x\n", 'q""\n', "\r\n", ",\n"]))
+            rows.append(f'{n}-{k},"{cell}",{rng.choice(["a", "", chr(34) + "b,c" + chr(34)])}')
+        text = rng.choice(["\n", "\r\n"]).join(rows) + rng.choice(["", "\n"])
+        put(tmp_path, f"f{n}.csv", text.encode())
+        want += cells_of(text, 3, 3)
+    df = delimited.scan_skip(spark, str(tmp_path), ["k", "v", "w"], skip=3, multiline=True)
+    assert values(df, "*") == sorted(want, key=str)
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
+    headered = delimited.scan_positional(spark, str(tmp_path), ["k", "v", "w"], multiline=True)
+    assert headered.filter("k = '0-0'").count() <= 1  # the odd mark of the title shifts every record after it
+
+
+def test_headered_records_span_splits(spark, tmp_path, small_splits):
+    text = '"k", V\n' + "".join(f'{k},"line one of {k}\nline two"\n' for k in range(500))
+    put(tmp_path, "a.csv", text.encode())
+    put(tmp_path, "b.csv", b"\nv,z,k\n" + b'"m\nn",2,500\n')
+    df = delimited.scan_folder(spark, str(tmp_path), ["k", "v"], multiline=True)
+    assert sorted((int(r.k), r.v) for r in df.collect()) == [(k, f"line one of {k}\nline two") for k in range(500)] + [(500, "m\nn")]
+
+
+def test_a_mark_left_open_takes_the_rest_of_the_file(spark, tmp_path, small_splits):
+    rest = "\n".join(f"row {k},x" for k in range(900))
+    put(tmp_path, "a.csv", f'1,a\n2,"{rest}'.encode())
+    put(tmp_path, "b.csv", b"3,c\n")
+    rows = lines.records(spark.read, str(tmp_path), 0).collect()
+    assert sorted(r.value for r in rows) == ["1,a", f'2,"{rest}', "3,c"]
 
 
 def test_title_with_a_one_digit_day(spark, tmp_path):
