@@ -1,6 +1,9 @@
 """One group holding most rows must be split over tasks and still be numbered right."""
 
+import random
+
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcount.operators import gates, joins, ranking
@@ -22,8 +25,78 @@ def test_hot_group_spans_slices(spark):
 def test_contributions_are_bounded_by_slices(spark):
     sliced = ranking._sliced(hot(spark), ["k"], ["o"])
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert 0 < ranking._sizes_before(sliced, ["k"]).count() <= slices
-    assert ranking._cuts(hot(spark), ["k"], ["o"]).select(F.sum(F.size(ranking.CUTS))).first()[0] <= slices
+    ends, over = ranking._reaching(sliced, ["k"])
+    assert ends.count() <= slices
+    assert 0 < over.count() < slices
+
+
+def unrepeatable(spark, n):
+    """Rows that are others whenever they are made again."""
+    draw = F.udf(lambda: random.random(), "double").asNondeterministic()
+    return spark.range(0, n, 1, 8).select(F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 7).cast("string")).alias("k"), "id", draw().alias("o"))
+
+
+def test_an_unrepeatable_input_is_numbered_without_gaps(spark):
+    rows = ranking.rank_rows(unrepeatable(spark, 30000), ["k"], ["o", "id"], "rn").collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.k, []).append((r.o, r.rn))
+    assert sum(map(len, found.values())) == 30000
+    for group in found.values():
+        assert [n for _, n in sorted(group)] == list(range(1, len(group) + 1))
+
+
+def dealings(plan):
+    """Exchanges by range that are not read again from another place."""
+    return [x for x in plan.splitlines() if "Exchange rangepartitioning" in x and "ReusedExchange" not in x]
+
+
+def test_numbering_is_planned_without_a_job_and_dealt_once(spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    df = hot(spark, 5000).join(spark.range(97).withColumnRenamed("id", "n"), F.col("o") % 97 == F.col("n"))
+    out = [ranking.rank_rows(df, ["k"], ["o"], "rn"), ranking.forward_fill(df, ["n"], ["k"], ["o"])]
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    for frame in out:
+        rows, plan = final_plan(frame)
+        assert rows == 5000
+        assert len(dealings(plan)) == 1 and plan.count("Range (0, 5000") == 1, plan
+        # Whole rows are dealt, so a caller that takes few columns still reads the same exchange.
+        assert len(dealings(final_plan(frame.select("k"))[1])) == 1
+
+
+def test_without_reuse_the_job_fails_and_numbers_are_not_wrong(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="dealt twice"):
+            ranking.rank_rows(unrepeatable(spark, 30000), ["k"], ["o", "id"], "rn").collect()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_few_rows_and_slices(spark):
+    for n in (0, 1, 2):
+        df = spark.range(n).select(F.lit("a").alias("k"), "id", F.lit(None).cast("string").alias("v"))
+        assert [r.rn for r in ranking.rank_rows(df, ["k"], ["id"], "rn").orderBy("rn").collect()] == list(range(1, n + 1))
+        assert ranking.forward_fill(df, ["v"], ["k"], ["id"]).count() == n
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert ranking.rank_rows(hot(spark, 500), [], ["o"], "rn").filter("rn <> o + 1").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_filling_many_types_over_slices(spark):
+    kinds = {"a": "decimal(9,2)", "b": "date", "c": "timestamp", "d": "array<int>", "e": "struct<x:int>", "f": "string"}
+    made = {"a": "CAST(id AS DECIMAL(9,2))", "b": "date_add(DATE'2026-01-01', CAST(id AS INT))", "c": "timestamp_seconds(id)", "d": "array(CAST(id AS INT))", "e": "named_struct('x', CAST(id AS INT))", "f": "CAST(id AS STRING)"}
+    holes = {c: f"CASE WHEN id % {m} = 0 AND id > 40 THEN {made[c]} END" for c, m in zip(kinds, (2, 3, 5, 700, 900, 4000))}
+    df = spark.range(0, 6000, 1, 8).selectExpr("CASE WHEN id < 5000 THEN 'hot' ELSE CAST(id AS STRING) END AS k", "id", *[f"{e} AS {c}" for c, e in holes.items()])
+    window = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in kinds})
+    got = ranking.forward_fill(df, list(kinds), ["k"], ["id"])
+    assert got.schema == df.schema
+    assert got.exceptAll(want).count() == 0 and got.count() == 6000
 
 
 def test_rank_of_hot_group(spark):
