@@ -77,8 +77,12 @@ def insert_new_or_reload(
 
 
 def rows_to_archive(source: DataFrame, archive: DataFrame, keys: Sequence[str], col: str, lo: str, hi: str) -> DataFrame:
-    """Rows of the range whose key group the archive lacks."""
-    return anti_join(source.filter(F.col(col).between(lo, hi)), archive, keys)
+    """Rows of the range whose key group the archive lacks.
+
+    Where the range column is among the keys, only the archive's rows of the range can match, so the others are not read.
+    """
+    in_range = F.col(col).between(lo, hi)
+    return anti_join(source.filter(in_range), archive.filter(in_range) if col in keys else archive, keys)
 
 
 def archive_new(

@@ -133,9 +133,15 @@ def snapshot_diff(
     return anti_join(a.select(*keys, *show), other, keys)
 
 
-def high_water(df: DataFrame, target: DataFrame, id_col: str) -> DataFrame:
-    """Rows above the highest id already stored; everything when the target is empty."""
-    top = target.agg(F.coalesce(F.max(id_col), F.lit(-1)).alias("top")).scalar()
+def high_water(df: DataFrame, target: DataFrame | int | None, id_col: str) -> DataFrame:
+    """Rows above the highest id already stored; everything when the target is empty.
+
+    ``target`` is the stored table, or its highest id if that is known (``tables.stored_max`` tells it without reading rows).
+    """
+    if isinstance(target, DataFrame):
+        top = target.agg(F.coalesce(F.max(id_col), F.lit(-1)).alias("top")).scalar()
+    else:
+        top = F.lit(-1 if target is None else target)
     return df.filter(F.col(id_col) > top)
 
 

@@ -60,34 +60,41 @@ def variance_by_dept(stk: DataFrame, dept: DataFrame, keys: Sequence[str], dept_
 
 
 def _report_measures() -> list[Column]:
-    variance, retail, cost = F.col("variance"), F.col("var_retail"), F.col("var_cost")
+    return [*_report_counts(), *[_sum(c, name) for name, c in _report_values().items()]]
 
-    def flag(condition: Column, name: str) -> Column:
-        return F.count_if(condition).alias(name)
 
+def _report_counts() -> list[Column]:
+    variance = F.col("variance")
     return [
         F.count(F.lit(1)).alias("sku_count"),
-        flag(variance == 0, "sku_eq"),
-        flag(variance > 0, "sku_gain"),
-        flag(variance < 0, "sku_loss"),
-        _sum(F.col("stock"), "qnt_soh"),
-        _sum(F.col("qnt"), "qnt_physical"),
-        _sum(positive_part(variance), "qnt_gain"),
-        _sum(negative_part(variance), "qnt_loss"),
-        _sum(variance, "qnt_variance"),
-        _sum(F.col("qnt_retail") - retail, "retail_soh"),
-        _sum(F.col("qnt_cost") - cost, "cost_soh"),
-        _sum(F.col("qnt_retail"), "retail_physical"),
-        _sum(F.col("qnt_cost"), "cost_physical"),
-        _sum(positive_part(retail), "retail_gain"),
-        _sum(positive_part(cost), "cost_gain"),
-        _sum(negative_part(retail), "retail_loss"),
-        _sum(negative_part(cost), "cost_loss"),
-        _sum(retail, "retail_net"),
-        _sum(cost, "cost_net"),
+        F.count_if(variance == 0).alias("sku_eq"),
+        F.count_if(variance > 0).alias("sku_gain"),
+        F.count_if(variance < 0).alias("sku_loss"),
     ]
 
 
+def _report_values() -> dict[str, Column]:
+    """What the report adds up, by the name of the sum."""
+    variance, retail, cost = F.col("variance"), F.col("var_retail"), F.col("var_cost")
+    return {
+        "qnt_soh": F.col("stock"),
+        "qnt_physical": F.col("qnt"),
+        "qnt_gain": positive_part(variance),
+        "qnt_loss": negative_part(variance),
+        "qnt_variance": variance,
+        "retail_soh": F.col("qnt_retail") - retail,
+        "cost_soh": F.col("qnt_cost") - cost,
+        "retail_physical": F.col("qnt_retail"),
+        "cost_physical": F.col("qnt_cost"),
+        "retail_gain": positive_part(retail),
+        "cost_gain": positive_part(cost),
+        "retail_loss": negative_part(retail),
+        "cost_loss": negative_part(cost),
+        "retail_net": retail,
+        "cost_net": cost,
+    }
+
+
 def _exact(stk: DataFrame) -> DataFrame:
     names = ["stock", "qnt", "variance", "qnt_retail", "qnt_cost", "var_retail", "var_cost"]
     return stk.withColumns({c: exact(stk, c) for c in names})
@@ -106,6 +113,25 @@ def dept_report(stk: DataFrame, final: str = "STK2") -> DataFrame:
     )
 
 
+STORE_KEYS = ("stcode", "cntdate", "rpname", "skutype")
+DEPT_KEYS = (*STORE_KEYS, "dept", "sub_dept")
+
+
+def reports_by_level(stk: DataFrame, final: str = "STK2") -> DataFrame:
+    """The store report and the department report as one table with a ``level``, from one pass over the lines.
+
+    Lines are summed by department first; both levels come from those few sums by one grouping-sets
+    aggregate. Rows of the store level have no department; those of the department level are the final report's.
+    """
+    values = _report_values()
+    fine = _exact(stk).groupBy(*DEPT_KEYS).agg(*_report_counts(), *[F.sum(c).alias(n) for n, c in values.items()])
+    names = [c for c in fine.columns if c not in DEPT_KEYS]
+    level = F.when(F.grouping("dept") == 1, "store").otherwise("dept").alias("level")
+    sums = [_sum(F.col(n), n) if n in values else F.sum(n).alias(n) for n in names]
+    both = fine.groupingSets([list(STORE_KEYS), list(DEPT_KEYS)], *DEPT_KEYS).agg(level, *sums)
+    return both.filter((F.col("level") == "store") | (F.col("rpname") == final))
+
+
 def sku_outcome_counts(
     stk: DataFrame, names: DataFrame, variance: str = "varianceqnt", store: str = "stmerch", stores: Sequence[str] | None = None
 ) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -206,13 +207,63 @@ def copy_table(
     append(clustered(df, partition_by), target, partition_by)
 
 
-def export_csv(df: DataFrame, path: str, bom: bool = False) -> None:
-    """CSV folder with a header in every part, optionally marked as UTF-8 for spreadsheets."""
+def export_csv(df: DataFrame, path: str, bom: bool = False, single: bool = False) -> None:
+    """CSV with a header, optionally marked as UTF-8 for spreadsheets.
+
+    The output is a folder whose parts have a header each, or with ``single`` one file: the tasks write parts
+    without header, in the order of the rows if ``df`` is sorted, and the file system puts them together.
+    """
+    if single:
+        _export_file(df, path, bom)
+        return
     if bom:
         df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
     df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
+def _csv_line(cells: Sequence[str]) -> str:
+    """One line as the CSV writer quotes it."""
+    quoted = ['"' + c.replace('"', '""') + '"' if any(x in c for x in ',"\r\n') else c for c in cells]
+    return ",".join(quoted) + "\n"
+
+
+def _export_file(df: DataFrame, path: str, bom: bool) -> None:
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(conf)
+    # Beside the target: joining files needs one file system.
+    staged = f"{path.rstrip('/')}.parts-{uuid.uuid4().hex}"
+    df.write.csv(f"{staged}/rows", header=False, escape='"', emptyValue="")
+    rows = [s.getPath() for s in system.listStatus(jvm.org.apache.hadoop.fs.Path(f"{staged}/rows")) if s.getLen()]
+    parts = sorted((p for p in rows if p.getName().startswith("part-")), key=lambda p: p.getName())
+    whole = jvm.org.apache.hadoop.fs.Path(f"{staged}/whole")
+    # A distributed file system joins files by their blocks; others are copied.
+    joins = system.getScheme() == "hdfs"
+    out = system.create(whole, True)
+    try:
+        out.write(bytearray(((BOM if bom else "") + _csv_line(df.columns)).encode()))
+        if not joins:
+            # Parts pass through a small buffer, one after the other.
+            for part in parts:
+                source = system.open(part)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+                finally:
+                    source.close()
+    finally:
+        out.close()
+    if parts and joins:
+        listed = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
+        for k, part in enumerate(parts):
+            listed[k] = part
+        system.concat(whole, listed)
+    system.delete(target, True)
+    if not system.rename(whole, target):
+        raise OSError(f"could not put the file in place: {path}")
+    system.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
+
+
 def append_log(spark: SparkSession, path: str, **entry: str | int) -> None:
     """One run or error entry added to a log table."""
     spark.createDataFrame([entry]).write.mode("append").json(path)

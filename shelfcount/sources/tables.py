@@ -33,6 +33,31 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return spark.read.schema(schema or table_schema(spark, path)).parquet(path)
 
 
+def _footers_only(spark: SparkSession) -> SparkSession:
+    """A session whose Parquet aggregates are answered from the files' footers where these can tell."""
+    own = spark.newSession()
+    sources = [s for s in own.conf.get("spark.sql.sources.useV1SourceList").split(",") if s.strip() != "parquet"]
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(sources))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    own.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return own
+
+
+def stored_max(spark: SparkSession, path: str, col: str) -> object:
+    """Highest value of a numeric or date column of a stored table, None if it has none; no row is read.
+
+    A file whose column is null throughout has no highest value in its footer; then the column is read.
+    """
+    schema = table_schema(spark, path)
+    top = F.max(F.col(f"`{col}`"))
+    try:
+        return _footers_only(spark).read.schema(schema).parquet(path).agg(top).first()[0]
+    except Exception as error:
+        if "No min/max found for Parquet file" not in str(error):
+            raise
+    return spark.read.schema(schema).parquet(path).agg(top).first()[0]
+
+
 def scan_jdbc(
     spark: SparkSession,
     options: Mapping[str, str],

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.gates import distinct_keys, exists_gate, not_loaded, planned_only
 from ..operators.stock import high_water
@@ -42,8 +43,11 @@ def run_available(
     each: Callable[[DataFrame, int], None],
     checkpoint: str,
     mode: str = "append",
-) -> None:
-    """Work through everything that has arrived, then stop; a rerun goes on from the checkpoint."""
+) -> StreamingQuery:
+    """Work through everything that has arrived, then stop; a rerun goes on from the checkpoint.
+
+    The ended query tells what was done, the size of its state among it (``recentProgress``).
+    """
     query = (
         stream.writeStream.foreachBatch(each)
         .outputMode(mode)
@@ -52,6 +56,7 @@ def run_available(
         .start()
     )
     query.awaitTermination()
+    return query
 
 
 def query_of(batch: DataFrame) -> str:

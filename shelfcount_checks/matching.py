@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from shelfcount.functions import dates
 from shelfcount.operators import gates, joins, ranking, reshape, sets, stock
 from shelfcount.plans import masters, reports
-from shelfcount.sources import tables
+from shelfcount.session import scratch_path
+from shelfcount.sources import keyed, tables
 
 from .inputs import Inputs, check, text_of
 
@@ -23,6 +24,32 @@ def loaded(i: Inputs):
     return i.stk.filter(F.col("stcode").cast("bigint") % 4 == 0)
 
 
+SPLIT = "CAST(stcode AS BIGINT) % 8 = 0 AND skutype = 'Credit'"
+
+
+@check(f"SELECT {STK} FROM v_stk s WHERE NOT EXISTS (SELECT 1 FROM v_stk l WHERE {SPLIT} AND l.stcode = s.stcode AND l.skutype = s.skutype)")
+def not_loaded_by_folders(i: Inputs):
+    """The key groups of the target are the names of its folders."""
+    path, keys = scratch_path(i.spark, "target"), ["stcode", "skutype"]
+    i.stk.filter(SPLIT).select(*keys, "sku").repartition(*keys).write.partitionBy(*keys).parquet(path)
+    return lines(gates.not_loaded(i.stk, keyed.partition_keys(i.spark, path, keys), keys))
+
+
+@check(f"SELECT {STK} FROM v_stk WHERE CAST(stcode AS BIGINT) % 3 > 0")
+def not_loaded_by_keys(i: Inputs):
+    """Three loads; each takes what the loads before it did not have, the last one is repeated after a crash."""
+    path, keys = scratch_path(i.spark, "target"), ["stcode", "cntdate", "skutype", "rpname"]
+    rows = i.stk.select(*keys, "sku", "soh")
+    keyed.prepare_keyed(i.spark, path, rows.schema, keys)
+    for load, below in (("a", 1), ("b", 2), ("b", 2), ("c", 2)):
+        offered = rows.filter(F.col("stcode").cast("bigint") % 3 > 0).filter(F.col("stcode").cast("bigint") % 3 <= below)
+        fresh = gates.not_loaded(offered, keyed.loaded_keys(i.spark, path, load), keys)
+        keyed.append_load(fresh, path, load, keys)
+        if load == "a":
+            keyed.sum_keys(i.spark, path)
+    return lines(keyed.loaded_rows(i.spark, path))
+
+
 @check(f"SELECT {STK} FROM v_stk s WHERE EXISTS (SELECT 1 FROM v_planm p WHERE p.stcode = s.stcode AND p.cntdate = s.cntdate)")
 def planned_only(i: Inputs):
     return lines(gates.planned_only(i.stk, i.planm, ["stcode", "cntdate"]))

@@ -78,6 +78,40 @@ def latest_quantity(i: Inputs):
     return out.withColumn("qty", F.col("qty").cast("double"))
 
 
+@check("SELECT stocktakeid, location, sku, CAST(sum(qty) AS DOUBLE) AS qty, count(*) AS lines FROM v_scan GROUP BY 1, 2, 3")
+def arrival_totals(i: Inputs):
+    """Totals of spans of arrival so short that every run and most batches open one."""
+    rows = i.scan.select("stocktakeid", "location", "sku", "qty")
+    folder, table, state = dropped(i, rows), scratch_path(i.spark, "table"), scratch_path(i.spark, "state")
+    stream = scans.arrival_totals(intake.stream_files(i.spark, folder, rows.schema, "parquet", some_files(i)), span="100 milliseconds")
+    intake.run_available(stream, scans.changed_rows(table), state, "update")
+    return scans.settled_totals(i.spark.read.parquet(table)).withColumn("qty", F.col("qty").cast("double"))
+
+
+def edited(i: Inputs):
+    """The stored changes of a stream that gets the newest change of every scan first and all others after it."""
+    edits = i.edit.select(F.col("id").alias("scan_id"), F.lit(1).alias("modified"), F.col("qty").cast(QTY).alias("qty"))
+    counted = i.scan.select("scan_id", F.lit(0).alias("modified"), "qty")
+    known = edits.join(counted.select("scan_id"), "scan_id", "left_semi")
+    plain = counted.join(edits.select("scan_id"), "scan_id", "left_anti")
+    folder, table, state = scratch_path(i.spark, "drop"), scratch_path(i.spark, "table"), scratch_path(i.spark, "state")
+    for part in (known.unionByName(plain), counted.join(edits.select("scan_id"), "scan_id", "left_semi")):
+        part.write.mode("append").parquet(folder)
+        stream = scans.arrival_latest(intake.stream_files(i.spark, folder, counted.schema, "parquet"), span="100 milliseconds")
+        intake.run_available(stream, scans.changed_rows(table), state, "update")
+    return i.spark.read.parquet(table)
+
+
+@check("""SELECT scan_id, CAST(coalesce(e.qty, s.qty) AS DOUBLE) AS qty FROM v_scan s LEFT JOIN v_edit e ON e.id = s.scan_id""")
+def arrival_latest(i: Inputs):
+    return scans.settled_latest(edited(i)).withColumn("qty", F.col("qty").cast("double"))
+
+
+@check("SELECT scan_id, 0 AS modified, CAST(s.qty AS DOUBLE) AS qty FROM v_scan s JOIN v_edit e ON e.id = s.scan_id")
+def late_changes(i: Inputs):
+    return scans.late_changes(edited(i)).select("scan_id", "modified", F.col("qty").cast("double").alias("qty"))
+
+
 @check("SELECT scan_id, sku FROM v_scan")
 def incremental_by_id(i: Inputs):
     rows = i.scan.select("scan_id", "sku")

@@ -10,6 +10,7 @@ from shelfcount.operators import clean, maintain, missrate, overlay, ranking, st
 from shelfcount.plans import analysis, checklist, masters, soh, uploads
 from shelfcount.policy import SOH_POLICIES, TYPES_NOT_REPORTED
 from shelfcount.session import scratch_path
+from shelfcount.sources import tables
 
 from .inputs import Inputs, check, text_of
 
@@ -109,7 +110,7 @@ def snap(i: Inputs) -> DataFrame:
 
 
 @check(f"""SELECT code, bu, stcode, '20020101' AS "DATE", arg_max(totalsoh, "DATE") AS totalsoh FROM {SNAP} s
-    WHERE "DATE" >= '19980701' AND stcode IN (SELECT stcode FROM v_plan WHERE bu = 'BU0') GROUP BY 1, 2, 3
+    WHERE "DATE" >= '19980701' AND stcode IN (SELECT stcode FROM v_plan WHERE bu = 'BU0' AND branch IS NOT NULL) GROUP BY 1, 2, 3
     UNION ALL SELECT code, bu, stcode, "DATE", totalsoh FROM {SNAP} WHERE "DATE" <> '20020101'""")
 def year_start(i: Inputs):
     return soh.year_start(snap(i), i.plan, "19980701", "20020101")
@@ -135,6 +136,14 @@ def high_water(i: Inputs):
     return stock.high_water(i.scan, stored, "scan_id").select("scan_id", "sku")
 
 
+@check("SELECT scan_id, sku FROM v_scan WHERE scan_id > (SELECT max(id) FROM v_edit WHERE id < 5000)")
+def high_water_stored(i: Inputs):
+    """The highest stored id comes from the footers of the stored table."""
+    path = scratch_path(i.spark, "stored")
+    i.edit.filter("id < 5000").select(F.col("id").alias("scan_id"), "qty").write.parquet(path)
+    return stock.high_water(i.scan, tables.stored_max(i.spark, path, "scan_id"), "scan_id").select("scan_id", "sku")
+
+
 @check("""SELECT p.prefix, coalesce(lpad(CAST(top + 1 AS VARCHAR), 3, '0'), '001') AS next_run FROM
     (SELECT DISTINCT left(atype || bu || lpad(stcode, 5, '0'), 10) AS prefix FROM v_plan) p LEFT JOIN
     (SELECT left(atype || bu || lpad(stcode, 5, '0'), 10) AS prefix, max(plan_id % 400) AS top FROM v_plan
@@ -242,6 +251,12 @@ def dept_report(i: Inputs):
     return variance.dept_report(i.book)
 
 
+@check(f"""SELECT 'store' AS level, * FROM ({report_sql("stcode, cntdate, rpname, skutype", "v_book")}) UNION ALL BY NAME
+    SELECT 'dept' AS level, * FROM ({report_sql("stcode, cntdate, rpname, skutype, dept, sub_dept", "v_book WHERE rpname = 'STK2'")})""")
+def reports_by_level(i: Inputs):
+    return variance.reports_by_level(i.book)
+
+
 OUTCOMES = """SELECT sku, any_value(prname) AS prname, count(*) FILTER (qty_var = 0) AS eq0, count(*) FILTER (qty_var > 0) AS gain,
     count(*) FILTER (qty_var < 0) AS loss, count(*) AS overall FROM (SELECT s.*, m.des AS prname FROM v_stk s JOIN v_master m USING (sku))
     WHERE rpname = 'STK2' AND cntdate BETWEEN '19960101' AND '20001231' {stores} GROUP BY sku"""
@@ -404,6 +419,14 @@ def count_report_by_dept(i: Inputs):
     return analysis.count_reports(i.book, overlay.overlay_edits(*overlay_inputs(i)), i.planm)["dept"]
 
 
+@check(f"""SELECT p.*, r.* EXCLUDE (stcode, cntdate) FROM v_planm p LEFT JOIN
+    (SELECT 'store' AS level, * FROM ({report_sql("stcode, cntdate, rpname, skutype", "v_book")} UNION ALL BY NAME {STORE_LINES})
+    UNION ALL BY NAME SELECT 'dept' AS level, * FROM ({report_sql("stcode, cntdate, rpname, skutype, dept, sub_dept", "v_book WHERE rpname = 'STK2'")}
+    UNION ALL BY NAME SELECT *, 'ALL' AS dept, 'ALL' AS sub_dept FROM ({STORE_LINES}))) r USING (stcode, cntdate)""")
+def count_report_levels(i: Inputs):
+    return analysis.count_report_levels(i.book, overlay.overlay_edits(*overlay_inputs(i)), i.planm)
+
+
 @check(f"""SELECT bu, stcode, cntdate, plan_id, type1, branch, atype FROM v_plan p WHERE bu = 'BU2' AND atype = '3F' AND type1 NOT IN ('5-LOW', '3-MEDIUM')
     AND cntdate BETWEEN '19960101' AND '19991231' AND NOT EXISTS (SELECT 1 FROM v_answers a WHERE a.q01 < 3 AND a.stcode = p.stcode AND a.cntdate = p.cntdate)""")
 def completeness(i: Inputs):

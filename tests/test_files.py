@@ -11,10 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcount import layouts
-from shelfcount.operators import clean
+from shelfcount.operators import clean, gates, maintain, stock, variance
 from shelfcount.plans import reports, soh, uploads
 from shelfcount.policy import SOH_POLICIES
-from shelfcount.sources import delimited, lines, sinks, tables, workbook
+from shelfcount.sources import delimited, keyed, lines, sinks, tables, workbook
 from shelfcount_checks.files import _xlsx
 
 
@@ -319,6 +319,99 @@ def test_csv_export_marks_every_part(spark, tmp_path):
     assert all(open(os.path.join(path, p), "rb").read().startswith("﻿id,v".encode()) for p in parts)
 
 
+def test_one_file_of_csv(spark, tmp_path):
+    path = str(tmp_path / "out.csv")
+    rows = [(k, ["a,b", 'q"q', "", None, "plain", "two\nlines"][k % 6]) for k in range(3000)]
+    df = spark.createDataFrame(rows, "id int, `v, w` string").repartition(7).orderBy("id")
+    for _ in range(2):  # the second export takes the place of the first
+        sinks.export_csv(df, path, bom=True, single=True)
+    data = open(path, "rb").read()
+    assert data.count("﻿".encode()) == 1 and data.startswith("﻿".encode())
+    read = list(csv.reader(io.StringIO(data.decode("utf-8-sig"), newline="")))
+    assert read == [["id", "v, w"], *[[str(k), v or ""] for k, v in rows]]
+    assert [f for f in os.listdir(tmp_path) if not f.startswith(".")] == ["out.csv"]
+    sinks.export_csv(df.limit(0), path, single=True)
+    assert open(path, "rb").read() == b'id,"v, w"\n'
+
+
+def test_partition_keys_open_no_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    keys = [("00123", "a b"), ("1+1", "x/y=z"), (None, "100%"), ("é", "{[^:?*]}")]
+    spark.createDataFrame([(*k, n) for k in keys for n in range(3)], "s string, d string, v int").write.partitionBy("s", "d").parquet(path)
+    found = keyed.partition_keys(spark, path, ["d", "s"])
+    assert values(found, "s", "d") == sorted(keys, key=str)
+    plan = executed(found)
+    assert "FileScan binaryFile" in plan and "parquet" not in plan.lower().replace(".parquet", "") and "content" not in plan
+    for folder, _, names in os.walk(path):
+        for name in names:
+            if name.endswith(".parquet"):
+                put(folder, name, b"no table")
+    assert found.count() == 4
+
+
+def test_gates_read_keys_and_no_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(200).selectExpr("CAST(id % 5 AS STRING) AS store", "id % 3 AS kind", "id AS line")
+    keys = ["store", "kind"]
+    keyed.prepare_keyed(spark, path, rows.schema, keys)
+    assert keyed.loaded_keys(spark, path).count() == 0
+    keyed.append_load(rows.filter("store < '2'"), path, "one", keys)
+    gate = gates.not_loaded(rows, keyed.loaded_keys(spark, path), keys)
+    assert not any(f"{path}/" in f for f in gate.inputFiles()) and any("t_keys/" in f for f in gate.inputFiles())
+    assert values(gate.select("store").distinct(), "store") == [("2",), ("3",), ("4",)]
+    # A load that failed between its rows and its keys, and one that failed after both.
+    for _ in range(2):
+        fresh = gates.not_loaded(rows, keyed.loaded_keys(spark, path, "two"), keys)
+        keyed.append_load(fresh, path, "two", keys)
+    assert values(keyed.loaded_rows(spark, path), "line") == sorted([(k,) for k in range(200)], key=str)
+    keyed.sum_keys(spark, path)
+    assert values(keyed.loaded_keys(spark, path), *keys) == sorted([(str(a), b) for a in range(5) for b in range(3)], key=str)
+    assert sorted(f.split("-")[0] for f in os.listdir(f"{path}_keys") if f.startswith("load_id=")) == ["load_id=none", "load_id=sum"]
+    assert gates.not_loaded(rows, keyed.loaded_keys(spark, path), keys).count() == 0
+
+
+def test_highest_id_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(500).selectExpr("CASE WHEN id % 7 > 0 THEN id END AS id", "CAST(id AS STRING) AS store", "'00' AS p").write.partitionBy("p").parquet(path)
+    plan = tables._footers_only(spark).read.parquet(path).agg(F.max("id"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(id)]" in plan
+    assert tables.stored_max(spark, path, "id") == 499
+    empty, nulls = str(tmp_path / "e"), str(tmp_path / "n")
+    spark.range(0).write.parquet(empty)
+    spark.range(9).selectExpr("CAST(NULL AS BIGINT) AS id").write.parquet(nulls)
+    assert tables.stored_max(spark, empty, "id") is None and tables.stored_max(spark, nulls, "id") is None
+    rows = spark.range(505).toDF("id")
+    assert stock.high_water(rows, tables.stored_max(spark, path, "id"), "id").count() == 5
+    assert stock.high_water(rows, tables.stored_max(spark, nulls, "id"), "id").count() == 505
+
+
+def test_archive_is_read_in_its_range_only(spark, tmp_path):
+    source = spark.range(40).selectExpr("CAST(2000 + id % 4 AS STRING) AS day", "id")
+    path = str(tmp_path / "archive")
+    source.filter("id < 20").write.partitionBy("day").parquet(path)
+    archive = tables.read_table(spark, path)
+    fresh = maintain.rows_to_archive(source, archive, ["id", "day"], "day", "2001", "2002")
+    assert values(fresh, "id") == sorted([(k,) for k in range(20, 40) if k % 4 in (1, 2)], key=str)
+    scans = [x for x in executed(fresh).splitlines() if "FileScan" in x]
+    assert len(scans) == 1 and "PartitionFilters: [isnotnull(day" in scans[0]
+
+
+def test_both_report_levels_from_one_scan(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    cells = ["stock", "qnt", "variance", "qnt_retail", "qnt_cost", "var_retail", "var_cost"]
+    rows = spark.range(400).selectExpr(
+        "CAST(id % 3 AS STRING) AS stcode", "'d' AS cntdate", "CASE WHEN id % 2 = 0 THEN 'STK1' ELSE 'STK2' END AS rpname", "'Credit' AS skutype",
+        "CASE WHEN id % 5 > 0 THEN CAST(id % 5 AS STRING) END AS dept", "'s' AS sub_dept", *[f"(id * {n + 3}) % 11 - 5 AS {c}" for n, c in enumerate(cells)],
+    )
+    rows.write.parquet(path)
+    stored = spark.read.parquet(path)
+    both = variance.reports_by_level(stored)
+    assert executed(both).count("FileScan") == 1
+    for level, want in (("store", variance.store_report(stored)), ("dept", variance.dept_report(stored))):
+        got = both.filter(F.col("level") == level).select(*want.columns)
+        assert values(got, "*") == values(want, "*")
+
+
 def test_rewrite_reads_its_own_table(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.full_refresh(spark.range(10), path)

@@ -1,6 +1,8 @@
 """Streams equal their batch result, also after a restart and a repeated batch."""
 
 import os
+import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -137,3 +139,59 @@ def test_compaction_keeps_the_newest_versions(spark, tmp_path):
         assert values(live, "k", "qty") == [("a", 3), ("k0", 0), ("k1", 0), ("k2", 0), ("k3", 0)]
     each(spark.createDataFrame([("a", 9)], "k string, qty int"), 4)
     assert ("a", 9) in values(scans.current_rows(spark.read.parquet(table), ["k"]), "k", "qty")
+
+
+KEYS = ["stocktakeid", "location", "sku"]
+
+
+def state_rows(query):
+    """Rows of state after the last batch."""
+    return query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+
+
+def test_state_of_totals_falls(spark, tmp_path):
+    inbox, table, state = (str(tmp_path / n) for n in ("in", "table", "state"))
+    schema = "stocktakeid string, location string, sku string, qty int"
+    os.makedirs(inbox)
+    held = []
+    for n in range(4):
+        # Two large stocktakes, a quiet time, then one more scan of the first and a small stocktake.
+        take = ["A", "B", "A", "C"][n]
+        drop(inbox, f"{n}.csv", "".join(f"{take},L,s{k},{k}\n" for k in range([300, 200, 1, 5][n])))
+        stream = scans.arrival_totals(intake.stream_files(spark, inbox, schema, "csv", 1), span="1 second", slack="0 seconds")
+        held.append(state_rows(intake.run_available(stream, scans.changed_rows(table), state, "update")))
+        if n == 1:
+            time.sleep(3)
+    assert max(held[:2]) >= 200 and held[-1] <= 6, held
+    batch = scans.scan_totals(spark.read.schema(schema).csv(inbox))
+    want = values(batch, *KEYS, "qty", "lines")
+    assert values(scans.settled_totals(spark.read.parquet(table)), *KEYS, "qty", "lines") == want
+    for _ in range(2):
+        scans.fold_totals(spark, table, "2999-01-01")
+        assert spark.read.parquet(table).count() == len(want)
+        assert values(scans.settled_totals(spark.read.parquet(table)), *KEYS, "qty", "lines") == want
+
+
+def test_shuffled_edits_and_late_ones(spark, tmp_path):
+    inbox, table, state = (str(tmp_path / n) for n in ("in", "table", "state"))
+    schema = "scan_id int, modified int, qty int"
+    os.makedirs(inbox)
+    rng = random.Random(4)
+    edits = [(k, m, rng.randrange(100)) for k in range(40) for m in range(rng.randrange(1, 9))]
+    rng.shuffle(edits)
+    newest, late = {}, []
+    for n in range(4):
+        part = edits[n::4]
+        drop(inbox, f"{n}.csv", "".join(f"{a},{b},{c}\n" for a, b, c in part))
+        stream = scans.arrival_latest(intake.stream_files(spark, inbox, schema, "csv", 1), span="100 milliseconds", slack="0 seconds")
+        query = intake.run_available(stream, scans.changed_rows(table), state, "update")
+        own = {}
+        for k, m, q in part:
+            own[k] = max(own.get(k, (m, q)), (m, q))
+        late += [(k, m, q) for k, (m, q) in own.items() if m < newest.get(k, (-1,))[0]]
+        newest.update({k: max(v, newest.get(k, v)) for k, v in own.items()})
+    assert state_rows(query) <= 40
+    stored = spark.read.parquet(table)
+    batch = scans.latest_quantity(spark.createDataFrame(edits, schema))
+    assert values(scans.settled_latest(stored), "scan_id", "qty") == values(batch, "scan_id", "qty")
+    assert len(late) > 5 and values(scans.late_changes(stored), "scan_id", "modified", "qty") == sorted(late)
