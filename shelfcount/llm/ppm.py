@@ -13,8 +13,11 @@ lanes at once. Where the cache does not know all ORDER bytes before a symbol, th
 are given out and joined to the table of all others. Those never seen in training (in held-out texts
 only) are worked out from the table of all contexts, dealt by their last SHARED bytes.
 
-The baseline needs the count of every token. Frequent tokens (at least one part in FREQUENT of the
-training tokens, so at most FREQUENT of them) go to the tasks; the others are joined.
+The most frequent of the symbols after contexts beyond the cache, at most SENT, go to the tasks too, as a sorted list that
+cold symbols are looked up in; only what is in neither is given out.
+
+The baseline needs the count of every token. The most frequent ones, at most FREQUENT, go to the tasks; the others
+are joined.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ SHARED = 3
 #: Part of a count that every distinct symbol of a context gives to the escape.
 ESCAPE = 0.5
 FREQUENT = 1 << 18
+#: Most frequent symbols after contexts beyond the cache that go to the tasks as a sorted list.
+SENT = 1 << 21
 #: Added to every count of the baseline.
 ADDED = 0.1
 #: Follows every text; no byte of UTF-8.
@@ -130,24 +135,51 @@ class _Tally:
         self.parts.append(grams(*tape(lines, order), order))
         self.size += len(self.parts[-1][0])
 
-    def full(self) -> bool:
-        return len(self.words) > HELD or self.size > 4 * HELD
+    def settle(self) -> None:
+        """Sum up the grams when there are many parts of them."""
+        if self.size > 8 * HELD:
+            self.parts = [totals(*(np.concatenate(x) for x in zip(*self.parts)))]
+            self.size = len(self.parts[0][0])
 
-    def given(self, schema: T.StructType) -> Iterator[pa.RecordBatch]:
-        if self.ends:
+    def given(self, schema: T.StructType, least: int = 0) -> Iterator[pa.RecordBatch]:
+        """Tokens if more than ``least`` are held, grams if their sums are over four times as many; they are held no longer."""
+        if self.words and len(self.words) > least:
             words, counts = list(self.words), list(self.words.values())
+            self.words = {}
             for k in range(0, len(words), CHUNK):
                 part = words[k : k + CHUNK]
                 yield batch({"word": part, "gram": [None] * len(part), "n": counts[k : k + CHUNK]}, schema)
+        if self.parts and (not least or len(self.parts) == 1 and self.size > 4 * least):
             keys, sums = totals(*(np.concatenate(x) for x in zip(*self.parts)))
+            self.parts, self.size = [], 0
             for k in range(0, len(keys), CHUNK):
                 part = keys[k : k + CHUNK]
                 yield batch({"word": [None] * len(part), "gram": part, "n": sums[k : k + CHUNK]}, schema)
+        if self.ends and not least:
             yield batch({"word": [None], "gram": [None], "n": [self.ends]}, schema)
 
 
+def _context(gram: Column) -> Column:
+    return F.shiftright(gram, 8)
+
+
+def _held() -> Column:
+    """Count of the whole context of a gram; a context has at most 256 symbols."""
+    return F.sum("n").over(Window.partitionBy("part", "length", _context(F.col("gram"))))
+
+
+def _shortened(lengths: range) -> list[Column]:
+    """A gram with each of some lengths of context."""
+    return [F.struct(F.lit(k).alias("length"), F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram")) for k in lengths]
+
+
 def training_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """(word, gram, n) over the rows of ``docs`` (text): tokens have no gram, grams no word, the end token neither."""
+    """(part, word, length, gram, n, held) over the rows of ``docs`` (text).
+
+    Tokens have no gram, grams no word, the end token neither. A gram is a context of ``length`` bytes and the
+    symbol after it; lengths go from SHARED (or the order, if that is less) to the order. Rows are shuffled
+    once, by the token or the last SHARED bytes of the context, which holds all that a context's sums need.
+    """
     schema = T.StructType(
         [T.StructField("word", T.BinaryType()), T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())]
     )
@@ -156,28 +188,51 @@ def training_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
         tally = _Tally()
         for rows in by_shard(batches, "text", SHARD_BYTES):
             tally.add(lines_of(utf8(rows.column("text"))), order)
-            if tally.full():
-                yield from tally.given(schema)
-                tally = _Tally()
+            tally.settle()
+            yield from tally.given(schema, HELD)
         yield from tally.given(schema)
 
-    return docs.select("text").mapInArrow(work, schema).groupBy("word", "gram").agg(F.sum("n").alias("n"))
+    shared = min(order, SHARED)
+    last = _context(F.col("gram")).bitwiseAND((1 << 8 * shared) - 1)
+    dealt = docs.select("text").mapInArrow(work, schema).withColumn("part", F.coalesce(last, F.xxhash64("word"))).repartition("part")
+    own = dealt.groupBy("part", "word", "gram").agg(F.sum("n").alias("n"))
+    # Tokens and the end token stay one row each.
+    one = F.struct(F.lit(-1).alias("length"), F.col("gram").alias("gram"))
+    every = F.when(F.col("gram").isNull(), F.array(one)).otherwise(F.array(*_shortened(range(shared, order + 1))))
+    flat = own.select("part", "word", "n", F.explode(every).alias("g")).select("part", "word", "g.length", "g.gram", "n")
+    return flat.groupBy("part", "word", "length", "gram").agg(F.sum("n").alias("n")).withColumn("held", _held())
 
 
 def levels(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(length, context, symbol, n, held) of every context; ``held`` is the count of the whole context."""
-    own = counts.where("gram IS NOT NULL")
-    every = F.array(
-        *[F.struct(F.lit(k).alias("length"), F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram")) for k in range(order + 1)]
-    )
-    sums = (
-        own.select(F.explode(every).alias("g"), "n")
-        .groupBy("g.length", "g.gram")
-        .agg(F.sum("n").alias("n"))
-        .select("length", F.shiftright("gram", 8).alias("context"), F.col("gram").bitwiseAND(255).alias("symbol"), "n")
-    )
-    # A context has at most 256 symbols.
-    return durable(sums.withColumn("held", F.sum("n").over(Window.partitionBy("length", "context"))))
+    """(length, context, symbol, n, held) of every context; ``held`` is the count of the whole context.
+
+    ``counts`` has the longer contexts; the shorter ones, at most 256 to the power of SHARED, come from the shortest of those.
+    """
+    shared = min(order, SHARED)
+    grams = counts.where("gram IS NOT NULL").select("length", "gram", "n", "held")
+    if shared:
+        few = grams.where(F.col("length") == shared).select(F.explode(F.array(*_shortened(range(shared)))).alias("g"), "n")
+        sums = few.groupBy("g.length", "g.gram").agg(F.sum("n").alias("n")).withColumn("part", F.lit(0))
+        short = durable(sums.withColumn("held", _held()).drop("part"))
+        grams = grams.unionByName(short)
+    return grams.select("length", _context(F.col("gram")).alias("context"), F.col("gram").bitwiseAND(255).alias("symbol"), "n", "held")
+
+
+def _class(c: str) -> Column:
+    """Class of a frequency: 64 to a doubling."""
+    return F.floor(F.log2(c) * 64)
+
+
+def _cutoff(rows: DataFrame, c: str, room: int) -> tuple[int, bool]:
+    """Lowest class of frequency of which all rows, and those of higher ones, fit into ``room``; whether any row does not."""
+    # There are few classes of frequency.
+    classes = rows.groupBy(_class(c).alias("class")).count().collect()
+    cutoff = 1 << 30
+    for name, size in sorted(((r[0], r[1]) for r in classes), reverse=True):
+        if size > room:
+            return cutoff, True
+        cutoff, room = name, room - size
+    return cutoff, False
 
 
 def cached(sums: DataFrame, contexts: int = CONTEXTS) -> tuple[Column, bool]:
@@ -186,16 +241,8 @@ def cached(sums: DataFrame, contexts: int = CONTEXTS) -> tuple[Column, bool]:
     Contexts are taken by classes of frequency, all of a class or none. The part of a context and
     the start of a context are as frequent as itself, so they are taken with it.
     """
-    # There are few classes of frequency.
-    rank = F.floor(F.log2("held") * 64)
-    classes = sums.groupBy("length", "context").agg(F.max("held").alias("held")).groupBy(rank.alias("class")).count().collect()
-    cutoff, room, whole = 1 << 30, contexts, True
-    for name, size in sorted(((r[0], r[1]) for r in classes), reverse=True):
-        if size > room:
-            whole = False
-            break
-        cutoff, room = name, room - size
-    return (rank >= cutoff) | (F.col("length") == 0), not whole
+    cutoff, partial = _cutoff(sums.groupBy("length", "context").agg(F.max("held").alias("held")), "held", contexts)
+    return (_class("held") >= cutoff) | (F.col("length") == 0), partial
 
 
 def trie(counts: DataFrame, order: int = ORDER, contexts: int = CONTEXTS) -> pd.DataFrame:
@@ -421,21 +468,23 @@ def _narrow(rows: pd.DataFrame) -> pd.DataFrame:
 _opened: list = []
 
 
-def _open(sent: tuple, order: int) -> tuple[dict[bytes, float], Machine]:
-    """Logarithms of the frequent tokens and the machine of a sent trie, made once in a worker.
+def _open(sent: tuple, order: int) -> tuple[dict[bytes, float], Machine, np.ndarray, np.ndarray]:
+    """Logarithms of the frequent tokens, the machine of a sent trie, and the sorted list, made once in a worker.
 
     Where the trie is not whole, the machine leaves out what it does not know to the full order.
     """
     if not _opened or _opened[0] is not sent:
         _opened.clear()
-        words, counts, rows, partial = sent
+        words, counts, rows, partial, grams, gram_logs = sent
         logs = dict(zip(words.to_pylist(), np.log10(counts + ADDED).tolist()))
         machine = compiled(rows, order)
-        _opened[:] = [sent, logs, machine.without_short() if partial else machine]
-    return _opened[1], _opened[2]
+        _opened[:] = [sent, logs, machine.without_short() if partial else machine, grams, gram_logs]
+    return tuple(_opened[1:])
 
 
-def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, contexts: int = CONTEXTS, frequent: int = FREQUENT) -> DataFrame:
+def scored(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, contexts: int = CONTEXTS, frequent: int = FREQUENT, most_sent: int = SENT
+) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     Rows whose crc32 of the id modulo 10 is 0 are held out; all others train, rows without an id
@@ -453,13 +502,19 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
         .first()
     )
     n, kinds, ends = n or 0, kinds or 0, ends or 0
-    common = (F.col("n") * frequent) >= n
+    common = _class("n") >= _cutoff(counts.where(is_token & F.col("word").isNotNull()), "n", frequent)[0]
     known = counts.where(is_token & F.col("word").isNotNull() & common).select("word", "n").toArrow().combine_chunks()
     words = known.column("word").combine_chunks()
     sums = levels(counts, order)
     hot, partial = cached(sums, contexts)
     cache = sums.where(hot).select("length", "context", "symbol", "n").toArrow().to_pandas()
-    sent = docs.sparkSession.sparkContext.broadcast((words, known.column("n").to_numpy(), _narrow(cache), partial))
+    seen = _beyond(sums, hot, order)
+    listed = _class("n") >= _cutoff(seen, "n", most_sent)[0]
+    grams, logs = (x.combine_chunks().to_numpy() for x in seen.where(listed).select("gram", "log").toArrow().columns)
+    in_order = np.argsort(grams)
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (words, known.column("n").to_numpy(), _narrow(cache), partial, grams[in_order], logs[in_order])
+    )
     end_log = float(np.log10(ends + ADDED))
     rare_type = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]))
     schema = T.StructType(
@@ -476,7 +531,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, machine = _open(sent.value, order)
+        logs, machine, grams, gram_logs = _open(sent.value, order)
         for part in by_shard(batches, "text", SHARD_BYTES):
             lines = lines_of(utf8(part.column("text")))
             sizes, codes, distinct = words_of(lines)
@@ -492,6 +547,11 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
             )
             offsets = np.searchsorted(of, np.arange(len(lines) + 1)).astype(np.int32)
             score, line, gram = machine.score_known(lines)
+            if len(grams) and len(gram):
+                at = np.minimum(np.searchsorted(grams, gram), len(grams) - 1)
+                found = grams[at] == gram
+                score += np.bincount(line[found], gram_logs[at[found]], len(lines))
+                line, gram = line[~found], gram[~found]
             cold = np.searchsorted(line, np.arange(len(lines) + 1)).astype(np.int32)
             yield batch(
                 {
@@ -510,10 +570,10 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     found = durable(rows.mapInArrow(work, schema).withColumn("row", F.monotonically_increasing_id()))
     sent.destroy()  # nothing reads it again: the scores are written
     rare = found.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
-    seen = counts.where(is_token & F.col("word").isNotNull() & ~common).select("word", F.col("n").alias("c"))
+    others = counts.where(is_token & F.col("word").isNotNull() & ~common).select("word", F.col("n").alias("c"))
     log = F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADDED))
     base = (
-        rare.join(seen, "word", "left")
+        rare.join(others, "word", "left")
         .groupBy("row")
         .agg(F.sum(F.col("times") * log).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("times"))).alias("known"))
     )
@@ -522,7 +582,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     every = found.drop("rare", "cold").join(base, "row", "left")
     score = F.col("score")
     if partial:
-        every = every.join(_cold_scores(found, sums, hot, order), "row", "left")
+        every = every.join(_cold_scores(found, seen.where(~listed), sums, order), "row", "left")
         score = score + F.coalesce("rest", F.lit(0.0))
     return every.select(
         "doc_id",
@@ -535,14 +595,18 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     )
 
 
-def _cold_scores(found: DataFrame, sums: DataFrame, hot: Column, order: int) -> DataFrame:
-    """(row, rest): log10 probability of what the cache left out of each row."""
+def _beyond(sums: DataFrame, hot: Column, order: int) -> DataFrame:
+    """(gram, n, log) of the symbols after contexts of full length that are not in the cache."""
     gram = F.shiftleft("context", 8).bitwiseOR(F.col("symbol")).alias("gram")
     # A symbol that its longest context has seen needs no escape.
     log = F.log10((F.col("n") - F.lit(ESCAPE)) / F.col("held")).alias("log")
-    seen = sums.where((F.col("length") == order) & ~hot).select(gram, log)
+    return sums.where((F.col("length") == order) & ~hot).select(gram, "n", log)
+
+
+def _cold_scores(found: DataFrame, seen: DataFrame, sums: DataFrame, order: int) -> DataFrame:
+    """(row, rest): log10 probability of what neither cache nor list had of each row; ``seen`` is what training saw of it."""
     # Training texts hold nothing unseen.
     asked = found.where("held_out").select(F.explode("cold").alias("gram")).distinct().join(seen, "gram", "left_anti")
-    logs = seen.unionByName(durable(unseen(asked, sums, order)))
+    logs = seen.select("gram", "log").unionByName(durable(unseen(asked, sums, order)))
     cold = found.select("row", F.explode("cold").alias("gram"))
     return cold.join(logs, "gram").groupBy("row").agg(F.sum("log").alias("rest"))

@@ -130,7 +130,8 @@ def test_contexts_beyond_the_cache_count(spark):
     for order in (2, 5):
         counts = contexts_of(train, order)
         want = sorted((-1 if i is None else i, brute(counts, w, order)) for (i, _), w in zip(rows, lines))
-        for contexts in (0, 12, 300, 10**6):
-            got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in ppm.scored(docs, order=order, contexts=contexts).collect())
+        for contexts, most_sent in ((0, 0), (0, 10**6), (12, 40), (300, 0), (300, 500), (10**6, 500)):
+            scores = ppm.scored(docs, order=order, contexts=contexts, most_sent=most_sent)
+            got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in scores.collect())
             assert [i for i, _ in got] == [i for i, _ in want]
             assert np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-4, atol=1e-3)
