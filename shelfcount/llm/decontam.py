@@ -279,7 +279,11 @@ def _searched(
 ) -> DataFrame:
     """One pass over the rows for every block of phrases; the last one turns rows and leaks into ``schema``."""
     spark = docs.sparkSession
-    marked = T.StructType([f for f in docs.schema.fields if f.name != LEAKS] + [T.StructField(LEAKS, FOUND)])
+    # Leaks found so far travel in a column of their own, whatever columns the rows have.
+    inner = LEAKS
+    while inner in docs.columns:
+        inner = f"_{inner}"
+    marked = T.StructType([*docs.schema.fields, T.StructField(inner, FOUND)])
     out = docs
     blocks = phrase_blocks(benchmark, item_col, item_text_col, window, block_phrases)
     block, after = next(blocks, []), next(blocks, None)
@@ -290,14 +294,14 @@ def _searched(
         def work(batches: Iterator[pa.RecordBatch], sent=sent, last=last) -> Iterator[pa.RecordBatch]:
             for rows in by_shard(batches, text_col, shard_bytes):
                 found = _search_shard(utf8(rows.column(text_col)), sent.value)
-                if LEAKS in rows.schema.names:
-                    before = rows.column(LEAKS).to_pylist()
+                if inner in rows.schema.names:
+                    before = rows.column(inner).to_pylist()
                     found = [
                         (n, _merge(old["spans"] + s), sorted({*old["items"], *i}))
                         for old, (n, s, i) in zip(before, found)
                     ]
                 leaks = [dict(zip(FOUND.names, row)) for row in found]
-                yield finish(rows, leaks) if last else _with_leaks(rows, leaks, marked)
+                yield finish(rows, leaks) if last else _with_leaks(rows, leaks, marked, inner)
 
         out = out.mapInArrow(work, schema if last else marked)
         if last:
@@ -306,9 +310,9 @@ def _searched(
         block, after = after, next(blocks, None)
 
 
-def _with_leaks(rows: pa.RecordBatch, leaks: list[dict], schema: T.StructType) -> pa.RecordBatch:
-    columns = {name: rows.column(name) for name in schema.names if name != LEAKS}
-    return batch(columns | {LEAKS: leaks}, schema)
+def _with_leaks(rows: pa.RecordBatch, leaks: list[dict], schema: T.StructType, name: str = LEAKS) -> pa.RecordBatch:
+    columns = {c: rows.column(c) for c in schema.names if c != name}
+    return batch(columns | {name: leaks}, schema)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
@@ -318,9 +322,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **
     ``items`` the sorted ids of the items with a window in the text. Null and empty texts have no
     words and no spans. Repeated rows are searched one by one. An item with a null id still marks
     words but is not listed; one with null or wordless text has no window; items that share an id
-    are one item. An empty benchmark leaves every text clean. Options are those of ``_searched``:
-    column names, window, sizes of shards and blocks.
+    are one item. An empty benchmark leaves every text clean. A column named ``__leaks``, as of an earlier
+    search, is replaced. Options are those of ``_searched``: column names, window, sizes of shards and blocks.
     """
+    docs = docs.drop(LEAKS)
     schema = T.StructType([f for f in docs.schema.fields if f.name != LEAKS] + [T.StructField(LEAKS, FOUND)])
     return _searched(docs, benchmark, schema, lambda rows, leaks: _with_leaks(rows, leaks, schema), text_col, **options)
 

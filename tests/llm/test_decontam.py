@@ -83,3 +83,18 @@ def test_removal(spark):
     assert set(rows) == {1, 3, 4}
     assert rows[1].text == "Keep this. ! and that" and rows[1].n_chars == 21
     assert rows[3].text == "clean é text" and rows[4].text is None
+
+
+def test_columns_of_an_earlier_search(spark):
+    docs = spark.createDataFrame([(1, "one two three", "text"), (2, "four", None)], "doc_id long, text string, __leaks string")
+    first = spark.createDataFrame([(1, "one two"), (2, "two three"), (3, "five")], "item_id long, text string")
+    second = spark.createDataFrame([(9, "four"), (8, "six")], "item_id long, text string")
+    for block in (1, 100):
+        found = d.find_leaks(docs, first, window=2, block_phrases=block)
+        assert {r.doc_id: list(r["__leaks"]["items"]) for r in found.collect()} == {1: [1, 2], 2: []}
+        again = d.find_leaks(found, second, window=2, block_phrases=block)
+        assert {r.doc_id: list(r["__leaks"]["items"]) for r in again.collect()} == {1: [], 2: [9]}
+        assert again.columns == ["doc_id", "text", "__leaks"]
+        kept = d.remove_leaks(docs, second, window=2, block_phrases=block)
+        assert [tuple(r) for r in kept.collect()] == [(1, "one two three", "text")]
+        assert sorted(r.n_items for r in d.leak_report(docs, second, window=2, block_phrases=block).collect()) == [0, 1]
