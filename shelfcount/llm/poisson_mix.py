@@ -8,14 +8,16 @@ alone and a rerun decides the same. Copies are then spread over the table by a s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcount.session import durable
 
 SEED = 42
-#: Sources whose rates are sent to the tasks.
-SENT_SOURCES = 10_000
+#: Numbers up to which the logarithm of the factorial is a table; beyond, a series holds to the last digit.
+FACTORIALS = 128
 #: Exponent on a source's size where no target weights are given: 1 keeps the mixture, 0 levels it.
 TEMPERATURE = 0.5
 
@@ -27,22 +29,30 @@ def uniform(seed: int, label: str, *columns: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def poisson_steps(rate: Column) -> Column:
-    """Probabilities of at most 0, 1, 2, ... copies; as many as matter in double precision.
+def log_factorial(k: Column) -> Column:
+    """Natural logarithm of k!."""
+    table = F.array(*[F.lit(math.lgamma(n + 1)) for n in range(FACTORIALS)])
+    x = k.cast("double")
+    series = x * F.log(x) - x + 0.5 * F.log(F.lit(2 * math.pi) * x) + 1 / (12 * x) - 1 / (360 * x * x * x)
+    return F.when(k < FACTORIALS, F.get(table, k.cast("int"))).otherwise(series)
 
-    Terms are built as logarithms, so large rates do not underflow.
-    """
-    last = F.ceil(rate + 10 * F.sqrt(rate) + 20).cast("int")
-    start = F.struct(
-        (-rate).alias("log"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("steps")
-    )
 
-    def step(state: Column, k: Column) -> Column:
-        log = state["log"] + F.log(rate) - F.log(k.cast("double"))
-        total = state["sum"] + F.exp(log)
-        return F.struct(log.alias("log"), total.alias("sum"), F.concat(state["steps"], F.array(total)).alias("steps"))
+def poisson_steps(rates: DataFrame) -> DataFrame:
+    """(source, rate, first, steps) of rates above 0: probabilities of at most first, first + 1, ... copies.
 
-    return F.aggregate(F.sequence(F.lit(1), last), start, step)["steps"]
+    Only the numbers within ten standard deviations of the mean are looked at (and the first 20), the others have a
+    probability below what a double can tell from 0 or 1. Terms are built from logarithms, so large rates do not
+    underflow, and are added up by a window, so their number is that of the steps and not its square.
+    """
+    spread = 10 * F.sqrt("rate") + 20
+    first = F.greatest(F.floor(F.col("rate") - spread), F.lit(0)).cast("long")
+    last = F.ceil(F.col("rate") + spread).cast("long")
+    every = rates.where("rate > 0").select("source", "rate", first.alias("first"), F.explode(F.sequence(first, last)).alias("k"))
+    term = F.exp(F.col("k") * F.log("rate") - F.col("rate") - log_factorial(F.col("k")))
+    upto = F.sum(term).over(Window.partitionBy("source").orderBy("k"))
+    listed = F.array_sort(F.collect_list(F.struct("k", "upto")))
+    steps = every.withColumn("upto", upto).groupBy("source", "rate", "first").agg(listed.alias("listed"))
+    return steps.select("source", "rate", "first", F.transform("listed", lambda s: s["upto"]).alias("steps"))
 
 
 def source_rates(docs: DataFrame, weights: DataFrame | None = None, source_col: str = "source", text_col: str = "text", temperature: float = TEMPERATURE) -> DataFrame:
@@ -80,18 +90,20 @@ def replicated(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", source
     source of its own; a null id hashes as a text of its own. ``__place`` is the seeded position in
     [0, 1) of a copy in the shuffled table.
     """
-    steps = rates.select(F.col("source").alias("__of"), poisson_steps(F.col("rate")).alias("__steps"), F.col("rate").alias("__rate"))
-    # Few sources are sent to the tasks, so no row moves for its rate; many are joined.
-    few = rates.count() <= SENT_SOURCES
-    dealt = docs.join(F.broadcast(steps) if few else steps, docs[source_col].eqNullSafe(steps["__of"]))
-    count = F.when(F.col("__rate") > 0, F.size(F.filter("__steps", lambda s: s <= F.col("__u")))).otherwise(0)
+    # One row for each source, written so that Spark knows its size: few are sent to the tasks and no row moves.
+    steps = durable(poisson_steps(rates.select("source", "rate"))).select(
+        F.col("source").alias("__of"), F.col("first").alias("__first"), F.col("steps").alias("__steps")
+    )
+    # Sources without steps have rate 0 and no copies.
+    dealt = docs.join(steps, docs[source_col].eqNullSafe(steps["__of"]))
+    count = F.col("__first") + F.size(F.filter("__steps", lambda s: s <= F.col("__u")))
     return (
         dealt.withColumn("__u", uniform(seed, "count", F.col(id_col), F.col(source_col)))
         .withColumn("__copies", count.cast("int"))
         .where("__copies > 0")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
         .withColumn("__place", uniform(seed, "place", F.col(id_col), F.col(source_col), F.col("__copy")))
-        .drop("__of", "__steps", "__rate", "__u")
+        .drop("__of", "__first", "__steps", "__u")
     )
 
 

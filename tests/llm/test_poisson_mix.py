@@ -1,5 +1,6 @@
 import hashlib
 import math
+import time
 
 from shelfcount.llm import poisson_mix as p
 
@@ -59,3 +60,22 @@ def test_large_rates_and_edges(spark):
     assert p.mixed(docs.withColumn("copy", docs.doc_id)).columns == ["doc_id", "text", "source", "copy"]
     places = [r.place for r in p.mix_digest(docs).collect()]
     assert places == sorted(places)
+
+
+def test_steps_of_all_rates(spark):
+    wanted = [0.0, 1e-9, 0.5, 130.0, 400.0, 5000.0, 1e6]
+    rates = spark.createDataFrame([(f"s{k}", r) for k, r in enumerate(wanted)] + [(None, 3.0)], "source string, rate double")
+    start = time.perf_counter()
+    found = {r.rate: r for r in p.poisson_steps(rates).collect()}
+    assert time.perf_counter() - start < 10
+    assert set(found) == {*wanted[1:], 3.0}
+    for rate, r in found.items():
+        assert len(r.steps) <= 20 * math.sqrt(rate) + 43
+        low = max(r.first, int(rate) - 60)
+        exact = sum(math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)) for k in range(r.first, low + 1))
+        assert math.isclose(r.steps[low - r.first], exact, rel_tol=1e-6, abs_tol=1e-12)
+        assert abs(r.steps[-1] - 1) < 1e-6 and r.steps == sorted(r.steps)
+    one = spark.createDataFrame([("a", 1.0, 1e6)], "source string, size double, rate double")
+    docs = spark.createDataFrame([(1, "t", "a")], "doc_id long, text string, source string")
+    assert abs(p.replicated(docs, one).count() - 1e6) < 6000
+    assert p.replicated(docs, rates.where("rate = 0").selectExpr("'a' AS source", "rate")).count() == 0
