@@ -6,8 +6,8 @@ character n-grams, padded with a space on either side: by the longest length of
 is known, as the mean over the known ones. A text scores the mean over its words; the language
 with the lowest score is predicted.
 
-The model is fitted on a bounded sample of labelled rows, counted by Spark, and reduced to the
-most frequent entries per language, so what is sent to the tasks is bounded.
+The model is fitted on a bounded sample of labelled rows, counted by Spark. It holds every word and n-gram
+of the sample, so what is sent to the tasks is bounded by the sample.
 """
 
 from __future__ import annotations
@@ -32,13 +32,9 @@ from .common import batch, by_shard, crc_share
 SAMPLE_ROWS = 1000
 #: Shares in which the sample of a language is chosen first.
 SHARES = 8
-#: Chosen rows whose ids are sent to the tasks; more are joined.
-SENT_ROWS = 100_000
-#: Words, and n-grams of each length, kept per language.
-KEPT = 20_000
 LONGEST = 5
-#: Characters that n-grams are made of; 12 bits each in a key of 60 bits.
-ALPHABET = 4095
+#: N-grams are looked up by 64-bit hashes; the first of these factors under which no two n-grams of a model clash is used.
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 #: Score of an entry in a language that lacks it.
 PENALTY = 7.0
 UNKNOWN = "und"
@@ -65,7 +61,7 @@ class Model:
     languages: list[str]
     words: dict[bytes, int]
     word_scores: np.ndarray
-    letters: np.ndarray
+    factor: int
     keys: list[np.ndarray]
     scores: list[np.ndarray]
 
@@ -73,10 +69,6 @@ class Model:
         """Scores of words by their n-grams."""
         out = np.full((len(words), len(self.languages)), PENALTY)
         chars = np.frombuffer((b" " + b" ".join(words) + b" ").decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), "<u4")
-        if not len(self.letters):
-            return out
-        at = np.searchsorted(self.letters, chars)
-        coded = np.where(self.letters[np.minimum(at, len(self.letters) - 1)] == chars, at + 1, 0).astype(np.int64)
         gap = chars == 0x20
         word = np.cumsum(gap) - 1  # a space counts as the start of the next word
         gaps = np.concatenate(([0], np.cumsum(gap)))
@@ -85,16 +77,11 @@ class Model:
             if len(chars) < n or not len(self.keys[n - 1]):
                 continue
             count = len(chars) - n + 1
-            key = np.zeros(count, np.int64)
-            known = np.ones(count, bool)
-            for k in range(n):
-                part = coded[k : k + count]
-                key = key << 12 | part
-                known &= part > 0
+            key = gram_keys([chars[k : k + count] for k in range(n)], self.factor)
             # Inside one padded word: no space between the ends.
             inner = gaps[n - 1 : n - 1 + count] - gaps[1 : 1 + count] if n > 1 else np.where(gap, 1, 0)
             owner = word[:count]
-            usable = np.flatnonzero(known & (inner == 0) & (owner < len(words)))
+            usable = np.flatnonzero((inner == 0) & (owner < len(words)))
             usable = usable[waiting[owner[usable]]]
             place = np.searchsorted(self.keys[n - 1], key[usable])
             hit = self.keys[n - 1][np.minimum(place, len(self.keys[n - 1]) - 1)] == key[usable]
@@ -138,6 +125,15 @@ class Model:
         return langs, shares.tolist()
 
 
+def gram_keys(chars: list[np.ndarray], factor: int) -> np.ndarray:
+    """64-bit hashes of n-grams; ``chars`` are all first characters, all second ones and so on."""
+    key = np.full(len(chars[0]), len(chars), np.uint64)
+    for part in chars:
+        key = (key ^ part.astype(np.uint64)) * np.uint64(factor)
+        key ^= key >> np.uint64(31)
+    return key
+
+
 def _counts(text_col: str, lang_col: str):
     """Body that counts words (kind 0) and n-grams (kind n) per language over a task's rows."""
     schema = T.StructType(
@@ -171,12 +167,12 @@ def _counts(text_col: str, lang_col: str):
     return work, schema
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS, kept: int = KEPT) -> Model:
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS, kept: int | None = None) -> Model:
     """A model of the labelled rows (text and language not null) of ``docs``.
 
     Per language the ``sample_rows`` rows with the smallest hash of the id are counted, ties by
-    text hash, and the ``kept`` most frequent words and n-grams of each length are kept, ties by
-    the entry. Without labelled rows the model has no language.
+    text hash. All their words and n-grams are kept, or with ``kept`` so many most frequent ones of
+    each length, ties by the entry. Without labelled rows the model has no language.
     """
     labelled = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
@@ -196,10 +192,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
         .distinct()
     )
     chosen = durable(chosen.select(F.col("lang").alias("l"), F.col("id").alias("i"), F.col("h2").alias("h")))
-    # Rows per language are bounded, languages are not.
-    few = chosen.count() <= SENT_ROWS
+    # Written, so that Spark knows how few they are.
     keyed = rows.join(
-        F.broadcast(chosen) if few else chosen,
+        chosen,
         (F.col("lang") == F.col("l")) & F.col("id").eqNullSafe(F.col("i")) & (F.col("h2") == F.col("h")),
         "left_semi",
     )
@@ -207,7 +202,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     sums = keyed.select("lang", "text").mapInArrow(work, schema).groupBy("lang", "kind", "entry").agg(F.sum("n").alias("n"))
     most = Window.partitionBy("lang", "kind").orderBy(F.col("n").desc(), "entry")
     total = F.sum("n").over(Window.partitionBy("lang", "kind"))
-    top = sums.withColumn("total", total).withColumn("r", F.row_number().over(most)).where(F.col("r") <= kept)
+    top = sums.withColumn("total", total)
+    if kept is not None:
+        top = top.withColumn("r", F.row_number().over(most)).where(F.col("r") <= kept)
     found = top.select("lang", "kind", "entry", "n", "total").toArrow().to_pandas()
     return build(found)
 
@@ -226,24 +223,20 @@ def build(found: pd.DataFrame) -> Model:
         return entries, scores
 
     entries, word_scores = matrix(found[found["kind"] == 0])
-    singles = found[found["kind"] == 1].groupby("entry")["n"].sum()
-    common = [c for _, c in sorted((-n, c) for c, n in singles.items())][: ALPHABET - 1]
-    letters = np.array(sorted(ord(c) for c in {*common, " "} if len(c) == 1), np.uint32) if languages else np.zeros(0, np.uint32)
-    code = {chr(c): k + 1 for k, c in enumerate(letters.tolist())}
-    keys, scores = [], []
-    for n in range(1, LONGEST + 1):
-        grams, table = matrix(found[found["kind"] == n])
-        usable = [k for k, g in enumerate(grams) if all(c in code for c in g)]
-        packed = np.zeros(len(usable), np.int64)
-        for place, k in enumerate(usable):
-            value = 0
-            for c in grams[k]:
-                value = value << 12 | code[c]
-            packed[place] = value
-        order = np.argsort(packed)
-        keys.append(packed[order])
-        scores.append(table[usable][order])
-    return Model(languages, {e.encode(): k for k, e in enumerate(entries)}, word_scores, letters, keys, scores)
+    tables = [matrix(found[found["kind"] == n]) for n in range(1, LONGEST + 1)]
+    points = [
+        np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, n).T for n, (grams, _) in enumerate(tables, 1)
+    ]
+    for factor in FACTORS:
+        hashed = [gram_keys(list(p), factor) if p.size else np.zeros(0, np.uint64) for p in points]
+        if all(len(np.unique(h)) == len(h) for h in hashed):
+            break
+    else:
+        raise ValueError("n-grams clash under every factor")
+    orders = [np.argsort(h) for h in hashed]
+    keys = [h[o] for h, o in zip(hashed, orders)]
+    scores = [table[o] for (_, table), o in zip(tables, orders)]
+    return Model(languages, {e.encode(): k for k, e in enumerate(entries)}, word_scores, factor, keys, scores)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:

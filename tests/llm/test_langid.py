@@ -79,3 +79,28 @@ def test_held_out_accuracy(spark):
     held = [r for r in got if r.held_out]
     assert held and sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.98 * len(held)
     assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_many_scripts_and_every_entry(spark):
+    """Texts of 6000 distinct characters: no character or entry is left out."""
+    letters = [c for c in map(chr, range(0x3400, 0x9FFF)) if c.isalpha()][:6000]
+    rows = [("en" if k % 2 else "zh", " ".join("".join(letters[(7 * k + j) % 6000] for j in range(i, i + 4)) for i in range(0, 40, 4))) for k in range(900)]
+    docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = g.fit(docs)
+    used = {c for _, t in rows for c in t if c != " "}
+    assert len(used) > 5500 and len(model.keys[0]) == len(used)
+    assert len(model.words) == len({w for _, t in rows for w in t.split()})
+    texts = ["".join(reversed(t)) for _, t in rows[::50]] + [t for _, t in rows[::90]]
+    langs, shares = model.predict(texts)
+    want = brute(rows, texts)
+    assert langs == [w for w, _ in want] and all(abs(a - b) < 1e-9 for a, (_, b) in zip(shares, want))
+
+
+def test_model_holds_the_whole_sample(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = g.training_rows(docs).where("lang IS NOT NULL").collect()
+    model = g.fit(g.training_rows(docs))
+    assert set(model.words) == {w for r in rows for w in g.language_words(r.text)}
+    padded = {f" {w.decode()} " for w in model.words}
+    for n, keys in enumerate(model.keys, 1):
+        assert len(keys) == len({w[k : k + n] for w in padded for k in range(len(w) - n + 1)} - {" "})
