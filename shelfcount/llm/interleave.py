@@ -19,6 +19,8 @@ SHARDS = 16
 SEED = 42
 #: Mean number of rows that are numbered together.
 BUCKET_ROWS = 4_000
+#: Slots whose sizes are summed up together.
+TOP_SLOTS = 4_096
 
 
 def _number(df: DataFrame, group: str | None, slot: Column, order: list[Column], name: str) -> DataFrame:
@@ -26,21 +28,26 @@ def _number(df: DataFrame, group: str | None, slot: Column, order: list[Column],
 
     ``slot`` must rise with ``order``: slots are numbered apart and set off by the sizes of the
     slots before. ``group`` names a column without nulls; without one, the table is one group.
+    Sizes are summed up in two levels, so no task sees every slot.
     """
-    keys = [*([group] if group else []), "__slot"]
-    cut = df.withColumn("__slot", slot)
-    whole = Window.partitionBy(*([group] if group else [F.lit(0)]))
-    base = (
-        cut.groupBy(*keys)
-        .agg(F.count("*").alias("__n"))
-        .select(
-            *keys,
-            F.coalesce(F.sum("__n").over(whole.orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"),
-            F.sum("__n").over(whole).alias(f"{name}_of"),
-        )
+    own_group = [group] if group else []
+    keys = [*own_group, "slot"]
+    cut = df.withColumn("slot", slot)
+    before = (Window.unboundedPreceding, -1)
+    sizes = cut.groupBy(*keys).agg(F.count("*").alias("n")).withColumn("top", F.expr(f"slot div {TOP_SLOTS}"))
+    tops = sizes.groupBy(*own_group, "top").agg(F.sum("n").alias("n"))
+    whole = Window.partitionBy(*(own_group or [F.lit(0)]))
+    tops = tops.select(
+        *own_group,
+        "top",
+        F.coalesce(F.sum("n").over(whole.orderBy("top").rowsBetween(*before)), F.lit(0)).alias("far"),
+        F.sum("n").over(whole).alias(f"{name}_of"),
     )
+    along = Window.partitionBy(*own_group, "top").orderBy("slot").rowsBetween(*before)
+    near = sizes.select(*keys, "top", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("near"))
+    base = near.join(tops, [*own_group, "top"]).drop("top")
     own = cut.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return own.join(base, keys).withColumn(name, F.col(name) + F.col("__base")).drop("__slot", "__base")
+    return own.join(base, keys).withColumn(name, F.col(name) + F.col("far") + F.col("near")).drop("slot", "far", "near")
 
 
 def interleaved(
@@ -49,35 +56,35 @@ def interleaved(
     """All rows and columns of ``docs`` plus ``shard`` (from 0) and ``slot`` (gapless from 0 in a shard).
 
     Shard sizes are at most one apart; rows of one source are spread evenly over the shards. A null
-    source is a source of its own. The seeded order is by hash of seed and id, then by hashes of the
-    whole row, so repeated ids and rows get places of their own and only wholly equal rows could
-    change places. Texts play no part but in that hash. An empty table gives no row. Columns of
-    ``docs`` that are named ``shard`` or ``slot`` are replaced.
+    source is a source of its own. The seeded order is by hashes of the whole row, id included, so
+    rows without an id, or with one that is much repeated, are dealt like all others, and only wholly
+    equal rows could change places (these are numbered together). Texts play no part but in that
+    hash. An empty table gives no row. Columns of ``docs`` that are named ``shard`` or ``slot`` are
+    replaced; columns of any other name are kept as they are.
     """
     whole = [F.col(f"`{c}`") for c in docs.columns]
-    kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    source = F.col(source_col).cast("string")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]
+    source = F.col(f"`{source_col}`").cast("string")
     rows = docs.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.xxhash64(F.lit(seed), F.col(id_col)).alias("__h1"),
-        F.xxhash64(F.lit(seed + 1), *whole).alias("__h2"),
-        F.xxhash64(F.lit(seed + 2), *whole).alias("__h3"),
-        F.col(id_col).alias("__id"),
-        F.when(source.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), source)).alias("__source"),
+        F.struct(*kept).alias("row"),
+        F.xxhash64(F.lit(seed), *whole).alias("h1"),
+        F.xxhash64(F.lit(seed + 1), *whole).alias("h2"),
+        F.col(f"`{id_col}`").alias("id"),
+        F.when(source.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), source)).alias("source"),
     )
     total = max(1, docs.count())
     slots = max(1, total // BUCKET_ROWS)
-    order = [F.col(c) for c in ("__h1", "__id", "__h2", "__h3")]
+    order = [F.col(c) for c in ("h1", "id", "h2")]
     # The hash is uniform: its place in the range of all longs is a slot that rises with it.
-    by_hash = F.floor((F.col("__h1").cast("double") / F.lit(2.0**64) + 0.5) * slots).cast("int")
-    ranked = _number(rows, "__source", by_hash, order, "__rank")
-    ranked = ranked.withColumn("__at", (F.col("__rank") - 0.5) / F.col("__rank_of"))
-    by_place = F.floor(F.col("__at") * slots).cast("int")
-    placed = _number(ranked, None, by_place, [F.col("__at"), F.col("__source"), *order], "__place")
+    by_hash = F.floor((F.col("h1").cast("double") / F.lit(2.0**64) + 0.5) * slots).cast("int")
+    ranked = _number(rows, "source", by_hash, order, "rank")
+    ranked = ranked.withColumn("at", (F.col("rank") - 0.5) / F.col("rank_of"))
+    by_place = F.floor(F.col("at") * slots).cast("int")
+    placed = _number(ranked, None, by_place, [F.col("at"), F.col("source"), *order], "place")
     return (
-        placed.withColumn("shard", F.expr(f"cast((__place - 1) * {shards} div {total} as int)"))
-        .withColumn("slot", F.expr(f"__place - 1 - (shard * {total}L + {shards - 1}) div {shards}"))
-        .select(*[F.col(f"`{c}`") for c in kept], "shard", "slot")
+        placed.withColumn("shard", F.expr(f"cast((place - 1) * {shards} div {total} as int)"))
+        .withColumn("slot", F.expr(f"place - 1 - (shard * {total}L + {shards - 1}) div {shards}"))
+        .select("row.*", "shard", "slot")
     )
 
 
