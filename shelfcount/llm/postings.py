@@ -4,7 +4,10 @@ Centroids are fitted on a bounded sample by bisection into equal halves and a fe
 sizes together. They form a graph of near centroids, which a beam walks to find the closest ones.
 Every vector goes to the list of its closest centroid and, if it lies near a border, to further
 lists whose centroids are almost as close. A query reads the lists whose centroids are within a
-ratio of its closest distance; the ratio is the smallest that reaches TARGET recall on the sample.
+ratio of its closest distance, which the walk collects from the closest on and ends beyond. Border
+and ratio are fitted together: of the pairs that reach TARGET recall for ASKED vectors, whose
+nearest rows of the whole table are known by brute force, the one with the fewest comparisons.
+Lists and sample grow with the square root of the rows.
 
 Lists are rows of a table, cut into blocks of bounded size, as are the queries of a list: a list
 that holds a third of all vectors is many blocks, each searched on its own, and only the nearest few
@@ -30,15 +33,20 @@ from .common import batch
 NEAREST = 10
 EVERY = 100
 SEED = 42
-#: Rows that centroids, graph and ratio are fitted on.
-SAMPLE_ROWS = 20_000
-MOST_LISTS = 1024
-#: Lists a vector may be in, and how much farther than the closest centroid theirs may be.
+#: Most rows that centroids, graph, border and ratio are fitted on, rows of a small table, and rows for each root.
+SAMPLE_ROWS = 200_000
+LEAST_SAMPLE = 20_000
+SAMPLE_PER_ROOT = 32
+#: Lists for each square root of the rows, and rows of the sample that a list needs.
+LISTS_PER_ROOT = 4
+ROWS_PER_LIST = 8
+#: Lists a vector may be in, and how much farther than the closest centroid theirs may be: the values to fit.
 COPIES = 4
-BORDER = 0.12
-#: Recall on the sample that the ratio of a query's lists must reach.
-TARGET = 0.97
-RATIOS = (0.02, 0.04, 0.06, 0.08, 0.1, 0.125, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.75, 1.0, 2.0, 1e9)
+BORDERS = (0.005, 0.01, 0.02, 0.04, 0.08, 0.12)
+#: Vectors whose nearest rows are found by brute force, and the share of these rows that lists must reach. They are drawn
+#: from the table apart from the sample: centroids are closer to what they were made of, and rows are so only in part.
+ASKED = 400
+TARGET = 0.94
 LINKS = 16
 #: Vectors of a list, and queries to it, that meet in one group.
 BLOCK_VECTORS = 20_000
@@ -80,10 +88,16 @@ def bisected(vectors: np.ndarray, lists: int, rng: np.random.Generator) -> np.nd
 def balanced(vectors: np.ndarray, centroids: np.ndarray, rounds: int = 4, pull: float = 0.05) -> np.ndarray:
     """Centroids moved to their vectors' means, where full groups count as farther away."""
     sizes = np.full(len(centroids), len(vectors) / len(centroids))
+    scale = None
     for _ in range(rounds):
-        near = squared(vectors, centroids)
-        scale = near.min(axis=1).mean()
-        owner = (near + pull * scale * (sizes / sizes.mean() - 1)).argmin(axis=1)
+        fullness = pull * (sizes / sizes.mean() - 1)
+        owner, nearest = np.empty(len(vectors), int), np.empty(len(vectors))
+        for start in range(0, len(vectors), 2 * CHUNK):
+            own = slice(start, start + 2 * CHUNK)
+            near = squared(vectors[own], centroids)
+            nearest[own] = near.min(axis=1)
+            owner[own] = (near + (nearest[own].mean() if scale is None else scale) * fullness).argmin(axis=1)
+        scale = nearest.mean()
         sizes = np.bincount(owner, minlength=len(centroids)).astype(float)
         sums = np.zeros_like(centroids)
         np.add.at(sums, owner, vectors)
@@ -91,18 +105,32 @@ def balanced(vectors: np.ndarray, centroids: np.ndarray, rounds: int = 4, pull:
     return centroids
 
 
+def _nearest_rows(rows: np.ndarray, others: np.ndarray, count: int, own: np.ndarray | None = None) -> np.ndarray:
+    """Places of the ``count`` nearest of ``others`` for every row, nearest first, but not the place in ``own``."""
+    out = np.empty((len(rows), count), int)
+    for start in range(0, len(rows), 64):
+        gap = squared(rows[start : start + 64], others)
+        if own is not None:
+            gap[np.arange(len(gap)), own[start : start + 64]] = np.inf
+        near = np.argpartition(gap, count - 1, axis=1)[:, :count] if count else np.empty((len(gap), 0), int)
+        order = np.argsort(np.take_along_axis(gap, near, axis=1), axis=1, kind="stable")
+        out[start : start + 64] = np.take_along_axis(near, order, axis=1)
+    return out
+
+
 @dataclass
 class Graph:
     """Centroids with links to near ones; searched by a beam from a few entries."""
 
     centroids: np.ndarray
     links: np.ndarray
+    border: float = BORDERS[0]
     ratio: float = 0.0
 
     @classmethod
     def of(cls, centroids: np.ndarray) -> Graph:
         n = len(centroids)
-        near = np.argsort(squared(centroids, centroids), axis=1, kind="stable")[:, 1 : LINKS + 1]
+        near = _nearest_rows(centroids, centroids, min(LINKS, n - 1), np.arange(n))
         # A ring keeps every centroid reachable.
         ring = np.column_stack(((np.arange(n) + 1) % n, (np.arange(n) - 1) % n))
         return cls(centroids, np.concatenate((near, ring), axis=1))
@@ -160,35 +188,85 @@ class Graph:
         """(row, list) of every list that a vector belongs to."""
         lists, gaps = self.closest(vectors, 4 * COPIES)
         lists, gaps = lists[:, :COPIES], gaps[:, :COPIES]
-        kept = (lists >= 0) & (gaps <= (1 + BORDER) * gaps[:, :1])
+        kept = (lists >= 0) & (gaps <= (1 + self.border) * gaps[:, :1])
         return np.nonzero(kept)[0], lists[kept]
 
-    def lists_for(self, queries: np.ndarray, ratio: float | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) of every list that a query reads."""
-        lists, gaps = self.closest(queries, len(self.centroids))
-        kept = (lists >= 0) & (gaps <= (1 + (self.ratio if ratio is None else ratio)) * gaps[:, :1])
-        return np.nonzero(kept)[0], lists[kept]
+    def lists_for(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of every list that a query reads.
+
+        From the closest centroids of a beam on, links are followed from every centroid within the
+        ratio; centroids beyond it end the walk.
+        """
+        n = len(self.centroids)
+        rows, found = [], []
+        for start in range(0, len(queries), CHUNK):
+            own = queries[start : start + CHUNK]
+            lists, gaps = self.closest(own, 4 * COPIES)
+            edge = ((1 + self.ratio) * gaps[:, 0]) ** 2 * (1 + 1e-9)
+            row, at = np.nonzero((lists >= 0) & (gaps * gaps <= edge[:, None]))
+            front = row * n + lists[row, at]
+            seen = np.zeros(len(own) * n, bool)
+            seen[front] = True
+            inside = [front]
+            while len(front):
+                step = (front // n * n)[:, None] + self.links[front % n]
+                fresh = np.unique(step[~seen[step]])
+                seen[fresh] = True
+                near = np.empty(len(fresh), bool)
+                for k in range(0, len(fresh), 1 << 16):
+                    part = fresh[k : k + (1 << 16)]
+                    gap = own[part // n] - self.centroids[part % n]
+                    near[k : k + len(part)] = np.einsum("ij,ij->i", gap, gap) <= edge[part // n]
+                front = fresh[near]
+                inside.append(front)
+            every = np.sort(np.concatenate(inside))
+            rows.append(every // n + start)
+            found.append(every % n)
+        if not rows:
+            return np.empty(0, int), np.empty(0, int)
+        return np.concatenate(rows), np.concatenate(found)
+
+
+def sample_size(rows: int) -> int:
+    """Rows of the sample for a table of ``rows`` vectors."""
+    return int(min(SAMPLE_ROWS, max(LEAST_SAMPLE, SAMPLE_PER_ROOT * np.sqrt(rows))))
 
 
 def fitted(sample: np.ndarray, rows: int) -> Graph:
     """Centroid graph for a table of ``rows`` vectors, from a sample without repeats."""
-    rng = np.random.default_rng(SEED)
-    lists = int(max(1, min(MOST_LISTS, len(sample) // 8, round(np.sqrt(rows)))))
-    graph = Graph.of(balanced(sample, bisected(sample, lists, rng)))
-    queries = rng.choice(len(sample), min(200, len(sample)), replace=False)
-    gaps = squared(sample[queries], sample)
-    gaps[np.arange(len(queries)), queries] = np.inf
-    wanted = np.argsort(gaps, axis=1, kind="stable")[:, : min(NEAREST, len(sample) - 1)]
-    member = np.zeros((len(sample), len(graph.centroids)), bool)
-    member[graph.member_of(sample)] = True
-    for ratio in RATIOS:
-        graph.ratio = ratio
-        read = np.zeros((len(queries), len(graph.centroids)), bool)
-        read[graph.lists_for(sample[queries])] = True
-        found = (member[wanted] & read[:, None, :]).any(axis=2)
-        if not found.size or found.mean() >= TARGET:
+    lists = int(max(1, min(len(sample) // ROWS_PER_LIST, round(LISTS_PER_ROOT * np.sqrt(rows)))))
+    return Graph.of(balanced(sample, bisected(sample, lists, np.random.default_rng(SEED))))
+
+
+def fit_reach(graph: Graph, sample: np.ndarray, asked: np.ndarray, owner: np.ndarray, wanted: np.ndarray) -> None:
+    """Sets border and ratio: ``wanted`` are near vectors of the table, row k one of query ``owner[k]`` of ``asked``."""
+    if not len(wanted):
+        return
+    n = len(graph.centroids)
+    near, gaps = graph.closest(sample, 4 * COPIES)
+    near, gaps = near[:, :COPIES], gaps[:, :COPIES]
+    own, far = graph.closest(wanted, 4 * COPIES)
+    own, far = own[:, :COPIES], far[:, :COPIES]
+    away = np.sqrt(squared(asked, graph.centroids))
+    away = away / np.maximum(away.min(axis=1, keepdims=True), 1e-300) - 1
+    fewest = np.inf
+    for border in BORDERS:
+        kept = (near >= 0) & (gaps <= (1 + border) * gaps[:, :1])
+        # The ratio at which a query reads a list of a wanted neighbour.
+        held = (own >= 0) & (far <= (1 + border) * far[:, :1])
+        reach = np.sort(np.where(held, away[owner[:, None], own], np.inf).min(axis=1))
+        ratio = float(reach[int(np.ceil(TARGET * len(reach))) - 1])
+        compared = ((away <= ratio) @ np.bincount(near[kept], minlength=n)).mean()
+        if compared < fewest:
+            fewest, graph.border, graph.ratio = compared, border, ratio
+    held = (own >= 0) & (far <= (1 + graph.border) * far[:, :1])
+    while graph.ratio < away.max():
+        # The walk may miss a list that no link inside the ratio leads to.
+        read = np.zeros((len(asked), n), bool)
+        read[graph.lists_for(asked)] = True
+        if (held & read[owner[:, None], own]).any(axis=1).mean() >= TARGET:
             break
-    return graph
+        graph.ratio = graph.ratio * 1.05 + 0.005
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -213,6 +291,51 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str, *more: str) -> Data
     return rows.where(F.size("v") == (width[0] if width else 0))
 
 
+def _drawn(rows: DataFrame, total: int, size: int, seed: int) -> pa.ChunkedArray:
+    """Vectors of the first ``size`` rows by a seeded hash of their ids."""
+    place = F.xxhash64(F.lit(seed), "id")
+    # Twice the share of the hashes holds them, unless few ids have most rows.
+    low = rows.where(place.cast("double") / F.lit(2.0**64) + 0.5 <= 2.0 * size / total)
+    for some in (low, rows):
+        found = some.orderBy(place, "id", "v").limit(size).select("v").toArrow().column("v")
+        if len(found) >= min(size, total):
+            break
+    return found
+
+
+def _true_neighbours(rows: DataFrame, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, vector) of the nearest NEAREST rows of the whole table for each of a few vectors, copies of it aside.
+
+    Each task keeps the best few of its rows.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(asked)
+    schema = T.StructType([T.StructField("q", T.IntegerType()), T.StructField("gap", T.DoubleType()), rows.schema["v"]])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        norms = (own * own).sum(axis=1)[:, None]
+        best, held = np.full((len(own), 0), np.inf), np.empty((len(own), 0, own.shape[1]))
+        for part in batches:
+            here = _vectors(part.column("v")) if part.num_rows else np.empty((0, own.shape[1]))
+            for start in range(0, len(here), 4 * CHUNK):
+                some = here[start : start + 4 * CHUNK]
+                gap = squared(own, some)
+                gap[gap <= 1e-12 * norms] = np.inf
+                take = np.argpartition(gap, NEAREST, axis=1)[:, :NEAREST] if gap.shape[1] > NEAREST else np.tile(np.arange(gap.shape[1]), (len(own), 1))
+                best = np.concatenate((best, np.take_along_axis(gap, take, axis=1)), axis=1)
+                held = np.concatenate((held, some[take]), axis=1)
+                if best.shape[1] > NEAREST:
+                    take = np.argpartition(best, NEAREST - 1, axis=1)[:, :NEAREST]
+                    best, held = np.take_along_axis(best, take, axis=1), np.take_along_axis(held, take[:, :, None], axis=1)
+        q, k = np.nonzero(np.isfinite(best))
+        yield batch({"q": q, "gap": best[q, k], "v": list(held[q, k])}, schema)
+
+    order = Window.partitionBy("q").orderBy("gap", "v")
+    near = rows.select("v").mapInArrow(work, schema).withColumn("k", F.row_number().over(order)).where(F.col("k") <= NEAREST)
+    found = near.select("q", "v").toArrow()  # at most NEAREST rows for each of ASKED vectors
+    return found.column("q").to_numpy(), _vectors(found.column("v")) if found.num_rows else np.empty((0, asked.shape[1]))
+
+
 def _assigned(rows: DataFrame, graph: Graph, schema: T.StructType, whole: bool, queries: bool) -> DataFrame:
     """Rows (list, id, v), one for every list a vector is in, or is searched for in."""
     sent = rows.sparkSession.sparkContext.broadcast(graph)
@@ -281,7 +404,7 @@ def _search(posts: DataFrame, queries: DataFrame, nearest: int) -> DataFrame:
         posts.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("vb"))
         .join(queries.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("qb")), "list")
     )
-    blocks = {r["list"]: (r["vb"], r["qb"]) for r in sizes.collect()}  # one row per list, at most MOST_LISTS
+    blocks = {r["list"]: (r["vb"], r["qb"]) for r in sizes.collect()}  # one row per list, at most SAMPLE_ROWS / ROWS_PER_LIST
     known = queries.sparkSession.createDataFrame([(k, *v) for k, v in blocks.items()], "list int, vb int, qb int")
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
@@ -311,8 +434,8 @@ def neighbours(
     lists is searched in all lists. An empty table, or one without other vectors, gives no row.
     """
     spark = vectors.sparkSession
-    asked = (F.col(id_col) % EVERY == 0) if queries is None else queries
-    checked = usable(vectors.withColumn("__asked", asked), id_col, vector_col, "__asked")
+    wants = (F.col(id_col) % EVERY == 0) if queries is None else queries
+    checked = usable(vectors.withColumn("__asked", wants), id_col, vector_col, "__asked")
     rows = checked.select("id", "v")
     id_type = rows.schema["id"].dataType
     out = T.StructType(
@@ -324,10 +447,12 @@ def neighbours(
         ]
     )
     total = rows.count()
-    sample = rows.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(SAMPLE_ROWS).select("v").toArrow()
     if not total:
         return spark.createDataFrame([], out)
-    graph = fitted(np.unique(_vectors(sample.column("v")), axis=0), total)
+    known = np.unique(_vectors(_drawn(rows, total, sample_size(total), SEED)), axis=0)
+    asked = np.unique(_vectors(_drawn(rows, total, ASKED, SEED + 1)), axis=0)
+    graph = fitted(known, total)
+    fit_reach(graph, known, asked, *_true_neighbours(rows, asked))
     listed = T.StructType([T.StructField("list", T.IntegerType()), rows.schema["id"], rows.schema["v"]])
     pos = F.monotonically_increasing_id().alias("pos")
     posts = durable(_assigned(rows, graph, listed, False, False).select("*", pos))

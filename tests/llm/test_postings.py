@@ -132,3 +132,51 @@ def test_queries_of_the_tables_width_when_most_are_not(spark):
     rows += [(100 * k, [1.0, 2.0, 3.0]) for k in range(2, 8)]
     got, want = collected(p.neighbours(spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA))), brute(rows)
     assert set(got) == set(want) == {0, 100} and all(len(v) == 10 for v in got.values())
+
+
+def test_walk_reads_every_list_within_the_ratio():
+    rng = np.random.default_rng(2)
+    data = rng.normal(size=(4000, 8))
+    graph = p.fitted(data, len(data))
+    graph.ratio = 0.3
+    row, lists = graph.lists_for(data[:300])
+    away = np.sqrt(p.squared(data[:300], graph.centroids))
+    want = away <= 1.3 * away.min(axis=1, keepdims=True)
+    got = np.zeros_like(want)
+    got[row, lists] = True
+    assert len(row) == got.sum() and (got & want).sum() >= 0.97 * want.sum()
+    assert want.sum() < 0.5 * want.size and (got & ~want).sum() <= 0.02 * want.sum()
+    graph.ratio = 1e9
+    assert len(graph.lists_for(data[:20])[0]) == 20 * len(graph.centroids)
+    assert [len(x) for x in graph.lists_for(data[:0])] == [0, 0]
+
+
+def test_border_and_ratio_reach_the_target_with_fewer_comparisons_than_brute_force():
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=(60, 12))[rng.integers(60, size=6000)] * 3 + rng.normal(size=(6000, 12))
+    graph = p.fitted(data[200:], len(data))
+    near = p._nearest_rows(data[:200], data, 10, np.arange(200))
+    p.fit_reach(graph, data[200:], data[:200], np.repeat(np.arange(200), 10), data[near.ravel()])
+    member = np.zeros((len(data), len(graph.centroids)), bool)
+    member[graph.member_of(data)] = True
+    read = np.zeros((200, len(graph.centroids)), bool)
+    read[graph.lists_for(data[:200])] = True
+    assert (member[near] & read[:, None]).any(axis=2).mean() >= p.TARGET
+    assert graph.border in p.BORDERS and (read @ member.sum(axis=0)).mean() < 0.3 * len(data)
+
+
+def test_true_neighbours(spark):
+    rng = np.random.default_rng(6)
+    data = rng.normal(size=(300, 5)).astype(np.float32)
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(data.tolist() + [data[0].tolist()] * 40)], "id long, v array<float>")
+    owner, near = p._true_neighbours(df.repartition(5), data[:7].astype(float))
+    want = data[p._nearest_rows(data[:7].astype(float), data.astype(float), 10, np.arange(7))]
+    for q in range(1, 7):
+        gap = np.sort(((near[owner == q] - data[q]) ** 2).sum(axis=1))
+        full = np.sort(((np.concatenate((data, np.repeat(data[:1], 40, 0))) - data[q]) ** 2).sum(axis=1))[1:11]
+        assert np.allclose(gap, full)
+    assert np.allclose(np.sort(near[owner == 0], axis=0), np.sort(want[0], axis=0))
+
+
+def test_lists_and_sample_grow_with_the_table():
+    assert p.sample_size(50) == p.LEAST_SAMPLE and p.sample_size(10**7) > 100_000 and p.sample_size(10**12) == p.SAMPLE_ROWS
