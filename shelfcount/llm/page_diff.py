@@ -9,8 +9,11 @@ delete each other. A neighbour that shares nearly all lines may be a copy (a pri
 a page of the same long template with a short text. Lines shared with it are deleted only if they
 stand on many distinct pages of the host, as a template does and copies of one text do not.
 
-Where a page marks its article (``article`` or ``main``), its lines are the article's lines and all
-of them stay: paragraphs that articles share are text, and deleting them would lose it.
+Where a page marks its article (``article`` or ``main``), its lines are the article's lines. The mark
+is a vote for them, so that a neighbour has a line too is not enough to delete it: articles share
+paragraphs, and repeated sayings stand in articles everywhere. A shared line inside a marked article
+goes if it is the host's own template: on at least half of the host's distinct pages, five or more,
+and on no other host.
 
 Only hashes of lines are sorted. A host is not kept together: the sorted table is cut into slices
 of equal size, and the rows at the cuts are handed to the slice next to them.
@@ -39,6 +42,8 @@ COPY = 0.8
 #: Distinct pages of a host, and share of them, on which a line shared with such a neighbour is template.
 SPREAD = 5
 SPREAD_SHARE = 0.1
+#: Share of a host's distinct pages on which a shared line inside a marked article is the host's template.
+INSIDE_SHARE = 0.5
 
 _TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>|[!?/][^>]*+>)", re.S
@@ -273,9 +278,9 @@ def _mark(line: str) -> int:
 
 
 def _identity(lines: list[tuple[str, bool]]) -> tuple[list[int], str]:
-    """Hashes of the lines and a digest of them all."""
+    """Hashes of the lines, and a digest of them all and of which are inside the article."""
     marks = [_mark(line) for line, _ in lines]
-    digest = xxhash.xxh3_128(b"".join(x.to_bytes(8, "little", signed=True) for x in marks))
+    digest = xxhash.xxh3_128(b"".join(x.to_bytes(8, "little", signed=True) for x in marks) + bytes(inside for _, inside in lines))
     return marks, digest.hexdigest()
 
 
@@ -285,7 +290,10 @@ _PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)"
 
 
 def _line_table(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(host, path, digest, open, marks): one row for each distinct list of lines of a host."""
+    """(host, path, digest, inside, marks): one row for each distinct list of lines of a host.
+
+    ``inside`` holds the places of the lines of a marked article and is empty where no article is marked.
+    """
     url = F.coalesce(F.col(url_col), F.lit(""))
     rows = pages.select(
         F.lower(F.regexp_extract(url, _HOST, 1)).alias("host"), F.regexp_extract(url, _PATH, 1).alias("path"), F.col(html_col).alias("html")
@@ -295,7 +303,7 @@ def _line_table(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
             T.StructField("host", T.StringType()),
             T.StructField("path", T.StringType()),
             T.StructField("digest", T.StringType()),
-            T.StructField("open", T.BooleanType()),
+            T.StructField("inside", T.ArrayType(T.IntegerType())),
             T.StructField("marks", T.ArrayType(T.LongType())),
         ]
     )
@@ -309,17 +317,15 @@ def _line_table(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
                     "host": part.column("host"),
                     "path": part.column("path"),
                     "digest": [d for _, d in both],
-                    "open": [not any(inside for _, inside in lines) for lines in found],
+                    "inside": [[k for k, (_, inside) in enumerate(lines) if inside] for lines in found],
                     "marks": [m for m, _ in both],
                 },
                 schema,
             )
 
-    # Marks follow from the digest, so any row's will do; max() is one that can be pre-aggregated.
-    least = F.min(F.struct("path", "open", "marks")).alias("x")
-    return rows.mapInArrow(work, schema).groupBy("host", "digest").agg(least, F.max("open").alias("open")).select(
-        "host", "digest", "open", "x.path", "x.marks"
-    )
+    # The digest holds lines and their places in the article, so pages of a digest differ in their path only.
+    least = F.min(F.struct("path", "inside", "marks")).alias("x")
+    return rows.mapInArrow(work, schema).groupBy("host", "digest").agg(least).select("host", "digest", "x.path", "x.inside", "x.marks")
 
 
 _ORDER = ["host", "path", "digest"]
@@ -333,7 +339,7 @@ def _sliced(lines: DataFrame) -> DataFrame:
 
 
 def _with_neighbours(sliced: DataFrame) -> DataFrame:
-    """Open rows with the lines of the rows before and after them in their host."""
+    """Rows with the lines of the rows before and after them in their host."""
     order = _ORDER
     page = F.struct("host", "marks")
     own = Window.partitionBy("slice").orderBy(*order)
@@ -347,32 +353,39 @@ def _with_neighbours(sliced: DataFrame) -> DataFrame:
         F.lag(F.struct("last.host", "last.marks")).over(along).alias("left"),
         F.lead(F.struct("first.host", "first.marks")).over(along).alias("right"),
     )
-    whole = rows.where("open").join(handed, F.col("slice") == F.col("at")).select(
-        "host", "digest", "marks", F.coalesce("before", "left").alias("before"), F.coalesce("after", "right").alias("after")
+    whole = rows.join(handed, F.col("slice") == F.col("at")).select(
+        "host", "digest", "inside", "marks", F.coalesce("before", "left").alias("before"), F.coalesce("after", "right").alias("after")
     )
     same = [F.when(F.col(f"{c}.host") == F.col("host"), F.col(f"{c}.marks")).alias(c) for c in ("before", "after")]
-    return whole.select("host", "digest", "marks", *same)
+    return whole.select("host", "digest", "inside", "marks", *same)
 
 
 def boilerplate(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, digest, lost): places of the lines that pages of these lines lose, where there are any."""
-    places = T.ArrayType(T.LongType())
+    places = T.ArrayType(T.IntegerType())
     schema = T.StructType(
-        [T.StructField("host", T.StringType()), T.StructField("digest", T.StringType())]
-        + [T.StructField(c, places) for c in ("lost", "doubtful", "doubtful_marks")]
+        [T.StructField("host", T.StringType()), T.StructField("digest", T.StringType()), T.StructField("marked", T.BooleanType())]
+        + [T.StructField("lost", places), T.StructField("doubtful", places), T.StructField("doubtful_marks", T.ArrayType(T.LongType()))]
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            triples = list(zip(*(part.column(c).to_pylist() for c in ("marks", "before", "after"))))
-            both = [[sorted(x) for x in shared_lines(*t)] for t in triples]
+            quads = list(zip(*(part.column(c).to_pylist() for c in ("inside", "marks", "before", "after"))))
+            lost, doubtful = [], []
+            for inside, *near in quads:
+                sure, doubt = shared_lines(*near)
+                if inside:
+                    sure, doubt = set(), (sure | doubt) & set(inside)
+                lost.append(sorted(sure))
+                doubtful.append(sorted(doubt))
             yield batch(
                 {
                     "host": part.column("host"),
                     "digest": part.column("digest"),
-                    "lost": [lost for lost, _ in both],
-                    "doubtful": [doubtful for _, doubtful in both],
-                    "doubtful_marks": [[t[0][k] for k in doubtful] for t, (_, doubtful) in zip(triples, both)],
+                    "marked": [bool(q[0]) for q in quads],
+                    "lost": lost,
+                    "doubtful": doubtful,
+                    "doubtful_marks": [[q[1][k] for k in doubt] for q, doubt in zip(quads, doubtful)],
                 },
                 schema,
             )
@@ -380,15 +393,20 @@ def boilerplate(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     sliced = _sliced(_line_table(pages, url_col, html_col))
     found = durable(_with_neighbours(sliced).mapInArrow(work, schema).where((F.size("lost") > 0) | (F.size("doubtful") > 0)))
     doubts = found.where(F.size("doubtful") > 0).select(
-        "host", "digest", F.explode(F.arrays_zip(F.col("doubtful").alias("place"), F.col("doubtful_marks").alias("mark"))).alias("x")
-    ).select("host", "digest", "x.place", "x.mark")
+        "host", "digest", "marked", F.explode(F.arrays_zip(F.col("doubtful").alias("place"), F.col("doubtful_marks").alias("mark"))).alias("x")
+    ).select("host", "digest", "marked", "x.place", "x.mark")
     lost = found.select("host", "digest", "lost").where(F.size("lost") > 0)
     if doubts.isEmpty():
         return lost
     sizes = sliced.groupBy("host").agg(F.count("*").alias("pages"))
-    lines = sliced.select("host", F.explode(F.array_distinct("marks")).alias("mark")).groupBy("host", "mark").agg(F.count("*").alias("n"))
-    spread = lines.where(F.col("n") >= SPREAD).join(sizes, "host").where(F.col("n") >= SPREAD_SHARE * F.col("pages")).select("host", "mark")
-    more = doubts.join(spread, ["host", "mark"], "left_semi").groupBy("host", "digest").agg(F.collect_list("place").alias("more"))
+    # Pages of a host, and hosts, that have a doubtful line.
+    on = sliced.select("host", F.explode(F.array_distinct("marks")).alias("mark")).join(doubts.select("mark").distinct(), "mark", "left_semi")
+    lines = on.groupBy("host", "mark").agg(F.count("*").alias("n"))
+    hosts = lines.groupBy("mark").agg(F.count("*").alias("hosts"))
+    spread = lines.where(F.col("n") >= SPREAD).join(sizes, "host").where(F.col("n") >= SPREAD_SHARE * F.col("pages")).join(hosts, "mark")
+    template = (F.col("hosts") == 1) & (F.col("n") >= INSIDE_SHARE * F.col("pages"))
+    gone = doubts.join(spread.select("host", "mark", template.alias("template")), ["host", "mark"]).where(~F.col("marked") | F.col("template"))
+    more = gone.groupBy("host", "digest").agg(F.collect_list("place").alias("more"))
     none = F.array().cast(places)
     both = F.concat(F.coalesce("lost", none), F.coalesce("more", none)).alias("lost")
     return lost.join(more, ["host", "digest"], "full").select("host", "digest", both)
@@ -404,7 +422,7 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", na
     """
     lost = durable(boilerplate(pages, url_col, html_col))
     kept = [f for f in pages.schema.fields if f.name != name]
-    digests = T.StructType([*kept, T.StructField("__host", T.StringType()), T.StructField("__digest", T.StringType()), T.StructField("__lines", T.ArrayType(T.StringType()))])
+    digests = T.StructType([*kept, T.StructField("__host", T.StringType()), T.StructField("__digest", T.StringType()), T.StructField("__lines", T.ArrayType(T.StringType())), T.StructField("__places", T.ArrayType(T.IntegerType()))])
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), _HOST, 1)).alias("__host")
     rows = pages.select(*[F.col(f"`{f.name}`") for f in kept], host)
 
@@ -412,8 +430,9 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", na
         for part in by_shard(batches, html_col, SHARD_BYTES):
             found = [page_lines(h) for h in part.column(html_col).to_pylist()]
             columns = {c: part.column(c) for c in part.schema.names}
-            columns["__digest"] = [None if any(i for _, i in lines) else _identity(lines)[1] for lines in found]
-            columns["__lines"] = [[x for x, inside in lines if inside] or [x for x, _ in lines] for lines in found]
+            columns["__digest"] = [_identity(lines)[1] for lines in found]
+            columns["__places"] = [[k for k, (_, inside) in enumerate(lines) if inside] or list(range(len(lines))) for lines in found]
+            columns["__lines"] = [[lines[k][0] for k in own] for lines, own in zip(found, columns["__places"])]
             yield batch(columns, digests)
 
     read = rows.mapInArrow(work, digests)
@@ -421,7 +440,7 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", na
         lost, (read["__host"] == lost["host"]) & (read["__digest"] == lost["digest"]), "left"
     )
     staying = F.when(F.col("lost").isNull(), F.col("__lines")).otherwise(
-        F.filter("__lines", lambda line, k: ~F.array_contains("lost", k.cast("long")))
+        F.filter("__lines", lambda line, k: ~F.array_contains("lost", F.get("__places", k)))
     )
     return cut.withColumn(name, F.array_join(staying, "\n\n")).select(*[F.col(f"`{f.name}`") for f in kept], name)
 

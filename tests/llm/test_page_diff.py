@@ -57,8 +57,41 @@ def test_long_and_broken_pages_end():
         p.page_lines(page)
 
 
+def read(html):
+    """(line, inside the article) of the plain pages used here, by cutting at block tags."""
+    import html as entities
+    import re
+
+    page = re.sub(r"(?s)<!--.*?-->|<(script|style|title|nav|footer)\b.*?</\1>|<div class=\"ad\">.*?</div>", "", html or "")
+    out = []
+    for k, part in enumerate(re.split(r"</?article>", page)):
+        for line in re.split(r"</?(?:p|h1|div|ul|li|html|head|body|!DOCTYPE)(?:\s[^>]*)?>", part):
+            line = " ".join(entities.unescape(re.sub(r"<[^>]*>", "", line.replace("<br>", " "))).split())
+            if line:
+                out.append((line, k % 2 == 1))
+    return out
+
+
+def shared(own, other):
+    """Places of the lines of a longest common subsequence, by the full table."""
+    size = [[0] * (len(other) + 1) for _ in range(len(own) + 1)]
+    for i, x in enumerate(own):
+        for j, y in enumerate(other):
+            size[i + 1][j + 1] = size[i][j] + 1 if x == y else max(size[i][j + 1], size[i + 1][j])
+    i, j, used = len(own), len(other), set()
+    while i and j:
+        if own[i - 1] == other[j - 1]:
+            i, j = i - 1, j - 1
+            used.add(i)
+        elif size[i][j - 1] >= size[i - 1][j]:
+            j -= 1
+        else:
+            i -= 1
+    return used
+
+
 def brute(rows):
-    """Sort each host's distinct pages, compare neighbours, delete."""
+    """Sort each host's distinct pages, compare neighbours, delete; nothing of the library is used."""
     import re
 
     hosts: dict = {}
@@ -67,23 +100,39 @@ def brute(rows):
         m = re.match(r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", url or "")
         host = m[1].lower() if m else ""
         path = re.match("([^?#]*)", (url or "")[m.end() if m else 0 :])[1]
-        found = p.page_lines(html)
-        marks, digest = p._identity(found)
+        found = tuple(read(html))
         pages = hosts.setdefault(host, {})
-        pages[digest] = min((path, digest, marks), pages.get(digest, (path, digest, marks)))
-        parsed.append((page, host, digest, found))
+        pages[found] = min(path, pages.get(found, path))
+        parsed.append((page, host, found))
+    on: dict = {}
+    for host, pages in hosts.items():
+        for found in pages:
+            for line in {x for x, _ in found}:
+                on.setdefault(line, {}).setdefault(host, []).append(found)
     lost: dict = {}
     for host, pages in hosts.items():
-        row = sorted(pages.values(), key=lambda x: (x[0].encode(), x[1]))
-        for k, (_, digest, marks) in enumerate(row):
-            near = [row[j][2] for j in (k - 1, k + 1) if 0 <= j < len(row)]
-            lost[host, digest] = p.deleted_lines(marks, *near)
+        row = sorted(pages, key=lambda f: pages[f].encode())
+        assert len({pages[f] for f in row}) == len(row)  # else the order of pages of one path is not known here
+        for k, found in enumerate(row):
+            own = [x for x, _ in found]
+            marked = any(i for _, i in found)
+            for j in (k - 1, k + 1):
+                if not 0 <= j < len(row):
+                    continue
+                both = shared(own, [x for x, _ in row[j]])
+                copy = len(both) > 0.8 * len(own)
+                for at in both:
+                    n = len(on[own[at]][host])
+                    if marked:
+                        gone = found[at][1] and n >= 5 and 2 * n >= len(row) and len(on[own[at]]) == 1
+                    else:
+                        gone = not copy or (n >= 5 and 10 * n >= len(row))
+                    if gone:
+                        lost.setdefault((host, found), set()).add(at)
     out = []
-    for page, host, digest, found in parsed:
-        if any(i for _, i in found):
-            text = [x for x, i in found if i]
-        else:
-            text = [x for k, (x, _) in enumerate(found) if k not in lost[host, digest]]
+    for page, host, found in parsed:
+        marked = any(i for _, i in found)
+        text = [x for k, (x, i) in enumerate(found) if (i or not marked) and k not in lost.get((host, found), ())]
         out.append((page, "\n\n".join(text)))
     return out
 
@@ -97,7 +146,7 @@ def made(seed):
         body = "<div>Home</div><div>About us</div>" + body + "<div>All rights reserved</div>"
         if k % 10 == 0:
             body = f"<div>Home</div><article>{body}</article>"
-        rows.append((k, f"{host}{rng.randrange(4)}/{rng.randrange(40)}?q={k}#x", f"<html><body>{body}</body></html>"))
+        rows.append((k, f"{host}{rng.randrange(4)}/{rng.randrange(40)}/{k}?q={k}#x", f"<html><body>{body}</body></html>"))
     copy = "<p>one copied page</p><p>of two lines</p>"
     rows += [(200 + k, f"http://hot.example/1/{k:03d}", copy) for k in range(60)]
     rows += [(300, None, "<p>no url</p>"), (301, "odd", None), (302, "http://hot.example/", ""), (None, "http://hot.example/z", "<div>Home</div><p>only here</p>")]
@@ -142,3 +191,20 @@ def test_long_templates_and_copies(spark):
     told = "\n\n".join(f"told {k}" for k in range(60))
     assert all(text[100 + k] == f"{told}\n\nvariant {k}" for k in range(3))
     assert all(text[200 + k] == f"{told}\n\nvariant {k}" for k in range(2))
+
+
+def test_templates_inside_marked_articles(spark):
+    rows = []
+    for k in range(30):
+        host, common = ("one", "two")[k % 2], "<p>A saying that stands everywhere.</p>" if k % 3 else ""
+        body = f"<h1>Title {k}</h1><p>Read our magazine {host}</p>{common}<p>own {k}</p><p>rare on {host}</p>" if k < 8 else f"<h1>Title {k}</h1><p>Read our magazine {host}</p>{common}<p>own {k}</p>"
+        rows.append((k, f"http://{host}.example/{k:03d}", f"<html><body><div>Home</div><article>{body}</article></body></html>"))
+    rows += [(100 + k, f"http://few.example/{k}", f"<article><p>own {k}</p><p>Read the few</p></article>") for k in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r.page_id: r.text for r in p.main_text(df).collect()}
+    assert text == dict(brute(rows))
+    for k in range(30):
+        lines = text[k].split("\n\n")
+        assert lines[0] == f"Title {k}" and f"own {k}" in lines and not any("magazine" in x for x in lines)
+        assert ("A saying that stands everywhere." in lines) == bool(k % 3) and (k >= 8 or lines[-1].startswith("rare"))
+    assert all(text[100 + k].endswith("Read the few") for k in range(4))
