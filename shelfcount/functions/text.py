@@ -74,7 +74,10 @@ def extension(name: Column | str) -> Column:
 
 def file_stem(path: Column | str) -> Column:
     """File name without folders and without the last extension."""
-    return F.regexp_replace(F.regexp_extract(_col(path), r"([^/\\]*)$", 1), r"\.[^.]*$", "")
+    # No regular expressions: the rows of a file all carry its name.
+    name = F.substring_index(F.substring_index(_col(path), "/", -1), "\\", -1)
+    ending = F.length(F.substring_index(name, ".", -1))
+    return F.when(F.contains(name, F.lit(".")), F.left(name, F.length(name) - ending - 1)).otherwise(name)
 
 
 def parse_filename(

@@ -20,9 +20,11 @@ def append(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return target.unionByName(incoming, allowMissingColumns=True)
 
 
-def replace_keys(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the incoming keys are replaced."""
-    return append(anti_join(target, incoming, keys), incoming)
+def replace_keys(
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str], coming: DataFrame | None = None
+) -> DataFrame:
+    """Rows of the incoming keys are replaced; ``coming`` holds those keys where a smaller table is at hand."""
+    return append(anti_join(target, incoming if coming is None else coming, keys), incoming)
 
 
 def replace_range(target: DataFrame, incoming: DataFrame, col: str, lo: object, hi: object) -> DataFrame:

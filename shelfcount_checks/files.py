@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Sequence
 from xml.sax.saxutils import escape
@@ -170,27 +171,31 @@ def _xlsx(sheets: dict[str, list[list]]) -> bytes:
     def letters(n: int) -> str:
         return (letters(n // 26 - 1) if n >= 26 else "") + chr(65 + n % 26)
 
-    def cell(r: int, c: int, v: object) -> str:
-        at = f'r="{letters(c)}{r}"'
-        if isinstance(v, str):
-            return f'<c {at} t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
-        return f"<c {at}><v>{v}</v></c>"
-
+    def line(r: int, row: list) -> str:
+        # A number as it is, a text escaped; only few texts need it.
+        return "".join(
+            [
+                f'<c r="{at}{r}"><v>{v}</v></c>'
+                if not isinstance(v, str)
+                else f'<c r="{at}{r}" t="inlineStr"><is><t xml:space="preserve">{escape(v) if special(v) else v}</t></is></c>'
+                for at, v in zip(columns, row)
+                if v is not None
+            ]
+        )
+
+    special = re.compile("[&<>]").search
+    columns = [letters(c) for c in range(max((len(row) for rows in sheets.values() for row in rows), default=0))]
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as book:
         names = list(sheets)
         listed = "".join(f'<sheet name="{escape(n)}" sheetId="{k}" r:id="rId{k}"/>' for k, n in enumerate(names, 1))
         book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>{listed}</sheets></workbook>')
         links = "".join(f'<Relationship Id="rId{k}" Target="worksheets/sheet{k}.xml"/>' for k in range(1, len(names) + 1))
         book.writestr("xl/_rels/workbook.xml.rels", f"<Relationships>{links}</Relationships>")
         for k, n in enumerate(names, 1):
-            rows = "".join(
-                f'<row r="{r}">' + "".join(cell(r, c, v) for c, v in enumerate(row) if v is not None) + "</row>"
-                for r, row in enumerate(sheets[n], 1)
-                if row
-            )
+            rows = "".join([f'<row r="{r}">{line(r, row)}</row>' for r, row in enumerate(sheets[n], 1) if row])
             book.writestr(f"xl/worksheets/sheet{k}.xml", f'<worksheet xmlns="{main}"><sheetData>{rows}</sheetData></worksheet>')
     return out.getvalue()
 
@@ -232,8 +237,7 @@ def books(
 
     def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(list(order)) if order else pdf
-        cells = pdf[shown].astype(object)
-        rows = cells.where(cells.notna(), None).values.tolist()
+        rows = zip(*(pdf[c].astype(object).where(pdf[c].notna(), None).tolist() for c in shown))
         name = named.format(file=key[0], part=key[1]) + ".xlsx"
         return pd.DataFrame({"file": [name], "content": [_xlsx({sheet: [*above, list(header), *rows]})]})
 
