@@ -15,6 +15,7 @@ from ..operators.ranking import occurrence
 from ..operators.reshape import explode_files
 from ..operators.sets import drop_dupes
 from ..policy import OUTSOURCE_ALIASES
+from ..session import durable
 from ..sources.workbook import Wanted, block_rows, block_wanted, read_many
 
 SPREADSHEETS = (".xlsx", ".xls")
@@ -88,29 +89,48 @@ SIDE_NAMES = (
 )
 
 
-def approved_rows(files: DataFrame, plan: DataFrame, sheet: str = "Summary") -> DataFrame:
-    """Checked rows of approved workbooks: planned, with a whole side block and no empty causes."""
+def _approved(files: DataFrame, plan: DataFrame, sheet: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of approved workbooks, and the accepted files: planned, with a whole side block and no empty causes.
+
+    Each check is on whole files, so the files are settled first, in one pass over what decides them.
+    """
     wanted = [Wanted(APPROVED_COLUMNS, sheet, "A:J", 6), block_wanted(sheet, "L:M", 2, SIDE_NAMES)]
     raw, side = read_many(files, wanted)
+    missing = F.col("`pst/store`").isNull() | F.col("`remark (root cause)`").isNull()
+    whole = raw.groupBy("file").agg(F.max(missing).alias("__missing")).filter("NOT __missing").drop("__missing")
+    # Stored: Spark would move the test of the names before the grouping, and take them apart for every row.
+    whole = durable(whole)
     found = text.parse_filename("file", ["kind", "bu", "stcode", "cntdate"], exact=True)
-    who = text.replace_values(F.upper(F.trim(F.col("`pst/store`"))), OUTSOURCE_ALIASES)
-    rows = (
-        raw.drop("line")
-        .withColumns({n: found[n] for n in ("bu", "stcode", "cntdate")})
-        .withColumn("pst/store", who)
-        .withColumnRenamed("remark (root cause)", "remark root cause")
-    )
-    rows = clean.cast_map(rows, dict.fromkeys(["count", "add/edit", "scan error"], "double"))
-    planned = gates.planned_only(rows, gates.open_plan(plan), ["stcode", "cntdate"])
+    named = whole.withColumns({n: found[n] for n in ("bu", "stcode", "cntdate")})
+    planned = gates.planned_only(named, gates.open_plan(plan), ["stcode", "cntdate"])
     block = block_rows(side, 2, SIDE_NAMES)
     block = clean.cast_map(block, {c: "double" for row in SIDE_NAMES for c in row})
-    blocked = planned.join(block, "file", "inner")
-    return drop_dupes(gates.reject_file_if_null(blocked, "file", ["`pst/store`", "`remark root cause`"]))
+    # Stored, so that its size is known: a few rows are sent to the rows of the books, which then stay where they are.
+    return raw, durable(planned.join(block, "file", "inner"))
+
+
+def _accepted_rows(raw: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Rows of the accepted files without duplicates, with what the file and its block say."""
+    who = text.replace_values(F.upper(F.trim(F.col("`pst/store`"))), OUTSOURCE_ALIASES)
+    rows = raw.drop("line").withColumn("pst/store", who).withColumnRenamed("remark (root cause)", "remark root cause")
+    rows = clean.cast_map(rows, dict.fromkeys(["count", "add/edit", "scan error"], "double"))
+    # What is added is the same for all rows of a file and plays no part in telling them apart.
+    unique = drop_dupes(rows.join(accepted.select("file"), "file", "left_semi"))
+    side = [c for row in SIDE_NAMES for c in row]
+    shown = ["file", "stcode", "cntdate", *rows.columns[1:], "bu", *side]
+    return unique.join(accepted, "file").select(*[F.col(f"`{c}`") for c in shown])
+
+
+def approved_rows(files: DataFrame, plan: DataFrame, sheet: str = "Summary") -> DataFrame:
+    """Checked rows of approved workbooks: planned, with a whole side block and no empty causes."""
+    return _accepted_rows(*_approved(files, plan, sheet))
 
 
 def import_approved(files: DataFrame, plan: DataFrame, target: DataFrame) -> DataFrame:
     """Target with the counts of the accepted files replaced; a rejected file deletes nothing."""
-    return replace_keys(target, approved_rows(files, plan).drop("file"), ["stcode", "cntdate"])
+    raw, accepted = _approved(files, plan, "Summary")
+    # Every accepted file has rows, so the files tell the keys that come in.
+    return replace_keys(target, _accepted_rows(raw, accepted).drop("file"), ["stcode", "cntdate"], accepted)
 
 
 def hold_list(hold: DataFrame, counted: DataFrame, store: str, sku: str, decimals: Sequence[str]) -> DataFrame:
