@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import settings
+
 
 def scan_query(
     spark: SparkSession, query: str, params: Mapping[str, object] | None = None, **tables: DataFrame
@@ -18,19 +20,27 @@ def scan_query(
     return spark.sql(query, args=dict(params or {}))
 
 
+def _listing(spark: SparkSession) -> dict[str, str]:
+    """Settings to list a table's folders in a few tasks for each core, however many folders there are.
+
+    Spark takes a task for each folder, up to ten thousand, and the starting of them is most of the time.
+    """
+    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)}
+
+
 def table_schema(spark: SparkSession, path: str) -> T.StructType:
     """Schema of a stored table whose partition columns are text, as their folder names are.
 
     Reading a table without a schema would turn a partition value such as ``00123`` into 123.
     """
-    own = spark.newSession()
-    own.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return own.read.parquet(path).schema
+    return read_table(spark, path).schema
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Stored table with the given schema, or its own one with text partition columns."""
-    return spark.read.schema(schema or table_schema(spark, path)).parquet(path)
+    """Stored table with the given schema, or its own one with text partition columns; its folders are listed once."""
+    as_text = {} if schema else {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
+    with settings(spark, _listing(spark) | as_text):
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def _footers_only(spark: SparkSession) -> SparkSession:
