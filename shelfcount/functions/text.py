@@ -88,7 +88,17 @@ def parse_filename(
     ``exact`` gives nulls everywhere when the number of parts differs; otherwise missing
     parts alone are null and surplus parts are ignored.
     """
-    parts = F.split(file_stem(path), "_")
+    return named_parts(file_parts(path), names, exact)
+
+
+def file_parts(path: Column | str) -> Column:
+    """The file stem cut at ``_``."""
+    return F.split(file_stem(path), "_")
+
+
+def named_parts(parts: Column | str, names: Sequence[str], exact: bool = False) -> dict[str, Column]:
+    """``parse_filename`` for the parts of a name."""
+    parts = _col(parts)
     out = {}
     for i, name in enumerate(names):
         part = F.get(parts, i)

@@ -132,7 +132,10 @@ STORE_BOOK_CREDIT_NAMES = {
 
 def _named(rows: DataFrame, policy: ReportPolicy, report: str | None) -> DataFrame:
     """Keys from the file name; the report name may be given by the sheet that was read."""
-    found = text.parse_filename("file", list(policy.name), exact=policy.exact_name)
+    # A row of its own for the one list of parts: Spark moves the tests of the keys to before a plain expression and would
+    # take the name apart once for each of them.
+    rows = rows.select("*", F.explode(F.array(text.file_parts("file"))).alias("__parts"))
+    found = text.named_parts("__parts", list(policy.name), exact=policy.exact_name)
     keys = {n: found[n] for n in ("rpname", "bu", "stcode", "cntdate") if n in found}
     if "customer" in found:
         keys["stcode"] = F.concat(F.lit("W"), F.right(found["customer"], F.lit(6)))
@@ -143,7 +146,7 @@ def _named(rows: DataFrame, policy: ReportPolicy, report: str | None) -> DataFra
         keys["cntdate"] = dates.date_key(F.substring("cntnum", 7, 6), "ddMMyy")
     if report:
         keys["rpname"] = F.lit(report)
-    return rows.withColumns(keys)
+    return rows.withColumns(keys).drop("__parts")
 
 
 def _typed(rows: DataFrame, policy: ReportPolicy, var: DataFrame | None) -> DataFrame:
