@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, text
 from ..operators import clean, gates
 from ..operators.joins import infer_skutype
+from ..operators.keys import key_set
 from ..operators.maintain import insert_new_or_reload
 from ..operators.sets import drop_dupes
 from ..operators.variance import line_variance
@@ -193,6 +194,14 @@ def prepare_report(
     return line_variance(rows) if policy.variance else rows
 
 
+def _stored_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys, stored: Spark knows their size before it plans the gate and sends a few to the report rows.
+
+    Else it finds out only when the rows are shuffled, and a plan names few counts, on which they would all meet.
+    """
+    return durable(key_set(df, keys))
+
+
 def import_report(
     raw: DataFrame,
     policy: ReportPolicy,
@@ -202,9 +211,9 @@ def import_report(
     report: str | None = None,
 ) -> DataFrame:
     """Rows to append: planned and not loaded before."""
-    planned = gates.open_plan(plan, policy.plan_types)
+    planned = _stored_keys(gates.open_plan(plan, policy.plan_types), policy.plan_keys)
     rows = gates.planned_only(prepare_report(raw, policy, var, report), planned, policy.plan_keys)
-    return gates.not_loaded(rows, loaded, policy.loaded_keys)
+    return gates.not_loaded(rows, _stored_keys(loaded, policy.loaded_keys), policy.loaded_keys)
 
 
 def reload_report(
