@@ -95,9 +95,11 @@ def _report_values() -> dict[str, Column]:
     }
 
 
+VALUES = ("stock", "qnt", "variance", "qnt_retail", "qnt_cost", "var_retail", "var_cost")
+
+
 def _exact(stk: DataFrame) -> DataFrame:
-    names = ["stock", "qnt", "variance", "qnt_retail", "qnt_cost", "var_retail", "var_cost"]
-    return stk.withColumns({c: exact(stk, c) for c in names})
+    return stk.withColumns({c: exact(stk, c) for c in VALUES})
 
 
 def store_report(stk: DataFrame, keys: Sequence[str] = ("stcode", "cntdate", "rpname", "skutype")) -> DataFrame:
@@ -113,23 +115,56 @@ def dept_report(stk: DataFrame, final: str = "STK2") -> DataFrame:
     )
 
 
-STORE_KEYS = ("stcode", "cntdate", "rpname", "skutype")
+COUNT_KEYS = ("stcode", "cntdate")
+STORE_KEYS = (*COUNT_KEYS, "rpname", "skutype")
 DEPT_KEYS = (*STORE_KEYS, "dept", "sub_dept")
 
 
-def reports_by_level(stk: DataFrame, final: str = "STK2") -> DataFrame:
-    """The store report and the department report as one table with a ``level``, from one pass over the lines.
+#: Slots of the hash of a count, and the lines of a count that one task adds up by itself.
+SLOTS = 4096
+LARGE = 500_000
+
+
+def _slot() -> Column:
+    return F.pmod(F.xxhash64(*COUNT_KEYS), F.lit(SLOTS))
+
+
+def _large_slots(stk: DataFrame, large: int) -> list[int]:
+    """Slots with more lines than one task should add up; a count of that size is always in one of them.
+
+    There are at most a quarter of ``SLOTS``, however many lines there are.
+    """
+    counted = stk.groupBy(_slot().alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least = max(large, 4 * sum(r["n"] for r in counted) // SLOTS)
+    return sorted(r["slot"] for r in counted if r["n"] > least)
+
+
+def _levels(lines: DataFrame, final: str) -> DataFrame:
+    """Sums of lines by store, and of those of the final report by department too."""
+    kinds = {c: lines.schema[c].dataType for c in ("dept", "sub_dept")}
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()]
+    store = F.struct(F.lit("store").alias("level"), *none)
+    dept = F.struct(F.lit("dept").alias("level"), *kinds)
+    at = F.explode(F.when(F.col("rpname") == final, F.array(store, dept)).otherwise(F.array(store))).alias("__at")
+    rows = lines.select(*STORE_KEYS, *VALUES, at).select("*", "__at.*").drop("__at")
+    return rows.groupBy(*DEPT_KEYS, "level").agg(*_report_measures())
+
+
+def reports_by_level(stk: DataFrame, final: str = "STK2", large: int = LARGE) -> DataFrame:
+    """The store report and the department report as one table with a ``level``.
 
-    Lines are summed by department first; both levels come from those few sums by one grouping-sets
-    aggregate. Rows of the store level have no department; those of the department level are the final report's.
+    The lines of a count are dealt to one task, which adds up both levels: they are shuffled once, narrower than the
+    sums of their small groups would be. Counts of over ``large`` lines are added up by the tasks that read them first.
+    Rows of the store level have no department; those of the department level are the final report's.
     """
-    values = _report_values()
-    fine = _exact(stk).groupBy(*DEPT_KEYS).agg(*_report_counts(), *[F.sum(c).alias(n) for n, c in values.items()])
-    names = [c for c in fine.columns if c not in DEPT_KEYS]
-    level = F.when(F.grouping("dept") == 1, "store").otherwise("dept").alias("level")
-    sums = [_sum(F.col(n), n) if n in values else F.sum(n).alias(n) for n in names]
-    both = fine.groupingSets([list(STORE_KEYS), list(DEPT_KEYS)], *DEPT_KEYS).agg(level, *sums)
-    return both.filter((F.col("level") == "store") | (F.col("rpname") == final))
+    lines = _exact(stk).select(*DEPT_KEYS, *VALUES)
+    slots = _large_slots(stk, large)
+    if not slots:
+        return _levels(lines.repartition(*COUNT_KEYS), final)
+    apart = _slot().isin(slots)
+    # The few sums of the large counts go to the same tasks as those of the others: a join by count then moves neither.
+    few = _levels(lines.filter(apart), final).repartition(*COUNT_KEYS)
+    return _levels(lines.filter(~apart).repartition(*COUNT_KEYS), final).unionByName(few)
 
 
 def sku_outcome_counts(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfcount.operators import gates, joins, ranking
+from shelfcount.operators import gates, joins, ranking, variance
 from shelfcount.operators.keys import first_of_key
 
 
@@ -196,3 +196,31 @@ def test_numbering_writes_nothing(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(session, "durable", lambda df: pytest.fail("a table was written"))
     assert ranking.rank_rows(hot(spark), ["k"], ["o"], "rn").count() == 20000
     assert not hasattr(ranking, "durable")
+
+
+def report_lines(spark, n=9000):
+    cells = ["stock", "qnt", "variance", "qnt_retail", "qnt_cost", "var_retail", "var_cost"]
+    store = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 > 0, (F.col("id") % 400).cast("string"))
+    return spark.range(0, n, 1, 8).select(
+        store.alias("stcode"), F.when(F.col("id") >= 0, "d").alias("cntdate"), F.when(F.col("id") % 2 == 0, "STK1").when(F.col("id") % 7 > 0, "STK2").alias("rpname"),
+        F.lit("Credit").alias("skutype"), F.when(F.col("id") % 5 > 0, (F.col("id") % 5).cast("string")).alias("dept"), F.lit("s").alias("sub_dept"),
+        *[F.when(F.col("id") % (29 + k) > 0, (F.col("id") * (k + 3)) % 11 - 5).cast("decimal(12,3)").alias(c) for k, c in enumerate(cells)],
+    )
+
+
+@pytest.mark.parametrize("large", [variance.LARGE, 1000])
+def test_report_levels_shuffle_lines_once(spark, large):
+    lines = report_lines(spark)
+    both = variance.reports_by_level(lines, large=large)
+    for level, want in (("store", variance.store_report(lines)), ("dept", variance.dept_report(lines))):
+        got = both.filter(F.col("level") == level).select(*want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    # The lines go to the task of their count, once; only sums of the large count are shuffled besides, twice.
+    assert final_plan(both)[1].count("Exchange hashpartitioning") == (1 if large > 9000 else 3)
+
+
+def test_a_large_count_is_added_up_where_it_is_read(spark):
+    lines = report_lines(spark)
+    slots = variance._large_slots(lines, 1000)
+    assert [r[0] for r in lines.filter("stcode = 'hot'").select(variance._slot()).distinct().collect()] == slots
+    assert variance._large_slots(lines, 9000) == []
