@@ -43,13 +43,15 @@ def count_reports(stk: DataFrame, overlay_lines: DataFrame, plan: DataFrame) ->
 
 
 def count_report_levels(stk: DataFrame, overlay_lines: DataFrame, plan: DataFrame) -> DataFrame:
-    """Both of ``count_reports`` as one table with a ``level``: the lines are read once."""
+    """Both of ``count_reports`` as one table with a ``level``; the sums are not shuffled again to meet the plan."""
     scanned = overlay.overlay_store_totals(overlay_lines)
     every = F.lit("ALL")
     as_store = F.struct(F.lit("store").alias("level"), F.lit(None).cast("string").alias("dept"), F.lit(None).cast("string").alias("sub_dept"))
     as_dept = F.struct(F.lit("dept").alias("level"), every.alias("dept"), every.alias("sub_dept"))
     both = scanned.withColumn("__at", F.explode(F.array(as_store, as_dept))).select("*", "__at.*").drop("__at")
-    return enrich(plan, union_all(variance.reports_by_level(stk), both), ["stcode", "cntdate"])
+    keys = ["stcode", "cntdate"]
+    # Dealt as the reports are, so that the union is still dealt by these keys.
+    return enrich(plan, union_all(variance.reports_by_level(stk), both.repartition(*keys)), keys)
 
 
 def overlay_count(

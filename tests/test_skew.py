@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfcount.operators import gates, joins, ranking, variance
 from shelfcount.operators.keys import first_of_key
+from shelfcount.plans import analysis
 
 
 def hot(spark, n=20000):
@@ -224,3 +225,25 @@ def test_a_large_count_is_added_up_where_it_is_read(spark):
     slots = variance._large_slots(lines, 1000)
     assert [r[0] for r in lines.filter("stcode = 'hot'").select(variance._slot()).distinct().collect()] == slots
     assert variance._large_slots(lines, 9000) == []
+
+
+@pytest.mark.parametrize("large", [variance.LARGE, 1000])
+def test_report_levels_meet_their_plan_where_they_are(spark, no_broadcast, monkeypatch, large):
+    monkeypatch.setattr(variance.reports_by_level, "__defaults__", ("STK2", large))
+    lines = report_lines(spark)
+    day = F.when(F.col("id") >= 0, "d").alias("cntdate")
+    plan = spark.range(200).select(F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("stcode"), day)
+    cells = [F.lit(n).cast("decimal(9,2)").alias(c) for n, c in enumerate(("qnt", "price"))]
+    store = (F.col("id") % 30).cast("string").alias("stcode")
+    # A constant date, which Spark takes out of the keys.
+    scanned = spark.range(90).select(F.lit("ST1").alias("stocktakeid"), store, F.lit("d").alias("cntdate"), F.col("id").alias("sku"), *cells)
+    levels, apart = analysis.count_report_levels(lines, scanned, plan), analysis.count_reports(lines, scanned, plan)
+    for level, want in apart.items():
+        want = want.filter("sku_count IS NOT NULL")
+        got = levels.filter(F.col("level") == level).select(*want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert levels.filter("level IS NULL").count() == plan.join(apart["store"].filter("sku_count IS NOT NULL"), "stcode", "left_anti").count()
+    steps = final_plan(levels)[1].splitlines()
+    union = next(n for n, x in enumerate(steps) if x.rstrip().endswith("Union"))
+    sort = max(n for n, x in enumerate(steps[:union]) if " Sort [" in x)
+    assert not [x for x in steps[sort:union] if "Exchange" in x]
