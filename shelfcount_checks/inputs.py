@@ -27,12 +27,24 @@ def text_of(c: str):
 
 
 class Inputs:
-    """DataFrames over one directory of test tables."""
+    """DataFrames over one directory of test tables; ``hint`` is given to the joins with parts and customers."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, hint: str | None = None):
+        self.spark, self.folder, self.hint = spark, folder, hint
         self._tables: dict[str, DataFrame] = {}
 
+    @cached_property
+    def shuffled(self) -> Inputs:
+        """The same rows without a broadcast of parts or customers.
+
+        Spark goes by the packed size of the files, of which the keys are a small part: keys of millions of rows
+        pass for small, and the driver holds as many of these tables at once as the query has joins.
+        """
+        return Inputs(self.spark, self.folder, "merge")
+
+    def looked_up(self, name: str) -> DataFrame:
+        return self.table(name).hint(self.hint) if self.hint else self.table(name)
+
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -41,7 +53,7 @@ class Inputs:
     @cached_property
     def plan(self) -> DataFrame:
         joined = self.table("orders").join(
-            self.table("customer"), F.col("o_custkey") == F.col("c_custkey")
+            self.looked_up("customer"), F.col("o_custkey") == F.col("c_custkey")
         )
         atype = F.when(F.col("o_orderstatus") == "F", "3F").when(F.col("o_orderstatus") == "O", "3Q")
         return joined.select(
@@ -61,7 +73,7 @@ class Inputs:
 
     @cached_property
     def stk(self) -> DataFrame:
-        joined = self.table("lineitem").join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        joined = self.table("lineitem").join(self.looked_up("part"), F.col("l_partkey") == F.col("p_partkey"))
         return joined.select(
             text_of("l_suppkey").alias("stcode"),
             month("l_shipdate").alias("cntdate"),
@@ -215,7 +227,7 @@ class Inputs:
     def package(self) -> DataFrame:
         """Item master per stocktake, without every fifth item."""
         users = self.table("events").select("user_id").distinct().filter("user_id % 5 <> 0")
-        joined = users.join(self.table("part"), F.col("user_id") == F.col("p_partkey"))
+        joined = users.join(self.looked_up("part"), F.col("user_id") == F.col("p_partkey"))
         sku = text_of("user_id")
         return joined.select(
             F.concat(F.lit("ST"), (F.col("user_id") % 10).cast("string")).alias("stocktakeid"),
