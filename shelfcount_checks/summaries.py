@@ -254,7 +254,8 @@ def dept_report(i: Inputs):
 @check(f"""SELECT 'store' AS level, * FROM ({report_sql("stcode, cntdate, rpname, skutype", "v_book")}) UNION ALL BY NAME
     SELECT 'dept' AS level, * FROM ({report_sql("stcode, cntdate, rpname, skutype, dept, sub_dept", "v_book WHERE rpname = 'STK2'")})""")
 def reports_by_level(i: Inputs):
-    return variance.reports_by_level(i.book)
+    # The lines are read twice, so parts would be sent to the driver twice.
+    return variance.reports_by_level(i.shuffled.book)
 
 
 OUTCOMES = """SELECT sku, any_value(prname) AS prname, count(*) FILTER (qty_var = 0) AS eq0, count(*) FILTER (qty_var > 0) AS gain,
