@@ -425,6 +425,7 @@ def count_report_by_dept(i: Inputs):
     UNION ALL BY NAME SELECT 'dept' AS level, * FROM ({report_sql("stcode, cntdate, rpname, skutype, dept, sub_dept", "v_book WHERE rpname = 'STK2'")}
     UNION ALL BY NAME SELECT *, 'ALL' AS dept, 'ALL' AS sub_dept FROM ({STORE_LINES}))) r USING (stcode, cntdate)""")
 def count_report_levels(i: Inputs):
+    i = i.shuffled
     return analysis.count_report_levels(i.book, overlay.overlay_edits(*overlay_inputs(i)), i.planm)
 
 

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from .conftest import SMALL
 
 
-@pytest.mark.parametrize("name", ["upload_csv", "reports_by_level"])
+@pytest.mark.parametrize("name", ["upload_csv", "reports_by_level", "count_report_levels"])
 def test_parts_and_customers_do_not_go_through_the_driver(spark, name):
     plan = entry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin [l_partkey") >= 1
