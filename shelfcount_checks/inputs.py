@@ -14,8 +14,12 @@ QTY = "decimal(8,3)"
 PRICE = "decimal(9,2)"
 
 
+def month_number(c: str):
+    return F.year(c) * 10000 + F.month(c) * 100 + 1
+
+
 def month(c: str):
-    return (F.year(c) * 10000 + F.month(c) * 100 + 1).cast("string")
+    return month_number(c).cast("string")
 
 
 def day(c: str):
@@ -73,18 +77,28 @@ class Inputs:
 
     @cached_property
     def stk(self) -> DataFrame:
-        joined = self.table("lineitem").join(self.looked_up("part"), F.col("l_partkey") == F.col("p_partkey"))
-        return joined.select(
-            text_of("l_suppkey").alias("stcode"),
-            month("l_shipdate").alias("cntdate"),
-            F.when(F.col("l_returnflag") == "R", "Credit").otherwise("Consign").alias("skutype"),
-            F.when(F.col("l_linestatus") == "O", "STK1").otherwise("STK2").alias("rpname"),
-            text_of("l_partkey").alias("sku"),
+        # What the lines give is worked out before the join, as it is narrower than their columns if they are shuffled.
+        lines = self.table("lineitem").select(
+            "l_partkey",
+            "l_suppkey",
+            month_number("l_shipdate").alias("month"),
+            (F.col("l_returnflag") == "R").alias("returned"),
+            (F.col("l_linestatus") == "O").alias("open"),
             F.col("l_quantity").cast(QTY).alias("soh"),
             F.col("l_extendedprice").cast(PRICE).alias("retail_value"),
-            F.col("p_retailprice").cast(PRICE).alias("cost"),
             ((F.col("l_orderkey") + 3 * F.col("l_linenumber")) % 7 - 3).cast(QTY).alias("qty_var"),
         )
+        return lines.join(self.looked_up("part"), F.col("l_partkey") == F.col("p_partkey")).select(
+            text_of("l_suppkey").alias("stcode"),
+            text_of("month").alias("cntdate"),
+            F.when(F.col("returned"), "Credit").otherwise("Consign").alias("skutype"),
+            F.when(F.col("open"), "STK1").otherwise("STK2").alias("rpname"),
+            text_of("l_partkey").alias("sku"),
+            "soh",
+            "retail_value",
+            F.col("p_retailprice").cast(PRICE).alias("cost"),
+            "qty_var",
+        )
 
     @cached_property
     def valued(self) -> DataFrame:
